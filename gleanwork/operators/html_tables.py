@@ -209,9 +209,13 @@ def csv_body(rows: Column | str, escape_quotes: bool = True) -> Column:
 def html_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     """One row per table row: the other columns, ``row_idx`` and ``cells``."""
     kept = [quoted(name) for name in pages.columns if name != html]
-    return pages.select(*kept, table_rows(quoted(html)).alias("table_rows")).select(
-        *kept, F.posexplode("table_rows").alias("row_idx", "cells")
+    rows = pages.select(*kept, table_rows(quoted(html)).alias("table_rows")).select(
+        # The plain generator would make the optimizer test for empty arrays below the parser,
+        # with a second parse of every page.
+        *kept,
+        F.posexplode_outer("table_rows").alias("row_idx", "cells"),
     )
+    return rows.where("row_idx IS NOT NULL")
 
 
 def html_csv(pages: DataFrame, html: str = "html", escape_quotes: bool = True) -> DataFrame:

@@ -65,11 +65,15 @@ def _has_data(data: Column, skip: str) -> Column:
 
 
 def _parsed(responses: DataFrame, schema: T.StructType) -> DataFrame:
-    """Add ``doc``; a body is parsed only where the status is 200."""
+    """Add ``doc``; a body is parsed only where the status is 200, and only once.
+
+    The one-element explode is there for the optimizer: filters on the document cannot be moved
+    below a generator, where each would parse the body again, while filters on the key still can.
+    """
     with_unparsed = T.StructType([*schema.fields, T.StructField(_UNPARSED, T.StringType())])
     body = F.when(F.col("status") == 200, F.col("body"))
     doc = F.from_json(body, with_unparsed, {"columnNameOfCorruptRecord": _UNPARSED})
-    return responses.withColumn("doc", doc)
+    return responses.select("key", "status", F.explode(F.array(doc)).alias("doc"))
 
 
 def classify_payloads(
@@ -113,8 +117,6 @@ def flatten_payloads(
     doc = F.col("doc")
     fields = [f.name for f in schema.fields if f.name != "data" and f.name not in JOINED_ARRAYS]
     joined = [(old, new) for old, new in JOINED_ARRAYS.items() if old in schema.names]
-    # The skip rule sits in the generator's argument and not in a filter: a filter would be pushed
-    # below the projection and parse every body a second time.
     data = F.when(_has_data(doc["data"], skip), doc["data"])
     shaped = _parsed(response_ok(responses), schema).select(
         F.col("key").alias("ORI"),

@@ -154,6 +154,8 @@ def decode_documents(
             errors.append(error)
         return pd.DataFrame({"text": texts, "error": errors}, dtype=object)
 
+    # A filter on the outcome must not be moved below the decoder: it would decode twice.
+    decode = decode.asNondeterministic()
     custom = kind.isin(*chosen)
     # Only the bytes that need a decoder cross over to Python.
     decoded = typed.select(

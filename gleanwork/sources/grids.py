@@ -313,7 +313,8 @@ def json_grid_rows(files: DataFrame) -> DataFrame:
         f"{JSON_GRID_TYPE}, {unparsed} string",
         {"columnNameOfCorruptRecord": unparsed},
     )
-    parsed = files.select("path", grid.alias("grid"))
+    # The one-element explode keeps filters from being moved below the parse and repeating it.
+    parsed = files.select("path", F.explode(F.array(grid)).alias("grid"))
     title = F.regexp_replace(F.col("grid.range"), "![^!]*$", "")
     inner = F.regexp_extract(title, r"(?s)^'?(.*?)'?$", 1)
     broken = F.col("grid").isNull() | F.col(f"grid.{unparsed}").isNotNull()

@@ -67,19 +67,25 @@ def binary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _little_endian(number: Column) -> Column:
-    low = F.lpad(F.hex(number), 2, "0")
-    return F.concat(low, F.lit("000000"))
+    """Four bytes in hex; the number must be below 65536."""
+    digits = F.lpad(F.hex(number), 4, "0")
+    return F.concat(F.substring(digits, 3, 2), F.substring(digits, 1, 2), F.lit("0000"))
 
 
 def _bitmap(width: Column, height: Column) -> Column:
-    """A grey bitmap of the given size; both sides must be below 256."""
-    row_bytes = ((width * 3 + 3) / 4).cast("int") * 4
+    """A grey bitmap of the given size."""
+    pixel_bytes = F.ceil(width * 3 / 4).cast("int") * 4 * height
     header = F.concat(
-        F.lit("424D"), F.lit("00000000"), F.lit("00000000"), F.lit("36000000"),  # file header
-        F.lit("28000000"), _little_endian(width), _little_endian(height),
-        F.lit("0100"), F.lit("1800"), F.lit("00000000" * 6),  # one plane, 24 bits, no compression
+        F.lit("424D"),
+        _little_endian(pixel_bytes + 54),
+        F.lit("00000000" + "36000000" + "28000000"),  # reserved, start of pixels, header size
+        _little_endian(width),
+        _little_endian(height),
+        F.lit("0100" + "1800" + "00000000"),  # one plane, 24 bits, no compression
+        _little_endian(pixel_bytes),
+        F.lit("00000000" * 4),  # resolution and colours: not stated
     )
-    return F.unhex(F.concat(header, F.repeat(F.lit("80"), (row_bytes * height).cast("int"))))
+    return F.unhex(F.concat(header, F.repeat(F.lit("80"), pixel_bytes.cast("int"))))
 
 
 def image_folder(spark: SparkSession, sf_dir: str) -> str:
