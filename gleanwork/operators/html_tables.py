@@ -28,9 +28,10 @@ BLOCK_TAGS = frozenset(
     script section style svg table tbody td template tfoot th thead title tr ul video
     """.split()
 )
-# Elements that close an open row, elements that have no content, elements that keep
-# their blanks, runs of blanks, invisible characters.
+# Elements that close an open row, rows and cells, elements that have no content,
+# elements that keep their blanks, runs of blanks, invisible characters.
 ROW_CLOSERS = frozenset("caption col colgroup tbody tfoot thead".split())
+CELL_TAGS = frozenset("td th tr".split())
 EMPTY_TAGS = frozenset("col frame hr link meta".split())
 VERBATIM_TAGS = frozenset("pre textarea title".split())
 BLANK_RUN = re.compile("[ \t\n\f\r\xa0]+")
@@ -145,7 +146,7 @@ class _RowReader(HTMLParser):
                 self._close_cell()
             elif tag in ROW_CLOSERS:
                 self._close_row()
-        if tag in BLOCK_TAGS:
+        if tag in BLOCK_TAGS and tag not in CELL_TAGS and tag not in ROW_CLOSERS:
             self._end_block()
         elif tag == "br":
             for cell in self._open_cells():

@@ -352,8 +352,8 @@ def grid_rejects(grids: DataFrame) -> DataFrame:
 
 
 def widest_row(rows: DataFrame) -> int:
-    """The largest number of cells in a row, found in one aggregation."""
-    return rows.agg(F.max(F.size("cells"))).first()[0] or 0
+    """The largest number of cells in a row (1 if there is none), found in one aggregation."""
+    return rows.agg(F.max(F.size("cells"))).first()[0] or 1
 
 
 def to_wide(rows: DataFrame, width: int, scrub: bool = True) -> DataFrame:
