@@ -7,13 +7,13 @@ pages that hold a table are shipped to it, in Arrow batches that Spark bounds by
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanwork.functions.markup import END, START, VERBATIM, markup_events
 from gleanwork.functions.text import TRIMMED_CHARS, _col
 from gleanwork.operators.columns import quoted
 
@@ -29,12 +29,11 @@ BLOCK_TAGS = frozenset(
     """.split()
 )
 # Elements that close an open row, rows and cells, elements that have no content,
-# elements that keep their blanks, runs of blanks, invisible characters.
+# runs of blanks that are not just one space, invisible characters.
 ROW_CLOSERS = frozenset("caption col colgroup tbody tfoot thead".split())
 CELL_TAGS = frozenset("td th tr".split())
 EMPTY_TAGS = frozenset("col frame hr link meta".split())
-VERBATIM_TAGS = frozenset("pre textarea title".split())
-BLANK_RUN = re.compile("[ \t\n\f\r\xa0]+")
+BLANK_RUN = re.compile("[\t\n\f\r\xa0][ \t\n\f\r\xa0]*| [ \t\n\f\r\xa0]+")
 INVISIBLE = re.compile("[\u200b\xad]")
 
 
@@ -70,33 +69,36 @@ class _Cell:
 
 
 class _Table:
-    """One open table: its open row and its open cell. An open ``th`` has no text to keep."""
+    """One open table: its open row, and which kind of cell is open in it."""
 
     def __init__(self) -> None:
         self.row: list[_Cell] | None = None
         self.open_tag: str | None = None
-        self.cell: _Cell | None = None
 
 
-class _RowReader(HTMLParser):
+class _RowReader:
     """Collects the rows of every table; a nested table's cells also count for the outer row."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.rows: list[list[_Cell]] = []
         self.tables: list[_Table] = []
+        self.open_cells: list[_Cell] = []
         self.verbatim = 0
 
-    def _open_cells(self) -> list[_Cell]:
-        return [table.cell for table in self.tables if table.cell is not None]
-
     def _close_cell(self) -> None:
-        self.tables[-1].open_tag = self.tables[-1].cell = None
+        table = self.tables[-1]
+        if table.open_tag == "td":
+            self.open_cells.pop()
+        table.open_tag = None
 
     def _close_row(self) -> None:
         self._close_cell()
         self.tables[-1].row = None
 
+    def _close_table(self) -> None:
+        self._close_cell()
+        self.tables.pop()
+
     def _open_row(self) -> None:
         self._close_row()
         self.tables[-1].row = []
@@ -109,20 +111,21 @@ class _RowReader(HTMLParser):
         self._close_cell()
         table.open_tag = tag
         if tag == "td":
-            table.cell = _Cell()
+            cell = _Cell()
+            self.open_cells.append(cell)
             for outer in self.tables:
                 if outer.row is not None:
-                    outer.row.append(table.cell)
+                    outer.row.append(cell)
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
+    def start(self, tag: str) -> None:
         if tag in BLOCK_TAGS or tag == "br":
-            for cell in self._open_cells():
+            for cell in self.open_cells:
                 cell.set_apart()
         if tag == "table":
             if self.tables and self.tables[-1].open_tag is None:
-                self.tables.pop()
+                self._close_table()
             self.tables.append(_Table())
-        elif tag in VERBATIM_TAGS:
+        elif tag == "pre":
             self.verbatim += 1
         elif self.tables:
             if tag == "tr":
@@ -134,42 +137,40 @@ class _RowReader(HTMLParser):
         if tag in EMPTY_TAGS:
             self._end_block()
 
-    def handle_endtag(self, tag: str) -> None:
-        if tag in VERBATIM_TAGS:
+    def end(self, tag: str) -> None:
+        if tag == "pre":
             self.verbatim = max(0, self.verbatim - 1)
         if self.tables:
             if tag == "table":
-                self.tables.pop()
-            elif tag == "tr":
+                self._close_table()
+            elif tag == "tr" or tag in ROW_CLOSERS:
                 self._close_row()
             elif tag in ("td", "th") and self.tables[-1].open_tag == tag:
                 self._close_cell()
-            elif tag in ROW_CLOSERS:
-                self._close_row()
         if tag in BLOCK_TAGS and tag not in CELL_TAGS and tag not in ROW_CLOSERS:
             self._end_block()
         elif tag == "br":
-            for cell in self._open_cells():
+            for cell in self.open_cells:
                 cell.set_apart()
 
     def _end_block(self) -> None:
-        for cell in self._open_cells():
+        for cell in self.open_cells:
             cell.after_block = True
 
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-
-    def handle_data(self, data: str) -> None:
-        if self.cdata_elem in ("script", "style"):
-            return
-        for cell in self._open_cells():
-            cell.add(data, self.verbatim > 0)
+    def text(self, data: str, verbatim: bool) -> None:
+        for cell in self.open_cells:
+            cell.add(data, verbatim)
 
 
 def read_rows(html: str) -> list[list[str]]:
     reader = _RowReader()
-    reader.feed(html)
-    reader.close()
+    for kind, value in markup_events(html):
+        if kind == START:
+            reader.start(value)
+        elif kind == END:
+            reader.end(value)
+        elif reader.open_cells:
+            reader.text(value, kind == VERBATIM or reader.verbatim > 0)
     return [[cell.finished() for cell in row] for row in reader.rows]
 
 

@@ -7,12 +7,12 @@ Plain text is decoded by Spark itself. Other formats go through a decoder, a pla
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanwork.functions.markup import END, START, markup_events
 from gleanwork.functions.names import file_type
 from gleanwork.operators.html_tables import BLOCK_TAGS
 
@@ -68,30 +68,15 @@ def too_large_files(
     )
 
 
-class _TextReader(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.parts: list[str] = []
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in BLOCK_TAGS or tag == "br":
-            self.parts.append("\n")
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in BLOCK_TAGS:
-            self.parts.append("\n")
-
-    def handle_data(self, data: str) -> None:
-        if self.cdata_elem not in ("script", "style"):
-            self.parts.append(data)
-
-
 def html_text(content: bytes, name: str) -> str:
     """The text of a page, with a line break at each block."""
-    reader = _TextReader()
-    reader.feed(content.decode("utf-8", "replace"))
-    reader.close()
-    return "".join(reader.parts)
+    parts = []
+    for kind, value in markup_events(content.decode("utf-8", "replace")):
+        if kind not in (START, END):
+            parts.append(value)
+        elif value in BLOCK_TAGS or value == "br":
+            parts.append("\n")
+    return "".join(parts)
 
 
 def pdf_decoder() -> Decoder:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 from itertools import product
 
 import pytest
@@ -41,6 +42,15 @@ PAGES = {
         ("<table><tr><td>x​y\xadz</td></tr></table>", [["xyz"]]),
         ("<table><tr><td><pre> a\n  b</pre></td></tr></table>", [["a\n  b"]]),
         ("<table><tr><td>cut off", [["cut off"]]),
+        ("<table><tr><td>a<td title='unfinished", [["a"]]),
+        ("<table><tr><td>a<!-- unfinished <td>b", [["a"]]),
+        ("<table><tr><td>a<!-->b<!---->c<?x?>d</>e<!x>f", [["abcdef"]]),
+        ("<table><tr><td>1 < 2 <3 & 4&lt5</table>", [["1 < 2 <3 & 4<5"]]),
+        ("<table><tr><td a=\"x>y\" b='>' c=it's>k<td d=\"e>l</table>", [["k"]]),
+        ("<table><tr><td><textarea> <b>&amp; </textarea>|<xmp>&amp;<b></xmp></table>",
+         [["<b>& |&amp;<b>"]]),
+        ("<table><tr><td>a<script>x</scripty></script >b", [["a b"]]),
+        ("<table><tr><td>a</td></tr></table></table></td><table><td>b", [["a"], ["b"]]),
         ("<table><tr><td></td><td> </td></tr><tr></tr></table>", [["", ""], []]),
         ("<table><tr><th>a<table><tr><td>i</td></tr></table></th></tr></table>", [["i"], ["i"]]),
         ("<table><tr><td>a</td></tr></table>after<table><tr><td>b</td></tr></table>", [["a"], ["b"]]),
@@ -60,6 +70,20 @@ def test_any_markup_is_read_to_the_end(parts):
         assert all(isinstance(cell, str) for cell in row)
 
 
+@pytest.mark.parametrize(
+    "part",
+    ["<", "<!--", "<a ", "<script></", "<td a=\"", "<td a='", "&#", "<!", "<table><tr><th>", "<td>",
+     "</", "<?", "<![CDATA[", "<a =", "<pre>", "<title>", "<a b=\"'>"],
+)
+def test_hostile_markup_takes_linear_time(part):
+    def seconds(times: int) -> float:
+        start = time.perf_counter()
+        read_rows("<table><tr><td>" + part * times)
+        return time.perf_counter() - start
+
+    assert seconds(40_000) < 2
+
+
 def buffer_replay(rows: list[list[str]]) -> str:
     """The text as a string buffer grows it: the last character goes before each line end."""
     text = ""
