@@ -26,10 +26,12 @@ def _parser() -> argparse.ArgumentParser:
     sheets.add_argument("source")
     sheets.add_argument("target")
     sheets.add_argument("--export", choices=("csv", "json"), default="csv")
+    sheets.add_argument("--layout", choices=("wide", "long"), default="wide")
 
     workbooks = jobs.add_parser("workbooks", help="XLSX workbooks to text tables")
     workbooks.add_argument("source")
     workbooks.add_argument("target")
+    workbooks.add_argument("--layout", choices=("wide", "long"), default="wide")
 
     responses = jobs.add_parser("responses", help="landed web responses to stored objects")
     responses.add_argument("source", help="Parquet: url, content_type, content_disposition, body")
@@ -61,9 +63,11 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
             spark, args.source, args.target, layout=args.layout, decoders=decoders, **common
         )
     elif args.job == "sheets":
-        plans.run_sheets(spark, args.source, args.target, export=args.export, **common)
+        plans.run_sheets(
+            spark, args.source, args.target, export=args.export, layout=args.layout, **common
+        )
     elif args.job == "workbooks":
-        plans.run_workbooks(spark, args.source, args.target, **common)
+        plans.run_workbooks(spark, args.source, args.target, layout=args.layout, **common)
     elif args.job == "responses":
         landed = spark.read.parquet(args.source)
         plans.run_landing(landed, args.prefix, args.target, **common)

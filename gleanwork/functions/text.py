@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The pattern for one line break, and the characters a JVM string trim removes.
-LINE_BREAK = r"(\r\n|\n\r|\r|\n)"
+# The characters a JVM string trim removes, and one line break: CR LF, LF CR, CR or LF.
+# The pattern starts with the two characters themselves, so the search passes quickly over the rest.
 TRIMMED_CHARS = "".join(chr(code) for code in range(0x21))
-
-# Blanks at the edge of a line, except the line feed itself. The look-behind and the possessive
-# quantifier keep the match linear on texts with long runs of blanks.
-_BLANK = r"[\x00-\x09\x0b-\x20]"
-_LINE_EDGES = rf"(?<![^\n]){_BLANK}++|(?<!{_BLANK}){_BLANK}++(?![^\n])"
+LINE_BREAK = r"[\r\n](?:(?<=\r)\n|(?<=\n)\r)?"
 
 
 def _col(c: Column | str) -> Column:
@@ -42,9 +38,8 @@ def trim_lines(c: Column | str) -> Column:
     text = _col(c)
     body = F.rtrim(text, F.lit("\n"))
     no_line = (F.length(body) == 0) & (F.length(text) > 0)
-    return F.when(no_line, F.lit("")).otherwise(
-        F.concat(F.regexp_replace(body, _LINE_EDGES, ""), F.lit("\n"))
-    )
+    lines = F.array_join(F.transform(F.split(body, "\n"), trim_controls), "\n")
+    return F.when(no_line, F.lit("")).otherwise(F.concat(lines, F.lit("\n")))
 
 
 def lower_text(c: Column | str) -> Column:

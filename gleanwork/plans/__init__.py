@@ -4,11 +4,12 @@ from gleanwork.plans.documents import document_text, documents_view, run_documen
 from gleanwork.plans.images import run_images
 from gleanwork.plans.landing import landed_objects, run_landing
 from gleanwork.plans.payloads import run_payloads
-from gleanwork.plans.sheets import run_sheets, run_workbooks, sheet_table, workbook_table
+from gleanwork.plans.sheets import finished_sheets, run_sheets, run_workbooks, workbook_sheets
 
 __all__ = [
     "document_text",
     "documents_view",
+    "finished_sheets",
     "landed_objects",
     "run_documents",
     "run_images",
@@ -16,6 +17,5 @@ __all__ = [
     "run_payloads",
     "run_sheets",
     "run_workbooks",
-    "sheet_table",
-    "workbook_table",
+    "workbook_sheets",
 ]

@@ -32,7 +32,10 @@ def document_text(decoded: DataFrame, layout: str = "lines") -> DataFrame:
         text = flat_lower("text")
     else:
         raise ValueError(f"layout is 'lines' or 'flat', not {layout!r}")
-    return decoded.select(file_name("path").alias("filename"), text.alias("pdftext"))
+    # Wherever there is text the result cannot be NULL. Saying so lets a later "is not null" look at
+    # the decoded text alone, where it would otherwise build the whole result a second time.
+    result = F.when(F.col("text").isNotNull(), F.coalesce(text, F.lit("")))
+    return decoded.select(file_name("path").alias("filename"), result.alias("pdftext"))
 
 
 def documents_view(documents: DataFrame, name: str = "pdf") -> DataFrame:

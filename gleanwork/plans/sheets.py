@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanwork.functions.names import sheet_slug, workbook_slug
 from gleanwork.operators.columns import exclude_titles
-from gleanwork.sinks.tables import write_by_sheet, write_rejects
+from gleanwork.sinks.tables import write_by_sheet, write_long_by_sheet, write_rejects
 from gleanwork.sources.documents import read_binary_files
 from gleanwork.sources.grids import (
     csv_grid_rows,
     grid_rejects,
     json_grid_rows,
+    scrub_cells,
     sheet_rows,
     to_wide,
     widest_row,
@@ -22,36 +24,41 @@ from gleanwork.sources.grids import (
 from gleanwork.workspace import materialise
 
 
-def sheet_table(rows: DataFrame, width: int) -> DataFrame:
-    """Online sheets: finished ones only, cells on one line, with their ``sheet_slug``."""
-    wide = to_wide(exclude_titles(rows), width)
-    return wide.withColumn("sheet_slug", sheet_slug("sheet"))
+PLACE = ("path", "sheet_idx", "row_idx")
 
 
-def workbook_table(rows: DataFrame, width: int) -> DataFrame:
-    """Workbook sheets: cells on one line, with their ``sheet_slug``."""
-    return to_wide(rows, width).withColumn("sheet_slug", workbook_slug("sheet"))
+def finished_sheets(rows: DataFrame) -> DataFrame:
+    """The online sheets that nobody is editing, with their ``sheet_slug``."""
+    return exclude_titles(rows).withColumn("sheet_slug", sheet_slug("sheet"))
+
+
+def workbook_sheets(rows: DataFrame) -> DataFrame:
+    """Workbook sheets with their ``sheet_slug``."""
+    return rows.withColumn("sheet_slug", workbook_slug("sheet"))
 
 
 def _run(
     grids: DataFrame,
-    shape,
+    name_sheets: Callable[[DataFrame], DataFrame],
     source: str,
     target: str,
     run_date: str | datetime.date | None,
     rejects_target: str | None,
+    layout: str,
     width: int | None,
 ) -> str:
+    if layout not in ("wide", "long"):
+        raise ValueError(f"layout is 'wide' or 'long', not {layout!r}")
     # Width, rows and rejects all read the grids: stage them, so each file is parsed once.
-    if width is None or rejects_target is not None:
+    if rejects_target is not None or (layout == "wide" and width is None):
         grids = materialise(grids, source)
     if rejects_target is not None:
         write_rejects(grid_rejects(grids), rejects_target, source, run_date)
-    rows = sheet_rows(grids)
-    table = shape(rows, widest_row(rows) if width is None else width)
-    return write_by_sheet(
-        table.drop("path", "sheet", "sheet_idx", "row_idx"), target, run_date=run_date
-    )
+    rows = name_sheets(sheet_rows(grids))
+    if layout == "long":
+        return write_long_by_sheet(scrub_cells(rows), target, order=PLACE, run_date=run_date)
+    table = to_wide(rows, widest_row(rows) if width is None else width)
+    return write_by_sheet(table.drop("sheet"), target, order=PLACE, run_date=run_date)
 
 
 def run_workbooks(
@@ -60,14 +67,19 @@ def run_workbooks(
     target: str,
     run_date: str | datetime.date | None = None,
     rejects_target: str | None = None,
+    layout: str = "wide",
     width: int | None = None,
 ) -> str:
     """All sheets of all workbooks below ``source``.
 
-    ``width`` is the number of columns to write; without it, it is measured first.
+    ``layout="wide"`` writes text columns ``_c0, _c1, …``, as many as ``width`` says or, without
+    it, as the widest row needs. ``"long"`` writes Parquet with the cells of a row in one array,
+    which suits sheets of very different widths.
     """
     grids = workbook_rows(read_binary_files(spark, source, "*.xlsx"))
-    return _run(grids, workbook_table, "workbooks", target, run_date, rejects_target, width)
+    return _run(
+        grids, workbook_sheets, "workbooks", target, run_date, rejects_target, layout, width
+    )
 
 
 def run_sheets(
@@ -77,9 +89,13 @@ def run_sheets(
     run_date: str | datetime.date | None = None,
     export: str = "csv",
     rejects_target: str | None = None,
+    layout: str = "wide",
     width: int | None = None,
 ) -> str:
-    """All online sheets exported below ``source``, as CSV files or JSON value ranges."""
+    """All online sheets exported below ``source``, as CSV files or JSON value ranges.
+
+    ``layout`` and ``width`` are those of :func:`run_workbooks`.
+    """
     read = {"csv": csv_grid_rows, "json": json_grid_rows}[export]
     grids = read(read_binary_files(spark, source, f"*.{export}"))
-    return _run(grids, sheet_table, "sheets", target, run_date, rejects_target, width)
+    return _run(grids, finished_sheets, "sheets", target, run_date, rejects_target, layout, width)

@@ -9,6 +9,7 @@ No writer gathers its rows in one task. Gzip text cannot be split by readers, so
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,19 +127,38 @@ def write_by_sheet(
     df: DataFrame,
     target: str,
     slug: str = "sheet_slug",
+    order: Sequence[str] = (),
     run_date: str | datetime.date | None = None,
     mode: str = "overwrite",
     lossless: bool = False,
     max_records_per_file: int = 0,
 ) -> str:
-    """One folder per sheet within the snapshot."""
+    """One folder of text per sheet within the snapshot.
+
+    ``order`` names the columns that sort the rows of a file. They are not written themselves.
+    """
     path = snapshot_path(target, run_date)
-    gathered = df.hint("rebalance", slug)
-    writer = _text_writer(gathered, mode, lossless, "gzip", max_records_per_file)
+    ordered = df.hint("rebalance", slug).sortWithinPartitions(slug, *order).drop(*order)
+    writer = _text_writer(ordered, mode, lossless, "gzip", max_records_per_file)
     writer.partitionBy(slug).csv(path)
     return path
 
 
+def write_long_by_sheet(
+    df: DataFrame,
+    target: str,
+    slug: str = "sheet_slug",
+    order: Sequence[str] = (),
+    run_date: str | datetime.date | None = None,
+    mode: str = "overwrite",
+) -> str:
+    """One folder of Parquet per sheet, with all columns: rows keep their own number of cells."""
+    path = snapshot_path(target, run_date)
+    ordered = df.hint("rebalance", slug).sortWithinPartitions(slug, *order)
+    ordered.write.mode(mode).partitionBy(slug).parquet(path)
+    return path
+
+
 def land_objects(
     objects: DataFrame, target: str, run_date: str | datetime.date | None = None
 ) -> str:

@@ -13,6 +13,7 @@ from gleanwork.sources.grids import (
     csv_grid_rows,
     grid_rejects,
     json_grid_rows,
+    scrub_cells,
     sheet_listing,
     sheet_rows,
     to_wide,
@@ -34,6 +35,7 @@ __all__ = [
     "read_delimited",
     "read_images",
     "read_keys",
+    "scrub_cells",
     "sheet_listing",
     "sheet_rows",
     "to_wide",

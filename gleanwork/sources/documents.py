@@ -114,14 +114,14 @@ def decode_documents(
     typed = files.select("path", "content", file_type("path", types).alias("kind"))
     plain = kind.isin(*[t for t in TEXT_TYPES if t not in chosen])
     plain_text = F.when(plain, F.try_validate_utf8(F.col("content").cast("string")))
-    missing = F.concat(F.lit(NO_DECODER), kind)
+    kept = ("path", "kind", plain_text.alias("plain_text"), F.col("content").isNull().alias("absent"))
+    failed = (
+        F.when(plain & ~F.col("absent") & F.col("plain_text").isNull(), F.lit(BAD_UTF8))
+        .when(~kind.isin(*chosen) & ~plain, F.concat(F.lit(NO_DECODER), kind))
+    )
     if not chosen:
-        return typed.select(
-            "path",
-            plain_text.alias("text"),
-            F.when(~plain, missing)
-            .when(F.col("content").isNotNull() & plain_text.isNull(), F.lit(BAD_UTF8))
-            .alias("error"),
+        return typed.select(*kept).select(
+            "path", F.col("plain_text").alias("text"), failed.alias("error")
         )
 
     @F.pandas_udf("text string, error string")
@@ -141,20 +141,10 @@ def decode_documents(
 
     # A filter on the outcome must not be moved below the decoder: it would decode twice.
     decode = decode.asNondeterministic()
-    custom = kind.isin(*chosen)
     # Only the bytes that need a decoder cross over to Python.
-    decoded = typed.select(
-        "path",
-        "kind",
-        plain_text.alias("plain_text"),
-        (plain & F.col("content").isNotNull() & plain_text.isNull()).alias("bad"),
-        decode(F.when(custom, F.col("content")), "path", "kind").alias("decoded"),
-    )
-    return decoded.select(
+    custom = F.when(kind.isin(*chosen), F.col("content"))
+    return typed.select(*kept, decode(custom, "path", "kind").alias("decoded")).select(
         "path",
         F.coalesce("plain_text", "decoded.text").alias("text"),
-        F.when(F.col("bad"), F.lit(BAD_UTF8))
-        .when(~plain & ~custom, missing)
-        .otherwise(F.col("decoded.error"))
-        .alias("error"),
+        F.coalesce(failed, "decoded.error").alias("error"),
     )

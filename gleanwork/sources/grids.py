@@ -356,6 +356,11 @@ def widest_row(rows: DataFrame) -> int:
     return rows.agg(F.max(F.size("cells"))).first()[0] or 1
 
 
+def scrub_cells(rows: DataFrame) -> DataFrame:
+    """Every cell on one line."""
+    return rows.withColumn("cells", F.transform("cells", scrub_newlines))
+
+
 def to_wide(rows: DataFrame, width: int, scrub: bool = True) -> DataFrame:
     """The cells as text columns ``_c0, _c1, …``; short rows are filled with empty text."""
 

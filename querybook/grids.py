@@ -8,12 +8,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.plans import sheet_table, workbook_table
-from gleanwork.sinks import read_history, write_by_sheet
+from gleanwork.plans import finished_sheets, workbook_sheets
+from gleanwork.sinks import read_history, write_by_sheet, write_long_by_sheet
 from gleanwork.sources import (
     csv_grid_rows,
     json_grid_rows,
     read_binary_files,
+    scrub_cells,
     sheet_listing,
     sheet_rows,
     to_wide,
@@ -23,6 +24,7 @@ from gleanwork.sources import (
 from gleanwork.workspace import fresh_path
 from querybook.tables import RUN_DATE, table
 
+PLACE = ("path", "sheet_idx", "row_idx")
 SHEETS = ("Tab One-A", "2020 (in Progress)")
 
 
@@ -102,12 +104,23 @@ def workbook_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Workbooks to a dated table with one folder per sheet, and back."""
     rows = sheet_rows(workbook_rows(workbooks(spark, sf_dir)))
     target = fresh_path(spark, "workbooks")
-    shaped = workbook_table(rows, 4).drop("path", "sheet", "sheet_idx", "row_idx")
-    write_by_sheet(shaped, target, run_date=RUN_DATE)
+    shaped = to_wide(workbook_sheets(rows), 4).drop("sheet")
+    write_by_sheet(shaped, target, order=PLACE, run_date=RUN_DATE)
     schema = "_c0 string, _c1 string, _c2 string, _c3 string, sheet_slug string"
     return read_history(spark, target, schema).drop("run_date")
 
 
+def workbook_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbooks to one folder per sheet in which rows keep their own number of cells, and back."""
+    rows = scrub_cells(sheet_rows(workbook_rows(workbooks(spark, sf_dir))))
+    target = fresh_path(spark, "workbooks")
+    write_long_by_sheet(workbook_sheets(rows), target, order=PLACE, run_date=RUN_DATE)
+    stored = spark.read.parquet(target)
+    return stored.select(
+        "sheet_slug", F.array_join("cells", "|").alias("cells"), F.size("cells").alias("n_cells")
+    )
+
+
 def exported_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers exported as CSV files, read back as grids of the width found in them."""
     folder = fresh_path(spark, "exports")
@@ -124,7 +137,7 @@ def exported_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
         .csv(folder)
     )
     rows = sheet_rows(csv_grid_rows(read_binary_files(spark, folder, "*.csv")))
-    wide = sheet_table(rows, widest_row(rows))
+    wide = to_wide(finished_sheets(rows), widest_row(rows))
     return wide.select("_c0", "_c1", "_c2")
 
 
@@ -142,7 +155,7 @@ def json_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("/exports/"), number, F.lit(".json")).alias("path"),
         body.cast("binary").alias("content"),
     )
-    return sheet_table(sheet_rows(json_grid_rows(files)), 3).drop("sheet_idx")
+    return to_wide(finished_sheets(sheet_rows(json_grid_rows(files))), 3).drop("sheet_idx")
 
 
 BOOK = {
@@ -175,6 +188,16 @@ BOOK = {
         SELECT '2020_(in_Progress)', 'true', CAST(c_custkey AS VARCHAR), NULL, NULL FROM customer
         """,
     ),
+    "workbook_long": (
+        workbook_long,
+        """
+        SELECT 'Tab_One_A' AS sheet_slug, c_custkey || '|' || c_name || ' line||' || c_mktsegment
+               AS cells, CAST(4 AS INTEGER) AS n_cells
+        FROM customer
+        UNION ALL
+        SELECT '2020_(in_Progress)', 'true|' || c_custkey, 2 FROM customer
+        """,
+    ),
     "sheet_export_rows": (
         exported_sheets,
         """

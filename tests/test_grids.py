@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import io
 import json
 from zipfile import ZipFile
@@ -7,7 +8,7 @@ from zipfile import ZipFile
 import pytest
 
 from gleanwork import sources as S
-from gleanwork.plans import run_sheets, run_workbooks, sheet_table
+from gleanwork.plans import finished_sheets, run_sheets, run_workbooks
 from gleanwork.sinks import read_snapshot
 
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -144,8 +145,8 @@ def test_wide_form_pads_and_scrubs(spark):
         "path string, sheet string, sheet_idx int, row_idx int, cells array<string>",
     )
     assert S.widest_row(rows) == 2
-    table = sheet_table(rows, 3).collect()
-    assert [tuple(r)[4:] for r in table] == [("a b", "c", "", "_my_sheet_")]
+    table = S.to_wide(finished_sheets(rows), 3).collect()
+    assert [tuple(r)[4:] for r in table] == [("_my_sheet_", "a b", "c", "")]
 
 
 def test_many_rows_leave_in_bounded_batches(spark):
@@ -164,7 +165,7 @@ def test_workbook_job(spark, tmp_path, width):
     (source / "c.xlsx").write_bytes(b"broken")
     target, rejects = str(tmp_path / "out"), str(tmp_path / "bad")
     for _ in range(2):
-        run_workbooks(spark, str(source), target, "2024-02-29", rejects, width)
+        run_workbooks(spark, str(source), target, "2024-02-29", rejects, width=width)
     table = read_snapshot(spark, target).orderBy("_c0")
     assert [(r["_c0"], r["_c1"], r["sheet_slug"]) for r in table.collect()] == [
         ("a x", "1", "T_1_a"), ("b x", "1", "T_1_a"), ("u x", "1", "U"),
@@ -173,6 +174,33 @@ def test_workbook_job(spark, tmp_path, width):
     assert [(r["source"], r["key"].rpartition("/")[2]) for r in refused] == [("workbooks", "c.xlsx")]
 
 
+def test_rows_of_a_sheet_stay_in_order(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for book in range(6):
+        rows = "".join(f"<row><c><v>{book * 1000 + i}</v></c></row>" for i in range(1000))
+        (source / f"{book}.xlsx").write_bytes(workbook({"A": rows, "B": rows}))
+    target = run_workbooks(spark, str(source), str(tmp_path / "out"), "2024-02-29", width=1)
+    files = [p for p in (tmp_path / "out").rglob("part-*.gz")]
+    assert len(files) == 2
+    for path in files:
+        lines = gzip.decompress(path.read_bytes()).decode().splitlines()
+        assert lines == ['"_c0"'] + [f'"{i}"' for i in range(6000)]
+    assert read_snapshot(spark, target).count() == 12_000
+
+
+def test_long_layout(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.xlsx").write_bytes(workbook({"T 1": ROWS}, STRINGS))
+    run_workbooks(spark, str(source), str(tmp_path / "out"), "2024-02-29", layout="long")
+    stored = spark.read.parquet(str(tmp_path / "out")).orderBy("row_idx").collect()
+    assert [len(r["cells"]) for r in stored] == [3, 27, 3]
+    assert stored[2]["cells"] == ["in line", "a b", ""] and stored[0]["sheet_slug"] == "T_1"
+    with pytest.raises(ValueError, match="deep"):
+        run_workbooks(spark, str(source), str(tmp_path / "out"), layout="deep")
+
+
 @pytest.mark.parametrize("export", ["csv", "json"])
 def test_sheet_job(spark, tmp_path, export):
     source = tmp_path / "in"

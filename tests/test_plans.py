@@ -122,3 +122,8 @@ def test_the_library_keeps_rows_off_the_driver():
     )
     for source in (ROOT / "gleanwork").rglob("*.py"):
         assert not forbidden.search(source.read_text()), source
+
+
+def test_a_null_check_does_not_build_the_text_twice(pages):
+    texts = document_text(pages.select(F.lit("/a").alias("path"), F.col("html").alias("text")))
+    assert plan_of(texts.where("pdftext IS NOT NULL")).count("array_join(") == 1
