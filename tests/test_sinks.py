@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import pathlib
 from unittest.mock import MagicMock
 
@@ -109,6 +110,27 @@ def test_a_hot_key_is_split_over_tasks(spark, tmp_path):
     assert back.where("ORI = 'hot'").count() == rows.where("ORI = 'hot'").count()
 
 
+def test_a_hot_sheet_is_split_and_each_file_is_in_order(spark, tmp_path):
+    rows = spark.range(0, 300_000, 1, 8).select(
+        F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.lit("cold")).alias("sheet_slug"),
+        F.col("id").alias("row_idx"),
+        F.sha2(F.col("id").cast("string"), 512).alias("_c0"),
+        F.col("id").cast("string").alias("_c1"),
+    )
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "1MB")
+    try:
+        path = K.write_by_sheet(rows, str(tmp_path), order=["row_idx"], run_date=DAY)
+    finally:
+        spark.conf.unset(setting)
+    hot = data_files(pathlib.Path(path) / "sheet_slug=hot")
+    assert len(hot) > 4
+    for file in hot:
+        numbers = [int(line.split('"')[3]) for line in gzip.open(file, "rt").readlines()[1:]]
+        assert numbers == sorted(numbers)
+    assert K.read_snapshot(spark, path).count() == 300_000
+
+
 def test_rejects_have_one_shape(spark, tmp_path):
     frame = spark.createDataFrame([(7, "why")], "key int, reason string")
     path = K.write_rejects(frame, str(tmp_path), "here", DAY)
