@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -10,6 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="gleanwork-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -20,9 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     if spark.conf.get("spark.master", "local").startswith("local"):
-        folder = tempfile.mkdtemp(prefix="gleanwork-")
-        spark.conf.set(CHECKPOINT_SETTING, folder)
-        return folder
+        return _local_folder()
     raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
 
 

@@ -225,6 +225,10 @@ def test_shared_folder_comes_from_the_session(spark):
     cluster.conf.get = lambda name, default=None: "yarn" if name == "spark.master" else default
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         workspace.shared_dir(cluster)
+    alone = MagicMock()
+    alone.conf.get = lambda name, default=None: "local[2]" if name == "spark.master" else default
+    assert workspace.shared_dir(alone) == workspace.shared_dir(alone)
+    assert pathlib.Path(workspace.shared_dir(alone)).is_dir()
 
 
 def test_materialised_table_has_no_lineage(spark):
