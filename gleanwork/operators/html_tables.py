@@ -38,7 +38,10 @@ INVISIBLE = re.compile("[\u200b\xad]")
 
 
 class _Cell:
-    """The text of one open ``td``."""
+    """The text of one open ``td``.
+
+    A block element is set apart from the text before it, and from a text that directly follows.
+    """
 
     def __init__(self) -> None:
         self.text: list[str] = []
@@ -48,7 +51,7 @@ class _Cell:
     def _put(self, piece: str) -> None:
         if piece:
             self.text.append(piece)
-            self.ends_blank = piece[-1].isspace()
+            self.ends_blank = piece[-1] == " "
 
     def set_apart(self) -> None:
         if self.text and not self.ends_blank:
@@ -59,7 +62,7 @@ class _Cell:
             self.set_apart()
             self.after_block = False
         if not verbatim:
-            data = INVISIBLE.sub("", BLANK_RUN.sub(" ", data))
+            data = BLANK_RUN.sub(" ", INVISIBLE.sub("", data))
             if self.ends_blank:
                 data = data.lstrip(" ")
         self._put(data)
@@ -118,8 +121,10 @@ class _RowReader:
                     outer.row.append(cell)
 
     def start(self, tag: str) -> None:
-        if tag in BLOCK_TAGS or tag == "br":
-            for cell in self.open_cells:
+        apart = tag in BLOCK_TAGS or tag == "br"
+        for cell in self.open_cells:
+            cell.after_block = False
+            if apart:
                 cell.set_apart()
         if tag == "table":
             if self.tables and self.tables[-1].open_tag is None:
@@ -138,6 +143,8 @@ class _RowReader:
             self._end_block()
 
     def end(self, tag: str) -> None:
+        for cell in self.open_cells:
+            cell.after_block = False
         if tag == "pre":
             self.verbatim = max(0, self.verbatim - 1)
         if self.tables:

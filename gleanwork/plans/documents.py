@@ -38,7 +38,7 @@ def document_text(decoded: DataFrame, layout: str = "lines") -> DataFrame:
     return decoded.select(file_name("path").alias("filename"), result.alias("pdftext"))
 
 
-def documents_view(documents: DataFrame, name: str = "pdf") -> DataFrame:
+def documents_view(documents: DataFrame, name: str = "documents") -> DataFrame:
     """Publish the documents as a SQL view and return those that have text."""
     documents.createOrReplaceTempView(name)
     return documents.sparkSession.sql(

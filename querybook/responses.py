@@ -217,8 +217,8 @@ BOOK = {
                    generate_subscripts(string_split(text, chr(10)), 1) AS row_idx
             FROM documents)
         SELECT doc_id, CAST(row_idx AS INTEGER) AS row_idx,
-               trim(regexp_replace(regexp_replace(line, '[ \t\n\f\r\x{a0}]+', ' ', 'g'),
-                                   '[\x{200b}\x{ad}]', '', 'g')) AS line,
+               trim(regexp_replace(regexp_replace(line, '[\x{200b}\x{ad}]', '', 'g'),
+                                   '[ \t\n\f\r\x{a0}]+', ' ', 'g')) AS line,
                lang, CAST(2 AS INTEGER) AS n_cells
         FROM lines
         """,

@@ -31,7 +31,7 @@ PAGES = {
         ),
         ("<table><tr><td>a<td>b<tr><td>c</table>", [["a", "b"], ["c"]]),
         ("<table><tr><td>a &amp; b&nbsp;<br>c   d\n</td></tr></table>", [["a & b c d"]]),
-        ("<table><tr><td><p>a</p>b<div>c</div><b>d</b>e</td></tr></table>", [["a b c de"]]),
+        ("<table><tr><td><p>a</p>b<div>c</div><b>d</b>e</td></tr></table>", [["a b cde"]]),
         ("<table><td>no row</td></table>", [["no row"]]),
         ("<table><tbody><tr><td>a</tbody><tbody><td>b</tbody></table>", [["a"], ["b"]]),
         ("<table><tr><td>a<script>var t='</td>'</script><style>p{}</style>b</table>", [["a b"]]),
@@ -41,6 +41,8 @@ PAGES = {
         ("<table><tr><td>a</th>b</td></tr></table>", [["ab"]]),
         ("<table><tr><td>x​y\xadz</td></tr></table>", [["xyz"]]),
         ("<table><tr><td><pre> a\n  b</pre></td></tr></table>", [["a\n  b"]]),
+        ("<table><tr><td>a \u200b b\u3000<p>c</p></table>", [["a b\u3000 c"]]),
+        ("<table><tr><td><b><div>a</div></b>c<p>d</p> <i>e</i></table>", [["ac d e"]]),
         ("<table><tr><td>cut off", [["cut off"]]),
         ("<table><tr><td>a<td title='unfinished", [["a"]]),
         ("<table><tr><td>a<!-- unfinished <td>b", [["a"]]),
