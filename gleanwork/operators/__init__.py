@@ -15,6 +15,7 @@ from gleanwork.operators.payloads import (
     PAYLOAD_SCHEMA,
     classify_payloads,
     flatten_payloads,
+    parse_payloads,
     payload_quality,
     payload_rejects,
     request_list,
@@ -43,6 +44,7 @@ __all__ = [
     "html_rows",
     "join_guarded",
     "normalise_columns",
+    "parse_payloads",
     "payload_quality",
     "payload_rejects",
     "request_list",

@@ -64,8 +64,11 @@ def _has_data(data: Column, skip: str) -> Column:
     raise ValueError(f"skip is 'first' or 'all', not {skip!r}")
 
 
-def _parsed(responses: DataFrame, schema: T.StructType) -> DataFrame:
-    """Add ``doc``; a body is parsed only where the status is 200, and only once.
+def parse_payloads(responses: DataFrame, schema: T.StructType = PAYLOAD_SCHEMA) -> DataFrame:
+    """``(key, status, doc)``; a body is parsed only where the status is 200, and only once.
+
+    The operators below take this table in place of the answers, so one stored parse can serve
+    several of them.
 
     The one-element explode is there for the optimizer: filters on the document cannot be moved
     below a generator, where each would parse the body again, while filters on the key still can.
@@ -76,6 +79,10 @@ def _parsed(responses: DataFrame, schema: T.StructType) -> DataFrame:
     return responses.select("key", "status", F.explode(F.array(doc)).alias("doc"))
 
 
+def _parsed(answers: DataFrame, schema: T.StructType) -> DataFrame:
+    return answers if "doc" in answers.columns else parse_payloads(answers, schema)
+
+
 def classify_payloads(
     responses: DataFrame, schema: T.StructType = PAYLOAD_SCHEMA, skip: str = "first"
 ) -> DataFrame:

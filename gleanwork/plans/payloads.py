@@ -7,8 +7,14 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanwork.operators.payloads import flatten_payloads, payload_rejects, unanswered_keys
+from gleanwork.operators.payloads import (
+    flatten_payloads,
+    parse_payloads,
+    payload_rejects,
+    unanswered_keys,
+)
 from gleanwork.sinks.tables import write_by_key, write_rejects, write_snapshot
+from gleanwork.workspace import materialise
 
 UNANSWERED = "no answer with status 200"
 
@@ -27,9 +33,15 @@ def run_payloads(
 
     ``layout="snapshot"`` writes without a shuffle; ``"by_key"`` gives every key its own folder.
     The day's folder is replaced, so a repeated run does not double its rows; ``mode="append"``
-    adds to it instead. With ``keys``, the rejects also list the keys without a good answer.
+    adds to it instead.
+
+    With ``rejects_target`` the parsed answers are staged once, and rows and rejects come from the
+    stage. With ``keys`` as well, the rejects list the keys without a good answer.
     """
+    if layout not in ("snapshot", "by_key"):
+        raise ValueError(f"layout is 'snapshot' or 'by_key', not {layout!r}")
     if rejects_target is not None:
+        responses = materialise(parse_payloads(responses), dataset)
         refused = payload_rejects(responses)
         if keys is not None:
             silent = unanswered_keys(keys, responses)
@@ -38,6 +50,4 @@ def run_payloads(
     rows = flatten_payloads(responses)
     if layout == "by_key":
         return write_by_key(rows, target, dataset, run_date=run_date, mode=mode)
-    if layout == "snapshot":
-        return write_snapshot(rows, target, run_date, mode=mode)
-    raise ValueError(f"layout is 'snapshot' or 'by_key', not {layout!r}")
+    return write_snapshot(rows, target, run_date, mode=mode)

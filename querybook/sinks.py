@@ -9,7 +9,7 @@ from gleanwork.plans import run_payloads
 from gleanwork.sinks import read_history, read_orc, read_snapshot, write_orc, write_snapshot
 from gleanwork.sources import read_keys
 from gleanwork.workspace import fresh_path
-from querybook.payloads import supplier_answers
+from querybook.payloads import odd_answers, supplier_answers
 from querybook.tables import RUN_DATE, table
 from querybook.text import CRLF_SQL, _crlf
 
@@ -95,6 +95,15 @@ def payload_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("ORI", "key_array", "data_year", "key", "month_num", "value")
 
 
+def job_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a payload job lists as unusable: bad answers, and keys without a good one."""
+    answers = supplier_answers(spark, sf_dir).unionByName(odd_answers(spark, sf_dir))
+    names = table(spark, sf_dir, "customer").select(F.concat(F.lit("X"), "c_custkey").alias("key"))
+    target, rejects = fresh_path(spark, "payloads"), fresh_path(spark, "rejects")
+    run_payloads(answers, target, run_date=RUN_DATE, keys=names, rejects_target=rejects)
+    return spark.read.parquet(rejects).select("source", "key", "reason")
+
+
 def key_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A key list with doubled rows, quotes and an empty cell, written and read as keys."""
     folder = fresh_path(spark, "keys")
@@ -161,6 +170,18 @@ BOOK = {
         FROM lineitem JOIN codes USING (l_suppkey) GROUP BY ALL
         """,
     ),
+    "job_rejects": (
+        job_rejects,
+        """
+        SELECT 'by_offense' AS source, 'X' || c_custkey AS "key", CASE c_custkey % 6
+               WHEN 0 THEN 'status 500' WHEN 1 THEN 'status 404' ELSE 'malformed body' END
+               AS reason
+        FROM customer WHERE c_custkey % 6 IN (0, 1, 4)
+        UNION ALL
+        SELECT 'by_offense', 'X' || c_custkey, 'no answer with status 200'
+        FROM customer WHERE c_custkey % 6 IN (0, 1)
+        """,
+    ),
     "key_scan": (
         key_scan,
         """

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanwork import operators as O
+from gleanwork.workspace import materialise
 
 COLUMNS = [
     "ORI", "category", "noun", "short_title", "title", "ui_restriction", "ui_type", "key_array",
@@ -101,6 +102,15 @@ def test_every_answer_has_one_outcome(answers):
     assert good.exceptAll(flat).isEmpty() and flat.exceptAll(good).isEmpty()
 
 
+def test_a_stored_parse_serves_all_operators(answers):
+    stored = materialise(O.parse_payloads(answers))
+    for operator in (O.flatten_payloads, O.payload_rejects, O.payload_quality):
+        fresh, later = operator(answers), operator(stored)
+        assert fresh.columns == later.columns
+        assert fresh.exceptAll(later).isEmpty() and later.exceptAll(fresh).isEmpty()
+    assert O.unanswered_keys(answers, stored).count() == O.unanswered_keys(answers, answers).count()
+
+
 def test_other_schema(spark):
     schema = O.PAYLOAD_SCHEMA.fromDDL("data array<struct<x: int>>, name string")
     frame = spark.createDataFrame([answer("k", [{"x": 1}], name="n")], "key string, status int, body string")
