@@ -38,6 +38,14 @@ def _parser() -> argparse.ArgumentParser:
     responses.add_argument("prefix")
     responses.add_argument("target")
 
+    requests = jobs.add_parser("requests", help="a key list to the addresses to fetch")
+    requests.add_argument("keys")
+    requests.add_argument("base", help="the address that all requests start with")
+    requests.add_argument("target")
+    requests.add_argument("--dataset", choices=("by_offense", "by_race"), default="by_offense")
+    requests.add_argument("--first", type=int, default=1995, help="first year")
+    requests.add_argument("--last", type=int, default=2018, help="last year")
+
     payloads = jobs.add_parser("payloads", help="landed JSON answers to flat rows")
     payloads.add_argument("source", help="Parquet: key, status, body")
     payloads.add_argument("target")
@@ -71,6 +79,17 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     elif args.job == "responses":
         landed = spark.read.parquet(args.source)
         plans.run_landing(landed, args.prefix, args.target, **common)
+    elif args.job == "requests":
+        plans.run_requests(
+            spark,
+            args.keys,
+            args.base,
+            args.target,
+            args.dataset,
+            args.run_date,
+            args.first,
+            args.last,
+        )
     elif args.job == "payloads":
         plans.run_payloads(
             spark.read.parquet(args.source),

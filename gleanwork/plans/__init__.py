@@ -3,7 +3,7 @@
 from gleanwork.plans.documents import document_text, documents_view, run_documents
 from gleanwork.plans.images import run_images
 from gleanwork.plans.landing import landed_objects, run_landing
-from gleanwork.plans.payloads import run_payloads
+from gleanwork.plans.payloads import run_payloads, run_requests
 from gleanwork.plans.sheets import finished_sheets, run_sheets, run_workbooks, workbook_sheets
 
 __all__ = [
@@ -15,6 +15,7 @@ __all__ = [
     "run_images",
     "run_landing",
     "run_payloads",
+    "run_requests",
     "run_sheets",
     "run_workbooks",
     "workbook_sheets",

@@ -4,21 +4,38 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanwork.operators.payloads import (
     flatten_payloads,
     parse_payloads,
     payload_rejects,
+    request_list,
     unanswered_keys,
 )
 from gleanwork.sinks.tables import write_by_key, write_rejects, write_snapshot
+from gleanwork.sources.delimited import read_keys
 from gleanwork.workspace import materialise
 
 UNANSWERED = "no answer with status 200"
 
 
+def run_requests(
+    spark: SparkSession,
+    keys: str | list[str],
+    base: str,
+    target: str,
+    dataset: str = "by_offense",
+    run_date: str | datetime.date | None = None,
+    first: int = 1995,
+    last: int = 2018,
+) -> str:
+    """Write the address to fetch for each key of a key list, without the access secret."""
+    requests = request_list(read_keys(spark, keys), base, dataset, first, last)
+    return write_snapshot(requests, target, run_date)
+
+
 def run_payloads(
     responses: DataFrame,
     target: str,

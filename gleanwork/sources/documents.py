@@ -6,6 +6,7 @@ Plain text is decoded by Spark itself. Other formats go through a decoder, a pla
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 
 import pandas as pd
@@ -29,6 +30,8 @@ TEXT_TYPES = (
 )
 NO_DECODER = "no decoder for "
 BAD_UTF8 = "not valid UTF-8"
+NO_TEXT = "the decoder gave no text"
+HALF_PAIRS = re.compile("[\ud800-\udfff]")  # fixed value: characters that UTF-8 cannot hold
 
 
 def _binary_reader(spark: SparkSession, pattern: str | None):
@@ -133,6 +136,10 @@ def decode_documents(
             if body is not None:
                 try:
                     text = chosen[media](bytes(body), name)
+                    if text is None:
+                        error = NO_TEXT
+                    else:
+                        text = HALF_PAIRS.sub("\ufffd", text)
                 except Exception as problem:  # a broken file must not stop the others
                     error = f"{type(problem).__name__}: {problem}"
             texts.append(text)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Iterator
+from posixpath import normpath
 from urllib.parse import unquote
 from xml.etree import ElementTree
 from zipfile import ZipFile
@@ -84,7 +85,9 @@ def _problem(error: Exception) -> str:
 
 # -- workbooks ------------------------------------------------------------------------------------
 
-_ESCAPED_CHAR = re.compile("_x([0-9A-Fa-f]{4})_")
+# An escaped character (halves of surrogate pairs are none), the format's widest row.
+_ESCAPED_CHAR = re.compile("_x((?![Dd][89A-Fa-f])[0-9A-Fa-f]{4})_")
+MAX_COLUMNS = 16_384
 
 
 def _local(tag: str) -> str:
@@ -107,7 +110,7 @@ def _text_of(element: ElementTree.Element) -> str:
             parts.append(child.text or "")
         elif kind == "r":
             parts.append(_text_of(child))
-    return _ESCAPED_CHAR.sub(lambda match: chr(int(match.group(1), 16)), "".join(parts))
+    return _ESCAPED_CHAR.sub(lambda match: chr(int(match[1], 16)), "".join(parts))
 
 
 def _column_number(reference: str) -> int:
@@ -140,7 +143,7 @@ class _Workbook:
         found = {}
         for link in tree:
             target = link.get("Target", "")
-            path = target[1:] if target.startswith("/") else prefix + target
+            path = normpath(target[1:] if target.startswith("/") else prefix + target)
             found[link.get("Id", "")] = (link.get("Type", ""), path)
         return found
 
@@ -189,6 +192,8 @@ def _row_cells(row: ElementTree.Element, shared: list[str]) -> list[str]:
             continue
         reference = cell.get("r")
         position = _column_number(reference) if reference else len(cells)
+        if not 0 <= position < MAX_COLUMNS:
+            raise ValueError(f"no column for cell {reference}")
         cells.extend([""] * (position + 1 - len(cells)))
         cells[position] = _cell_text(cell, shared)
     return cells

@@ -19,6 +19,7 @@ def files(spark):
         ("/in/f.odd", b"bad"),
         ("/in/g.odd", b"good"),
         ("/in/h.html", None),
+        ("/in/i.odd", b"none"),
     ]
     rows = [(path, None if body is None else bytearray(body)) for path, body in rows]
     return spark.createDataFrame(rows, "path string, content binary")
@@ -37,12 +38,15 @@ def test_own_decoders(files):
     def failing(content: bytes, name: str) -> str:
         if b"bad" in content:
             raise ValueError("cannot read " + name)
-        return content.decode() + "!"
+        if b"none" in content:
+            return None
+        return content.decode() + "!\ud800"
 
     decoded = S.decode_documents(files, {"text/odd": failing}, types={"odd": "text/odd"})
     got = {r["path"]: (r["text"], r["error"]) for r in decoded.collect()}
     assert got["/in/f.odd"] == (None, "ValueError: cannot read /in/f.odd")
-    assert got["/in/g.odd"] == ("good!", None)
+    assert got["/in/g.odd"] == ("good!\ufffd", None)
+    assert got["/in/i.odd"] == (None, "the decoder gave no text")
     assert got["/in/b.html"] == (None, "no decoder for text/html")
 
 

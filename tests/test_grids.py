@@ -92,14 +92,16 @@ def test_broken_workbooks_do_not_stop_the_others(spark):
             "/good": workbook({"A": ROWS}, STRINGS, folder="office"),
             "/text": b"no zip",
             "/none": None,
+            "/wide": workbook({"A": '<row><c r="ZZZZZ1"><v>1</v></c></row>'}),
+            "/pair": workbook({"A": '<row><c t="inlineStr"><is><t>_xD83D_</t></is></c></row>'}),
             "/half": workbook({"B": bad_index, "C": "<row><c><v>1</v></c></row>"}),
         })
     )
     assert S.sheet_rows(grids).groupBy("path").count().orderBy("path").collect() == [
-        ("/good", 3), ("/half", 1),
+        ("/good", 3), ("/half", 1), ("/pair", 1),
     ]
     refused = {r["key"]: r["reason"] for r in S.grid_rejects(grids).collect()}
-    assert sorted(refused) == ["/half#B", "/none", "/text"]
+    assert sorted(refused) == ["/half#B", "/none", "/text", "/wide#A"]
     assert refused["/text"].startswith("BadZipFile")
 
 

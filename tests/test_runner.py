@@ -20,6 +20,16 @@ def test_payloads(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "bad")).first()["key"] == "B"
 
 
+def test_requests(spark, tmp_path):
+    (tmp_path / "keys.csv").write_text("ori\nA\nB\nA\n")
+    arguments = ["requests", str(tmp_path / "keys.csv"), "https://data.example.org/"]
+    main([*arguments, str(tmp_path / "out"), "--dataset", "by_race", "--last", "2001"], spark)
+    rows = read_snapshot(spark, str(tmp_path / "out")).orderBy("key").collect()
+    assert [(r["key"], r["request"]) for r in rows] == [
+        (k, f"https://data.example.org/arrest/agencies/{k}/all/race/1995/2001") for k in "AB"
+    ]
+
+
 def test_documents(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "A.txt").write_text("X\n")
