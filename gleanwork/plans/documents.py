@@ -54,14 +54,17 @@ def run_documents(
     layout: str = "lines",
     decoders: Mapping[str, Decoder] | None = None,
     pattern: str | None = None,
-    max_bytes: int = MAX_FILE_BYTES,
+    max_bytes: int | None = None,
     rejects_target: str | None = None,
 ) -> str:
     """Decode all files below ``source`` and write a dated snapshot of their text.
 
     With ``rejects_target`` the decoded table is staged once, so no file is decoded twice, and the
-    files without text are listed there with the reason.
+    files without text, or too large for Spark or for ``max_bytes``, are listed there with the
+    reason. Without it, a file too large for Spark fails the job.
     """
+    if rejects_target is not None and max_bytes is None:
+        max_bytes = MAX_FILE_BYTES
     decoded = decode_documents(read_binary_files(spark, source, pattern, max_bytes), decoders)
     if rejects_target is not None:
         decoded = materialise(decoded, "documents")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gleanwork.functions.names import sheet_slug, workbook_slug
 from gleanwork.operators.columns import exclude_titles
 from gleanwork.sinks.tables import write_by_sheet, write_long_by_sheet, write_rejects
-from gleanwork.sources.documents import read_binary_files
+from gleanwork.sources.documents import MAX_FILE_BYTES, read_binary_files, too_large_files
 from gleanwork.sources.grids import (
     csv_grid_rows,
     grid_rejects,
@@ -38,7 +38,9 @@ def workbook_sheets(rows: DataFrame) -> DataFrame:
 
 
 def _run(
-    grids: DataFrame,
+    spark: SparkSession,
+    files: tuple[str | list[str], str],
+    read_grids: Callable[[DataFrame], DataFrame],
     name_sheets: Callable[[DataFrame], DataFrame],
     source: str,
     target: str,
@@ -49,11 +51,15 @@ def _run(
 ) -> str:
     if layout not in ("wide", "long"):
         raise ValueError(f"layout is 'wide' or 'long', not {layout!r}")
+    # Without a place to list it, a file too large for Spark fails the job.
+    limit = None if rejects_target is None else MAX_FILE_BYTES
+    grids = read_grids(read_binary_files(spark, *files, max_bytes=limit))
     # Width, rows and rejects all read the grids: stage them, so each file is parsed once.
     if rejects_target is not None or (layout == "wide" and width is None):
         grids = materialise(grids, source)
     if rejects_target is not None:
-        write_rejects(grid_rejects(grids), rejects_target, source, run_date)
+        refused = grid_rejects(grids).unionByName(too_large_files(spark, *files))
+        write_rejects(refused, rejects_target, source, run_date)
     rows = name_sheets(sheet_rows(grids))
     if layout == "long":
         return write_long_by_sheet(scrub_cells(rows), target, order=PLACE, run_date=run_date)
@@ -76,9 +82,17 @@ def run_workbooks(
     it, as the widest row needs. ``"long"`` writes Parquet with the cells of a row in one array,
     which suits sheets of very different widths.
     """
-    grids = workbook_rows(read_binary_files(spark, source, "*.xlsx"))
     return _run(
-        grids, workbook_sheets, "workbooks", target, run_date, rejects_target, layout, width
+        spark,
+        (source, "*.xlsx"),
+        workbook_rows,
+        workbook_sheets,
+        "workbooks",
+        target,
+        run_date,
+        rejects_target,
+        layout,
+        width,
     )
 
 
@@ -96,6 +110,15 @@ def run_sheets(
 
     ``layout`` and ``width`` are those of :func:`run_workbooks`.
     """
-    read = {"csv": csv_grid_rows, "json": json_grid_rows}[export]
-    grids = read(read_binary_files(spark, source, f"*.{export}"))
-    return _run(grids, finished_sheets, "sheets", target, run_date, rejects_target, layout, width)
+    return _run(
+        spark,
+        (source, f"*.{export}"),
+        {"csv": csv_grid_rows, "json": json_grid_rows}[export],
+        finished_sheets,
+        "sheets",
+        target,
+        run_date,
+        rejects_target,
+        layout,
+        width,
+    )

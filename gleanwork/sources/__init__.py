@@ -20,13 +20,14 @@ from gleanwork.sources.grids import (
     widest_row,
     workbook_rows,
 )
-from gleanwork.sources.images import image_text, read_images
+from gleanwork.sources.images import image_rejects, image_text, read_images
 
 __all__ = [
     "csv_grid_rows",
     "decode_documents",
     "grid_rejects",
     "html_text",
+    "image_rejects",
     "image_text",
     "json_grid_rows",
     "pdf_decoder",

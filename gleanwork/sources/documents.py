@@ -43,14 +43,16 @@ def read_binary_files(
     spark: SparkSession,
     path: str | list[str],
     pattern: str | None = None,
-    max_bytes: int = MAX_FILE_BYTES,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """``(path, modificationTime, length, content)``, one row per file, subfolders included.
 
-    Spark packs files into tasks by size. The length filter reaches the scan, so an oversized file
-    is never opened; :func:`too_large_files` lists those.
+    Spark packs files into tasks by size, and raises on a file that no binary value can hold. With
+    ``max_bytes`` larger files are left out: the limit reaches the scan, which never opens them,
+    and :func:`too_large_files` lists them.
     """
-    return _binary_reader(spark, pattern).load(path).where(F.col("length") <= max_bytes)
+    files = _binary_reader(spark, pattern).load(path)
+    return files if max_bytes is None else files.where(F.col("length") <= max_bytes)
 
 
 def too_large_files(

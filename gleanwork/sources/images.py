@@ -9,20 +9,30 @@ from gleanwork.functions.names import file_name, file_type
 from gleanwork.functions.text import flat_lower, type_tagged_text
 
 
-def read_images(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(origin, height, width, nChannels)``, one row per readable image below ``path``.
-
-    The pixels are dropped in the scan's own stage; files that are no image are left out.
-    """
+def _images(spark: SparkSession, path: str | list[str], drop_invalid: bool) -> DataFrame:
     return (
         spark.read.format("image")
-        .option("dropInvalid", True)
+        .option("dropInvalid", drop_invalid)
         .option("recursiveFileLookup", True)
         .load(path)
         .select("image.origin", "image.height", "image.width", "image.nChannels")
     )
 
 
+def read_images(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(origin, height, width, nChannels)``, one row per readable image below ``path``.
+
+    The pixels are dropped in the scan's own stage. :func:`image_rejects` lists the other files.
+    """
+    return _images(spark, path, True)
+
+
+def image_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(key, reason)`` of the files that are no readable image."""
+    unreadable = _images(spark, path, False).where("height < 0")
+    return unreadable.select(F.col("origin").alias("key"), F.lit("no readable image").alias("reason"))
+
+
 def image_text(images: DataFrame) -> DataFrame:
     """``(filename, text)``: the detected type and the metadata values on one lower-case line."""
     name = file_name("origin")

@@ -96,6 +96,10 @@ def test_images(spark, tmp_path):
     (tmp_path / "B.bmp").write_bytes(b"no image")
     images = S.read_images(spark, str(tmp_path))
     assert [tuple(r)[1:] for r in images.collect()] == [(3, 5, 3)]
+    refused = S.image_rejects(spark, str(tmp_path)).collect()
+    assert [(r["key"].rpartition("/")[2], r["reason"]) for r in refused] == [
+        ("B.bmp", "no readable image")
+    ]
     shown = preview(run_images(spark, str(tmp_path)), "filename").collect()
     assert [tuple(r) for r in shown] == [
         ("a.bmp", "a.bmp: type formatted detected -> image/bmp 3 5 3 ")
