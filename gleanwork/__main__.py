@@ -13,7 +13,7 @@ from gleanwork import plans, sources
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="gleanwork", description="Collect and flatten records.")
     parser.add_argument("--run-date", help="yyyy-MM-dd; today if left out")
-    parser.add_argument("--rejects", help="folder for what could not be used")
+    parser.add_argument("--rejects", help="folder for what could not be used; _rejects in the target if left out")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     documents = jobs.add_parser("documents", help="files to text")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.functions.names import file_name
 from gleanwork.functions.text import flat_lower, lower_text, trim_lines
-from gleanwork.sinks.tables import write_rejects, write_snapshot
+from gleanwork.sinks.tables import rejects_path, write_rejects, write_snapshot
 from gleanwork.sources.documents import (
     MAX_FILE_BYTES,
     Decoder,
@@ -56,22 +56,25 @@ def run_documents(
     pattern: str | None = None,
     max_bytes: int | None = None,
     rejects_target: str | None = None,
+    keep_rejects: bool = True,
 ) -> str:
     """Decode all files below ``source`` and write a dated snapshot of their text.
 
-    With ``rejects_target`` the decoded table is staged once, so no file is decoded twice, and the
-    files without text, or too large for Spark or for ``max_bytes``, are listed there with the
-    reason. Without it, a file too large for Spark fails the job.
+    The files without text, or too large for Spark or for ``max_bytes``, are listed with the reason
+    in ``rejects_target``, by default a folder ``_rejects`` in the target. The decoded table is
+    staged for that, so no file is decoded twice. With ``keep_rejects=False`` nothing lists the
+    files without text, and a file too large for Spark fails the job.
     """
-    if rejects_target is not None and max_bytes is None:
+    listed = rejects_path(target, rejects_target, keep_rejects)
+    if listed is not None and max_bytes is None:
         max_bytes = MAX_FILE_BYTES
     decoded = decode_documents(read_binary_files(spark, source, pattern, max_bytes), decoders)
-    if rejects_target is not None:
+    if listed is not None:
         decoded = materialise(decoded, "documents")
         failed = decoded.where("error IS NOT NULL").select(
             F.col("path").alias("key"), F.col("error").alias("reason")
         )
         oversized = too_large_files(spark, source, pattern, max_bytes)
-        write_rejects(failed.unionByName(oversized), rejects_target, "documents", run_date)
+        write_rejects(failed.unionByName(oversized), listed, "documents", run_date)
     texts = document_text(decoded.where("error IS NULL"), layout)
     return write_snapshot(documents_view(texts), target, run_date)

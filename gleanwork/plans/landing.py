@@ -12,7 +12,7 @@ from gleanwork.operators.responses import (
     route_responses,
     routed_responses,
 )
-from gleanwork.sinks.tables import land_objects, write_rejects
+from gleanwork.sinks.tables import land_objects, rejects_path, write_rejects
 
 
 def landed_objects(
@@ -35,13 +35,19 @@ def run_landing(
     run_date: str | datetime.date | None = None,
     escape_quotes: bool = True,
     rejects_target: str | None = None,
+    keep_rejects: bool = True,
 ) -> str:
-    """Store all responses in one job. The rejects pass reads only headers, never the bodies."""
-    if rejects_target is not None:
+    """Store all responses in one job.
+
+    Those without route or name are listed in ``rejects_target``, by default a folder ``_rejects``
+    in the target, unless ``keep_rejects`` is off. That pass reads only headers, never the bodies.
+    """
+    listed = rejects_path(target, rejects_target, keep_rejects)
+    if listed is not None:
         headers = responses.drop("body")
         write_rejects(
             response_rejects(route_responses(headers, prefix, run_date)),
-            rejects_target,
+            listed,
             "responses",
             run_date,
         )

@@ -14,7 +14,12 @@ from gleanwork.operators.payloads import (
     request_list,
     unanswered_keys,
 )
-from gleanwork.sinks.tables import write_by_key, write_rejects, write_snapshot
+from gleanwork.sinks.tables import (
+    rejects_path,
+    write_by_key,
+    write_rejects,
+    write_snapshot,
+)
 from gleanwork.sources.delimited import read_keys
 from gleanwork.workspace import materialise
 
@@ -45,6 +50,7 @@ def run_payloads(
     layout: str = "snapshot",
     mode: str = "overwrite",
     rejects_target: str | None = None,
+    keep_rejects: bool = True,
 ) -> str:
     """Flatten all payloads and write them, in one job for all keys.
 
@@ -52,18 +58,20 @@ def run_payloads(
     The day's folder is replaced, so a repeated run does not double its rows; ``mode="append"``
     adds to it instead.
 
-    With ``rejects_target`` the parsed answers are staged once, and rows and rejects come from the
-    stage. With ``keys`` as well, the rejects list the keys without a good answer.
+    Unusable answers are listed in ``rejects_target``, by default a folder ``_rejects`` in the
+    target; with ``keys``, so are the keys without a good answer. The parsed answers are staged for
+    that, so each is parsed once. With ``keep_rejects=False`` there is no list and no stage.
     """
     if layout not in ("snapshot", "by_key"):
         raise ValueError(f"layout is 'snapshot' or 'by_key', not {layout!r}")
-    if rejects_target is not None:
+    listed = rejects_path(target, rejects_target, keep_rejects)
+    if listed is not None:
         responses = materialise(parse_payloads(responses), dataset)
         refused = payload_rejects(responses)
         if keys is not None:
             silent = unanswered_keys(keys, responses)
             refused = refused.unionByName(silent.withColumn("reason", F.lit(UNANSWERED)))
-        write_rejects(refused, rejects_target, dataset, run_date)
+        write_rejects(refused, listed, dataset, run_date)
     rows = flatten_payloads(responses)
     if layout == "by_key":
         return write_by_key(rows, target, dataset, run_date=run_date, mode=mode)

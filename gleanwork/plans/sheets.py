@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gleanwork.functions.names import sheet_slug, workbook_slug
 from gleanwork.operators.columns import exclude_titles
-from gleanwork.sinks.tables import write_by_sheet, write_long_by_sheet, write_rejects
+from gleanwork.sinks.tables import (
+    rejects_path,
+    write_by_sheet,
+    write_long_by_sheet,
+    write_rejects,
+)
 from gleanwork.sources.documents import MAX_FILE_BYTES, read_binary_files, too_large_files
 from gleanwork.sources.grids import (
     csv_grid_rows,
@@ -45,21 +50,21 @@ def _run(
     source: str,
     target: str,
     run_date: str | datetime.date | None,
-    rejects_target: str | None,
+    listed: str | None,
     layout: str,
     width: int | None,
 ) -> str:
     if layout not in ("wide", "long"):
         raise ValueError(f"layout is 'wide' or 'long', not {layout!r}")
     # Without a place to list it, a file too large for Spark fails the job.
-    limit = None if rejects_target is None else MAX_FILE_BYTES
+    limit = None if listed is None else MAX_FILE_BYTES
     grids = read_grids(read_binary_files(spark, *files, max_bytes=limit))
     # Width, rows and rejects all read the grids: stage them, so each file is parsed once.
-    if rejects_target is not None or (layout == "wide" and width is None):
+    if listed is not None or (layout == "wide" and width is None):
         grids = materialise(grids, source)
-    if rejects_target is not None:
+    if listed is not None:
         refused = grid_rejects(grids).unionByName(too_large_files(spark, *files))
-        write_rejects(refused, rejects_target, source, run_date)
+        write_rejects(refused, listed, source, run_date)
     rows = name_sheets(sheet_rows(grids))
     if layout == "long":
         return write_long_by_sheet(scrub_cells(rows), target, order=PLACE, run_date=run_date)
@@ -73,6 +78,7 @@ def run_workbooks(
     target: str,
     run_date: str | datetime.date | None = None,
     rejects_target: str | None = None,
+    keep_rejects: bool = True,
     layout: str = "wide",
     width: int | None = None,
 ) -> str:
@@ -81,6 +87,9 @@ def run_workbooks(
     ``layout="wide"`` writes text columns ``_c0, _c1, …``, as many as ``width`` says or, without
     it, as the widest row needs. ``"long"`` writes Parquet with the cells of a row in one array,
     which suits sheets of very different widths.
+
+    What cannot be read is listed in ``rejects_target``, by default a folder ``_rejects`` in the
+    target, unless ``keep_rejects`` is off.
     """
     return _run(
         spark,
@@ -90,7 +99,7 @@ def run_workbooks(
         "workbooks",
         target,
         run_date,
-        rejects_target,
+        rejects_path(target, rejects_target, keep_rejects),
         layout,
         width,
     )
@@ -103,12 +112,13 @@ def run_sheets(
     run_date: str | datetime.date | None = None,
     export: str = "csv",
     rejects_target: str | None = None,
+    keep_rejects: bool = True,
     layout: str = "wide",
     width: int | None = None,
 ) -> str:
     """All online sheets exported below ``source``, as CSV files or JSON value ranges.
 
-    ``layout`` and ``width`` are those of :func:`run_workbooks`.
+    The other parameters are those of :func:`run_workbooks`.
     """
     return _run(
         spark,
@@ -118,7 +128,7 @@ def run_sheets(
         "sheets",
         target,
         run_date,
-        rejects_target,
+        rejects_path(target, rejects_target, keep_rejects),
         layout,
         width,
     )

@@ -179,6 +179,13 @@ def rejects(df: DataFrame, source: str) -> DataFrame:
     return df.select(F.lit(source).alias("source"), F.col("key").cast("string"), "reason")
 
 
+def rejects_path(target: str, rejects_target: str | None, keep_rejects: bool) -> str | None:
+    """Where a job lists its rejects: next to its output, in a folder that readers pass over."""
+    if not keep_rejects:
+        return None
+    return rejects_target or f"{target.rstrip('/')}/_rejects"
+
+
 def write_rejects(
     df: DataFrame, target: str, source: str, run_date: str | datetime.date | None = None
 ) -> str:

@@ -83,14 +83,15 @@ def nation_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def by_key_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = fresh_path(spark, "by-key")
-    run_payloads(nation_answers(spark, sf_dir), target, run_date=RUN_DATE, layout="by_key")
+    answers = nation_answers(spark, sf_dir)
+    run_payloads(answers, target, run_date=RUN_DATE, layout="by_key", keep_rejects=False)
     stored = read_history(spark, target, FLAT_SCHEMA + ", object string")
     return stored.select("ORI", "object", "key", "value")
 
 
 def payload_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = fresh_path(spark, "payloads")
-    run_payloads(supplier_answers(spark, sf_dir), target, run_date=RUN_DATE)
+    run_payloads(supplier_answers(spark, sf_dir), target, run_date=RUN_DATE, keep_rejects=False)
     stored = read_history(spark, target, FLAT_SCHEMA)
     return stored.select("ORI", "key_array", "data_year", "key", "month_num", "value")
 
@@ -99,9 +100,9 @@ def job_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a payload job lists as unusable: bad answers, and keys without a good one."""
     answers = supplier_answers(spark, sf_dir).unionByName(odd_answers(spark, sf_dir))
     names = table(spark, sf_dir, "customer").select(F.concat(F.lit("X"), "c_custkey").alias("key"))
-    target, rejects = fresh_path(spark, "payloads"), fresh_path(spark, "rejects")
-    run_payloads(answers, target, run_date=RUN_DATE, keys=names, rejects_target=rejects)
-    return spark.read.parquet(rejects).select("source", "key", "reason")
+    target = fresh_path(spark, "payloads")
+    run_payloads(answers, target, run_date=RUN_DATE, keys=names)
+    return spark.read.parquet(f"{target}/_rejects").select("source", "key", "reason")
 
 
 def key_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -185,6 +185,7 @@ def test_rows_of_a_sheet_stay_in_order(spark, tmp_path):
     target = run_workbooks(spark, str(source), str(tmp_path / "out"), "2024-02-29", width=1)
     files = [p for p in (tmp_path / "out").rglob("part-*.gz")]
     assert len(files) == 2
+    assert spark.read.parquet(str(tmp_path / "out" / "_rejects")).isEmpty()
     for path in files:
         lines = gzip.decompress(path.read_bytes()).decode().splitlines()
         assert lines == ['"_c0"'] + [f'"{i}"' for i in range(6000)]

@@ -162,6 +162,8 @@ def test_payload_job(spark, tmp_path, layout):
     ]
     run_payloads(answers, target, "by_offense", DAY, layout=layout, mode="append")
     assert K.read_snapshot(spark, target).count() == 4
+    listed = sorted(r["key"] for r in spark.read.parquet(f"{target}/_rejects").collect())
+    assert listed == ["C", "D"]
     with pytest.raises(ValueError, match="pile"):
         run_payloads(answers, target, layout="pile")
 
@@ -175,7 +177,7 @@ def test_job_count_does_not_grow_with_the_keys(spark, tmp_path):
             F.lit(200).alias("status"),
             F.lit('{"data":[{"value":1}]}').alias("body"),
         )
-        run_payloads(answers, str(tmp_path / group), run_date=DAY)
+        run_payloads(answers, str(tmp_path / group), run_date=DAY, keep_rejects=False)
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
     assert jobs(3) == jobs(300) == 1
