@@ -1,5 +1,5 @@
 """The queries of the operators: name to (query, SQL or None)."""
 
-from gleanwork.llm import exact_dedup, mixing, packing
+from gleanwork.llm import bloom_lm, exact_dedup, mixing, packing
 
-BOOK = {name: pair for module in (packing, exact_dedup, mixing) for name, pair in module.BOOK.items()}
+BOOK = {name: pair for module in (packing, exact_dedup, mixing, bloom_lm) for name, pair in module.BOOK.items()}
