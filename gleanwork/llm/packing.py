@@ -188,7 +188,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> li
             fill[giver] -= lengths[position]
             fill[receiver] += lengths[position]
 
-        for receiver in order:
+        for turn, receiver in enumerate(order):
             for position in bins[receiver]:
                 givers.remove(receiver, position, lengths[position])
             if not fill[receiver]:
@@ -216,7 +216,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> li
                         givers.add(giver, own[x], x)
                         improved = True
                         continue
-                pair = _two_for_one(bins, fill, lengths, own, order, receiver, gap)
+                pair = _two_for_one(bins, fill, lengths, own, order[turn + 1 :][-DONORS:], receiver, gap)
                 if pair is None:
                     break
                 giver, first, second, x = pair
@@ -229,12 +229,12 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> li
     return [members for members in bins if members]
 
 
-def _two_for_one(bins, fill, lengths, own, order, receiver, gap):
+def _two_for_one(bins, fill, lengths, own, emptier, receiver, gap):
     """Two pieces of an emptier bin that are worth more than one piece of the receiver, by at most ``gap``."""
     own_lengths = sorted(own)
     best, found = 0, None
-    for giver in order[::-1][:DONORS]:
-        if giver == receiver or len(bins[giver]) < 2 or fill[giver] > fill[receiver]:
+    for giver in reversed(emptier):
+        if len(bins[giver]) < 2 or fill[giver] > fill[receiver]:
             continue
         members = bins[giver][:DONORS]
         for i, first in enumerate(members):
