@@ -39,8 +39,8 @@ BLOCK_BITS = 22
 HEAD = 1 << 18
 TRUST = 0.9
 #: Flush sizes of the counting pass: neither drops anything.
-LOCAL_WORDS = 500_000
-LOCAL_PAIRS = 4_000_000
+LOCAL_WORDS = 300_000
+LOCAL_PAIRS = 2_000_000
 CHUNK_WORDS = 200_000
 END = ""
 WORDS, PAIRS, CONTEXTS = 0, 1, 2
