@@ -11,6 +11,7 @@ so the number of shards costs no sequences.
 from __future__ import annotations
 
 import bisect
+import unicodedata
 import zlib
 
 import numpy as np
@@ -28,7 +29,7 @@ SHARD = 16384
 LOOSE = 64
 #: Bins that give two pieces for one are looked for among so many of the emptiest.
 DONORS = 32
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 END_ID = 0
 
 
@@ -40,10 +41,11 @@ class WordIds(dict):
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
     def encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -54,12 +56,15 @@ class WordIds(dict):
         if len(self) >= CACHE_WORDS:
             self.clear()
         stem = word.rstrip(".,!?;:#$%&*")
-        if stem and stem != word and stem.isalpha():
+        if stem and stem != word and stem.isalpha() and "\u0130" not in stem:  # it lowers to two characters
             ids = self[stem] + self[word[len(stem) :]]
-        elif word.isascii() and word.isalpha() and not word.islower():
-            ids = self[word.lower()]
-        else:
+        elif not word.isalpha() or not unicodedata.is_normalized("NFC", word):
             ids = self.encode(word)
+        elif (lower := "".join(map(str.lower, word))) != word:
+            ids = self[lower] if lower.isalpha() else self.encode(word)
+        else:  # letters in their final form: what is left of the tokenizer's work is the merging
+            ((mapped, _),) = self.letters(word)
+            ids = np.asarray([token.id for token in self.tokenizer.model.tokenize(mapped)], dtype="<u4").tobytes()
         self[word] = ids
         return ids
 
