@@ -1,5 +1,5 @@
 """The queries of the operators: name to (query, SQL or None)."""
 
-from gleanwork.llm import bloom_lm, exact_dedup, mixing, ngram_join, packing
+from gleanwork.llm import bloom_lm, exact_dedup, mixing, ngram_join, packing, quality, toxicity
 
-BOOK = {name: pair for module in (packing, exact_dedup, mixing, ngram_join, bloom_lm) for name, pair in module.BOOK.items()}
+BOOK = {name: pair for module in (packing, toxicity, exact_dedup, mixing, quality, ngram_join, bloom_lm) for name, pair in module.BOOK.items()}
