@@ -1,5 +1,20 @@
 """The queries of the operators: name to (query, SQL or None)."""
 
-from gleanwork.llm import bloom_lm, exact_dedup, mixing, ngram_join, packing, quality, toxicity
+from gleanwork.llm import (
+    bloom_lm,
+    exact_dedup,
+    fingerprints,
+    mixing,
+    ngram_join,
+    packing,
+    page_text,
+    quality,
+    quotation,
+    toxicity,
+)
 
-BOOK = {name: pair for module in (packing, toxicity, exact_dedup, mixing, quality, ngram_join, bloom_lm) for name, pair in module.BOOK.items()}
+MODULES = (
+    packing, toxicity, exact_dedup, fingerprints, mixing, page_text, quotation, quality, ngram_join, bloom_lm,
+)
+
+BOOK = {name: pair for module in MODULES for name, pair in module.BOOK.items()}
