@@ -15,6 +15,7 @@ import html
 import json
 import re
 import zlib
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,8 @@ from gleanwork.workspace import materialise
 SPLITS = 64
 LONGEST_PERIOD = 12
 MOST_HOSTS = 2000
+#: Longer lists are cut at items that occur once before their common parts are looked for.
+MOST_CELLS = 250_000
 FIXED_PAGES = 3
 
 # Tags by their part in a page, and the words by which classes and ids name what is no article.
@@ -162,57 +165,102 @@ def unify(a, b):
     return a if a[0] in "<>" else [a[0], align(a[1], b[1])]
 
 
-def optional(items):
-    if not items:
-        return []
-    return items if len(items) == 1 and items[0][0] == "?" else [["?", items]]
+def spread(items, optional=False):
+    """Items with their key and whether they are optional; optional groups give way to their items."""
+    for item in items:
+        if item[0] == "?":
+            yield from spread(item[1], True)
+        else:
+            yield key(item), item, optional
+
+
+def gather(marked) -> list:
+    """The list again; optional items side by side become one group."""
+    out: list = []
+    for _, item, optional in marked:
+        if not optional:
+            out.append(item)
+        elif out and out[-1][0] == "?":
+            out[-1][1].append(item)
+        else:
+            out.append(["?", [item]])
+    return out
 
 
 def align(a: list, b: list) -> list:
-    """The wrapper of two wrappers: common ends first, then items that occur once on either side."""
-    ka, kb = [key(i) for i in a], [key(i) for i in b]
-    if ka == kb:
-        return [unify(x, y) for x, y in zip(a, b)]
+    """The wrapper of two wrappers. What both have stays, what one has becomes optional.
+
+    A wrapper that was made from a stream takes that stream in again without growing.
+    """
+    return gather(_align(list(spread(a)), list(spread(b))))
+
+
+def _both(x, y):
+    return x[0], unify(x[1], y[1]), x[2] or y[2]
+
+
+def _align(a: list, b: list) -> list:
     head = 0
-    while head < min(len(a), len(b)) and ka[head] == kb[head]:
+    while head < min(len(a), len(b)) and a[head][0] == b[head][0]:
         head += 1
     tail = 0
-    while tail < min(len(a), len(b)) - head and ka[-1 - tail] == kb[-1 - tail]:
+    while tail < min(len(a), len(b)) - head and a[-1 - tail][0] == b[-1 - tail][0]:
         tail += 1
-    front = [unify(x, y) for x, y in zip(a[:head], b[:head])]
-    back = [unify(x, y) for x, y in zip(a[len(a) - tail :], b[len(b) - tail :])]
+    front = [_both(x, y) for x, y in zip(a[:head], b[:head])]
+    back = [_both(x, y) for x, y in zip(a[len(a) - tail :], b[len(b) - tail :])]
     a, b = a[head : len(a) - tail], b[head : len(b) - tail]
-    if not a or not b:
-        return front + optional(a or b) + back
-    once_b: dict = {}
-    for j, k in enumerate(kb[head : len(kb) - tail]):
-        once_b[k] = -1 if k in once_b else j
-    count: dict = {}
-    for k in ka[head : len(ka) - tail]:
-        count[k] = count.get(k, 0) + 1
-    pairs = [(i, once_b[k]) for i, k in enumerate(ka[head : len(ka) - tail]) if count[k] == 1 and once_b.get(k, -1) >= 0]
-    ends: list[int] = []
-    tops: list[int] = []
-    before: list[int] = []
-    for n, (_, j) in enumerate(pairs):
+    if a and b:
+        pairs = _longest_common(a, b) if len(a) * len(b) <= MOST_CELLS else _anchors(a, b)
+    else:
+        pairs = []
+    middle, i0, j0 = [], 0, 0
+    for i, j in [*pairs, (len(a), len(b))]:
+        if pairs and len(a) * len(b) > MOST_CELLS:
+            middle += _align(a[i0:i], b[j0:j])
+        else:
+            middle += [(k, item, True) for k, item, _ in a[i0:i] + b[j0:j]]
+        if i < len(a):
+            middle.append(_both(a[i], b[j]))
+        i0, j0 = i + 1, j + 1
+    return front + middle + back
+
+
+def _longest_common(a: list, b: list) -> list[tuple[int, int]]:
+    """Positions of a longest common subsequence of the keys."""
+    best = [[0] * (len(b) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        below, line = best[-1], [0] * (len(b) + 1)
+        for j in range(len(b) - 1, -1, -1):
+            line[j] = below[j + 1] + 1 if a[i][0] == b[j][0] else max(below[j], line[j + 1])
+        best.append(line)
+    best.reverse()
+    pairs, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        if a[i][0] == b[j][0]:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return pairs
+
+
+def _anchors(a: list, b: list) -> list[tuple[int, int]]:
+    """For long lists: the longest rising run of keys that occur once on either side."""
+    in_a, in_b = Counter(k for k, _, _ in a), Counter(k for k, _, _ in b)
+    place = {k: j for j, (k, _, _) in enumerate(b) if in_b[k] == 1}
+    once = [(i, place[k]) for i, (k, _, _) in enumerate(a) if in_a[k] == 1 and k in place]
+    ends, tops, before = [], [], []
+    for n, (_, j) in enumerate(once):
         slot = bisect.bisect_left(ends, j)
         before.append(tops[slot - 1] if slot else -1)
-        if slot == len(ends):
-            ends.append(j)
-            tops.append(n)
-        else:
-            ends[slot], tops[slot] = j, n
+        ends[slot : slot + 1], tops[slot : slot + 1] = [j], [n]
     chain, n = [], tops[-1] if tops else -1
     while n >= 0:
-        chain.append(pairs[n])
+        chain.append(once[n])
         n = before[n]
-    if not chain:
-        return front + optional(a) + optional(b) + back
-    out, i0, j0 = front, 0, 0
-    for i, j in chain[::-1]:
-        out = out + align(a[i0:i], b[j0:j]) + [unify(a[i], b[j])]
-        i0, j0 = i + 1, j + 1
-    return out + align(a[i0:], b[j0:]) + back
+    return chain[::-1]
 
 
 def fold_repeats(items: list) -> list:
