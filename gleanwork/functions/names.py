@@ -80,6 +80,14 @@ def workbook_slug(title: Column | str) -> Column:
     return F.translate(_col(title), " -", "__")
 
 
+QUOTED = r'"(?:[^"\\]|\\.)*+"'
+#: A header element up to its first ``filename``: the parameters before it are read whole.
+FILE_NAME_PARAMETER = (
+    r'(?i)^[^;"]*+(?:;\s*+(?!filename\s*=)[^=;"]*+(?:=\s*+(?:' + QUOTED + r'|[^;"]*+)[^;"]*+)?)*+'
+    r';\s*filename\s*=\s*(?:"((?:[^"\\]|\\.)*+)"|([^;"]*+))'
+)
+
+
 def csv_header_file_name(header: Column | str) -> Column:
     """What follows the last ``=`` of a content-disposition header, without quotes."""
     tail = F.substring_index(F.rtrim(_col(header), F.lit("=")), "=", -1)
@@ -87,10 +95,19 @@ def csv_header_file_name(header: Column | str) -> Column:
 
 
 def header_file_names(header: Column | str) -> Column:
-    """The ``filename`` parameter of each element of a content-disposition header, as an array."""
-    return F.regexp_extract_all(
-        _col(header), F.lit(r'(?i);\s*filename\s*=\s*"?([^";,]+)"?'), F.lit(1)
-    )
+    """The first ``filename`` parameter of each element of a content-disposition header, as an array.
+
+    Elements are parted by commas, parameters by semicolons; within quotes neither counts, and a
+    backslash takes the next character as it is. Blanks around an unquoted name don't belong to it.
+    """
+    elements = F.regexp_extract_all(_col(header), F.lit(f'(?:{QUOTED}|[^",])++'), F.lit(0))
+
+    def name(element: Column) -> Column:
+        quoted = F.regexp_extract(element, FILE_NAME_PARAMETER, 1)
+        plain = F.trim(F.regexp_extract(element, FILE_NAME_PARAMETER, 2))
+        return F.when(quoted != "", F.regexp_replace(quoted, r"\\(.)", "$1")).otherwise(plain)
+
+    return F.filter(F.transform(elements, name), lambda found: found != "")
 
 
 def html_object_name(url: Column | str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gleanwork.functions.names import file_name
 from gleanwork.functions.text import flat_lower, lower_text, trim_lines
-from gleanwork.sinks.tables import rejects_path, write_rejects, write_snapshot
+from gleanwork.sinks.tables import rejects_path, run_day, write_rejects, write_snapshot
 from gleanwork.sources.documents import (
     MAX_FILE_BYTES,
     Decoder,
@@ -38,11 +38,12 @@ def document_text(decoded: DataFrame, layout: str = "lines") -> DataFrame:
     return decoded.select(file_name("path").alias("filename"), result.alias("pdftext"))
 
 
-def documents_view(documents: DataFrame, name: str = "documents") -> DataFrame:
-    """Publish the documents as a SQL view and return those that have text."""
-    documents.createOrReplaceTempView(name)
+def documents_view(documents: DataFrame, name: str | None = None) -> DataFrame:
+    """The documents that have text, by SQL; with ``name`` all of them are published as that view."""
+    if name is not None:
+        documents.createOrReplaceTempView(name)
     return documents.sparkSession.sql(
-        f"SELECT filename, pdftext FROM `{name}` WHERE pdftext IS NOT NULL"
+        "SELECT filename, pdftext FROM {documents} WHERE pdftext IS NOT NULL", documents=documents
     )
 
 
@@ -65,6 +66,7 @@ def run_documents(
     staged for that, so no file is decoded twice. With ``keep_rejects=False`` nothing lists the
     files without text, and a file too large for Spark fails the job.
     """
+    run_date = run_day(run_date)
     listed = rejects_path(target, rejects_target, keep_rejects)
     if listed is not None and max_bytes is None:
         max_bytes = MAX_FILE_BYTES

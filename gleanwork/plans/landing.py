@@ -12,7 +12,7 @@ from gleanwork.operators.responses import (
     route_responses,
     routed_responses,
 )
-from gleanwork.sinks.tables import land_objects, rejects_path, write_rejects
+from gleanwork.sinks.tables import land_objects, rejects_path, run_day, write_rejects
 
 
 def landed_objects(
@@ -42,6 +42,7 @@ def run_landing(
     Those without route or name are listed in ``rejects_target``, by default a folder ``_rejects``
     in the target, unless ``keep_rejects`` is off. That pass reads only headers, never the bodies.
     """
+    run_date = run_day(run_date)
     listed = rejects_path(target, rejects_target, keep_rejects)
     if listed is not None:
         headers = responses.drop("body")

@@ -16,6 +16,7 @@ from gleanwork.operators.payloads import (
 )
 from gleanwork.sinks.tables import (
     rejects_path,
+    run_day,
     write_by_key,
     write_rejects,
     write_snapshot,
@@ -36,8 +37,12 @@ def run_requests(
     first: int = 1995,
     last: int = 2018,
 ) -> str:
-    """Write the address to fetch for each key of a key list, without the access secret."""
-    requests = request_list(read_keys(spark, keys), base, dataset, first, last)
+    """Write the address to fetch for each key of a key list, without the access secret.
+
+    An empty cell is no key and gets no address.
+    """
+    named = read_keys(spark, keys).where("key IS NOT NULL AND key <> ''")
+    requests = request_list(named, base, dataset, first, last)
     return write_snapshot(requests, target, run_date)
 
 
@@ -64,6 +69,7 @@ def run_payloads(
     """
     if layout not in ("snapshot", "by_key"):
         raise ValueError(f"layout is 'snapshot' or 'by_key', not {layout!r}")
+    run_date = run_day(run_date)
     listed = rejects_path(target, rejects_target, keep_rejects)
     if listed is not None:
         responses = materialise(parse_payloads(responses), dataset)
@@ -71,7 +77,7 @@ def run_payloads(
         if keys is not None:
             silent = unanswered_keys(keys, responses)
             refused = refused.unionByName(silent.withColumn("reason", F.lit(UNANSWERED)))
-        write_rejects(refused, listed, dataset, run_date)
+        write_rejects(refused, listed, dataset, run_date, mode)
     rows = flatten_payloads(responses)
     if layout == "by_key":
         return write_by_key(rows, target, dataset, run_date=run_date, mode=mode)

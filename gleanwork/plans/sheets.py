@@ -11,6 +11,7 @@ from gleanwork.functions.names import sheet_slug, workbook_slug
 from gleanwork.operators.columns import exclude_titles
 from gleanwork.sinks.tables import (
     rejects_path,
+    run_day,
     write_by_sheet,
     write_long_by_sheet,
     write_rejects,
@@ -56,6 +57,7 @@ def _run(
 ) -> str:
     if layout not in ("wide", "long"):
         raise ValueError(f"layout is 'wide' or 'long', not {layout!r}")
+    run_date = run_day(run_date)
     # Without a place to list it, a file too large for Spark fails the job.
     limit = None if listed is None else MAX_FILE_BYTES
     grids = read_grids(read_binary_files(spark, *files, max_bytes=limit))

@@ -23,14 +23,15 @@ OBJECT_SUFFIXES = {
 NULL_MARK = "\\N"
 
 
-def _day(run_date: str | datetime.date | None) -> str:
+def run_day(run_date: str | datetime.date | None = None) -> str:
+    """The run date as text; a job asks once, so its rows, rejects and keys agree on the day."""
     if run_date is None:
         return datetime.date.today().isoformat()
     return datetime.date.fromisoformat(str(run_date)).isoformat()
 
 
 def snapshot_path(target: str, run_date: str | datetime.date | None = None) -> str:
-    return f"{target.rstrip('/')}/run_date={_day(run_date)}"
+    return f"{target.rstrip('/')}/run_date={run_day(run_date)}"
 
 
 def _text_writer(
@@ -107,7 +108,7 @@ def write_by_key(
     dataset: str = "by_offense",
     key: str = "ORI",
     run_date: str | datetime.date | None = None,
-    mode: str = "append",
+    mode: str = "overwrite",
     max_records_per_file: int = 0,
 ) -> str:
     """One folder per key, named after the key and the dataset. The key also stays a column.
@@ -187,10 +188,15 @@ def rejects_path(target: str, rejects_target: str | None, keep_rejects: bool) ->
 
 
 def write_rejects(
-    df: DataFrame, target: str, source: str, run_date: str | datetime.date | None = None
+    df: DataFrame,
+    target: str,
+    source: str,
+    run_date: str | datetime.date | None = None,
+    mode: str = "overwrite",
 ) -> str:
-    path = snapshot_path(target, run_date)
-    rejects(df, source).write.mode("overwrite").parquet(path)
+    """A list of its own for each source and day, so jobs that share a folder keep theirs apart."""
+    path = snapshot_path(f"{target.rstrip('/')}/source={source}", run_date)
+    rejects(df, source).write.mode(mode).parquet(path)
     return path
 
 

@@ -25,7 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", None)  # a session that hides it is not taken for a local one
+    if master is not None and master.split("[")[0] == "local":
         return _local_folder()
     raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
 

@@ -7,6 +7,7 @@ import pathlib
 import pytest
 
 import __spark_entry__ as entry_points
+import querybook
 from check import TABLES, compare
 
 SMALL = "/root/testdata/sf0.001"
@@ -22,7 +23,7 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", querybook.BOOK)
 def test_query(spark, database, name):
     assert compare(spark, SMALL, name, database).startswith("ok ")
 

@@ -67,3 +67,19 @@ def test_file_type(evaluate):
     assert evaluate(lambda c: G.file_type(c, {"odd": "text/odd"}), ["x.odd", "y.PNG"]) == [
         "text/odd", "image/png",
     ]
+
+
+def test_file_names_of_headers_with_quotes(evaluate):
+    from gleanwork.functions.names import header_file_names
+
+    headers = {
+        'attachment; filename="Smith, J; 2020.xlsx"': ["Smith, J; 2020.xlsx"],
+        "attachment; filename=x.zip ; size=3": ["x.zip"],
+        'attachment; title="x; filename=no.xlsx"; filename="yes.xlsx"': ["yes.xlsx"],
+        r'attachment; filename="a\"b.csv"': ['a"b.csv'],
+        'attachment; filename="a.csv", inline; FILENAME = b.csv; filename=c.csv': ["a.csv", "b.csv"],
+        "attachment": [],
+        "": [],
+        'attachment; filename="open.csv': [],
+    }
+    assert evaluate(header_file_names, list(headers)) == list(headers.values())

@@ -239,3 +239,18 @@ def test_materialised_table_has_no_lineage(spark):
     assert stored.schema == frame.schema or stored.columns == frame.columns
     assert "Exchange" not in stored._jdf.queryExecution().executedPlan().toString()
     assert O.distinct_rows(stored).count() == 10
+
+
+def test_jobs_and_appended_runs_keep_their_rejects(spark, tmp_path):
+    from gleanwork import sinks
+
+    def bad(key):
+        return spark.createDataFrame([(key, "bad")], "key string, reason string")
+
+    folder = str(tmp_path / "rejects")
+    sinks.write_rejects(bad("a"), folder, "one", "2024-02-29")
+    sinks.write_rejects(bad("b"), folder, "two", "2024-02-29")
+    sinks.write_rejects(bad("c"), folder, "two", "2024-02-29", mode="append")
+    sinks.write_rejects(bad("d"), folder, "one", "2024-02-29")
+    listed = spark.read.parquet(folder).select("source", "key").collect()
+    assert sorted(map(tuple, listed)) == [("one", "d"), ("two", "b"), ("two", "c")]
