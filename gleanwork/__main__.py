@@ -16,22 +16,35 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--rejects", help="folder for what could not be used; _rejects in the target if left out")
     jobs = parser.add_subparsers(dest="job", required=True)
 
+    def bounds(job: argparse.ArgumentParser) -> None:
+        job.add_argument("--no-rejects", action="store_true", help="do not stage data to list rejects")
+        job.add_argument("--max-records-per-file", type=int, default=0)
+
+    def files(job: argparse.ArgumentParser) -> None:
+        bounds(job)
+        job.add_argument("--lossless", action="store_true", help="keep blanks, and NULL apart from empty text")
+
+    def grids(job: argparse.ArgumentParser) -> None:
+        bounds(job)
+        job.add_argument("--layout", choices=("lines", "wide", "long"), default="lines")
+        job.add_argument("--width", type=int, help="columns of the wide layout")
+
     documents = jobs.add_parser("documents", help="files to text")
     documents.add_argument("source")
     documents.add_argument("target")
     documents.add_argument("--layout", choices=("lines", "flat"), default="lines")
-    documents.add_argument("--pdf", action="store_true", help="decode PDF files with pypdf")
+    files(documents)
 
     sheets = jobs.add_parser("sheets", help="exported online sheets to text tables")
     sheets.add_argument("source")
     sheets.add_argument("target")
     sheets.add_argument("--export", choices=("csv", "json"), default="csv")
-    sheets.add_argument("--layout", choices=("wide", "long"), default="wide")
+    grids(sheets)
 
     workbooks = jobs.add_parser("workbooks", help="XLSX workbooks to text tables")
     workbooks.add_argument("source")
     workbooks.add_argument("target")
-    workbooks.add_argument("--layout", choices=("wide", "long"), default="wide")
+    grids(workbooks)
 
     responses = jobs.add_parser("responses", help="landed web responses to stored objects")
     responses.add_argument("source", help="Parquet: url, content_type, content_disposition, body")
@@ -54,28 +67,40 @@ def _parser() -> argparse.ArgumentParser:
     payloads.add_argument("--layout", choices=("snapshot", "by_key"), default="snapshot")
     payloads.add_argument("--append", action="store_true", help="add to the day's folder")
 
-    images = jobs.add_parser("images", help="show the metadata text of some images")
+    images = jobs.add_parser("images", help="images to the text of their metadata")
     images.add_argument("source")
+    images.add_argument("target")
+    files(images)
     return parser
 
 
+def _chosen(args: argparse.Namespace, *names: str) -> dict:
+    """The options of a job that reads files, by the names of its parameters."""
+    options = {name: getattr(args, name) for name in (*names, "max_records_per_file")}
+    return options | {"keep_rejects": not args.no_rejects}
+
+
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(arguments)
     spark = spark or SparkSession.builder.appName(f"gleanwork {args.job}").getOrCreate()
     common = {"run_date": args.run_date, "rejects_target": args.rejects}
     if args.job == "documents":
-        decoders = dict(sources.documents.DEFAULT_DECODERS)
-        if args.pdf:
-            decoders["application/pdf"] = sources.pdf_decoder()
         plans.run_documents(
-            spark, args.source, args.target, layout=args.layout, decoders=decoders, **common
+            spark, args.source, args.target, layout=args.layout, **common, **_chosen(args, "lossless")
         )
     elif args.job == "sheets":
         plans.run_sheets(
-            spark, args.source, args.target, export=args.export, layout=args.layout, **common
+            spark,
+            args.source,
+            args.target,
+            export=args.export,
+            **common,
+            **_chosen(args, "layout", "width"),
         )
     elif args.job == "workbooks":
-        plans.run_workbooks(spark, args.source, args.target, layout=args.layout, **common)
+        plans.run_workbooks(
+            spark, args.source, args.target, **common, **_chosen(args, "layout", "width")
+        )
     elif args.job == "responses":
         landed = spark.read.parquet(args.source)
         plans.run_landing(landed, args.prefix, args.target, **common)
@@ -101,7 +126,7 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
             **common,
         )
     else:
-        plans.run_images(spark, args.source).show(10, truncate=False)
+        plans.run_images(spark, args.source, args.target, **common, **_chosen(args, "lossless"))
 
 
 if __name__ == "__main__":

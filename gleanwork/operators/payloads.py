@@ -7,6 +7,8 @@ more than any other.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,11 +121,15 @@ def flatten_payloads(
     """One row per data element: key, plain fields, joined text arrays, element fields.
 
     A payload whose first data element is NULL, or that has none, gives no row. With
-    ``skip="all"`` only a payload without any non-NULL element is left out.
+    ``skip="all"`` only a payload without any non-NULL element is left out. Raises where two of the
+    columns would have one name.
     """
     doc = F.col("doc")
     fields = [f.name for f in schema.fields if f.name != "data" and f.name not in JOINED_ARRAYS]
     joined = [(old, new) for old, new in JOINED_ARRAYS.items() if old in schema.names]
+    names = ["ORI", *fields, *(new for _, new in joined), *schema["data"].dataType.elementType.names]
+    if twice := sorted(name for name, n in Counter(map(str.lower, names)).items() if n > 1):
+        raise ValueError(f"columns with one name: {twice}")
     data = F.when(_has_data(doc["data"], skip), doc["data"])
     shaped = _parsed(response_ok(responses), schema).select(
         F.col("key").alias("ORI"),

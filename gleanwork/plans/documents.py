@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from gleanwork.functions.names import file_name
 from gleanwork.functions.text import flat_lower, lower_text, trim_lines
-from gleanwork.sinks.tables import rejects_path, run_day, write_rejects, write_snapshot
+from gleanwork.sinks.tables import list_unread, run_day, write_snapshot
 from gleanwork.sources.documents import (
-    MAX_FILE_BYTES,
     Decoder,
     decode_documents,
     read_binary_files,
@@ -55,28 +54,33 @@ def run_documents(
     layout: str = "lines",
     decoders: Mapping[str, Decoder] | None = None,
     pattern: str | None = None,
-    max_bytes: int | None = None,
     rejects_target: str | None = None,
     keep_rejects: bool = True,
+    lossless: bool = False,
+    max_records_per_file: int = 0,
 ) -> str:
     """Decode all files below ``source`` and write a dated snapshot of their text.
 
-    The files without text, or too large for Spark or for ``max_bytes``, are listed with the reason
-    in ``rejects_target``, by default a folder ``_rejects`` in the target. The decoded table is
-    staged for that, so no file is decoded twice. With ``keep_rejects=False`` nothing lists the
-    files without text, and a file too large for Spark fails the job.
+    The files without text are listed with the reason in ``rejects_target``, by default a folder
+    ``_rejects`` in the target. The decoded table is staged for that, so no file is decoded twice;
+    ``keep_rejects=False`` saves the stage and the list. A file whose bytes no value of Spark can
+    hold is listed either way, and never stops the others.
     """
     run_date = run_day(run_date)
-    listed = rejects_path(target, rejects_target, keep_rejects)
-    if listed is not None and max_bytes is None:
-        max_bytes = MAX_FILE_BYTES
-    decoded = decode_documents(read_binary_files(spark, source, pattern, max_bytes), decoders)
-    if listed is not None:
+    decoded = decode_documents(read_binary_files(spark, source, pattern), decoders)
+    failed = None
+    if keep_rejects:
         decoded = materialise(decoded, "documents")
         failed = decoded.where("error IS NOT NULL").select(
             F.col("path").alias("key"), F.col("error").alias("reason")
         )
-        oversized = too_large_files(spark, source, pattern, max_bytes)
-        write_rejects(failed.unionByName(oversized), listed, "documents", run_date)
+    oversized = too_large_files(spark, source, pattern)
+    list_unread(failed, oversized, target, rejects_target, "documents", run_date)
     texts = document_text(decoded.where("error IS NULL"), layout)
-    return write_snapshot(documents_view(texts), target, run_date)
+    return write_snapshot(
+        documents_view(texts),
+        target,
+        run_date,
+        lossless=lossless,
+        max_records_per_file=max_records_per_file,
+    )

@@ -2,11 +2,42 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanwork.sources.images import image_text, read_images
+from gleanwork.sinks.tables import rejects_path, run_day, write_rejects, write_snapshot
+from gleanwork.sources.images import image_rejects, image_text, read_images
 
 
-def run_images(spark: SparkSession, source: str | list[str]) -> DataFrame:
+def images_text(spark: SparkSession, source: str | list[str]) -> DataFrame:
     """``(filename, text)`` of every image below ``source``; see ``sinks.preview`` for a look."""
     return image_text(read_images(spark, source))
+
+
+def run_images(
+    spark: SparkSession,
+    source: str | list[str],
+    target: str,
+    run_date: str | datetime.date | None = None,
+    rejects_target: str | None = None,
+    keep_rejects: bool = True,
+    lossless: bool = False,
+    max_records_per_file: int = 0,
+) -> str:
+    """Write a dated snapshot of the metadata text of all images below ``source``.
+
+    Files that are no readable image are listed in ``rejects_target``, by default a folder
+    ``_rejects`` in the target, unless ``keep_rejects`` is off; the list reads the files once more.
+    """
+    run_date = run_day(run_date)
+    if keep_rejects:
+        listed = rejects_path(target, rejects_target, True)
+        write_rejects(image_rejects(spark, source), listed, "images", run_date)
+    return write_snapshot(
+        images_text(spark, source),
+        target,
+        run_date,
+        lossless=lossless,
+        max_records_per_file=max_records_per_file,
+    )

@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from gleanwork.functions.names import sheet_slug, workbook_slug
 from gleanwork.operators.columns import exclude_titles
 from gleanwork.sinks.tables import (
-    rejects_path,
+    list_unread,
     run_day,
     write_by_sheet,
+    write_lines_by_sheet,
     write_long_by_sheet,
-    write_rejects,
 )
-from gleanwork.sources.documents import MAX_FILE_BYTES, read_binary_files, too_large_files
+from gleanwork.sources.documents import read_binary_files, too_large_files
 from gleanwork.sources.grids import (
     csv_grid_rows,
     grid_rejects,
@@ -27,6 +27,7 @@ from gleanwork.sources.grids import (
     widest_row,
     workbook_rows,
 )
+from gleanwork.sources.split_csv import split_csv_rows
 from gleanwork.workspace import materialise
 
 
@@ -51,27 +52,46 @@ def _run(
     source: str,
     target: str,
     run_date: str | datetime.date | None,
-    listed: str | None,
+    rejects_target: str | None,
+    keep_rejects: bool,
     layout: str,
     width: int | None,
+    max_records_per_file: int,
+    splittable: bool = False,
 ) -> str:
-    if layout not in ("wide", "long"):
-        raise ValueError(f"layout is 'wide' or 'long', not {layout!r}")
+    if layout not in ("lines", "wide", "long"):
+        raise ValueError(f"layout is 'lines', 'wide' or 'long', not {layout!r}")
     run_date = run_day(run_date)
-    # Without a place to list it, a file too large for Spark fails the job.
-    limit = None if listed is None else MAX_FILE_BYTES
-    grids = read_grids(read_binary_files(spark, *files, max_bytes=limit))
+    grids = read_grids(read_binary_files(spark, *files))
+    oversized = too_large_files(spark, *files)
+    if splittable:
+        if not oversized.isEmpty():
+            grids = grids.unionByName(split_csv_rows(spark, *files))
+        oversized = oversized.limit(0)  # they have been read
     # Width, rows and rejects all read the grids: stage them, so each file is parsed once.
-    if listed is not None or (layout == "wide" and width is None):
+    if keep_rejects or (layout == "wide" and width is None):
         grids = materialise(grids, source)
-    if listed is not None:
-        refused = grid_rejects(grids).unionByName(too_large_files(spark, *files))
-        write_rejects(refused, listed, source, run_date)
+    failed = grid_rejects(grids) if keep_rejects else None
+    list_unread(failed, oversized, target, rejects_target, source, run_date)
     rows = name_sheets(sheet_rows(grids))
     if layout == "long":
         return write_long_by_sheet(scrub_cells(rows), target, order=PLACE, run_date=run_date)
+    if layout == "lines":
+        return write_lines_by_sheet(
+            scrub_cells(rows),
+            target,
+            order=PLACE,
+            run_date=run_date,
+            max_records_per_file=max_records_per_file,
+        )
     table = to_wide(rows, widest_row(rows) if width is None else width)
-    return write_by_sheet(table.drop("sheet"), target, order=PLACE, run_date=run_date)
+    return write_by_sheet(
+        table.drop("sheet"),
+        target,
+        order=PLACE,
+        run_date=run_date,
+        max_records_per_file=max_records_per_file,
+    )
 
 
 def run_workbooks(
@@ -81,17 +101,19 @@ def run_workbooks(
     run_date: str | datetime.date | None = None,
     rejects_target: str | None = None,
     keep_rejects: bool = True,
-    layout: str = "wide",
+    layout: str = "lines",
     width: int | None = None,
+    max_records_per_file: int = 0,
 ) -> str:
     """All sheets of all workbooks below ``source``.
 
-    ``layout="wide"`` writes text columns ``_c0, _c1, …``, as many as ``width`` says or, without
-    it, as the widest row needs. ``"long"`` writes Parquet with the cells of a row in one array,
-    which suits sheets of very different widths.
+    ``layout="lines"`` writes tab-separated text in which each row has its own width and starts with
+    its path, its sheet and its number. ``"long"`` writes the same as Parquet, with the cells of a
+    row in one array. ``"wide"`` writes text columns ``_c0, _c1, …``, as many as ``width`` says or,
+    without it, as the widest row needs, so its plan grows with them; it has no path and no number.
 
     What cannot be read is listed in ``rejects_target``, by default a folder ``_rejects`` in the
-    target, unless ``keep_rejects`` is off.
+    target. With ``keep_rejects=False`` only the files too large to open are.
     """
     return _run(
         spark,
@@ -101,9 +123,11 @@ def run_workbooks(
         "workbooks",
         target,
         run_date,
-        rejects_path(target, rejects_target, keep_rejects),
+        rejects_target,
+        keep_rejects,
         layout,
         width,
+        max_records_per_file,
     )
 
 
@@ -115,8 +139,9 @@ def run_sheets(
     export: str = "csv",
     rejects_target: str | None = None,
     keep_rejects: bool = True,
-    layout: str = "wide",
+    layout: str = "lines",
     width: int | None = None,
+    max_records_per_file: int = 0,
 ) -> str:
     """All online sheets exported below ``source``, as CSV files or JSON value ranges.
 
@@ -130,7 +155,10 @@ def run_sheets(
         "sheets",
         target,
         run_date,
-        rejects_path(target, rejects_target, keep_rejects),
+        rejects_target,
+        keep_rejects,
         layout,
         width,
+        max_records_per_file,
+        splittable=export == "csv",
     )

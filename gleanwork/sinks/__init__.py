@@ -11,6 +11,7 @@ from gleanwork.sinks.tables import (
     snapshot_path,
     write_by_key,
     write_by_sheet,
+    write_lines_by_sheet,
     write_long_by_sheet,
     write_orc,
     write_rejects,
@@ -29,6 +30,7 @@ __all__ = [
     "write_by_key",
     "write_by_sheet",
     "write_database",
+    "write_lines_by_sheet",
     "write_long_by_sheet",
     "write_orc",
     "write_rejects",

@@ -9,18 +9,34 @@ No writer gathers its rows in one task. Gzip text cannot be split by readers, so
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameWriter
 
+from gleanwork.operators.columns import quoted
+
 # The end of the object name of each dataset.
 OBJECT_SUFFIXES = {
     "by_offense": "_agency_arrests",
     "by_race": "_agency_arrests_by_offense",
 }
 NULL_MARK = "\\N"
+# Texts that look like the mark, and what stands for them in a lossless file.
+MARK_LIKE, ESCAPED_MARK = r"^(\\+N)$", r"^\\(\\+N)$"
+
+
+def _each_text(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    """``df`` with every text column changed, in its place."""
+    changed = [
+        change(quoted(field.name)).alias(field.name)
+        if isinstance(field.dataType, T.StringType)
+        else quoted(field.name)
+        for field in df.schema.fields
+    ]
+    return df.select(*changed)
 
 
 def run_day(run_date: str | datetime.date | None = None) -> str:
@@ -37,6 +53,8 @@ def snapshot_path(target: str, run_date: str | datetime.date | None = None) -> s
 def _text_writer(
     df: DataFrame, mode: str, lossless: bool, compression: str, max_records_per_file: int
 ) -> DataFrameWriter:
+    if lossless:
+        df = _each_text(df, lambda text: F.regexp_replace(text, MARK_LIKE, r"\\$1"))
     writer = (
         df.write.mode(mode)
         .option("sep", "\t")
@@ -67,7 +85,8 @@ def write_snapshot(
     """Tab-separated, fully quoted gzip text with a header. Returns the folder it wrote.
 
     By default cells lose the blanks at their edges, and NULL and empty text look the same.
-    ``lossless`` keeps all three apart: blanks stay, inner quotes are doubled, NULL is ``\\N``.
+    ``lossless`` keeps all three apart: blanks stay, inner quotes are doubled, NULL is ``\\N``
+    and a text of backslashes before an ``N`` has one more of them.
     """
     path = snapshot_path(target, run_date)
     _text_writer(df, mode, lossless, compression, max_records_per_file).csv(path)
@@ -83,7 +102,10 @@ def read_snapshot(
         reader = reader.option("escape", '"').option("nullValue", NULL_MARK)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.csv(path)
+    stored = reader.csv(path)
+    if not lossless:
+        return stored
+    return _each_text(stored, lambda text: F.regexp_replace(text, ESCAPED_MARK, "$1"))
 
 
 def read_history(
@@ -160,6 +182,41 @@ def write_long_by_sheet(
     return path
 
 
+def write_lines_by_sheet(
+    df: DataFrame,
+    target: str,
+    slug: str = "sheet_slug",
+    order: Sequence[str] = ("path", "sheet_idx", "row_idx"),
+    run_date: str | datetime.date | None = None,
+    mode: str = "overwrite",
+    max_records_per_file: int = 0,
+) -> str:
+    """One folder of tab-separated, fully quoted gzip text per sheet, each row at its own width.
+
+    A line holds the path and the title of its sheet and the number of its row, then the cells. So
+    sheets that share a folder name can be told apart, and rows put in order, and the plan does not
+    grow with the width of a sheet. Inner quotes are doubled; there is no header.
+    """
+    path = snapshot_path(target, run_date)
+    place = F.array("path", "sheet", F.col("row_idx").cast("string"))
+
+    def enclosed(cell: Column) -> Column:
+        text = F.coalesce(cell, F.lit(""))
+        return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    line = F.array_join(F.transform(F.concat(place, "cells"), enclosed), "\t")
+    ordered = df.hint("rebalance", slug).sortWithinPartitions(slug, *order)
+    (
+        ordered.select(slug, line.alias("value"))
+        .write.mode(mode)
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", max_records_per_file)
+        .partitionBy(slug)
+        .text(path)
+    )
+    return path
+
+
 def land_objects(
     objects: DataFrame, target: str, run_date: str | datetime.date | None = None
 ) -> str:
@@ -200,6 +257,22 @@ def write_rejects(
     return path
 
 
+def list_unread(
+    failed: DataFrame | None,
+    oversized: DataFrame,
+    target: str,
+    rejects_target: str | None,
+    source: str,
+    run_date: str,
+) -> None:
+    """List what a job could not read; files too large to read also where no other list is kept."""
+    if failed is not None:
+        oversized = failed.unionByName(oversized)
+    elif oversized.isEmpty():
+        return
+    write_rejects(oversized, rejects_path(target, rejects_target, True), source, run_date)
+
+
 def preview(df: DataFrame, order: str | list[str], rows: int = 10) -> DataFrame:
     """The first rows in a given order: each task keeps only its own first rows."""
     return df.orderBy(order).limit(rows)

@@ -5,7 +5,6 @@ from gleanwork.sources.delimited import read_delimited, read_keys
 from gleanwork.sources.documents import (
     decode_documents,
     html_text,
-    pdf_decoder,
     read_binary_files,
     too_large_files,
 )
@@ -21,6 +20,7 @@ from gleanwork.sources.grids import (
     workbook_rows,
 )
 from gleanwork.sources.images import image_rejects, image_text, read_images
+from gleanwork.sources.split_csv import split_csv_rows
 
 __all__ = [
     "csv_grid_rows",
@@ -30,7 +30,6 @@ __all__ = [
     "image_rejects",
     "image_text",
     "json_grid_rows",
-    "pdf_decoder",
     "read_binary_files",
     "read_database",
     "read_delimited",
@@ -39,6 +38,7 @@ __all__ = [
     "scrub_cells",
     "sheet_listing",
     "sheet_rows",
+    "split_csv_rows",
     "to_wide",
     "too_large_files",
     "widest_row",

@@ -28,5 +28,6 @@ def read_delimited(
 
 
 def read_keys(spark: SparkSession, path: str | list[str], distinct_cells: bool = False) -> DataFrame:
-    """Every cell of every column of a key list, as one column ``key``."""
-    return cell_keys(read_delimited(spark, path), distinct_cells=distinct_cells)
+    """Every cell of every column of a key list, as one column ``key``; an empty cell is no key."""
+    cells = cell_keys(read_delimited(spark, path), distinct_cells=distinct_cells)
+    return cells.where("key <> ''")

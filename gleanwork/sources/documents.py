@@ -40,32 +40,24 @@ def _binary_reader(spark: SparkSession, pattern: str | None):
 
 
 def read_binary_files(
-    spark: SparkSession,
-    path: str | list[str],
-    pattern: str | None = None,
-    max_bytes: int | None = None,
+    spark: SparkSession, path: str | list[str], pattern: str | None = None
 ) -> DataFrame:
     """``(path, modificationTime, length, content)``, one row per file, subfolders included.
 
-    Spark packs files into tasks by size, and raises on a file that no binary value can hold. With
-    ``max_bytes`` larger files are left out: the limit reaches the scan, which never opens them,
-    and :func:`too_large_files` lists them.
+    Spark packs files into tasks by size. A file that no binary value can hold is never opened: the
+    limit reaches the scan. :func:`too_large_files` lists those, and every job does so.
     """
-    files = _binary_reader(spark, pattern).load(path)
-    return files if max_bytes is None else files.where(F.col("length") <= max_bytes)
+    return _binary_reader(spark, pattern).load(path).where(F.col("length") <= MAX_FILE_BYTES)
 
 
 def too_large_files(
-    spark: SparkSession,
-    path: str | list[str],
-    pattern: str | None = None,
-    max_bytes: int = MAX_FILE_BYTES,
+    spark: SparkSession, path: str | list[str], pattern: str | None = None
 ) -> DataFrame:
     """``(key, reason)`` of the files that :func:`read_binary_files` leaves out."""
     return (
         _binary_reader(spark, pattern)
         .load(path)
-        .where(F.col("length") > max_bytes)
+        .where(F.col("length") > MAX_FILE_BYTES)
         .select(
             F.col("path").alias("key"),
             F.concat(F.lit("too large: "), F.col("length").cast("string")).alias("reason"),
@@ -84,23 +76,6 @@ def html_text(content: bytes, name: str) -> str:
     return "".join(parts)
 
 
-def pdf_decoder() -> Decoder:
-    """A decoder for PDF files, if the ``pypdf`` package is installed."""
-    try:
-        import pypdf  # noqa: F401
-    except ImportError as missing:
-        raise RuntimeError("decoding PDF files needs the pypdf package") from missing
-
-    def decode(content: bytes, name: str) -> str:
-        import io
-
-        from pypdf import PdfReader
-
-        return "\n".join(page.extract_text() for page in PdfReader(io.BytesIO(content)).pages)
-
-    return decode
-
-
 DEFAULT_DECODERS: dict[str, Decoder] = {"text/html": html_text}
 
 

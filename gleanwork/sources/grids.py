@@ -1,16 +1,17 @@
 """Untitled grids: workbook sheets and exported online sheets, in one long form.
 
 Every reader gives ``(path, sheet, sheet_idx, row_idx, cells, error)``, one row per sheet row and
-one extra row, with ``error`` set, per file or sheet that cannot be read. Rows keep their own
-length, so sheets of any width fit in one table and one job reads all files and sheets. A reader
-holds one file and a bounded number of its rows at a time.
+one extra row, with ``error`` set, per file or sheet that cannot be read; such a sheet gives no
+other row. Rows keep their own length, so sheets of any width fit in one table and one job reads all
+files and sheets. A reader holds one file and a bounded number of its rows at a time.
 """
 
 from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from io import TextIOWrapper
 from posixpath import normpath
 from urllib.parse import unquote
 from xml.etree import ElementTree
@@ -83,6 +84,24 @@ def _problem(error: Exception) -> str:
     return f"{type(error).__name__}: {error}"
 
 
+def _whole(read: Callable[[], Iterator[tuple[int, list[str]]]]) -> Iterable[tuple[int, list[str]]]:
+    """The rows of a sheet, if every one of them can be read; raises before any row is sent on.
+
+    A sheet that fits in one batch is held; a longer one is read to its end and then read again.
+    """
+    held = []
+    chars = 0
+    rows = read()
+    for row in rows:
+        held.append(row)
+        chars += sum(map(len, row[1]))
+        if len(held) >= BATCH_ROWS or chars >= BATCH_CHARS:
+            for _ in rows:
+                pass
+            return read()
+    return held
+
+
 # -- workbooks ------------------------------------------------------------------------------------
 
 # An escaped character (halves of surrogate pairs are none), the format's widest row.
@@ -229,7 +248,7 @@ def _read_workbooks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             if part is None:
                 continue
             try:
-                for index, cells in workbook.rows(part, shared):
+                for index, cells in _whole(lambda: workbook.rows(part, shared)):
                     row = (path, sheet, number, index, cells, None)
                     yield from out.add(row, sum(map(len, cells)))
             except Exception as error:
@@ -282,17 +301,20 @@ def _title_of(path: str) -> str:
     return stem if dot and ending.lower() in ("csv", "tsv") else name
 
 
-def _read_csv_grids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from io import TextIOWrapper
+def _csv_rows(content: pa.Buffer) -> Iterator[tuple[int, list[str]]]:
+    lines = TextIOWrapper(pa.BufferReader(content), encoding="utf-8-sig", newline="")
+    for index, cells in enumerate(csv.reader(lines, strict=True)):
+        yield index, cells or [""]
+
 
+def _read_csv_grids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     csv.field_size_limit(2**31 - 1)
     out = _Batches(_grid_schema())
     for path, content in _files(batches):
         title = _title_of(path)
         try:
-            lines = TextIOWrapper(pa.BufferReader(content), encoding="utf-8-sig", newline="")
-            for index, cells in enumerate(csv.reader(lines, strict=True)):
-                row = (path, title, 0, index, cells or [""], None)
+            for index, cells in _whole(lambda: _csv_rows(content)):
+                row = (path, title, 0, index, cells, None)
                 yield from out.add(row, sum(map(len, cells)))
         except Exception as error:
             yield from out.add((path, title, 0, None, None, _problem(error)))

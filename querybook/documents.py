@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.plans import document_text, documents_view, run_images
+from gleanwork.plans import document_text, documents_view, images_text
 from gleanwork.sinks import preview
 from gleanwork.sources import decode_documents, read_binary_files, read_images
 from gleanwork.workspace import fresh_path
@@ -108,7 +108,7 @@ def image_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = run_images(spark, image_folder(spark, sf_dir))
+    texts = images_text(spark, image_folder(spark, sf_dir))
     return texts.select(F.regexp_replace("text", r"^part-\S*\.txt:", "file:").alias("text"))
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanwork.plans import finished_sheets, workbook_sheets
-from gleanwork.sinks import read_history, write_by_sheet, write_long_by_sheet
+from gleanwork.functions import sheet_slug
+from gleanwork.sinks import read_history, write_by_sheet, write_lines_by_sheet, write_long_by_sheet
 from gleanwork.sources import (
     csv_grid_rows,
     json_grid_rows,
@@ -17,6 +18,7 @@ from gleanwork.sources import (
     scrub_cells,
     sheet_listing,
     sheet_rows,
+    split_csv_rows,
     to_wide,
     widest_row,
     workbook_rows,
@@ -121,6 +123,54 @@ def workbook_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheets of very different widths whose titles share a folder name, in one job; the lines found there."""
+    rows = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("/books/"), (F.col("c_custkey") % 10).cast("string")).alias("path"),
+        F.when(F.col("c_custkey") % 2 == 0, F.lit("My Sheet")).otherwise(F.lit("my_sheet")).alias("sheet"),
+        F.lit(0).alias("sheet_idx"),
+        F.col("c_custkey").cast("int").alias("row_idx"),
+        F.when(F.col("c_custkey") % 2 == 0, F.array_repeat("c_name", 2))
+        .otherwise(F.array_repeat(F.concat(F.lit('a"b\t'), "c_mktsegment"), 2000))
+        .alias("cells"),
+    )
+    target = fresh_path(spark, "lines")
+    named = rows.withColumn("sheet_slug", sheet_slug("sheet"))
+    write_lines_by_sheet(scrub_cells(named), target, run_date=RUN_DATE)
+    return spark.read.text(target).select("sheet_slug", F.col("value").alias("line"))
+
+
+def whole_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third CSV export is broken in its second row: none of its rows, one reject each."""
+    second = F.when(F.col("c_custkey") % 3 == 0, F.lit('"x"y,z\n')).otherwise(F.lit('"x",z\n'))
+    files = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("/exports/"), F.col("c_custkey").cast("string"), F.lit(".csv")).alias("path"),
+        F.concat(F.lit("one,two\n"), second).cast("binary").alias("content"),
+    )
+    return csv_grid_rows(files).groupBy("path").agg(
+        F.count_if(F.col("error").isNull()).alias("n_rows"),
+        F.count_if(F.col("error").isNotNull()).alias("n_rejects"),
+    )
+
+
+def split_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV exports read as lines that Spark splits: the way that a file beyond a binary value takes."""
+    folder = fresh_path(spark, "exports")
+    customers = table(spark, sf_dir, "customer")
+    cells = customers.select(
+        F.col("c_custkey").cast("string").alias("a"),
+        F.concat("c_name", F.lit(',\n"quoted"\n')).alias("b"),
+    )
+    (
+        cells.write.option("quoteAll", True)
+        .option("escape", '"')
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(folder)
+    )
+    grids = split_csv_rows(spark, folder, "*.csv", larger_than=0)
+    return to_wide(sheet_rows(grids), 2, scrub=False).select("_c0", "_c1")
+
+
 def exported_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers exported as CSV files, read back as grids of the width found in them."""
     folder = fresh_path(spark, "exports")
@@ -188,6 +238,34 @@ BOOK = {
         SELECT '2020_(in_Progress)', 'true', CAST(c_custkey AS VARCHAR), NULL, NULL FROM customer
         """,
     ),
+    "sheet_lines": (
+        sheet_lines,
+        """
+        SELECT 'my_sheet' AS sheet_slug, '"/books/' || (c_custkey % 10) || chr(34) || chr(9)
+               || CASE c_custkey % 2 WHEN 0 THEN '"My Sheet"' ELSE '"my_sheet"' END || chr(9)
+               || chr(34) || c_custkey || chr(34)
+               || CASE c_custkey % 2 WHEN 0 THEN repeat(chr(9) || chr(34) || c_name || chr(34), 2)
+                  ELSE repeat(chr(9) || '"a""b' || chr(9) || c_mktsegment || chr(34), 2000) END AS line
+        FROM customer
+        """,
+    ),
+    "whole_sheets": (
+        whole_sheets,
+        """
+        SELECT '/exports/' || c_custkey || '.csv' AS path,
+               CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 2 END::BIGINT AS n_rows,
+               CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END::BIGINT AS n_rejects
+        FROM customer
+        """,
+    ),
+    "split_sheet_rows": (
+        split_sheets,
+        """
+        SELECT CAST(c_custkey AS VARCHAR) AS _c0,
+               c_name || ',' || chr(10) || '"quoted"' || chr(10) AS _c1
+        FROM customer
+        """,
+    ),
     "workbook_long": (
         workbook_long,
         """

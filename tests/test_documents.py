@@ -3,8 +3,8 @@ from __future__ import annotations
 import pytest
 
 from gleanwork import sources as S
-from gleanwork.plans import document_text, documents_view, run_documents, run_images
-from gleanwork.sinks import preview, read_history
+from gleanwork.plans import document_text, documents_view, images_text, run_documents, run_images
+from gleanwork.sinks import preview, read_history, read_snapshot
 from querybook.documents import _bitmap
 
 
@@ -60,15 +60,8 @@ def test_document_rows(files):
         document_text(files, "round")
 
 
-def test_pdf_decoder_needs_its_package():
-    try:
-        import pypdf  # noqa: F401
-    except ImportError:
-        with pytest.raises(RuntimeError, match="pypdf"):
-            S.pdf_decoder()
-
-
-def test_document_job(spark, tmp_path):
+def test_document_job(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("gleanwork.sources.documents.MAX_FILE_BYTES", 50)
     folder = tmp_path / "in" / "deep"
     folder.mkdir(parents=True)
     (folder / "A.txt").write_bytes(b"One\n\n two \n")
@@ -76,9 +69,7 @@ def test_document_job(spark, tmp_path):
     (folder / "C.txt").write_bytes(b"x" * 100)
     target, rejects = str(tmp_path / "out"), str(tmp_path / "bad")
     for _ in range(2):
-        run_documents(
-            spark, str(tmp_path / "in"), target, "2024-02-29", max_bytes=50, rejects_target=rejects
-        )
+        run_documents(spark, str(tmp_path / "in"), target, "2024-02-29", rejects_target=rejects)
     rows = read_history(spark, target, "filename string, pdftext string").collect()
     assert [(r["filename"], r["pdftext"], str(r["run_date"])) for r in rows] == [
         ("a.txt", "one\n\ntwo", "2024-02-29")
@@ -100,7 +91,23 @@ def test_images(spark, tmp_path):
     assert [(r["key"].rpartition("/")[2], r["reason"]) for r in refused] == [
         ("B.bmp", "no readable image")
     ]
-    shown = preview(run_images(spark, str(tmp_path)), "filename").collect()
+    shown = preview(images_text(spark, str(tmp_path)), "filename").collect()
     assert [tuple(r) for r in shown] == [
         ("a.bmp", "a.bmp: type formatted detected -> image/bmp 3 5 3 ")
     ]
+    target = run_images(spark, str(tmp_path), str(tmp_path / "out"), "2024-02-29", lossless=True)
+    assert [tuple(r) for r in read_snapshot(spark, target, lossless=True).collect()] == [
+        ("a.bmp", "a.bmp: type formatted detected -> image/bmp 3 5 3 ")
+    ]
+    listed = spark.read.parquet(str(tmp_path / "out" / "_rejects")).collect()
+    assert [(r["source"], r["key"].rpartition("/")[2]) for r in listed] == [("images", "B.bmp")]
+
+
+def test_files_too_large_are_listed_without_other_rejects(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("gleanwork.sources.documents.MAX_FILE_BYTES", 50)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "A.txt").write_text("x" * 51)
+    (tmp_path / "in" / "B.pdf").write_text("%PDF")
+    run_documents(spark, str(tmp_path / "in"), str(tmp_path / "out"), "2024-02-29", keep_rejects=False)
+    listed = spark.read.parquet(str(tmp_path / "out" / "_rejects")).collect()
+    assert [r["reason"] for r in listed] == ["too large: 51"]

@@ -7,6 +7,8 @@ from zipfile import ZipFile
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from gleanwork import sources as S
 from gleanwork.plans import finished_sheets, run_sheets, run_workbooks
 from gleanwork.sinks import read_snapshot
@@ -167,7 +169,9 @@ def test_workbook_job(spark, tmp_path, width):
     (source / "c.xlsx").write_bytes(b"broken")
     target, rejects = str(tmp_path / "out"), str(tmp_path / "bad")
     for _ in range(2):
-        run_workbooks(spark, str(source), target, "2024-02-29", rejects, width=width)
+        run_workbooks(
+            spark, str(source), target, "2024-02-29", rejects, layout="wide", width=width
+        )
     table = read_snapshot(spark, target).orderBy("_c0")
     assert [(r["_c0"], r["_c1"], r["sheet_slug"]) for r in table.collect()] == [
         ("a x", "1", "T_1_a"), ("b x", "1", "T_1_a"), ("u x", "1", "U"),
@@ -182,7 +186,9 @@ def test_rows_of_a_sheet_stay_in_order(spark, tmp_path):
     for book in range(6):
         rows = "".join(f"<row><c><v>{book * 1000 + i}</v></c></row>" for i in range(1000))
         (source / f"{book}.xlsx").write_bytes(workbook({"A": rows, "B": rows}))
-    target = run_workbooks(spark, str(source), str(tmp_path / "out"), "2024-02-29", width=1)
+    target = run_workbooks(
+        spark, str(source), str(tmp_path / "out"), "2024-02-29", layout="wide", width=1
+    )
     files = [p for p in (tmp_path / "out").rglob("part-*.gz")]
     assert len(files) == 2
     assert spark.read.parquet(str(tmp_path / "out" / "_rejects")).isEmpty()
@@ -214,6 +220,99 @@ def test_sheet_job(spark, tmp_path, export):
         else:
             grid = {"range": f"'{title}'!A1:B2", "values": [["a", "b\nc"], ["d"]]}
             (source / f"{title}.json").write_text(json.dumps(grid))
-    target = run_sheets(spark, str(source), str(tmp_path / "out"), "2024-02-29", export)
+    target = run_sheets(spark, str(source), str(tmp_path / "out"), "2024-02-29", export, layout="wide")
     rows = read_snapshot(spark, target).orderBy("_c0").collect()
     assert [tuple(r) for r in rows] == [("a", "b c", "my_sheet"), ("d", None, "my_sheet")]
+
+
+def test_broken_sheets_give_no_rows(spark):
+    """Neither a short sheet nor one of many batches leaves rows behind when its end cannot be read."""
+    long = "a,b\n" * 10_000
+    good = '<row r="1"><c r="A1"><v>1</v></c></row>'
+    wide = '<row r="2"><c r="XFE2"><v>1</v></c></row>'
+    exports = {
+        "/short.csv": b'a,b\n"x"y,z\n',
+        "/long.csv": (long + '"x"y,z\n').encode(),
+        "/bytes.csv": long.encode() + b"\xff\n",
+        "/good.csv": long.encode(),
+    }
+    rows = S.csv_grid_rows(files(spark, exports)).groupBy("path").agg(
+        F.count_if(F.expr("error IS NULL")), F.count_if(F.expr("error IS NOT NULL"))
+    )
+    assert {r[0]: (r[1], r[2]) for r in rows.collect()} == {
+        "/short.csv": (0, 1), "/long.csv": (0, 1), "/bytes.csv": (0, 1), "/good.csv": (10_000, 0),
+    }
+    books = S.workbook_rows(files(spark, {"/b.xlsx": workbook({"A": good + wide, "B": good})}))
+    assert {(r["sheet"], r["error"] is None) for r in books.collect()} == {("A", False), ("B", True)}
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_split_exports_equal_whole_ones(spark, tmp_path, small_splits):
+    """Rows that cross the border of a split, with quotes, line breaks and a mark at the start."""
+    kinds = ["plain,1", '"a\nb",2', '"say ""x""\n\n,",3', "", ",", '"\r\n"', 'é,"ü\n"', "x,\r"]
+    for name, seed in (("a b+c%.csv", 1), ("d.csv", 2)):
+        text = "\ufeff" + "\n".join(kinds[(i * i * seed + i) % len(kinds)] for i in range(400))
+        (tmp_path / name).write_bytes(text.encode() + b"\n" * (seed - 1))
+    whole = S.csv_grid_rows(S.read_binary_files(spark, str(tmp_path), "*.csv"))
+    split = S.split_csv_rows(spark, str(tmp_path), larger_than=0)
+    order = ["path", "row_idx"]
+    assert split.orderBy(order).collect() == whole.orderBy(order).collect()
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+
+
+def test_split_exports_are_rejected_whole(spark, tmp_path, small_splits):
+    rows = "a,b\n" * 200
+    broken = {
+        "quote": (rows + 'a"b,c\n' + rows).encode(),
+        "open": (rows + '"never closed').encode(),
+        "bytes": rows.encode() + b"\xff\n",
+        "endless": (rows + '"' + "x\n" * 500 + '"\n').encode(),
+    }
+    for name, content in broken.items():
+        (tmp_path / f"{name}.csv").write_bytes(content)
+    (tmp_path / "good.csv").write_text(rows)
+    grids = S.split_csv_rows(spark, str(tmp_path), larger_than=0)
+    found = grids.groupBy("path").agg(F.count_if(F.expr("error IS NULL")), F.count_if(F.expr("error IS NOT NULL")))
+    assert {r[0].rpartition("/")[2]: (r[1], r[2]) for r in found.collect()} == {
+        **{f"{name}.csv": (0, 1) for name in broken}, "good.csv": (200, 0),
+    }
+
+
+def test_large_exports_are_read_and_large_workbooks_listed(spark, tmp_path, monkeypatch):
+    """What a job reads does not hang on whether it lists rejects."""
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "Big.csv").write_text('a,"b\nc"\n' * 100)
+    (source / "Small.csv").write_text("d\n")
+    (source / "a.xlsx").write_bytes(workbook({"A": ROWS}, STRINGS))
+    monkeypatch.setattr("gleanwork.sources.documents.MAX_FILE_BYTES", 100)
+    for keep in (True, False):
+        target = str(tmp_path / f"out-{keep}")
+        run_sheets(spark, str(source), target, "2024-02-29", keep_rejects=keep)
+        lines = [r["value"] for r in spark.read.text(target).collect()]
+        assert len(lines) == 101
+        assert sum(line.endswith('"Big"\t"7"\t"a"\t"b c"') for line in lines) == 1
+        books = str(tmp_path / f"books-{keep}")
+        run_workbooks(spark, str(source), books, "2024-02-29", keep_rejects=keep)
+        refused = spark.read.parquet(f"{books}/_rejects").collect()
+        assert [r["reason"].split(":")[0] for r in refused] == ["too large"]
+
+
+def test_lines_keep_sheets_apart(spark, tmp_path):
+    """Each row has its own width and its place; the plan does not grow with the width."""
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "My Sheet.csv").write_text('a\tb,"c ""d"""\n')
+    (source / "my_sheet.csv").write_text(",".join("x" * 3000) + "\n")
+    target = run_sheets(spark, str(source), str(tmp_path / "out"), "2024-02-29")
+    lines = sorted(r["value"] for r in spark.read.text(target).collect())
+    assert lines[0].partition("\t")[2] == '"My Sheet"\t"0"\t"a\tb"\t"c ""d"""'
+    assert lines[1].count("\t") == 3002 and '"my_sheet"\t"0"\t"x"' in lines[1]

@@ -119,3 +119,26 @@ def test_html_rows_keeps_other_columns(spark):
     frame = spark.createDataFrame([(1, html), (2, "<p>"), (3, None)], "id int, html string")
     rows = [tuple(r) for r in O.html_rows(frame).orderBy("row_idx").collect()]
     assert rows == [(1, 0, []), (1, 1, ["a"])]
+
+
+def test_deep_nesting_takes_linear_time_where_cells_count_once(spark):
+    """One page of tables in tables; whoever wants the cells of all inner rows gets them in batches."""
+    page = "<table><tr><td>x"
+    start = time.perf_counter()
+    assert sum(map(len, read_rows(page * 40_000, "own"))) == 40_000
+    assert time.perf_counter() - start < 4
+    frame = spark.createDataFrame([(page * 40_000,), (page * 300,)], "html string")
+    rows = O.html_rows(frame, nested="own")
+    assert rows.selectExpr("count(*)", "max(size(cells))").first()[:] == (40_300, 1)
+    inner = O.html_rows(frame.where("length(html) < 10000"))
+    totals = inner.selectExpr("count(*)", "sum(size(cells))", "max(length(cells[0]))").first()
+    assert totals[:] == (300, 300 * 301 // 2, 599)
+
+
+def test_nested_cells_count_once_if_asked(spark):
+    html = "<table><tr><td>o<table><tr><td>i</td></tr></table>p</td><td>z</td></tr></table>"
+    assert read_rows(html, "own") == [["o p", "z"], ["i"]]
+    frame = spark.createDataFrame([(html,)], "html string")
+    assert O.html_csv(frame, nested="own").first()["csv"] == '"o p","z"\n"i"\n'
+    with pytest.raises(ValueError, match="deep"):
+        O.html_rows(frame, nested="deep")

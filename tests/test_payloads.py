@@ -128,3 +128,13 @@ def test_request_list_holds_no_secret(spark):
     keys = spark.createDataFrame([("A1",)], "key string")
     row = O.request_list(keys, "https://data.example.org/").first()
     assert row["request"] == "https://data.example.org/arrest/agencies/offense/A1/all/1995/2018"
+
+
+def test_fields_with_one_name_are_refused(spark):
+    from pyspark.sql import types as T
+
+    frame = spark.createDataFrame([], "key string, status int, body string")
+    for names in ("ori string, data array<struct<value int>>", "value int, data array<struct<Value int>>"):
+        schema = T.StructType.fromDDL(names)
+        with pytest.raises(ValueError, match="one name"):
+            O.flatten_payloads(frame, schema=schema)

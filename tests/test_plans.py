@@ -108,11 +108,12 @@ def test_landing_has_no_shuffle(spark, pages):
     assert python_nodes(plan) == 1 and "Exchange" not in plan
 
 
-def test_oversized_files_are_not_opened(spark, tmp_path):
+def test_oversized_files_are_not_opened(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("gleanwork.sources.documents.MAX_FILE_BYTES", 5)
     (tmp_path / "a.txt").write_text("x")
-    plan = plan_of(S.read_binary_files(spark, str(tmp_path), max_bytes=5))
+    plan = plan_of(S.read_binary_files(spark, str(tmp_path)))
     assert "LessThanOrEqual(length,5)" in plan
-    listed = plan_of(S.too_large_files(spark, str(tmp_path), max_bytes=5))
+    listed = plan_of(S.too_large_files(spark, str(tmp_path)))
     assert "content" not in re.search(r"ReadSchema: (.*)", listed).group(1)
 
 

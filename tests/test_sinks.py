@@ -254,3 +254,11 @@ def test_jobs_and_appended_runs_keep_their_rejects(spark, tmp_path):
     sinks.write_rejects(bad("d"), folder, "one", "2024-02-29")
     listed = spark.read.parquet(folder).select("source", "key").collect()
     assert sorted(map(tuple, listed)) == [("one", "d"), ("two", "b"), ("two", "c")]
+
+
+def test_lossless_keeps_texts_that_look_like_the_mark(spark, tmp_path):
+    values = [None, "", "N", "\\N", "\\\\N", "\\\\\\N", "\\N ", "x\\N"]
+    frame = spark.createDataFrame(list(enumerate(values)), "k int, v string")
+    path = K.write_snapshot(frame, str(tmp_path), DAY, lossless=True)
+    got = K.read_snapshot(spark, path, "k int, v string", lossless=True).orderBy("k").collect()
+    assert [r["v"] for r in got] == values
