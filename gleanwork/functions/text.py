@@ -1,4 +1,4 @@
-"""Text clean-up. Every function takes and returns a Column and stays in generated code."""
+"""Text clean-up. Every function takes and returns a Column; all but ``trim_lines`` stay in generated code."""
 
 from __future__ import annotations
 
