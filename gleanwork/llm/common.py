@@ -47,7 +47,7 @@ def split_words(text: str) -> list[str]:
 
 def lower_ascii(text: str) -> str:
     """A-Z in lower case, all else as it is."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
-
-
-_LOWER = {code: code + 32 for code in range(65, 91)}
+    if text.isascii():
+        return text.lower()
+    # Bytes know no other letters than A-Z, and no other character's UTF-8 holds their codes.
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
