@@ -151,7 +151,8 @@ def parse(page: str):
         yield pop()
 
 
-# A wrapper is a list of items: ["<", label], ["x", mark or None], ["+", items] and ["?", items].
+# A wrapper is a list of items: ["<", label], [">", label], ["x", mark or None, paths], ["+", items] and
+# ["?", items]. A text keeps the paths at which it stood, as an optional group may hold an opening tag alone.
 
 
 def key(item):
@@ -161,7 +162,7 @@ def key(item):
 def unify(a, b):
     """One item for two of the same key."""
     if a[0] == "x":
-        return a if a[1] == b[1] else ["x", None]
+        return a if a == b else ["x", a[1] if a[1] == b[1] else None, sorted({*a[2], *b[2]})]
     return a if a[0] in "<>" else [a[0], align(a[1], b[1])]
 
 
@@ -263,18 +264,29 @@ def _anchors(a: list, b: list) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
+def is_balanced(items: list) -> bool:
+    """Whether each tag of the run opens and closes within it."""
+    depth = 0
+    for item in items:
+        depth += (item[0] == "<") - (item[0] == ">")
+        if depth < 0:
+            return False
+    return depth == 0
+
+
 def fold_repeats(items: list) -> list:
-    """Runs that follow themselves become one repeated group, shortest runs first."""
+    """Runs of whole elements that follow themselves become one repeated group, shortest runs first."""
     for period in range(1, LONGEST_PERIOD + 1):
         keys, out, i = [key(x) for x in items], [], 0
         while i < len(items):
-            times = 1
-            while keys[i : i + period] == keys[i + times * period : i + (times + 1) * period] and len(keys) - i >= 2 * period:
-                times += 1
-            if times == 1 or keys[i][0] in ">#":
+            again = keys[i][0] not in ">#" and keys[i : i + period] == keys[i + period : i + 2 * period]
+            if not again or len(keys) - i < 2 * period or not is_balanced(items[i : i + period]):
                 out.append(items[i])
                 i += 1
                 continue
+            times = 2
+            while keys[i : i + period] == keys[i + times * period : i + (times + 1) * period]:
+                times += 1
             group = items[i : i + period]
             for n in range(1, times):
                 group = [unify(x, y) for x, y in zip(group, items[i + n * period : i + (n + 1) * period])]
@@ -288,23 +300,20 @@ def page_stream(page: str) -> list:
     items = []
     for event in parse(page):
         if event[0] == "text":
-            items.append(["x", zlib.crc32(" ".join(event[2].split()).encode("utf-8", "replace"))])
+            items.append(["x", zlib.crc32(" ".join(event[2].split()).encode("utf-8", "replace")), [event[1]]])
         else:
             items.append(["<" if event[0] == "open" else ">", event[1]])
     return fold_repeats(items)
 
 
-def slots(items: list, path: tuple = ()):
-    """``(path, fixed)`` of each text of a wrapper."""
+def slots(items: list):
+    """``(path, fixed)`` of each text of a wrapper, once for each path at which it stood."""
     for item in items:
-        if item[0] == "<":
-            path = path + (item[1],)
-        elif item[0] == ">":
-            path = path[:-1]
-        elif item[0] == "x":
-            yield path, item[1] is not None
-        else:
-            yield from slots(item[1], path)
+        if item[0] == "x":
+            for path in item[2]:
+                yield tuple(path.split("/")[1:]), item[1] is not None
+        elif item[0] in "+?":
+            yield from slots(item[1])
 
 
 def is_noise(name: str) -> bool:

@@ -333,6 +333,26 @@ def test_wrappers_align():
         page_text.page_stream(hostile)
 
 
+def texts_of(spark, *pages, url="http://a.com/"):
+    rows = [(i, url, p) for i, p in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [r.text for r in page_text.page_texts(frame).orderBy("page_id").collect()]
+
+
+def test_pages_with_nested_and_mixed_elements(spark):
+    nested = "<body><div><div><p>In two</p></div></div>{}</body>"
+    assert texts_of(spark, nested.format("")) == ["In two"]
+    assert texts_of(spark, nested.format("<article><p>After</p></article>")) == ["After"]
+    lists = "<body><ul><li><ul><li>Inner</li></ul></li></ul><p>Below</p></body>"
+    assert texts_of(spark, lists) == ["Inner\nBelow"]
+    assert texts_of(spark, "<ul><li><ul><li>a<li>b<li>c</ul><li>d<li>e</ul>") == ["a\nb\nc\nd\ne"]
+    kinds = [("h2", "ul"), ("h3", "ol"), ("h2", "ol")]
+    mixed = [f"<body><{h}>T{i}</{h}><{u}><li>L{i}</{u}><p>P{i}</body>" for i, (h, u) in enumerate(kinds)]
+    assert texts_of(spark, *mixed) == [f"T{i}\nL{i}\nP{i}" for i in range(3)]
+    apart = ["<body><div><p>x</div><article><p>One</article></body>", "<body><div><p>y</div><div><p>Two</div><article><p>2</article></body>"]
+    assert texts_of(spark, *apart) == ["One", "2"]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
