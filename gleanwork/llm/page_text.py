@@ -4,8 +4,9 @@ A page becomes a stream of structure tags and texts. Runs that repeat side by si
 Streams of one host are aligned one after another: equal texts stay fixed, differing ones become slots,
 what only one side has becomes an optional group. Each task folds its own pages into a wrapper per host;
 these partial wrappers are aligned again in ``SPLITS`` parts and then per host, so a host with very many
-pages takes no single task. The slots of a wrapper that belong to the article are then read off, and each
-page is extracted with the slots of its host.
+pages takes no single task. Beside the wrapper stands on how many pages each path had text and whether it
+was one text. The slots of a wrapper that can hold an article are then read off, and each page is extracted
+with the slots of its host: those in an article container where the page has text there, else the others.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ MOST_HOSTS = 2000
 #: Longer lists are cut at items that occur once before their common parts are looked for.
 MOST_CELLS = 250_000
 FIXED_PAGES = 3
+FIXED_SHARE = 0.9
 
 # Tags by their part in a page, and the words by which classes and ids name what is no article.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -296,14 +298,62 @@ def fold_repeats(items: list) -> list:
     return items
 
 
-def page_stream(page: str) -> list:
+def page_items(page: str) -> list:
     items = []
     for event in parse(page):
         if event[0] == "text":
             items.append(["x", zlib.crc32(" ".join(event[2].split()).encode("utf-8", "replace")), [event[1]]])
         else:
             items.append(["<" if event[0] == "open" else ">", event[1]])
-    return fold_repeats(items)
+    return items
+
+
+def page_stream(page: str) -> list:
+    return fold_repeats(page_items(page))
+
+
+# Facts of pages: for pages without an article container and for those with one, their number and the
+# least FIXED_PAGES marks of their texts; for each path its mark (None: texts differ) and both numbers of pages.
+
+
+def page_facts(items: list) -> dict:
+    texts: dict[str, list] = {}
+    for item in items:
+        if item[0] == "x" and path_kind(item[2][0]) != "noise":
+            texts.setdefault(item[2][0], []).append(item[1])
+    which = int(any(path_kind(path) == "article" for path in texts))
+    count = [1 - which, which]
+    marks = {path: zlib.crc32(repr(found).encode()) for path, found in texts.items()}
+    whole = zlib.crc32(repr(sorted(marks.items())).encode())
+    return {
+        "pages": count,
+        "marks": [[whole] * n for n in count],
+        "paths": {path: [mark, *count] for path, mark in marks.items()},
+    }
+
+
+def add_facts(a: dict, b: dict) -> dict:
+    """The facts of both; ``a`` is changed."""
+    a["pages"] = [x + y for x, y in zip(a["pages"], b["pages"])]
+    a["marks"] = [sorted({*x, *y})[:FIXED_PAGES] for x, y in zip(a["marks"], b["marks"])]
+    for path, (mark, *count) in b["paths"].items():
+        known = a["paths"].get(path)
+        if known is None:
+            a["paths"][path] = [mark, *count]
+        else:
+            known[:] = [mark if mark == known[0] else None, known[1] + count[0], known[2] + count[1]]
+    return a
+
+
+def is_boilerplate(path: str, facts: dict) -> bool:
+    """Whether one text stands here on nearly all pages without an article, or nearly all pages of the
+    host, and these are not all the same page."""
+    mark, *count = facts["paths"].get(path, (None, 0, 0))
+    plain = (count[0], facts["pages"][0], facts["marks"][0])
+    every = (sum(count), sum(facts["pages"]), set().union(*facts["marks"]))
+    return mark is not None and any(
+        len(marks) >= FIXED_PAGES and seen >= FIXED_SHARE * pages for seen, pages, marks in (plain, every)
+    )
 
 
 def slots(items: list):
@@ -311,7 +361,7 @@ def slots(items: list):
     for item in items:
         if item[0] == "x":
             for path in item[2]:
-                yield tuple(path.split("/")[1:]), item[1] is not None
+                yield path, item[1] is not None
         elif item[0] in "+?":
             yield from slots(item[1])
 
@@ -326,33 +376,41 @@ def is_article(name: str) -> bool:
     return tag in ARTICLE or any(w in ARTICLE_WORDS for w in words)
 
 
-def content_paths(wrapper: list, pages: int) -> list[str]:
-    """The paths of the slots that hold the article.
+def path_kind(path: str) -> str:
+    """``article`` in an article container, ``noise`` in menus, headers and the like, else ``plain``."""
+    names = path.split("/")[1:]
+    if any(map(is_noise, names)):
+        return "noise"
+    return "article" if any(map(is_article, names)) else "plain"
 
-    Where the wrapper has an article, its slots; else all slots outside menus, headers and the like whose
-    text is not the same on every one of at least ``FIXED_PAGES`` pages.
-    """
-    found = [(path, fixed) for path, fixed in slots(wrapper) if not any(map(is_noise, path))]
-    inside = [path for path, _ in found if any(map(is_article, path))]
-    if not inside:
-        inside = [path for path, fixed in found if not (fixed and pages >= FIXED_PAGES)]
-    return sorted({"/" + "/".join(path) if path else "" for path in inside})
+
+def content_paths(wrapper: list, facts: dict) -> list[str]:
+    """The paths of the slots that can hold the article: those in article containers, and for pages without
+    one all others outside menus, headers and the like that are no boilerplate."""
+    chosen = set()
+    for path, fixed in slots(wrapper):
+        kind = path_kind(path)
+        if kind == "article" or kind == "plain" and not (fixed and is_boilerplate(path, facts)):
+            chosen.add(path)
+    return sorted(chosen)
 
 
 def main_text(page: str, paths: set[str]) -> str:
-    """The blocks at these paths. Outside an article, blocks that are nothing but links are left out."""
-    blocks = []
+    """The blocks at these paths: those in article containers, or all if the page has no text in one.
+    Outside an article, blocks that are nothing but links are left out."""
+    article, others = [], []
     for event in parse(page):
         if event[0] == "text" and event[1] in paths:
-            if event[3] and not any(map(is_article, event[1].split("/"))):
+            inside = path_kind(event[1]) == "article"
+            if event[3] and not inside:
                 continue
             text = " ".join(html.unescape(event[2]).split())
             if text:
-                blocks.append(text)
-    return "\n".join(blocks)
+                (article if inside else others).append(text)
+    return "\n".join(article or others)
 
 
-WRAPPERS = pa.schema([("host", pa.string()), ("part", pa.int32()), ("wrapper", pa.string()), ("pages", pa.int64())])
+WRAPPERS = pa.schema([("host", pa.string()), ("part", pa.int32()), ("wrapper", pa.string()), ("facts", pa.string())])
 
 
 def _partial_wrappers(batches):
@@ -365,18 +423,19 @@ def _partial_wrappers(batches):
             pa.array(hosts, pa.string()),
             pa.array(parts, pa.int32()),
             pa.array([json.dumps(folded[h][1]) for h in hosts], pa.string()),
-            pa.array([folded[h][2] for h in hosts], pa.int64()),
+            pa.array([json.dumps(folded[h][2]) for h in hosts], pa.string()),
         ]
         return pa.RecordBatch.from_arrays(arrays, schema=WRAPPERS)
 
     for batch in batches:
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            stream = page_stream(page)
+            items = page_items(page)
+            facts, stream = page_facts(items), fold_repeats(items)
             known = folded.get(host)
             if known is None:
-                folded[host] = [page[-200:], stream, 1]
+                folded[host] = [page[-200:], stream, facts]
             else:
-                known[1], known[2] = align(known[1], stream), known[2] + 1
+                known[1], known[2] = align(known[1], stream), add_facts(known[2], facts)
             if len(folded) > MOST_HOSTS:
                 yield rows()
                 folded.clear()
@@ -385,29 +444,31 @@ def _partial_wrappers(batches):
 
 
 def _merge(rows: pa.Table):
-    wrapper, pages = None, 0
+    wrapper, facts = None, {"pages": [0, 0], "marks": [[], []], "paths": {}}
     for text in sorted(rows.column("wrapper").to_pylist()):
         items = json.loads(text)
         wrapper = items if wrapper is None else align(wrapper, items)
-    return wrapper or [], sum(rows.column("pages").to_pylist())
+    for text in rows.column("facts").to_pylist():
+        add_facts(facts, json.loads(text))
+    return wrapper or [], facts
 
 
 def _merge_part(key: tuple, rows: pa.Table) -> pa.Table:
-    wrapper, pages = _merge(rows)
+    wrapper, facts = _merge(rows)
     return pa.Table.from_arrays(
-        [pa.array([key[0].as_py()]), pa.array([key[1].as_py()], pa.int32()), pa.array([json.dumps(wrapper)]), pa.array([pages])],
+        [pa.array([key[0].as_py()]), pa.array([key[1].as_py()], pa.int32()), pa.array([json.dumps(wrapper)]), pa.array([json.dumps(facts)])],
         schema=WRAPPERS,
     )
 
 
 def _merge_host(key: tuple, rows: pa.Table) -> pa.Table:
-    wrapper, pages = _merge(rows)
+    wrapper, facts = _merge(rows)
     return pa.table(
         {
             "host": pa.array([key[0].as_py()]),
             "wrapper": pa.array([json.dumps(wrapper)]),
-            "pages": pa.array([pages], pa.int64()),
-            "paths": pa.array([content_paths(wrapper, pages)], pa.list_(pa.string())),
+            "pages": pa.array([sum(facts["pages"])], pa.int64()),
+            "paths": pa.array([content_paths(wrapper, facts)], pa.list_(pa.string())),
         }
     )
 
@@ -433,7 +494,7 @@ def host_of(url):
 def infer_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     """``host, wrapper`` (JSON), ``pages, paths`` (of the article's slots) per host."""
     rows = pages.select(host_of(F.col(url)).alias("host"), F.coalesce(F.col(page), F.lit("")).alias("html"))
-    ddl = "host string, part int, wrapper string, pages long"
+    ddl = "host string, part int, wrapper string, facts string"
     partial = rows.mapInArrow(_partial_wrappers, ddl)
     merged = partial.groupBy("host", "part").applyInArrow(_merge_part, ddl)
     return merged.groupBy("host").applyInArrow(_merge_host, "host string, wrapper string, pages long, paths array<string>")

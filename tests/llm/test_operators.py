@@ -353,6 +353,16 @@ def test_pages_with_nested_and_mixed_elements(spark):
     assert texts_of(spark, *apart) == ["One", "2"]
 
 
+def test_each_page_is_judged_by_itself(spark):
+    box = [f"<body><div><p>Box {i}</div><section><p>Always</section></body>" for i in range(3)]
+    pages = ["<body><article><p>Art</article></body>", *box]
+    assert texts_of(spark, *pages, url=None) == ["Art", "Box 0", "Box 1", "Box 2"]
+    assert texts_of(spark, "<article><p>Only</p></article>", "<p>no <<< tags > here", url="http://A.com/3")[1] == "no <<< tags > here"
+    once = [f"<body><p>Text {i}</p>{'<blockquote>Said once</blockquote>' if i == 1 else ''}</body>" for i in range(4)]
+    assert texts_of(spark, *once) == ["Text 0", "Text 1\nSaid once", "Text 2", "Text 3"]
+    assert texts_of(spark, *["<body><p>Same page</body>"] * 4) == ["Same page"] * 4
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
