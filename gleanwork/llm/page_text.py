@@ -52,6 +52,13 @@ NOISE_WORDS = set(
     "reply replies respond newsletter subscribe login signup footer header masthead toolbar widget pagination".split()
 )
 ARTICLE_WORDS = set("content article post entry story main".split())
+#: Names with one of these say how a page looks: has-sidebar, no-cookie, ad-free, comments-open.
+STATE_WORDS = set(
+    "has have with without no not non is free off on less open closed enabled disabled active hidden visible layout template".split()
+)
+#: What may stand around an article and is never noise by its names, or not for an article in it.
+WHOLE = set("html body main article".split())
+AROUND = set("form fieldset".split())
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -65,11 +72,11 @@ WORDS = re.compile(r"[a-z]+")
 
 
 def label(tag: str, attributes: str) -> str:
-    """The tag with the words of its class, id and role; digits don't count."""
+    """The tag with the names of its class, id and role, their words joined by ``-``; digits don't count."""
     if "=" not in attributes:
         return tag
-    words = [w for found in NAMES.findall(attributes) for w in WORDS.findall("".join(found).lower())]
-    return tag + "." + ".".join(dict.fromkeys(words)) if words else tag
+    names = ["-".join(WORDS.findall(name)) for found in NAMES.findall(attributes) for name in "".join(found).lower().split()]
+    return ".".join([tag, *(name for name in dict.fromkeys(names) if name)])
 
 
 def parse(page: str):
@@ -366,22 +373,42 @@ def slots(items: list):
             yield from slots(item[1])
 
 
+def names_noise(names: list[str]) -> bool:
+    """Whether a name begins or ends with a noise word and is not the name of a state."""
+    for name in names:
+        words = name.split("-")
+        if (words[0] in NOISE_WORDS or words[-1] in NOISE_WORDS) and STATE_WORDS.isdisjoint(words):
+            return True
+    return False
+
+
 def is_noise(name: str) -> bool:
-    tag, *words = name.split(".")
-    return tag in NOT_ARTICLE or tag in HIDDEN or any(w in NOISE_WORDS for w in words)
+    tag, *names = name.split(".")
+    return tag in NOT_ARTICLE or tag in HIDDEN or tag not in WHOLE and names_noise(names)
 
 
 def is_article(name: str) -> bool:
-    tag, *words = name.split(".")
-    return tag in ARTICLE or any(w in ARTICLE_WORDS for w in words)
+    tag, *names = name.split(".")
+    return tag in ARTICLE or tag not in WHOLE and any(w in ARTICLE_WORDS for n in names for w in n.split("-"))
 
 
 def path_kind(path: str) -> str:
-    """``article`` in an article container, ``noise`` in menus, headers and the like, else ``plain``."""
-    names = path.split("/")[1:]
-    if any(map(is_noise, names)):
+    """``article`` in an article container, ``noise`` in menus, headers and the like, else ``plain``.
+
+    An article element outweighs forms and noisy names around it, not those in it, unless its own name is
+    noisy, as that of a comment is. Other containers in noisy names are ``plain``.
+    """
+    tags = path.split("/")[1:]
+    if not any(map(is_noise, tags)):
+        return "article" if any(map(is_article, tags)) else "plain"
+    last = max(at for at, name in enumerate(tags) if is_noise(name))
+    around = [name.split(".")[0] for name in tags[: last + 1]]
+    if any((tag in NOT_ARTICLE or tag in HIDDEN) and tag not in AROUND for tag in around):
         return "noise"
-    return "article" if any(map(is_article, names)) else "plain"
+    inner = [name for name in tags[last + 1 :] if is_article(name) and not names_noise(name.split(".")[1:])]
+    if any(name.split(".")[0] in ARTICLE for name in inner):
+        return "article"
+    return "plain" if inner else "noise"
 
 
 def content_paths(wrapper: list, facts: dict) -> list[str]:

@@ -363,6 +363,23 @@ def test_each_page_is_judged_by_itself(spark):
     assert texts_of(spark, *["<body><p>Same page</body>"] * 4) == ["Same page"] * 4
 
 
+def test_names_of_states_are_no_noise(spark):
+    pages = [
+        "<body class='post-template has-sidebar'><p>a<div class=sidebar>no</div></body>",
+        "<html class='no-cookie'><body><p>b</body></html>",
+        "<body><div class='content with-comments'><p>c</div></body>",
+        "<body><article class='post ad-free'><p>d</article></body>",
+        "<body><div class='banner'><article><p>e<div class='share-box'>no</div></article></div></body>",
+        "<body><form id=page><main>f</main></form></body>",
+        "<body><p>g<ol class=comments><li><article class='comment-body'>no</article></ol></body>",
+        "<body><div class='promo'><div class='post'>h</div></div></body>",
+        "<body><div class='site-footer'>no</div><nav><article>no</article></nav><p>i</body>",
+    ]
+    alone = [(i, f"http://{i}.com/", p) for i, p in enumerate(pages)]
+    frame = spark.createDataFrame(alone, "page_id long, url string, html string")
+    assert [r.text for r in page_text.page_texts(frame).orderBy("page_id").collect()] == list("abcdefghi")
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
