@@ -4,7 +4,9 @@ Tokens are words (A-Z in lower case) and one end mark per document; a document b
 the end mark. One pass over the training documents counts words and pairs of words, summed up per task
 before the shuffle. Counts are quantised on a scale of powers of ``BASE``: a word, pair or context with
 level q puts the q keys (it, 1) ... (it, q) into the filter, and a reader probes 1, 2, ... until a key is
-missing. The filter is built in blocks of 512 KiB by as many tasks as it needs, and sent to the workers.
+missing. The filter is built in blocks of 512 KiB by as many tasks as it needs, and sent to the workers, or,
+where it is larger than ``MOST_BITS``, stays in its blocks: the distinct grams of all documents are then
+dealt to their blocks and probed there, and their levels joined back.
 
 Score of a token: ``a(h) * count(h, w) / mass(h) + (1 - a(h)) * p(w)``. Pairs seen once are left to
 ``p``; ``mass`` is the sum of the quantised pair counts of the context, rounded up, and ``a`` is 0.9 of
@@ -12,8 +14,7 @@ the share of its occurrences that such pairs cover. ``p`` is the quantised count
 the share of words seen once set aside for the unknown word. So probabilities over the known words and
 one unknown word add up to 1 at most, but for false hits of the filter.
 
-Bounds: the filter has ``BITS`` bits per key and ``MOST_BITS`` at most (beyond it keys share bits and the
-rate of false hits grows; none is dropped). Exact counts for the base score: the most frequent words, at
+Bounds: the filter has ``BITS`` bits per key at every size; at most ``MOST_BITS`` are sent out. Exact counts for the base score: the most frequent words, at
 most ``HEAD``, are sent to the workers; all others are joined by word.
 """
 
@@ -203,21 +204,99 @@ def _fill(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([bits.tobytes()])})
 
 
+def _probe_rows(blocks: int, schema: pa.Schema):
+    def run(batches):
+        for batch in batches:
+            key, kind = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            hashes = np.zeros(len(key), np.uint64)
+            for value in (WORDS, PAIRS, CONTEXTS):
+                chosen = kind == value
+                hashes[chosen] = gram_hash(key[chosen], value)
+            arrays = [block_of(hashes, blocks).astype(np.int32), kind.astype(np.int32), key, hashes.view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], schema=schema)
+
+    return run
+
+
+def _probe_block(key: tuple, asked: pa.Table, block: pa.Table) -> pa.Table:
+    hashes = asked.column("hash").to_numpy().view(np.uint64)
+    levels = np.zeros(len(hashes), np.int32)
+    if block.num_rows and len(hashes):
+        bits = np.frombuffer(block.column("bits")[0].as_py(), np.uint8)
+        levels = probe(bits, 1, hashes).astype(np.int32)
+    return pa.table({"kind": asked.column("kind"), "key": asked.column("key"), "level": pa.array(levels, pa.int32())})
+
+
+def _far_scores(scored: DataFrame, built: DataFrame, blocks: int, facts: dict) -> DataFrame:
+    """``row_no, score`` by a filter that stays in its blocks: the value of a token depends on its pair alone,
+    so each distinct pair is valued once."""
+    counted = F.explode(F.arrays_zip("pair_keys", "pair_counts")).alias("pair")
+    pairs = scored.select("row_no", counted).select("row_no", F.col("pair.pair_keys").alias("key"), F.col("pair.pair_counts").alias("n"))
+    distinct = materialise(pairs.select("key").distinct(), "lm-pairs")
+    before, word = F.shiftrightunsigned("key", 32), F.col("key").bitwiseAND(F.lit(0xFFFFFFFF))
+    words = distinct.select(F.explode(F.array(before, word)).alias("key")).distinct()
+    asked = distinct.select("key", F.lit(PAIRS).alias("kind")).unionByName(
+        words.select("key", F.explode(F.array(F.lit(WORDS), F.lit(CONTEXTS))).alias("kind"))
+    )
+    schema = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("key", pa.int64()), ("hash", pa.int64())])
+    hashed = asked.mapInArrow(_probe_rows(blocks, schema), "block int, kind int, key long, hash long")
+    levels = materialise(
+        hashed.groupBy("block").cogroup(built.groupBy("block")).applyInArrow(_probe_block, "kind int, key long, level int"),
+        "lm-levels",
+    )
+
+    def at(values, level):
+        return F.element_at(F.array(*[F.lit(float(x)) for x in values]), F.col(level) + 1)
+
+    known = levels.where(F.col("kind") != PAIRS).groupBy("key").agg(
+        F.max(F.when(F.col("kind") == WORDS, F.col("level"))).alias("level"),
+        F.max(F.when(F.col("kind") == CONTEXTS, F.col("level"))).alias("context"),
+    )
+    share = F.lit(TRUST) * F.least(F.lit(1.0), at(SCALE, "context") / F.greatest(at(SCALE, "level"), F.lit(1.0)))
+    by_word = known.select(
+        F.col("key").alias("word"),
+        F.when(F.col("level") > 0, F.lit(1 - facts["unseen"]) * at(SCALE, "level") / F.lit(facts["spread"]))
+        .otherwise(F.lit(facts["unseen"]))
+        .alias("p"),
+    )
+    by_context = known.select(
+        F.col("key").alias("before"),
+        F.when(F.col("context") > 0, share).otherwise(F.lit(0.0)).alias("a"),
+        at([BASE**level for level in range(LEVELS)], "context").alias("mass"),
+    )
+    likely = F.least(F.lit(1.0), at(SCALE, "level") / F.col("mass"))
+    values = (
+        levels.where(F.col("kind") == PAIRS)
+        .select("key", "level", before.alias("before"), word.alias("word"))
+        .join(by_word, "word")
+        .join(by_context, "before")
+        .select("key", F.log10(F.col("a") * likely + (1 - F.col("a")) * F.col("p")).alias("value"))
+    )
+    return pairs.join(values, "key").groupBy("row_no").agg(F.sum(F.col("n") * F.col("value")).alias("score"))
+
+
 def _score(filter_bytes, head, blocks: int, facts: dict, kind: pa.DataType):
-    """``head``: counts of the most frequent words. Both values are broadcast."""
+    """``head``: counts of the most frequent words. Both values are broadcast; without a filter rows get their
+    distinct pairs instead of a score."""
+    far = filter_bytes is None
     out = pa.schema(
         [
             ("row_no", pa.int64()), ("doc_id", kind), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
             ("head_known", pa.int64()), ("head_base", pa.float64()), ("score", pa.float64()),
             ("rare", pa.list_(pa.string())),
         ]
+        + [("pair_keys", pa.list_(pa.int64())), ("pair_counts", pa.list_(pa.int64()))] * far
     )
     scale = np.asarray(SCALE)
     ceiling = np.power(BASE, np.arange(LEVELS))
     unit = math.log10(facts["total"] + facts["distinct"] + 1)
 
     def run(batches):
-        bits, counts = np.frombuffer(filter_bytes.value, np.uint8), head.value
+        bits, counts = None if far else np.frombuffer(filter_bytes.value, np.uint8), head.value
+
+        def level_of(hashes):
+            return np.zeros(len(hashes), np.int64) if far else probe(bits, blocks, hashes)
+
         ids = _Ids()
         known = {"hash": np.zeros(0, np.uint64), "p": np.zeros(0), "a": np.zeros(0), "mass": np.ones(0), "c": np.zeros(0)}
         for rows, words, ends in _chunks(batches, 3):
@@ -228,8 +307,8 @@ def _score(filter_bytes, head, blocks: int, facts: dict, kind: pa.DataType):
             at = len(known["hash"])
             if at < len(ids.words):
                 fresh = np.asarray(ids.hashes[at:], np.uint64)
-                count = scale[probe(bits, blocks, gram_hash(fresh, WORDS))]
-                level = probe(bits, blocks, gram_hash(fresh, CONTEXTS))
+                count = scale[level_of(gram_hash(fresh, WORDS))]
+                level = level_of(gram_hash(fresh, CONTEXTS))
                 p = np.where(count > 0, (1 - facts["unseen"]) * count / facts["spread"], facts["unseen"])
                 share = TRUST * np.minimum(1.0, scale[level] / np.maximum(count, 1.0))
                 exact = np.fromiter((counts.get(word, 0) for word in ids.words[at:]), np.int64, len(fresh))
@@ -239,7 +318,7 @@ def _score(filter_bytes, head, blocks: int, facts: dict, kind: pa.DataType):
             linked = np.flatnonzero(known["a"][before] > 0)
             keys = (known["hash"][before[linked]] << np.uint64(32)) | known["hash"][numbers[linked]]
             pair = np.zeros(len(numbers))
-            pair[linked] = scale[probe(bits, blocks, gram_hash(keys, PAIRS))] / known["mass"][before[linked]]
+            pair[linked] = scale[level_of(gram_hash(keys, PAIRS))] / known["mass"][before[linked]]
             a = known["a"][before]
             value = np.log10(a * np.minimum(pair, 1.0) + (1 - a) * known["p"][numbers])
             exact = known["c"][numbers]
@@ -259,6 +338,11 @@ def _score(filter_bytes, head, blocks: int, facts: dict, kind: pa.DataType):
                 pa.array(np.add.reduceat(value, starts)),
                 rare,
             ]
+            if far:
+                keys = ((known["hash"][before] << np.uint64(32)) | known["hash"][numbers]).view(np.int64)
+                own = [np.unique(keys[a:b], return_counts=True) for a, b in zip(starts, ends)]
+                edges = pa.array(np.cumsum([0, *(len(k) for k, _ in own)]).astype(np.int32))
+                columns += [pa.ListArray.from_arrays(edges, pa.array(np.concatenate(x))) for x in zip(*own)]
             yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     return run
@@ -328,17 +412,20 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
         .unionByName(context_mass.select("key", F.lit(CONTEXTS).alias("kind"), upper.alias("level")))
     )
     keys = entries.agg(F.sum("level")).first()[0] or 0
-    blocks = max(1, min(MOST_BITS, keys * BITS) + (1 << BLOCK_BITS) - 1 >> BLOCK_BITS)
+    blocks = max(1, keys * BITS + (1 << BLOCK_BITS) - 1 >> BLOCK_BITS)
+    far = blocks << BLOCK_BITS > MOST_BITS
     hashed = entries.mapInArrow(
         _hash_rows(blocks, pa.schema([("block", pa.int32()), ("hash", pa.int64()), ("level", pa.int32())])),
         "block int, hash long, level int",
     )
     built = hashed.groupBy("block").applyInArrow(_fill, "block int, bits binary")
-    bits = bytearray(blocks << (BLOCK_BITS - 3))
-    for row in built.toLocalIterator():
-        at = row["block"] << (BLOCK_BITS - 3)
-        bits[at : at + len(row["bits"])] = row["bits"]
-    sent, head = spark.sparkContext.broadcast(bytes(bits)), spark.sparkContext.broadcast(counts)
+    sent, head = None, spark.sparkContext.broadcast(counts)
+    if not far:
+        bits = bytearray(blocks << (BLOCK_BITS - 3))
+        for row in built.toLocalIterator():
+            at = row["block"] << (BLOCK_BITS - 3)
+            bits[at : at + len(row["bits"])] = row["bits"]
+        sent = spark.sparkContext.broadcast(bytes(bits))
 
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -350,6 +437,7 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
             T.StructField("head_known", T.LongType()), T.StructField("head_base", T.DoubleType()),
             T.StructField("score", T.DoubleType()), T.StructField("rare", T.ArrayType(T.StringType())),
         ]
+        + [T.StructField(name, T.ArrayType(T.LongType())) for name in ("pair_keys", "pair_counts") if far]
     )
     scored = materialise(
         rows.mapInArrow(_score(sent, head, blocks, facts, to_arrow_type(id_type)), schema), "lm-scores"
@@ -363,7 +451,10 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
             F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - F.lit(math.log10(total + distinct + 1))).alias("rare_base"),
         )
     )
-    return scored.drop("rare").join(rare, "row_no", "left").select(
+    plain = scored.drop("rare", "pair_keys", "pair_counts")
+    if far:
+        plain = plain.drop("score").join(_far_scores(scored, built, blocks, facts), "row_no", "left")
+    return plain.join(rare, "row_no", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

@@ -194,6 +194,19 @@ def test_bloom_scores(docs, rows, nothing):
     assert bloom_lm.bloom_scores(nothing, held).count() == 0
 
 
+def test_a_filter_that_stays_in_its_blocks_scores_alike(docs, nothing, monkeypatch):
+    held = F.coalesce(F.col("doc_id") % 4 == 1, F.lit(False))
+    monkeypatch.setattr(bloom_lm, "BLOCK_BITS", 12)
+
+    def scores(most):
+        monkeypatch.setattr(bloom_lm, "MOST_BITS", most)
+        out = bloom_lm.bloom_scores(docs, held)
+        assert bloom_lm.bloom_scores(nothing, held).count() == 0
+        return sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in out.collect())
+
+    assert scores(1 << 12) == scores(1 << 31)
+
+
 def test_filter_has_no_misses_and_few_false_hits():
     hashes = bloom_lm.gram_hash(np.arange(20000, dtype=np.uint64), bloom_lm.PAIRS)
     levels = np.random.default_rng(0).integers(1, 6, 20000)
