@@ -8,9 +8,9 @@ missing. The filter is built in blocks of 512 KiB by as many tasks as it needs,
 where it is larger than ``MOST_BITS``, stays in its blocks: the distinct grams of all documents are then
 dealt to their blocks and probed there, and their levels joined back.
 
-Score of a token: ``a(h) * count(h, w) / mass(h) + (1 - a(h)) * p(w)``. Pairs seen once are left to
-``p``; ``mass`` is the sum of the quantised pair counts of the context, rounded up, and ``a`` is 0.9 of
-the share of its occurrences that such pairs cover. ``p`` is the quantised count over the sum of all, with
+Score of a token: ``a(h) * count(h, w) / mass(h) + (1 - a(h)) * p(w)``. Pairs seen once count
+too, on level 1; ``mass`` is the sum of the quantised pair counts of the context, rounded up, and ``a`` is 0.9 of
+the share of its occurrences that the quantised pairs cover. ``p`` is the quantised count over the sum of all, with
 the share of words seen once set aside for the unknown word. So probabilities over the known words and
 one unknown word add up to 1 at most, but for false hits of the filter.
 
@@ -367,9 +367,7 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
         full_text(text).alias("text"),
     )
     counted = rows.where(~F.col("held_out")).select("text").mapInArrow(_count_grams, "word string, key long, n long")
-    grams = materialise(
-        counted.groupBy("word", "key").agg(F.sum("n").alias("n")).where("word IS NOT NULL OR n > 1"), "lm-grams"
-    )
+    grams = materialise(counted.groupBy("word", "key").agg(F.sum("n").alias("n")), "lm-grams")
     vocabulary = grams.where("word IS NOT NULL").select("word", "key", "n")
     pairs = grams.where("word IS NULL").select("key", "n")
     middle = F.element_at(F.array(*[F.lit(x) for x in SCALE[1:]]), F.col("level"))

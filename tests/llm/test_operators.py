@@ -194,6 +194,14 @@ def test_bloom_scores(docs, rows, nothing):
     assert bloom_lm.bloom_scores(nothing, held).count() == 0
 
 
+def test_pairs_seen_once_are_evidence(spark):
+    words = [f"w{i}" for i in range(40)]
+    texts = {0: " ".join(words), 1: " ".join(words[5:15]), 2: " ".join(words[14:4:-1])}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    score = {r.doc_id: r.score for r in bloom_lm.bloom_scores(frame, F.col("doc_id") > 0).collect()}
+    assert score[1] > score[2] + 5
+
+
 def test_a_filter_that_stays_in_its_blocks_scores_alike(docs, nothing, monkeypatch):
     held = F.coalesce(F.col("doc_id") % 4 == 1, F.lit(False))
     monkeypatch.setattr(bloom_lm, "BLOCK_BITS", 12)
