@@ -1,14 +1,16 @@
 """Chat formatting by quotation linking.
 
 Lines that begin with ``>`` are quotes, one level per mark. What stands together on a level is a passage;
-passages are normalised (marks off, white space to one blank, lower case) and hashed. A message's own
-paragraphs are hashed alike. A quoted passage belongs to the message that wrote it first: in the same
-conversation before the quoting message, or else anywhere before it by (conversation, turn). A message
+passages are normalised (marks off, white space to one blank, lower case) and hashed, and so are their lines
+and sentences and the paragraphs, lines and sentences that a message wrote itself. Such a unit belongs to
+the message that wrote it first: in the same conversation before the quoting message, or else anywhere
+before it by (conversation, turn). A passage that nobody wrote as one unit belongs to the message that wrote
+at least half of it in lines or in sentences, the most of all. Parts of a line or sentence are not found. A message
 replies to the latest message that it quotes on level 1, and threads follow these replies up to a message
 that replies to none.
 
-First writers are found by minima that are taken before the shuffle, one row per passage, and joined to
-the quotes, so a passage in very many messages makes no pairs among them.
+First writers are found by minima that are taken before the shuffle, one row per unit, and joined to
+the quotes by hash and text, so a unit in very many messages makes no pairs among them.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from gleanwork.workspace import materialise
 
 MARKS = r"^((?:[ \t]*>)+)[ \t]?"
 ATTRIBUTION = r"^[ \t]*(On|Am|Le|El) .*(wrote|schrieb|écrit|escribió)[^:\n]*:[ \t]*$"
+SENTENCES = r"(?<=[.!?]) "
+WHOLE, LINE, SENTENCE = 0, 1, 2
 
 
 def normal_passage(text: Column) -> Column:
@@ -28,9 +32,11 @@ def normal_passage(text: Column) -> Column:
 
 
 def _quoted_passages(quoting: DataFrame) -> DataFrame:
-    """``conv_id, turn, level, passage``: runs of quoted lines on one level; blank lines part passages."""
-    lines = quoting.select(
-        "conv_id", "turn", F.monotonically_increasing_id().alias("message"), F.posexplode(F.split("body", "\n")).alias("at", "line")
+    """``conv_id, turn, level, passage, lines``: runs of quoted lines on one level; blank lines part passages."""
+    # The number is given before the split: beside it each line would get one.
+    numbered_messages = quoting.select("conv_id", "turn", "body", F.monotonically_increasing_id().alias("message"))
+    lines = numbered_messages.select(
+        "conv_id", "turn", "message", F.posexplode(F.split("body", "\n")).alias("at", "line")
     ).select(
         "conv_id",
         "turn",
@@ -49,9 +55,11 @@ def _quoted_passages(quoting: DataFrame) -> DataFrame:
     return (
         numbered.where("level > 0")
         .groupBy("message", "run", "conv_id", "turn", "level")
-        .agg(F.array_join(F.transform(ordered, lambda x: x["body"]), " ").alias("passage"))
-        .select("conv_id", "turn", "level", normal_passage(F.col("passage")).alias("passage"))
+        .agg(F.transform(ordered, lambda x: normal_passage(x["body"])).alias("lines"))
+        .select("conv_id", "turn", "level", normal_passage(F.array_join("lines", " ")).alias("passage"), "lines")
         .where("passage <> ''")
+        .groupBy("conv_id", "turn", "level", "passage")
+        .agg(F.max("lines").alias("lines"))
     )
 
 
@@ -61,9 +69,20 @@ def unquoted(text: Column) -> Column:
     return F.when(text.rlike(r"(?m)^[ \t]*>"), F.regexp_replace(F.array_join(own, "\n"), r"^\s+|\s+$", "")).otherwise(text)
 
 
-def _own_passages(text: Column) -> Column:
-    """Paragraphs of the text without quotes; of a text without quotes they are cheap to split."""
-    return F.transform(F.split(unquoted(text), r"\n[ \t]*\n"), normal_passage)
+def _own_units(own: Column) -> Column:
+    """Paragraphs, lines and sentences of a text without quotes, each once."""
+    paragraphs = F.transform(F.split(own, r"\n[ \t]*\n"), normal_passage)
+    lines = F.transform(F.split(own, "\n"), normal_passage)
+    sentences = F.flatten(F.transform(paragraphs, lambda text: F.split(text, SENTENCES)))
+    return F.array_distinct(F.concat(paragraphs, lines, sentences))
+
+
+def _quoted_units() -> Column:
+    def units(kind, texts):
+        return F.transform(texts, lambda text: F.struct(F.lit(kind).alias("kind"), text.alias("unit")))
+
+    passage = F.col("passage")
+    return F.concat(units(WHOLE, F.array(passage)), units(LINE, F.col("lines")), units(SENTENCE, F.split(passage, SENTENCES)))
 
 
 def link_messages(
@@ -85,33 +104,47 @@ def link_messages(
     )
     placed = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL")
     quoting = placed.where(F.col("body").rlike(r"(?m)^[ \t]*>"))
-    quotes = materialise(
-        _quoted_passages(quoting).distinct(),
-        "chat-quotes",
+    quotes = materialise(_quoted_passages(quoting), "chat-quotes")
+    passage = ["conv_id", "turn", "level", "passage"]
+    parts = (
+        quotes.select(*passage, F.explode(_quoted_units()).alias("part"))
+        .select(*passage, "part.*", F.xxhash64("part.unit").alias("mark"))
+        .where("unit <> ''")
     )
-    wanted = quotes.select("passage").distinct()
+    wanted = parts.select("mark", "unit").distinct()
     written = (
-        placed.select("conv_id", "turn", F.explode(_own_passages(F.col("body"))).alias("passage"))
-        .where("passage <> ''")
-        .groupBy(F.xxhash64("passage").alias("mark"), "passage", "conv_id")
+        placed.select("conv_id", "turn", unquoted(F.col("body")).alias("own"))
+        .select("conv_id", "turn", F.explode(_own_units(F.col("own"))).alias("unit"))
+        .where("unit <> ''")
+        .groupBy(F.xxhash64("unit").alias("mark"), "unit", "conv_id")
         .agg(F.min("turn").alias("turn"))
     )
-    origins = materialise(written.join(wanted, "passage", "left_semi").drop("mark"), "chat-origins")
-    first = origins.groupBy("passage").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    own = origins.select("passage", "conv_id", F.col("turn").alias("own_turn"))
-    found = (
-        quotes.join(own, ["passage", "conv_id"], "left")
-        .join(first, "passage", "left")
+    origins = materialise(written.join(wanted, ["mark", "unit"], "left_semi"), "chat-origins")
+    first = origins.groupBy("mark", "unit").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    own = origins.select("mark", "unit", "conv_id", F.col("turn").alias("own_turn"))
+    placed_parts = (
+        parts.join(own, ["mark", "unit", "conv_id"], "left")
+        .join(first, ["mark", "unit"], "left")
         .select(
-            "conv_id",
-            "turn",
-            "level",
-            "passage",
+            *passage,
+            "kind",
+            F.length("unit").alias("size"),
             F.when(F.col("own_turn") < F.col("turn"), F.struct("conv_id", F.col("own_turn").alias("turn")))
             .when(F.col("first") < F.struct("conv_id", "turn"), F.col("first"))
             .alias("origin"),
         )
     )
+    # Line breaks and blanks between units are no one's: shares are of what the units hold.
+    held = Window.partitionBy(*passage, "kind")
+    writers = (
+        placed_parts.groupBy(*passage, "kind", "origin")
+        .agg(F.sum("size").alias("size"))
+        .withColumn("share", F.col("size") / F.sum("size").over(held))
+        .where("origin IS NOT NULL AND share >= 0.5")
+        .groupBy(*passage)
+        .agg(F.max(F.struct(F.col("kind") == WHOLE, "share", "origin")).getField("origin").alias("origin"))
+    )
+    found = quotes.select(*passage).join(writers, passage, "left")
     replies = materialise(
         found.groupBy("conv_id", "turn").agg(
             F.count(F.lit(1)).alias("quotes"),

@@ -37,6 +37,26 @@ def test_long_chains_end_at_the_first_message(spark):
     assert [(r[1], r[8], r[9]) for r in out] == [(i, 0, i) for i in range(40)]
 
 
+def test_parts_of_paragraphs_link(spark):
+    rows = [
+        row(1, 0, "Where is\nthe key?\n\nI lost it. It was red.\nIt shone"),
+        row(1, 1, "> the key?\nUnder the mat."),
+        row(1, 2, "> I lost\n> it.\nNo."),
+        row(1, 3, "> Where is\n> the key?\n> I lost it. It was red.\n> It shone\nBoth."),
+        row(1, 4, "> the key?\n> that a stranger dropped into the deep lake\nMostly not."),
+        row(1, 5, "> Under the mat.\n> I lost it. It was red.\nMixed."),
+    ]
+    got = {r[1]: (r[3], r[4], r[5], r[6]) for r in linked(spark, rows)}
+    assert got == {
+        0: (0, 0, None, None),
+        1: (1, 1, 1, 0),
+        2: (1, 1, 1, 0),
+        3: (1, 1, 1, 0),
+        4: (1, 0, None, None),
+        5: (1, 1, 1, 0),
+    }
+
+
 def test_odd_rows(spark):
     rows = [
         row(None, 0, "hello"),
