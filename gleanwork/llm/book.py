@@ -2,6 +2,7 @@
 
 from gleanwork.llm import (
     bloom_lm,
+    divergence,
     exact_dedup,
     fingerprints,
     mixing,
@@ -15,6 +16,7 @@ from gleanwork.llm import (
 
 MODULES = (
     packing, toxicity, exact_dedup, fingerprints, mixing, page_text, quotation, quality, ngram_join, bloom_lm,
+    divergence,
 )
 
 BOOK = {name: pair for module in MODULES for name, pair in module.BOOK.items()}
