@@ -12,11 +12,12 @@ from gleanwork.llm import (
     quality,
     quotation,
     toxicity,
+    whitening,
 )
 
 MODULES = (
     packing, toxicity, exact_dedup, fingerprints, mixing, page_text, quotation, quality, ngram_join, bloom_lm,
-    divergence,
+    whitening, divergence,
 )
 
 BOOK = {name: pair for module in MODULES for name, pair in module.BOOK.items()}
