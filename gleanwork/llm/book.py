@@ -11,13 +11,14 @@ from gleanwork.llm import (
     page_text,
     quality,
     quotation,
+    repeats,
     toxicity,
     whitening,
 )
 
 MODULES = (
     packing, toxicity, exact_dedup, fingerprints, mixing, page_text, quotation, quality, ngram_join, bloom_lm,
-    whitening, divergence,
+    repeats, whitening, divergence,
 )
 
 BOOK = {name: pair for module in MODULES for name, pair in module.BOOK.items()}
