@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gleanwork.llm.byte_words import find_runs, pack, slices, text_bytes
 from gleanwork.llm.common import full_text, table
 from gleanwork.workspace import materialise
 
@@ -40,33 +41,6 @@ COUNTS = pa.schema(
 )
 
 
-def find_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, length and text number of each term; text i is ``data[offsets[i]:offsets[i + 1]]``."""
-    letter = LETTER[data]
-    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
-    before[1:], after[:-1] = letter[:-1], letter[1:]
-    borders = offsets[(offsets > 0) & (offsets < len(data))]
-    before[borders] = False
-    after[borders - 1] = False
-    starts = np.flatnonzero(letter & ~before)
-    lengths = np.flatnonzero(letter & ~after) + 1 - starts
-    return starts, lengths, np.searchsorted(offsets, starts, "right") - 1
-
-
-def pack(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, words: int) -> list[np.ndarray]:
-    """The bytes of terms of at most ``8 * words`` bytes as that many 64-bit words, padded with zeros."""
-    padded = np.concatenate([data, np.zeros(8 * words + 8, np.uint8)])
-    at_each = np.ndarray((len(padded) - 7,), ">u8", padded, strides=(1,))
-    packed = []
-    for i in range(words):
-        left = np.clip(lengths - 8 * i, 0, 8)
-        word = at_each[starts + 8 * i].astype(np.uint64)
-        # A shift by 64 is not defined, so nothing is shifted out in two steps.
-        word = (word >> (4 * (8 - left)).astype(np.uint64)) >> (4 * (8 - left)).astype(np.uint64)
-        packed.append((word << (4 * (8 - left)).astype(np.uint64)) << (4 * (8 - left)).astype(np.uint64))
-    return packed
-
-
 def radix_order(keys: list[np.ndarray]) -> np.ndarray:
     """The stable order by the keys, the last one first in rank; numpy sorts 16 bits by radix."""
     order = np.arange(len(keys[0]))
@@ -93,7 +67,8 @@ def count_runs(keys: list[np.ndarray], texts: np.ndarray) -> tuple[np.ndarray, n
 
 def count_terms(data: np.ndarray, offsets: np.ndarray, groups: np.ndarray):
     """``(groups, terms, occurrences, texts)`` of each bucket of terms; ``groups`` numbers the texts' groups."""
-    starts, lengths, texts = find_terms(data, offsets)
+    starts, lengths = find_runs(LETTER, data, offsets)
+    texts = np.searchsorted(offsets, starts, "right") - 1
     data = LOWER[data]
     bits = np.frexp(np.maximum(lengths - 1, 7))[1]  # 3: up to 8 bytes, 4: up to 16, ...
     for size_bits in np.unique(bits):
@@ -122,22 +97,11 @@ def count_terms(data: np.ndarray, offsets: np.ndarray, groups: np.ndarray):
         yield group[order][first], terms.tolist(), n, docs
 
 
-def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a column without nulls."""
-    wide = pa.types.is_large_string(column.type)
-    _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1]
-    offsets = offsets.astype(np.int64)
-    size = int(offsets[-1] - offsets[0])
-    data = np.frombuffer(data, np.uint8, size, int(offsets[0])) if size else np.zeros(0, np.uint8)
-    return data, offsets - offsets[0]
-
-
 def _count_batches(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        data, offsets = _texts(batch.column(2))
+        data, offsets = text_bytes(batch.column(2))
         numbers: dict[tuple, int] = {}
         pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
         groups = np.asarray([numbers.setdefault(pair, len(numbers)) for pair in pairs], np.int64)
@@ -155,15 +119,12 @@ def _count_batches(batches):
         )
         langs = pa.array([lang for lang, _ in names], pa.string())
         sources = pa.array([source for _, source in names], pa.string())
-        row = 0
-        while row < batch.num_rows:
-            end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, "right")) - 1)
+        for row, end in slices(offsets, SLICE_BYTES):
             part = data[offsets[row] : offsets[end]]
             for group, terms, n, docs in count_terms(part, offsets[row : end + 1] - offsets[row], groups[row:end]):
                 at = pa.array(group)
                 columns = [langs.take(at), sources.take(at), pa.array(terms, pa.binary()), pa.array(n), pa.array(docs)]
                 yield pa.RecordBatch.from_arrays(columns, schema=COUNTS)
-            row = end
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:

@@ -25,21 +25,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanwork.llm.byte_words import NO_SPACE, find_runs, hash_runs, pack, slices, text_bytes
 from gleanwork.llm.common import full_text, split_words, table
-from gleanwork.llm.shingles import mix, word_hashes
+from gleanwork.llm.shingles import mix
 from gleanwork.workspace import materialise
 
 WIDTH = 13
 ANCHOR = 5
 WORD_BYTES = 5
-#: Anchors with at least so many segments are heavy; the list of them has ``MOST_HEAVY`` entries at most.
+#: Anchors with at least so many segments are heavy, by an estimate from every ``SAMPLE``-th text; the list of them
+#: has ``MOST_HEAVY`` entries at most. It steers the work, not the results.
 LEAST_HEAVY = 4096
 MOST_HEAVY = 1 << 20
-#: Sizes of work, not limits: characters of a shard, words handled at once, segments of one automaton.
-SHARD_CHARS = 8 << 20
-CHUNK_WORDS = 400_000
+SAMPLE = 16
+#: Sizes of work, not limits: characters of a shard, bytes of text and segments held at once, segments of an automaton.
+SHARD_CHARS = 4 << 20
+CHUNK_BYTES = 2 << 20
+HELD_SEGMENTS = 400_000
 AUTOMATON_SEGMENTS = 4000
-GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a packed segment before its words.
+HEAD = 10
+GOLDEN, ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
 class SuffixAutomaton:
@@ -97,10 +103,10 @@ class SuffixAutomaton:
             if owner is not None and (owners[above] is None or owner < owners[above]):
                 owners[above] = owner
 
-    def stream(self, symbols, width: int):
+    def stream(self, symbols, width: int) -> list:
         """At each symbol the least owner of the last ``width`` symbols, or None where nobody has them."""
-        arcs, links, lengths = self.arcs, self.links, self.lengths
-        state, length = 0, 0
+        arcs, links, lengths, owners = self.arcs, self.links, self.lengths, self.owners
+        state, length, found = 0, 0, []
         for symbol in symbols:
             while state > 0 and symbol not in arcs[state]:
                 state = links[state]
@@ -108,111 +114,100 @@ class SuffixAutomaton:
             if symbol in arcs[state]:
                 state, length = arcs[state][symbol], length + 1
             if length < width:
-                yield None
+                found.append(None)
                 continue
             while lengths[links[state]] >= width:
                 state = links[state]
                 length = lengths[state]
-            yield self.owners[state]
+            found.append(owners[state])
+        return found
 
 
 class Segments:
-    """The segments of a run of words: anchor, place of the first window, packed words."""
+    """The segments of a run of hashed words: anchor, place of the first window, words around the anchor."""
 
     def __init__(self, words: np.ndarray, ends: np.ndarray, width: int, heavy: np.ndarray):
-        self.around = width - ANCHOR
-        grams = np.zeros(len(words), np.uint64)
+        self.words, self.around = words, width - ANCHOR
+        places = max(0, len(words) - width + 1)
+        grams = np.zeros(max(0, len(words) - ANCHOR + 1), np.uint64)
         for i in range(ANCHOR):
-            grams = grams * GOLDEN + np.append(words[i:], np.zeros(i, np.uint64))
+            grams = grams * GOLDEN + words[i : i + len(grams)]
         grams = mix(grams)
-        starts = np.append(0, ends[:-1])
-        doc = np.repeat(np.arange(len(ends)), ends - starts)
-        windows = np.flatnonzero(np.arange(len(words)) + width <= ends[doc])
-        anchor, least = windows.copy(), grams[windows]
+        least, offset = grams[:places].copy(), np.zeros(places, np.uint8)
         for i in range(1, self.around + 1):
-            beside = grams[windows + i]
-            better = beside < least
-            least = np.where(better, beside, least)
-            anchor[better] = windows[better] + i
+            beside = grams[i : i + places]
+            offset[beside < least] = i
+            np.minimum(least, beside, out=least)
+        starts = np.append(0, ends[:-1])
+        whole = np.zeros(places + 1, np.int64)  # windows that end within their text
+        np.add.at(whole, np.minimum(starts, places), 1)
+        np.add.at(whole, np.minimum(np.maximum(ends - width + 1, starts), places), -1)
+        windows = np.flatnonzero(np.cumsum(whole[:-1]) > 0)
+        least, anchor = least[windows], windows + offset[windows]
         fresh = np.ones(len(windows), bool)
         fresh[1:] = anchor[1:] != anchor[:-1]
-        self.heavy = np.zeros(0, bool)
-        if len(heavy) and len(least):
+        is_heavy = np.zeros(len(windows), bool)
+        if len(heavy):
             is_heavy = heavy[np.minimum(np.searchsorted(heavy, least), len(heavy) - 1)] == least
             fresh |= is_heavy
-            self.heavy = is_heavy[fresh]
-        else:
-            self.heavy = np.zeros(int(fresh.sum()), bool)
         first = np.flatnonzero(fresh)
-        self.counts = np.diff(np.append(first, len(windows)))
-        self.anchors = least[first]
-        self.begin = windows[first]
-        self.doc = doc[self.begin]
-        self.at = self.begin - starts[self.doc]
+        self.heavy, self.anchors, self.begin = is_heavy[first], least[first], windows[first]
         self.left = anchor[first] - self.begin
-        self.right = self.counts + width - 1 - ANCHOR - self.left
-        self.words = words
+        self.right = np.diff(np.append(first, len(windows))) + width - 1 - ANCHOR - self.left
+        self.doc = np.searchsorted(ends, self.begin, "right")
+        self.at = self.begin - starts[self.doc]
 
     def packed(self) -> tuple[np.ndarray, np.ndarray]:
         """Anchor, number of words before it, number after it, and those words: a padded row each, and its length."""
-        slots = np.arange(self.around)
-        from_left, from_right = slots < self.left[:, None], slots < self.right[:, None]
-        places = [self.begin[:, None] + slots, (self.begin + self.left)[:, None] + ANCHOR + slots]
-        last = max(0, len(self.words) - 1)
-        # Words stand in the row without gaps: first those before the anchor, then those after it.
+        slots, many = np.arange(2 * self.around), (self.left + self.right)[:, None]
+        place = self.begin[:, None] + slots + ANCHOR * (slots >= self.left[:, None])
+        place = np.where(slots < many, place, len(self.words))  # a word of zeros
+        parts = np.zeros((len(self.words) + 1, WORD_BYTES), np.uint8)
+        parts[:-1] = self.words.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
         rows = np.zeros((len(self.begin), _row_bytes(self.around)), np.uint8)
-        rows[:, :8] = self.anchors.astype(">u8").view(np.uint8).reshape(-1, 8)
+        rows[:, :8] = self.anchors.view(np.uint8).reshape(-1, 8)
         rows[:, 8], rows[:, 9] = self.left, self.right
-        sides = []
-        for place, there in zip(places, (from_left, from_right)):
-            word = self.words[np.minimum(place, last)].astype("<u8").view(np.uint8).reshape(*place.shape, 8)
-            sides.append((word[:, :, :WORD_BYTES], there))
-        both = np.concatenate([side for side, _ in sides], axis=1)
-        there = np.concatenate([there for _, there in sides], axis=1)
-        order = np.argsort(~there, axis=1, kind="stable")
-        both = np.take_along_axis(both, order[:, :, None], axis=1)
-        both[~np.take_along_axis(there, order, axis=1)] = 0
-        rows[:, 10 : 10 + 2 * self.around * WORD_BYTES] = both.reshape(len(rows), -1)
-        return rows, 10 + WORD_BYTES * (self.left + self.right)
+        rows[:, HEAD : HEAD + len(slots) * WORD_BYTES] = parts[place].reshape(len(rows), -1)
+        return rows, HEAD + WORD_BYTES * many[:, 0]
 
 
 def _row_bytes(around: int) -> int:
-    return -(-(10 + 2 * around * WORD_BYTES) // 8) * 8
+    return -(-(HEAD + 2 * around * WORD_BYTES) // 8) * 8
 
 
 def marks(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64 and 32 further bits that tell padded rows apart."""
     total, other = np.zeros(len(rows), np.uint64), np.zeros(len(rows), np.uint64)
-    for column in rows.view("<u8").T:
-        total = mix(total * GOLDEN + column)
-        other = mix((other ^ column) + GOLDEN)
-    return total.view(np.int64), (other >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    for column in np.ascontiguousarray(rows.view("<u8").T):
+        total = (total ^ column) * GOLDEN
+        total ^= total >> np.uint64(29)
+        other = (other + column) * ODD
+        other ^= other >> np.uint64(32)
+    return mix(total).view(np.int64), (mix(other) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _chunks(batches, width: int):
-    """Ids, text marks, begins, hashed words and ends of runs of about ``CHUNK_WORDS`` words.
+    """Row numbers of a batch with its columns, begins, hashed words and ends, some texts at a time.
 
     A long text is cut into blocks that overlap by one word less than a window.
     """
-    hashes = word_hashes()
-    ids, texts, begins, words, ends, held = [], [], [], [], [], 0
     for batch in batches:
-        for row_id, mark, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            own = split_words(text)
-            for begin in range(0, max(1, len(own) - width + 1), CHUNK_WORDS):
-                block = own[begin : begin + CHUNK_WORDS + width - 1]
-                words.append(np.fromiter(map(hashes.__getitem__, block), np.uint64, len(block)))
-                held += len(block)
-                for values, value in ((ids, row_id), (texts, mark), (begins, begin), (ends, held)):
-                    values.append(value)
-                if held >= CHUNK_WORDS:
-                    yield ids, texts, begins, np.concatenate(words), np.asarray(ends)
-                    ids, texts, begins, words, ends, held = [], [], [], [], [], 0
-    if held:
-        yield ids, texts, begins, np.concatenate(words), np.asarray(ends)
-
-
-def _count_anchors(width: int):
+        if not batch.num_rows:
+            continue
+        ids, texts = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        data, offsets = text_bytes(batch.column(2))
+        for row, end in slices(offsets, CHUNK_BYTES):
+            part, own = data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
+            starts, lengths = find_runs(NO_SPACE, part, own)
+            words, ends = hash_runs(part, starts, lengths), np.searchsorted(starts, own[1:])
+            step = CHUNK_BYTES // 4 if end - row == 1 else max(1, len(words))
+            for begin in range(0, max(1, len(words) - width + 1), step):
+                block = words[begin : begin + step + width - 1]
+                here = ends if end - row > 1 else np.asarray([len(block)])
+                yield ids[row:end], texts[row:end], begin, block, here
+
+
+def _sample_anchors(width: int):
     schema = pa.schema([("anchor", pa.int64()), ("n", pa.int64())])
     none = np.zeros(0, np.uint64)
 
@@ -230,38 +225,47 @@ def _binary(rows: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def _id_array(ids: list, chosen: np.ndarray, kind: pa.DataType) -> np.ndarray:
-    return np.asarray(ids, np.int64 if pa.types.is_integer(kind) else object)[chosen]
+def _combined(parts: list[tuple]) -> tuple:
+    """Rows with equal marks once: with the least id, and whether another id has them."""
+    mark, check, rows, lengths, key, least, many = (np.concatenate(column) for column in zip(*parts))
+    order = np.argsort(mark)
+    mark, check, least = mark[order], check[order], least[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (mark[1:] != mark[:-1]) | (check[1:] != check[:-1])
+    first = np.flatnonzero(fresh)
+    lowest, highest = np.minimum.reduceat(least, first), np.maximum.reduceat(least, first)
+    more = np.logical_or.reduceat(many[order], first) | (lowest != highest).astype(bool)
+    chosen = order[first]
+    return mark[first], check[first], rows[chosen], lengths[chosen], key[chosen], lowest, more
 
 
 def _send_segments(width: int, shards: int, heavy, kind: pa.DataType):
-    """Each segment of a chunk once: with its shard, its least id, and whether another id has it."""
+    """The segments of a task with their shards, least ids, and whether another id has them too."""
     schema = pa.schema([("shard", pa.int32()), ("words", pa.binary()), ("id", kind), ("many", pa.bool_())])
 
+    def batch_of(parts):
+        _, _, rows, lengths, key, least, many = _combined(parts)
+        shard = pa.array((key % np.uint64(shards)).astype(np.int32))
+        columns = [shard, _binary(rows, lengths), pa.array(least, kind), pa.array(many)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
     def run(batches):
+        parts, held = [], 0
         for ids, _, _, words, ends in _chunks(batches, width):
             found = Segments(words, ends, width, heavy.value)
             if not len(found.begin):
                 continue
             rows, lengths = found.packed()
             mark, check = marks(rows)
-            owner = _id_array(ids, found.doc, kind)
-            order = np.argsort(owner, kind="stable")
-            order = order[np.lexsort((check[order], mark[order]))]
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = (mark[order][1:] != mark[order][:-1]) | (check[order][1:] != check[order][:-1])
-            first = np.flatnonzero(fresh)
-            last = np.append(first[1:], len(order)) - 1
-            many = owner[order[last]] != owner[order[first]]
-            chosen = order[first]
-            key = np.where(found.heavy, mark.view(np.uint64), found.anchors)[chosen]
-            columns = [
-                pa.array((key % np.uint64(shards)).astype(np.int32)),
-                _binary(rows[chosen], lengths[chosen]),
-                pa.array(owner[chosen], kind),
-                pa.array(many.astype(bool)),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            key = np.where(found.heavy, mark.view(np.uint64), found.anchors)
+            part = (mark, check, rows, lengths, key, ids[found.doc], np.zeros(len(mark), bool))
+            parts.append(_combined([part]))
+            held += len(parts[-1][0])
+            if held >= HELD_SEGMENTS:
+                yield batch_of(parts)
+                parts, held = [], 0
+        if parts:
+            yield batch_of(parts)
 
     return run
 
@@ -273,28 +277,40 @@ def _send_places(width: int, heavy, kind: pa.DataType):
     )
 
     def run(batches):
-        for ids, texts, begins, words, ends in _chunks(batches, width):
+        for ids, texts, begin, words, ends in _chunks(batches, width):
             found = Segments(words, ends, width, heavy.value)
             if not len(found.begin):
                 continue
             mark, check = marks(found.packed()[0])
-            columns = [
-                pa.array(mark),
-                pa.array(check),
-                pa.array(_id_array(ids, found.doc, kind), kind),
-                pa.array(np.asarray(texts, np.int32)[found.doc]),
-                pa.array(found.at + np.asarray(begins, np.int64)[found.doc]),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            columns = [mark, check, ids[found.doc], texts[found.doc], found.at + begin]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return run
 
 
-def _symbols(row: bytes) -> list:
-    """The words of a packed segment, with its anchor as one symbol between them."""
-    left = row[8]
-    around = [row[at : at + WORD_BYTES] for at in range(10, len(row), WORD_BYTES)]
-    return [*around[:left], row[:8], *around[left:]]
+def _rows_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Padded rows of packed segments, and their lengths."""
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    lengths = np.diff(offsets)
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], lengths
+
+
+def _sequences(rows: np.ndarray, around: int) -> list[list[int]]:
+    """The words of each segment, its anchor as one symbol between them, as small numbers."""
+    left, right = rows[:, 8].astype(np.int64), rows[:, 9].astype(np.int64)
+    slots = np.arange(2 * around)
+    wide = np.zeros((len(rows), 2 * around, 8), np.uint8)
+    wide[:, :, :WORD_BYTES] = rows[:, HEAD : HEAD + 2 * around * WORD_BYTES].reshape(len(rows), -1, WORD_BYTES)
+    words = wide.view("<u8")[:, :, 0]
+    _, codes = np.unique(words[slots < (left + right)[:, None]], return_inverse=True)
+    _, anchors = np.unique(rows[:, :8].copy().view("<u8")[:, 0], return_inverse=True)
+    codes, anchors, at, sequences = codes.tolist(), (-1 - anchors).tolist(), 0, []
+    for before, after, anchor in zip(left.tolist(), right.tolist(), anchors):
+        end = at + before + after
+        sequences.append([*codes[at : at + before], anchor, *codes[at + before : end]])
+        at = end
+    return sequences
 
 
 def _read_shard(width: int, kind: pa.DataType):
@@ -302,45 +318,43 @@ def _read_shard(width: int, kind: pa.DataType):
     around = width - ANCHOR
     schema = pa.schema([("mark", pa.int64()), ("check", pa.int32()), ("firsts", pa.list_(kind))])
 
-    def run(rows: pa.Table) -> pa.Table:
-        words = rows.column("words").combine_chunks().dictionary_encode()
-        ids, many = rows.column("id").to_pylist(), rows.column("many").to_pylist()
-        least: dict = {}
-        for code, row_id, more in zip(words.indices.to_pylist(), ids, many):
-            known = least.get(code)
-            if known is None:
-                least[code] = (row_id, more)
-            else:
-                least[code] = (min(known[0], row_id), known[1] or more or known[0] != row_id)
-        segments = words.dictionary.to_pylist()
-        by_anchor: dict = {}
-        for code, segment in enumerate(segments):
-            by_anchor.setdefault(segment[:8], []).append(code)
+    def run(table: pa.Table) -> pa.Table:
+        data, lengths = _rows_of(table.column("words").combine_chunks())
+        many = table.column("many").to_numpy()
+        starts = np.cumsum(lengths) - lengths
+        _, anchor, n = np.unique(pack(data, starts, np.minimum(lengths, 8), 1)[0], return_inverse=True, return_counts=True)
         # A segment alone with its anchor, in one document, has no window that another document has.
-        groups = [codes for codes in by_anchor.values() if len(codes) > 1 or least[codes[0]][1]]
-        out_rows, out_firsts = [], []
-        at = 0
-        while at < len(groups):
-            chosen = []
-            while at < len(groups) and len(chosen) < AUTOMATON_SEGMENTS:
-                chosen += groups[at]
-                at += 1
+        shared = n > 1
+        np.logical_or.at(shared, anchor[many], True)
+        chosen = np.flatnonzero(shared[anchor])
+        chosen = chosen[np.argsort(anchor[chosen], kind="stable")]
+        rows = np.zeros((len(chosen), _row_bytes(around)), np.uint8)
+        inside = np.arange(rows.shape[1]) < lengths[chosen][:, None]
+        rows[inside] = data[(starts[chosen][:, None] + np.arange(rows.shape[1]))[inside]]
+        mark, check = marks(rows)
+        ids = table.column("id").to_numpy()[chosen]
+        zeros = np.zeros(len(chosen), np.int64)
+        mark, check, rows, _, order, ids, many = _combined([(mark, check, rows, zeros, anchor[chosen], ids, many[chosen])])
+        by_anchor = np.argsort(order, kind="stable")
+        edges = np.append(np.flatnonzero(np.diff(order[by_anchor], prepend=-1)), len(order))
+        kept, found, at = [], [], 0
+        while at < len(order):
+            # Segments with one anchor stay together.
+            end = int(edges[np.searchsorted(edges, min(len(order), at + AUTOMATON_SEGMENTS))])
+            here = by_anchor[at:end]
+            sequences, owners = _sequences(rows[here], around), ids[here].tolist()
             automaton = SuffixAutomaton()
-            symbols = [_symbols(segments[code]) for code in chosen]
-            for code, sequence in zip(chosen, symbols):
-                automaton.add(sequence, least[code][0])
+            for sequence, owner in zip(sequences, owners):
+                automaton.add(sequence, owner)
             automaton.finish()
-            for code, sequence in zip(chosen, symbols):
-                firsts = list(automaton.stream(sequence, around + 1))[around:]
-                own, more = least[code]
-                if more or any(first < own for first in firsts):
-                    out_rows.append(segments[code])
-                    out_firsts.append(firsts)
-        padded = np.zeros((len(out_rows), _row_bytes(around)), np.uint8)
-        for i, row in enumerate(out_rows):
-            padded[i, : len(row)] = np.frombuffer(row, np.uint8)
-        mark, check = marks(padded)
-        return pa.table([pa.array(mark), pa.array(check), pa.array(out_firsts, pa.list_(kind))], schema=schema)
+            for number, sequence, owner, more in zip(here.tolist(), sequences, owners, many[here].tolist()):
+                firsts = automaton.stream(sequence, around + 1)[around:]
+                if more or min(firsts) < owner:
+                    kept.append(number)
+                    found.append(firsts)
+            at = end
+        columns = [mark[kept], check[kept], found]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return run
 
@@ -402,9 +416,10 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     source = rows.select("order_id", "text_mark", "text")
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = chars // SHARD_CHARS + 1
-    counts = source.mapInArrow(_count_anchors(width), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    sample = source.where(F.pmod(F.xxhash64("order_id"), F.lit(SAMPLE)) == 0)
+    counts = sample.mapInArrow(_sample_anchors(width), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     # There are fewer segments than characters, so fewer heavy anchors than this divisor.
-    found = counts.where(F.col("n") >= max(LEAST_HEAVY, chars // MOST_HEAVY)).select("anchor").collect()
+    found = counts.where(F.col("n") * SAMPLE >= max(LEAST_HEAVY, SAMPLE * chars // MOST_HEAVY)).select("anchor").collect()
     heavy = np.sort(np.asarray([row["anchor"] for row in found], np.int64).view(np.uint64))
     sent = spark.sparkContext.broadcast(heavy)
     id_type = to_arrow_type(T.LongType() if kind == "long" else T.StringType())
