@@ -219,9 +219,20 @@ def _sample_anchors(width: int):
     return run
 
 
-def _binary(rows: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    data = rows[np.arange(rows.shape[1]) < lengths[:, None]]
-    offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
+def _with_ids(rows: np.ndarray, lengths: np.ndarray, ids: np.ndarray, many: np.ndarray) -> pa.Array:
+    """One value per segment, as that takes less room than columns: its packed row, then its id without leading zeros.
+
+    The number of words after the anchor has 128 more if another id has the segment too.
+    """
+    rows = rows.copy()
+    rows[:, 9] += many.astype(np.uint8) << 7
+    if ids.dtype == object:
+        return pa.array([r[:n].tobytes() + i.encode() for r, n, i in zip(rows, lengths.tolist(), ids.tolist())], pa.binary())
+    ends = ids.astype(">i8").view(np.uint8).reshape(-1, 8)
+    fill = np.logical_or.accumulate(ends > 0, axis=1)
+    inside = np.concatenate([np.arange(rows.shape[1]) < lengths[:, None], fill], axis=1)
+    data = np.concatenate([rows, ends], axis=1)[inside]
+    offsets = np.append(0, np.cumsum(inside.sum(axis=1))).astype(np.int32)
     return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
@@ -239,15 +250,14 @@ def _combined(parts: list[tuple]) -> tuple:
     return mark[first], check[first], rows[chosen], lengths[chosen], key[chosen], lowest, more
 
 
-def _send_segments(width: int, shards: int, heavy, kind: pa.DataType):
+def _send_segments(width: int, shards: int, heavy):
     """The segments of a task with their shards, least ids, and whether another id has them too."""
-    schema = pa.schema([("shard", pa.int32()), ("words", pa.binary()), ("id", kind), ("many", pa.bool_())])
+    schema = pa.schema([("shard", pa.int32()), ("segment", pa.binary())])
 
     def batch_of(parts):
         _, _, rows, lengths, key, least, many = _combined(parts)
         shard = pa.array((key % np.uint64(shards)).astype(np.int32))
-        columns = [shard, _binary(rows, lengths), pa.array(least, kind), pa.array(many)]
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
+        return pa.RecordBatch.from_arrays([shard, _with_ids(rows, lengths, least, many)], schema=schema)
 
     def run(batches):
         parts, held = [], 0
@@ -288,14 +298,6 @@ def _send_places(width: int, heavy, kind: pa.DataType):
     return run
 
 
-def _rows_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Padded rows of packed segments, and their lengths."""
-    _, offsets, data = words.buffers()
-    offsets = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
-    lengths = np.diff(offsets)
-    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], lengths
-
-
 def _sequences(rows: np.ndarray, around: int) -> list[list[int]]:
     """The words of each segment, its anchor as one symbol between them, as small numbers."""
     left, right = rows[:, 8].astype(np.int64), rows[:, 9].astype(np.int64)
@@ -319,20 +321,29 @@ def _read_shard(width: int, kind: pa.DataType):
     schema = pa.schema([("mark", pa.int64()), ("check", pa.int32()), ("firsts", pa.list_(kind))])
 
     def run(table: pa.Table) -> pa.Table:
-        data, lengths = _rows_of(table.column("words").combine_chunks())
-        many = table.column("many").to_numpy()
-        starts = np.cumsum(lengths) - lengths
-        _, anchor, n = np.unique(pack(data, starts, np.minimum(lengths, 8), 1)[0], return_inverse=True, return_counts=True)
+        _, offsets, data = table.column("segment").combine_chunks().buffers()
+        offsets = np.frombuffer(offsets, np.int32)[: table.num_rows + 1].astype(np.int64)
+        data, starts = np.frombuffer(data, np.uint8), offsets[:-1]
+        many = data[starts + 9] > 127
+        lengths = HEAD + WORD_BYTES * (data[starts + 8].astype(np.int64) + (data[starts + 9] & 127))
+        anchor = pack(data, starts, np.full(len(starts), 8), 1)[0]
+        _, anchor, n = np.unique(anchor, return_inverse=True, return_counts=True)
         # A segment alone with its anchor, in one document, has no window that another document has.
         shared = n > 1
-        np.logical_or.at(shared, anchor[many], True)
+        shared[anchor[many]] = True
         chosen = np.flatnonzero(shared[anchor])
-        chosen = chosen[np.argsort(anchor[chosen], kind="stable")]
         rows = np.zeros((len(chosen), _row_bytes(around)), np.uint8)
         inside = np.arange(rows.shape[1]) < lengths[chosen][:, None]
         rows[inside] = data[(starts[chosen][:, None] + np.arange(rows.shape[1]))[inside]]
+        rows[:, 9] &= 127
         mark, check = marks(rows)
-        ids = table.column("id").to_numpy()[chosen]
+        begins, ends = (starts + lengths)[chosen], offsets[1:][chosen]
+        if pa.types.is_integer(kind):
+            sizes = ends - begins
+            shift = (4 * (8 - sizes)).astype(np.uint64)
+            ids = ((pack(data, begins, sizes, 1)[0] >> shift) >> shift).view(np.int64)
+        else:
+            ids = np.asarray([data[b:e].tobytes().decode() for b, e in zip(begins, ends)], object)
         zeros = np.zeros(len(chosen), np.int64)
         mark, check, rows, _, order, ids, many = _combined([(mark, check, rows, zeros, anchor[chosen], ids, many[chosen])])
         by_anchor = np.argsort(order, kind="stable")
@@ -405,8 +416,8 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     """
     from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
-    if width < ANCHOR:
-        raise ValueError(f"a window has at least {ANCHOR} words")
+    if not ANCHOR <= width <= ANCHOR + 127:
+        raise ValueError(f"a window has {ANCHOR} to {ANCHOR + 127} words")
     spark = docs.sparkSession
     order_id, kind = _order_id(docs, doc_id)
     rows = docs.select(
@@ -424,9 +435,7 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     sent = spark.sparkContext.broadcast(heavy)
     id_type = to_arrow_type(T.LongType() if kind == "long" else T.StringType())
 
-    segments = source.mapInArrow(
-        _send_segments(width, shards, sent, id_type), f"shard int, words binary, id {kind}, many boolean"
-    )
+    segments = source.mapInArrow(_send_segments(width, shards, sent), "shard int, segment binary")
     firsts = materialise(
         segments.groupBy("shard").applyInArrow(_read_shard(width, id_type), f"mark long, check int, firsts array<{kind}>"),
         "repeat-firsts",
