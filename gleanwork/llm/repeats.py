@@ -13,8 +13,8 @@ task sees twice are sent once. An anchor that very many segments share (a phrase
 differ) would fill one shard: such anchors, at most ``MOST_HEAVY``, are counted first and sent to the tasks,
 and their windows are dealt one by one.
 
-Anchors are told apart by 64 bits and the words around them by 40 bits each, so windows that differ in one
-word around the anchor are taken for equal with a chance of one in 10 ** 12.
+Anchors and the words around them are told apart by 40 bits each, so windows that differ in one word are taken for
+equal with a chance of one in 10 ** 12, and others with a smaller one.
 """
 
 from __future__ import annotations
@@ -41,10 +41,10 @@ SAMPLE = 16
 #: Sizes of work, not limits: characters of a shard, bytes of text and segments held at once, segments of an automaton.
 SHARD_CHARS = 4 << 20
 CHUNK_BYTES = 2 << 20
-HELD_SEGMENTS = 400_000
+HELD_SEGMENTS = 200_000
 AUTOMATON_SEGMENTS = 4000
-#: Bytes of a packed segment before its words.
-HEAD = 10
+#: Where a packed segment has the numbers of words before and after its anchor, and its words.
+LEFT, RIGHT, HEAD = WORD_BYTES, WORD_BYTES + 1, WORD_BYTES + 2
 GOLDEN, ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -165,8 +165,8 @@ class Segments:
         parts = np.zeros((len(self.words) + 1, WORD_BYTES), np.uint8)
         parts[:-1] = self.words.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
         rows = np.zeros((len(self.begin), _row_bytes(self.around)), np.uint8)
-        rows[:, :8] = self.anchors.view(np.uint8).reshape(-1, 8)
-        rows[:, 8], rows[:, 9] = self.left, self.right
+        rows[:, :WORD_BYTES] = self.anchors.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
+        rows[:, LEFT], rows[:, RIGHT] = self.left, self.right
         rows[:, HEAD : HEAD + len(slots) * WORD_BYTES] = parts[place].reshape(len(rows), -1)
         return rows, HEAD + WORD_BYTES * many[:, 0]
 
@@ -225,7 +225,7 @@ def _with_ids(rows: np.ndarray, lengths: np.ndarray, ids: np.ndarray, many: np.n
     The number of words after the anchor has 128 more if another id has the segment too.
     """
     rows = rows.copy()
-    rows[:, 9] += many.astype(np.uint8) << 7
+    rows[:, RIGHT] += many.astype(np.uint8) << 7
     if ids.dtype == object:
         return pa.array([r[:n].tobytes() + i.encode() for r, n, i in zip(rows, lengths.tolist(), ids.tolist())], pa.binary())
     ends = ids.astype(">i8").view(np.uint8).reshape(-1, 8)
@@ -300,13 +300,14 @@ def _send_places(width: int, heavy, kind: pa.DataType):
 
 def _sequences(rows: np.ndarray, around: int) -> list[list[int]]:
     """The words of each segment, its anchor as one symbol between them, as small numbers."""
-    left, right = rows[:, 8].astype(np.int64), rows[:, 9].astype(np.int64)
+    left, right = rows[:, LEFT].astype(np.int64), rows[:, RIGHT].astype(np.int64)
     slots = np.arange(2 * around)
-    wide = np.zeros((len(rows), 2 * around, 8), np.uint8)
-    wide[:, :, :WORD_BYTES] = rows[:, HEAD : HEAD + 2 * around * WORD_BYTES].reshape(len(rows), -1, WORD_BYTES)
+    wide = np.zeros((len(rows), 1 + 2 * around, 8), np.uint8)
+    wide[:, 0, :WORD_BYTES] = rows[:, :WORD_BYTES]
+    wide[:, 1:, :WORD_BYTES] = rows[:, HEAD : HEAD + 2 * around * WORD_BYTES].reshape(len(rows), -1, WORD_BYTES)
     words = wide.view("<u8")[:, :, 0]
-    _, codes = np.unique(words[slots < (left + right)[:, None]], return_inverse=True)
-    _, anchors = np.unique(rows[:, :8].copy().view("<u8")[:, 0], return_inverse=True)
+    _, codes = np.unique(words[:, 1:][slots < (left + right)[:, None]], return_inverse=True)
+    _, anchors = np.unique(words[:, 0], return_inverse=True)
     codes, anchors, at, sequences = codes.tolist(), (-1 - anchors).tolist(), 0, []
     for before, after, anchor in zip(left.tolist(), right.tolist(), anchors):
         end = at + before + after
@@ -324,9 +325,9 @@ def _read_shard(width: int, kind: pa.DataType):
         _, offsets, data = table.column("segment").combine_chunks().buffers()
         offsets = np.frombuffer(offsets, np.int32)[: table.num_rows + 1].astype(np.int64)
         data, starts = np.frombuffer(data, np.uint8), offsets[:-1]
-        many = data[starts + 9] > 127
-        lengths = HEAD + WORD_BYTES * (data[starts + 8].astype(np.int64) + (data[starts + 9] & 127))
-        anchor = pack(data, starts, np.full(len(starts), 8), 1)[0]
+        many = data[starts + RIGHT] > 127
+        lengths = HEAD + WORD_BYTES * (data[starts + LEFT].astype(np.int64) + (data[starts + RIGHT] & 127))
+        anchor = pack(data, starts, np.full(len(starts), WORD_BYTES), 1)[0]
         _, anchor, n = np.unique(anchor, return_inverse=True, return_counts=True)
         # A segment alone with its anchor, in one document, has no window that another document has.
         shared = n > 1
@@ -335,7 +336,7 @@ def _read_shard(width: int, kind: pa.DataType):
         rows = np.zeros((len(chosen), _row_bytes(around)), np.uint8)
         inside = np.arange(rows.shape[1]) < lengths[chosen][:, None]
         rows[inside] = data[(starts[chosen][:, None] + np.arange(rows.shape[1]))[inside]]
-        rows[:, 9] &= 127
+        rows[:, RIGHT] &= 127
         mark, check = marks(rows)
         begins, ends = (starts + lengths)[chosen], offsets[1:][chosen]
         if pa.types.is_integer(kind):
