@@ -216,10 +216,12 @@ def _covariance(vectors: DataFrame, centre: Centre, components: np.ndarray | Non
     return products - np.outer(mean, mean)
 
 
-def _whiten_rows(centre: Centre, components: np.ndarray, explained: np.ndarray, error: float, schema: pa.Schema):
-    many = components.shape[1]
+def _whiten_rows(centre: Centre, sent, explained: np.ndarray, error: float, schema: pa.Schema):
+    """``sent``: the scaled components, broadcast."""
+    many = len(explained)
 
     def run(batches):
+        components = sent.value
         for batch in batches:
             rows, _, whole = _whole_numbers(batch.column(1))
             for at in range(0, len(rows), STEP):
@@ -282,7 +284,8 @@ def whiten(
         return spark.createDataFrame([], schema)
     scaled = basis[:, :many] / np.sqrt(values[:many])
     error = float(np.abs(_covariance(only, centre, scaled) - np.eye(many)).max())
-    run = _whiten_rows(centre, scaled, values[:many] / trace, error, to_arrow_schema(schema))
+    sent = spark.sparkContext.broadcast(scaled)
+    run = _whiten_rows(centre, sent, values[:many] / trace, error, to_arrow_schema(schema))
     return rows.mapInArrow(run, schema)
 
 

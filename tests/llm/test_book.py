@@ -20,4 +20,4 @@ def test_sql(spark, name):
 
 def test_all_operators_are_registered():
     names = entry_points.queries()
-    assert all(sum(name.startswith(f"op{n}_") for name in names) == 1 for n in range(1, 11)) and "pipeline" in names
+    assert all(sum(name.startswith(f"op{n}_") for name in names) == 1 for n in range(1, 14)) and "pipeline" in names
