@@ -1,36 +1,79 @@
 """CSV exports that no binary value can hold: read as lines, which Spark splits over tasks.
 
-A cell may hold line breaks, so a split may begin inside a quoted cell. One small row per split says
-how many quotes and how many records it has either way; a running sum of those tells each line its
-record, and the lines of a record meet in one group.
+A line begins either between records or inside a quoted cell; nothing else is possible after a line feed. A split
+is therefore summed up by a map with two entries: where it leads and how many records end, if it begins in the one
+or the other state. The maps of a file, one small row per split, are composed along the file, which tells
+each split its true state and its first row. Then each task parses its own records; only what crosses the
+border of a split is shuffled, put together and parsed.
 """
 
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterator
 from io import StringIO
+from itertools import groupby
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanwork.sources import documents
 from gleanwork.sources.grids import GRID_TYPE, _Batches, _grid_schema, _problem, _title_of
 from gleanwork.workspace import materialise
 
-SPLIT = ("path", "block")
-ENDLESS = "a row is longer than a split of its file"
+ENDLESS = "a row is longer than a value can be"
+BAD_QUOTE = "Error: ',' expected after '\"'"
+
+# Up to the end of a quoted cell or of the line; up to the end of a plain cell.
+_QUOTED = re.compile(b'[^"]*+(?:""[^"]*+)*+')
+_PLAIN = re.compile(b"[^,\r]*+")
+OUTSIDE, INSIDE, BROKEN = 0, 1, 2
+
+MAP_TYPE = (
+    "path string, block long, "
+    "out_state int, out_rows long, out_open long, in_state int, in_rows long, in_open long"
+)
+START_TYPE = "path string, block long, state int, first_row long, open_row long"
+PIECE_TYPE = f"{GRID_TYPE}, open_row long, block long, piece binary"
+
+
+def scan_line(line: bytes, state: int) -> tuple[int, int]:
+    """The state after the line and its line feed, and the number of records that end in it."""
+    if state == BROKEN:
+        return BROKEN, 0
+    if b'"' not in line and b"\r" not in line:
+        return (INSIDE, 0) if state == INSIDE else (OUTSIDE, 1)
+    at, records, size = 0, 0, len(line)
+    inside = state == INSIDE
+    if not inside and line.startswith(b'"'):
+        inside, at = True, 1
+    while True:
+        if inside:
+            at = _QUOTED.match(line, at).end()
+            if at == size:
+                return INSIDE, records
+            at += 1
+            if at < size and line[at] not in b",\r":
+                return BROKEN, records
+        else:
+            at = _PLAIN.match(line, at).end()
+        if at == size:
+            return OUTSIDE, records + 1
+        if line[at] == 0x0D:
+            records += 1
+            if at + 1 == size:
+                return OUTSIDE, records
+        at += 1
+        inside = line[at : at + 1] == b'"'
+        at += inside
 
 
 def _lines(spark: SparkSession, path: str | list[str], pattern: str, larger_than: int) -> DataFrame:
-    """``(path, block, line, value, even, odd)``: each line of the large files.
-
-    ``even`` and ``odd`` number the record of a line within its split, from -1 for the one that
-    began earlier, if the split begins outside or inside quotes.
-    """
+    """``(path, block, line, value)``: each line of the large files; ``line`` keeps their order in a split."""
     encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    lines = (
+    return (
         spark.read.option("lineSep", "\n")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
@@ -40,59 +83,118 @@ def _lines(spark: SparkSession, path: str | list[str], pattern: str, larger_than
             F.regexp_replace(F.url_decode(encoded), "^file:///", "file:/").alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line"),
-            "value",
-            (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
+            F.col("value").cast("binary").alias("value"),
         )
     )
-    earlier = Window.partitionBy(*SPLIT).orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    so_far = Window.partitionBy(*SPLIT).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    inside = F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2
-    return (
-        lines.withColumn("inside", inside)
-        .withColumn("even", F.count_if(F.col("inside") == 0).over(so_far) - 1)
-        .withColumn("odd", F.count_if(F.col("inside") == 1).over(so_far) - 1)
-    )
-
-
-def _splits(lines: DataFrame) -> DataFrame:
-    """``(path, block, inside_at, records_before, records)``, one row per split."""
-    counted = lines.groupBy(*SPLIT).agg(
-        F.sum("quotes").alias("quotes"),
-        (F.max("even") + 1).alias("even"),
-        (F.max("odd") + 1).alias("odd"),
-    )
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2
-    return (
-        counted.withColumn("inside_at", inside)
-        .withColumn("records", F.when(F.col("inside_at") == 0, F.col("even")).otherwise(F.col("odd")))
-        .withColumn("records_before", F.coalesce(F.sum("records").over(earlier), F.lit(0)))
-        .select(*SPLIT, "inside_at", "records", "records_before")
-    )
 
 
-def _cells(text: str) -> list[str]:
-    rows = list(csv.reader(StringIO(text, newline=""), strict=True))
-    if len(rows) > 1:
-        raise ValueError("a quote or a carriage return stands in an unquoted cell")
-    return (rows[0] if rows else []) or [""]
+def _in_order(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(name).to_pylist() for name in columns))
+
+
+def _map_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The map of each split: for both states the end state, the records that end, and the row that stays open."""
+    rows = _in_order(batches, ("path", "block", "value"))
+    for (path, block), lines in groupby(rows, key=lambda row: row[:2]):
+        states, records, opened = [OUTSIDE, INSIDE], [0, 0], [-1, -1]
+        for _, _, line in lines:
+            for start in (OUTSIDE, INSIDE):
+                if states[start] == OUTSIDE:
+                    opened[start] = records[start]
+                states[start], ended = scan_line(line, states[start])
+                records[start] += ended
+        values = [path, block]
+        for start in (OUTSIDE, INSIDE):
+            values += [states[start], records[start], opened[start]]
+        names = [part.split()[0] for part in MAP_TYPE.split(", ")]
+        yield pa.RecordBatch.from_pydict({name: [value] for name, value in zip(names, values)}, schema=_MAPS)
+
+
+_MAPS = pa.schema(
+    [("path", pa.string()), ("block", pa.int64())]
+    + [
+        (f"{side}_{what}", kind)
+        for side in ("out", "in")
+        for what, kind in (("state", pa.int32()), ("rows", pa.int64()), ("open", pa.int64()))
+    ]
+)
+
+
+def _walk_file(maps: pa.Table) -> pa.Table:
+    """Compose the maps of one file: the state in which each split begins, its first row, and the row that is open."""
+    state, row, open_row = OUTSIDE, 0, -1
+    out = {"path": [], "block": [], "state": [], "first_row": [], "open_row": []}
+    for split in sorted(maps.to_pylist(), key=lambda split: split["block"]):
+        for name, value in zip(out, (split["path"], split["block"], state, row, open_row)):
+            out[name].append(value)
+        if state != BROKEN:
+            side = "in" if state == INSIDE else "out"
+            if split[f"{side}_open"] >= 0:
+                open_row = row + split[f"{side}_open"]
+            state, row = split[f"{side}_state"], row + split[f"{side}_rows"]
+    kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+    return pa.table({name: pa.array(values, kind) for (name, values), kind in zip(out.items(), kinds)})
+
+
+def _records(lines: bytes) -> Iterator[list[str]]:
+    """The records of whole lines, without the last line feed."""
+    for cells in csv.reader(StringIO(lines.decode("utf-8") + "\n", newline=""), strict=True):
+        yield cells or [""]
+
+
+def _read_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows that lie within a split, and the pieces of those that don't."""
+    csv.field_size_limit(2**31 - 1)
+    schema = _grid_schema()
+    for name, kind in (("open_row", pa.int64()), ("block", pa.int64()), ("piece", pa.binary())):
+        schema = schema.append(pa.field(name, kind))
+    out = _Batches(schema)
+    columns = ("path", "block", "state", "first_row", "open_row", "value")
+    for head, lines in groupby(_in_order(batches, columns), key=lambda row: row[:5]):
+        path, block, state, row, open_row = head
+        title, held = _title_of(path), []
+        earlier, begun = state == INSIDE, open_row  # the first record began in an earlier split
+        for *_, line in lines:
+            if not held and not earlier:
+                begun = row
+            held.append(line)
+            state, ended = scan_line(line, state)
+            row += ended
+            if state == INSIDE:
+                continue
+            if state == BROKEN:
+                held = []
+                yield from out.add((path, title, 0, None, None, BAD_QUOTE, None, None, None))
+                break
+            text = b"\n".join(held)
+            if earlier:
+                yield from out.add((path, title, 0, None, None, None, begun, block, text), len(text))
+            else:
+                try:
+                    for index, cells in enumerate(_records(text), begun):
+                        place = (path, title, 0, index, cells, None, None, None, None)
+                        yield from out.add(place, sum(map(len, cells)))
+                except Exception as error:  # a broken file must not stop the others
+                    yield from out.add((path, title, 0, None, None, _problem(error), None, None, None))
+            held, earlier = [], False
+        if held:
+            text = b"\n".join(held)
+            yield from out.add((path, title, 0, None, None, None, begun, block, text), len(text))
+    yield from out.flush()
 
 
-def _read_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     csv.field_size_limit(2**31 - 1)
     out = _Batches(_grid_schema())
-    for batch in batches:
-        for path, record, text in zip(*(batch.column(name) for name in ("path", "record", "text"))):
-            path, number = path.as_py(), record.as_py()
-            title = _title_of(path)
-            try:
-                if not text.is_valid:
-                    raise ValueError("not valid UTF-8")
-                value = text.as_py()
-                cells = _cells(value.removeprefix("﻿") if number == 0 else value)
-                yield from out.add((path, title, 0, number, cells, None), len(value))
-            except Exception as error:  # a broken file must not stop the others
-                yield from out.add((path, title, 0, None, None, _problem(error)))
+    for path, sheet, first, text in _in_order(batches, ("path", "sheet", "open_row", "text")):
+        try:
+            if text is None:
+                raise ValueError(ENDLESS)
+            for index, cells in enumerate(_records(text), first):
+                yield from out.add((path, sheet, 0, index, cells, None), sum(map(len, cells)))
+        except Exception as error:
+            yield from out.add((path, sheet, 0, None, None, _problem(error)))
     yield from out.flush()
 
 
@@ -104,39 +206,34 @@ def split_csv_rows(
 ) -> DataFrame:
     """The grids of the exports too large for ``csv_grid_rows``; same form, same rows.
 
-    ``larger_than`` bytes is by default what a binary value holds.
-
-    Quotes are counted to find the records, so each record is parsed from its own start and must be
-    exactly one row; where that fails the sheet is rejected whole. So is a sheet with a row that is
-    longer than a split (``spark.sql.files.maxPartitionBytes``), which no task could hold.
+    ``larger_than`` bytes is by default what a binary value holds. Quotes in plain cells, carriage returns as ends of
+    lines and records over any number of splits are read as ``csv_grid_rows`` reads them, and what is broken there
+    is rejected whole here. So is a sheet with a row that is itself too long for a value. A file must have
+    a line feed in every 2 GiB.
     """
     limit = documents.MAX_FILE_BYTES if larger_than is None else larger_than
     lines = _lines(spark, path, pattern, limit)
-    splits = _splits(lines)
-    endless = splits.where("records = 0").select("path").distinct()
-    numbered = lines.join(splits, list(SPLIT)).join(endless, "path", "left_anti")
-    offset = F.when(F.col("inside_at") == 0, F.col("even")).otherwise(F.col("odd"))
-    pieces = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
-    text = F.array_join(F.transform(pieces, lambda piece: piece["value"]), "\n")
-    records = (
-        numbered.withColumn("record", (F.col("records_before") + offset).cast("int"))
-        .groupBy("path", "record")
-        .agg(text.alias("text"))
-        .withColumn("text", F.try_validate_utf8("text"))
+    maps = materialise(lines.mapInArrow(_map_splits, MAP_TYPE), "csv-maps")
+    starts = maps.groupBy("path").applyInArrow(_walk_file, START_TYPE)
+    begun = lines.join(starts, ["path", "block"]).sortWithinPartitions("path", "block", "line")
+    read = materialise(begun.drop("line").mapInArrow(_read_splits, PIECE_TYPE), "csv-records")
+
+    pieces = read.where("piece IS NOT NULL")
+    parts = F.array_sort(F.collect_list(F.struct("block", "piece")))
+    sizes = pieces.groupBy("path", "sheet", "open_row").agg(F.sum(F.length("piece") + 1).alias("size"))
+    fits = F.col("size") <= documents.MAX_FILE_BYTES
+    joined = (
+        pieces.join(sizes.where(fits).drop("size"), ["path", "sheet", "open_row"])
+        .groupBy("path", "sheet", "open_row")
+        .agg(F.concat_ws("\n", F.transform(parts, lambda part: part["piece"].cast("string"))).cast("binary").alias("text"))
     )
-    read = materialise(records.mapInArrow(_read_records, GRID_TYPE), "csv-records")
-    failed = read.where("error IS NOT NULL").groupBy("path", "sheet", "sheet_idx").agg(
+    endless = sizes.where(~fits).select("path", "sheet", "open_row", F.lit(None).cast("binary").alias("text"))
+    crossing = materialise(joined.unionByName(endless).mapInArrow(_read_pieces, GRID_TYPE), "csv-crossing")
+    rows = read.where("piece IS NULL").drop("open_row", "block", "piece").unionByName(crossing)
+    failed = rows.where("error IS NOT NULL").groupBy("path", "sheet", "sheet_idx").agg(
         F.lit(None).cast("int").alias("row_idx"),
         F.lit(None).cast("array<string>").alias("cells"),
         F.min("error").alias("error"),
     )
-    listed = endless.select(
-        "path",
-        F.lit(None).cast("string").alias("sheet"),
-        F.lit(0).alias("sheet_idx"),
-        F.lit(None).cast("int").alias("row_idx"),
-        F.lit(None).cast("array<string>").alias("cells"),
-        F.lit(ENDLESS).alias("error"),
-    )
-    whole = read.where("error IS NULL").join(failed.select("path"), "path", "left_anti")
-    return whole.unionByName(failed).unionByName(listed)
+    whole = rows.where("error IS NULL").join(failed.select("path"), "path", "left_anti")
+    return whole.unionByName(failed)

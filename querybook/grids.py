@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -153,22 +154,46 @@ def whole_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@contextmanager
+def small_splits(spark: SparkSession, size: str) -> Iterator[None]:
+    """Files read within are cut into splits of ``size``."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, size)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def split_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV exports read as lines that Spark splits: the way that a file beyond a binary value takes."""
+    """CSV exports read as lines over many splits, the way that a file beyond a binary value takes: records across
+    the borders, quotes in plain cells, carriage returns as ends of lines, one sheet broken in its last row."""
     folder = fresh_path(spark, "exports")
-    customers = table(spark, sf_dir, "customer")
-    cells = customers.select(
-        F.col("c_custkey").cast("string").alias("a"),
-        F.concat("c_name", F.lit(',\n"quoted"\n')).alias("b"),
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", F.col("c_custkey").cast("string").alias("key")
     )
-    (
-        cells.write.option("quoteAll", True)
-        .option("escape", '"')
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(folder)
+    kinds = (
+        F.when(F.col("c_custkey") % 4 == 0, F.concat("key", F.lit(',5" pipe')))
+        .when(F.col("c_custkey") % 4 == 1, F.concat("key", F.lit(',"'), "c_name", F.lit(',\n""quoted""\r\n"\r')))
+        .when(F.col("c_custkey") % 4 == 2, F.concat("key", F.lit(",x\ry,z")))
+        .otherwise(F.concat("key", F.lit(',"'), F.repeat(F.lit("long\n"), 1000), F.lit('"')))
+    )
+    last = F.when(F.col("c_custkey") % 10 == 9, F.concat(kinds, F.lit('\n"x"y'))).otherwise(kinds)
+    lines = customers.select((F.col("c_custkey") % 10).alias("sheet"), last.alias("line")).repartition("sheet")
+    lines.write.partitionBy("sheet").text(folder)
+    with small_splits(spark, "64k"):
+        grids = split_csv_rows(spark, folder, "*.txt", larger_than=0)
+    cell = F.get("cells", F.lit(1))
+    return grids.select(
+        F.regexp_extract("path", "sheet=([0-9])", 1).alias("sheet"),
+        F.get("cells", F.lit(0)).alias("first"),
+        F.substring(cell, 1, 20).alias("second"),
+        F.length(cell).alias("n_chars"),
+        F.col("error").isNotNull().alias("broken"),
     )
-    grids = split_csv_rows(spark, folder, "*.csv", larger_than=0)
-    return to_wide(sheet_rows(grids), 2, scrub=False).select("_c0", "_c1")
 
 
 def exported_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,9 +286,17 @@ BOOK = {
     "split_sheet_rows": (
         split_sheets,
         """
-        SELECT CAST(c_custkey AS VARCHAR) AS _c0,
-               c_name || ',' || chr(10) || '"quoted"' || chr(10) AS _c1
-        FROM customer
+        WITH rows AS (
+            SELECT CAST(c_custkey % 10 AS VARCHAR) AS sheet, CAST(c_custkey AS VARCHAR) AS first,
+                   CASE c_custkey % 4 WHEN 0 THEN '5" pipe' WHEN 2 THEN 'x' WHEN 3 THEN repeat('long' || chr(10), 1000)
+                   ELSE c_name || ',' || chr(10) || '"quoted"' || chr(13) || chr(10) END AS cell
+            FROM customer WHERE c_custkey % 10 <> 9
+            UNION ALL
+            SELECT CAST(c_custkey % 10 AS VARCHAR), 'y', 'z' FROM customer WHERE c_custkey % 4 = 2 AND c_custkey % 10 <> 9)
+        SELECT sheet, first, substring(cell, 1, 20) AS second, CAST(length(cell) AS INTEGER) AS n_chars, false AS broken
+        FROM rows
+        UNION ALL
+        SELECT DISTINCT '9', NULL, NULL, CAST(NULL AS INTEGER), true FROM customer WHERE c_custkey % 10 = 9
         """,
     ),
     "workbook_long": (

@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

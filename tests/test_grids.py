@@ -1,17 +1,23 @@
 from __future__ import annotations
 
+import csv
 import gzip
 import io
 import json
+import random
+from contextlib import contextmanager
 from zipfile import ZipFile
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
 
 from gleanwork import sources as S
 from gleanwork.plans import finished_sheets, run_sheets, run_workbooks
 from gleanwork.sinks import read_snapshot
+from gleanwork.sources import split_csv
 
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 LINK = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -246,43 +252,105 @@ def test_broken_sheets_give_no_rows(spark):
     assert {(r["sheet"], r["error"] is None) for r in books.collect()} == {("A", False), ("B", True)}
 
 
-@pytest.fixture
-def small_splits(spark):
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "200b")
+@contextmanager
+def splits_of(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     spark.conf.set("spark.sql.files.openCostInBytes", "1b")
     yield
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-def test_split_exports_equal_whole_ones(spark, tmp_path, small_splits):
-    """Rows that cross the border of a split, with quotes, line breaks and a mark at the start."""
-    kinds = ["plain,1", '"a\nb",2', '"say ""x""\n\n,",3', "", ",", '"\r\n"', 'é,"ü\n"', "x,\r"]
-    for name, seed in (("a b+c%.csv", 1), ("d.csv", 2)):
-        text = "\ufeff" + "\n".join(kinds[(i * i * seed + i) % len(kinds)] for i in range(400))
-        (tmp_path / name).write_bytes(text.encode() + b"\n" * (seed - 1))
-    whole = S.csv_grid_rows(S.read_binary_files(spark, str(tmp_path), "*.csv"))
-    split = S.split_csv_rows(spark, str(tmp_path), larger_than=0)
+def same_grids(spark, folder, size="128b"):
+    """Both readers, told apart only by what a broken text says of places within it."""
+    whole = S.csv_grid_rows(S.read_binary_files(spark, str(folder), "*.csv"))
+    with splits_of(spark, size):
+        split = S.split_csv_rows(spark, str(folder), larger_than=0)
     order = ["path", "row_idx"]
-    assert split.orderBy(order).collect() == whole.orderBy(order).collect()
-    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
 
+    def rows(grids):
+        kind = F.substring_index("error", ":", 1).alias("error")
+        return grids.withColumn("error", kind).orderBy(order).collect()
 
-def test_split_exports_are_rejected_whole(spark, tmp_path, small_splits):
-    rows = "a,b\n" * 200
+    found = rows(whole)
+    assert rows(split) == found
+    return found
+
+
+KINDS = [
+    "plain,1", '"a\nb",2', '"say ""x""\n\n,",3', "", ",", '"\r\n"', 'é,"ü\n"', "x,\r", '5" pipe,6"', 'a "b" c',
+    'x\ry,"z"\r"q\nw"', '""', '"",""', '"a""\n"""', ' "spaced"', "\r", "\r\r", 'tail,"\r"', '"' + "long\n" * 150 + '"',
+    '"' + '""' * 200 + '"', "x" * 300, '"' + '"",\n' * 90 + '"',
+]
+
+
+def test_split_exports_equal_whole_ones(spark, tmp_path):
+    """Records that cross the borders of one or many splits, quotes in plain cells, carriage returns, a mark at the start."""
+    for seed in range(3):
+        draw = random.Random(seed)
+        ends = [["\n"], ["\r\n"], ["\n", "\r", "\r\n"]][seed % 3]
+        text = "".join(draw.choice(KINDS) + draw.choice(ends) for _ in range(60)) + ["", "end", '"e\n"'][seed % 3]
+        (tmp_path / f"a b+c%{seed}.csv").write_bytes(("\ufeff" * (seed % 3) + text).encode())
+    (tmp_path / "empty.csv").write_bytes(b"")
+    rows = same_grids(spark, tmp_path)
+    assert all(r["error"] is None for r in rows) and len({r["path"] for r in rows}) == 3
+    with splits_of(spark, "128b"):
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+
+
+def test_split_exports_are_rejected_as_whole_ones(spark, tmp_path):
+    rows = "a,b\n" * 60
     broken = {
-        "quote": (rows + 'a"b,c\n' + rows).encode(),
+        "quote": (rows + '"a"b,c\n' + rows).encode(),
         "open": (rows + '"never closed').encode(),
+        "opened": (rows + '"never closed\n' + rows).encode(),
         "bytes": rows.encode() + b"\xff\n",
-        "endless": (rows + '"' + "x\n" * 500 + '"\n').encode(),
+        "inside": (rows + '"' + "x\n" * 150).encode() + b'\xff\n"\n',
+        "late": (rows + '"' + "x\n" * 150 + '" \n').encode(),
     }
     for name, content in broken.items():
         (tmp_path / f"{name}.csv").write_bytes(content)
     (tmp_path / "good.csv").write_text(rows)
-    grids = S.split_csv_rows(spark, str(tmp_path), larger_than=0)
-    found = grids.groupBy("path").agg(F.count_if(F.expr("error IS NULL")), F.count_if(F.expr("error IS NOT NULL")))
-    assert {r[0].rpartition("/")[2]: (r[1], r[2]) for r in found.collect()} == {
-        **{f"{name}.csv": (0, 1) for name in broken}, "good.csv": (200, 0),
+    found = same_grids(spark, tmp_path)
+    assert sorted(r["path"].rpartition("/")[2] for r in found if r["error"]) == sorted(f"{n}.csv" for n in broken)
+    assert len(found) == len(broken) + 60
+
+
+def test_hostile_exports(spark, tmp_path):
+    """Any run of the characters that matter, valid or not."""
+    for seed in range(40):
+        draw = random.Random(seed)
+        size, marks = draw.choice([1, 5, 30, 100, 200]), draw.choice(['"\n,a', '"\n\r,ab', 'ab\n,,"  é', '\n\r"'])
+        (tmp_path / f"{seed}.csv").write_bytes("".join(draw.choices(marks, k=size)).encode())
+    found = same_grids(spark, tmp_path, "32b")
+    assert {r["error"] is None for r in found} == {True, False}
+
+
+@given(st.text('",\r\nab', max_size=40))
+@settings(max_examples=400, deadline=None)
+def test_states_of_lines(text):
+    """A file parses if and only if its states end outside of a quoted cell; the records are as many."""
+    state, records = split_csv.OUTSIDE, 0
+    for line in (text[:-1] if text.endswith("\n") else text).split("\n") if text else []:
+        state, ended = split_csv.scan_line(line.encode(), state)
+        records += ended
+    try:
+        rows = list(csv.reader(io.StringIO(text, newline=""), strict=True))
+    except csv.Error:
+        assert state != split_csv.OUTSIDE
+    else:
+        assert (state, records) == (split_csv.OUTSIDE, len(rows))
+
+
+def test_endless_rows_are_rejected(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("gleanwork.sources.documents.MAX_FILE_BYTES", 1000)
+    (tmp_path / "a.csv").write_text("a,b\n" * 300 + '"' + "x\n" * 600 + '"\n' + "c\n")
+    (tmp_path / "b.csv").write_text("a,b\n" * 300)
+    with splits_of(spark, "256b"):
+        grids = S.split_csv_rows(spark, str(tmp_path))
+    found = grids.groupBy("path", "error").count().collect()
+    assert {(r[0].rpartition("/")[2], r[1], r[2]) for r in found} == {
+        ("a.csv", f"ValueError: {split_csv.ENDLESS}", 1), ("b.csv", None, 300),
     }
 
 
