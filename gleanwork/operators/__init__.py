@@ -23,7 +23,8 @@ from gleanwork.operators.payloads import (
     unanswered_keys,
 )
 from gleanwork.operators.responses import (
-    response_bodies,
+    join_chunks,
+    response_chunks,
     response_rejects,
     route_responses,
     routed_responses,
@@ -42,13 +43,14 @@ __all__ = [
     "flatten_payloads",
     "html_csv",
     "html_rows",
+    "join_chunks",
     "join_guarded",
     "normalise_columns",
     "parse_payloads",
     "payload_quality",
     "payload_rejects",
     "request_list",
-    "response_bodies",
+    "response_chunks",
     "response_ok",
     "response_rejects",
     "route_responses",

@@ -236,6 +236,21 @@ def read_rows(html: str, nested: str = "descendant") -> list[list[str]]:
     return list(page_rows(html, nested))
 
 
+def page_csv(html: str, escape_quotes: bool = True, nested: str = "descendant") -> Iterator[str]:
+    """The CSV text of one page, one line at a time.
+
+    Rows without cells leave no line, but if the very first row has none, the text starts with an
+    empty line.
+    """
+    for number, cells in enumerate(page_rows(html, nested)):
+        if cells:
+            if escape_quotes:
+                cells = [cell.replace('"', '""') for cell in cells]
+            yield '"' + '","'.join(cells) + '"\n'
+        elif number == 0:
+            yield "\n"
+
+
 def _with_table(page: Column) -> Column:
     return F.rlike(page, F.lit("(?i)<table"))
 
@@ -331,8 +346,22 @@ def html_rows(pages: DataFrame, html: str = "html", nested: str = "descendant")
 def html_csv(
     pages: DataFrame, html: str = "html", escape_quotes: bool = True, nested: str = "descendant"
 ) -> DataFrame:
-    """The other columns, and ``csv``: all table rows of the page as CSV text."""
-    kept = [quoted(name) for name in pages.columns if name != html]
-    return pages.select(*kept, table_rows(quoted(html), nested).alias("table_rows")).select(
-        *kept, csv_body("table_rows", escape_quotes).alias("csv")
-    )
+    """The other columns, and ``csv``: all table rows of the page as CSV text.
+
+    The text of a page must fit in one value; landed pages of any size are cut into chunks, see
+    :func:`response_chunks`.
+    """
+    _checked(nested)
+    kept = [name for name in pages.columns if name != html]
+    # Only pages that hold a table cross over to Python.
+    text = F.when(_with_table(quoted(html)), quoted(html))
+    shown = pages.select(*[quoted(name) for name in kept], text.alias("csv"))
+    names = shown.columns
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *others, texts = batch.columns
+            found = ["".join(page_csv(t, escape_quotes, nested)) if t else "" for t in texts.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*others, pa.array(found, pa.string())], names=names)
+
+    return shown.mapInArrow(read, shown.schema)

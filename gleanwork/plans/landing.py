@@ -7,7 +7,8 @@ import datetime
 from pyspark.sql import DataFrame
 
 from gleanwork.operators.responses import (
-    response_bodies,
+    CHUNK_BYTES,
+    response_chunks,
     response_rejects,
     route_responses,
     routed_responses,
@@ -20,11 +21,13 @@ def landed_objects(
     prefix: str,
     run_date: str | datetime.date | None = None,
     escape_quotes: bool = True,
+    nested: str = "descendant",
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """``(url, route, filename, object_key, content)`` of every response that can be stored."""
+    """``(url, route, filename, object_key, response_no, chunk, content)`` of every response that can be stored."""
     routed = routed_responses(route_responses(responses, prefix, run_date))
-    return response_bodies(routed, escape_quotes).select(
-        "url", "route", "filename", "object_key", "content"
+    return response_chunks(routed, escape_quotes, nested, chunk_bytes).select(
+        "url", "route", "filename", "object_key", "response_no", "chunk", "content"
     )
 
 
@@ -36,8 +39,10 @@ def run_landing(
     escape_quotes: bool = True,
     rejects_target: str | None = None,
     keep_rejects: bool = True,
+    nested: str = "descendant",
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> str:
-    """Store all responses in one job.
+    """Store all responses in one job, in numbered chunks of ``chunk_bytes`` bytes at most.
 
     Those without route or name are listed in ``rejects_target``, by default a folder ``_rejects``
     in the target, unless ``keep_rejects`` is off. That pass reads only headers, never the bodies.
@@ -52,4 +57,5 @@ def run_landing(
             "responses",
             run_date,
         )
-    return land_objects(landed_objects(responses, prefix, run_date, escape_quotes), target, run_date)
+    objects = landed_objects(responses, prefix, run_date, escape_quotes, nested, chunk_bytes)
+    return land_objects(objects, target, run_date)

@@ -220,10 +220,10 @@ def write_lines_by_sheet(
 def land_objects(
     objects: DataFrame, target: str, run_date: str | datetime.date | None = None
 ) -> str:
-    """Store ``(object_key, route, content)`` as it came, one row per object."""
+    """Store ``(object_key, route, response_no, chunk, content)`` as it came, one row per chunk of an object."""
     path = snapshot_path(target, run_date)
     (
-        objects.select("object_key", "route", "content")
+        objects.select("object_key", "route", "response_no", "chunk", "content")
         .write.mode("overwrite")
         # Look at the buffered size after every row: a hundred large objects would not fit.
         .option("parquet.page.size.row.check.min", 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanwork.operators import html_csv, html_rows, response_rejects, route_responses
+from gleanwork.operators import html_csv, html_rows, join_chunks, response_rejects, route_responses
 from gleanwork.plans import landed_objects, run_landing
 from gleanwork.workspace import fresh_path
 from querybook.tables import RUN_DATE, table
@@ -90,14 +90,15 @@ def response_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def response_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = landed_objects(page_responses(spark, sf_dir), "raw", RUN_DATE, escape_quotes=False)
-    return stored.select("object_key", "route", F.col("content").cast("string").alias("content"))
+    """Bodies cut into small chunks, and put together again."""
+    stored = landed_objects(page_responses(spark, sf_dir), "raw", RUN_DATE, escape_quotes=False, chunk_bytes=500)
+    return join_chunks(stored).select("object_key", "route", F.col("content").cast("string").alias("content"))
 
 
 def landed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = fresh_path(spark, "objects")
-    run_landing(page_responses(spark, sf_dir), "raw", target, RUN_DATE)
-    return spark.read.parquet(target).select(
+    run_landing(page_responses(spark, sf_dir), "raw", target, RUN_DATE, chunk_bytes=500)
+    return join_chunks(spark.read.parquet(target)).select(
         "object_key", F.col("run_date").cast("string").alias("run_date"), F.length("content").alias("bytes")
     )
 

@@ -17,6 +17,7 @@ CASES = [
     ("http://h/5", OFFICE, 'attachment; filename="m.xlsx"', "office", "m.xlsx"),
     ("http://h/6", "application/binary", "attachment; filename=z.zip", "binary", "z.zip"),
 ]
+PLAIN = '<table><tr><td>say "x"</td></tr></table>'
 REFUSED = [
     ("http://h/7", OFFICE, None, "no file name in the header"),
     ("http://h/8", "image/png", None, "no route for this content type"),
@@ -70,3 +71,36 @@ def test_landing_job(spark, responses, tmp_path):
     assert stored.count() == len(CASES)
     assert str(stored.first()["run_date"]) == "2024-02-29"
     assert spark.read.parquet(rejects).count() == len(REFUSED)
+
+
+def test_chunks_hold_the_same_bytes(spark):
+    """Nested tables give far more text than the page has: it leaves in chunks, whatever their size is."""
+    nested = "<table><tr><td>x é" * 60 + "</table>" * 30
+    pages = [nested, "<table><tr><th>h</th></tr><tr><td>a</td></table>", "no table", "", None, PLAIN]
+    rows = [("h", "text/html", None, None if p is None else bytearray(p.encode())) for p in pages]
+    rows += [(None, "text/csv", 'a; filename="b.csv"', b) for b in (bytearray(b"x" * 1000), bytearray(b""), None)]
+    frame = spark.createDataFrame(
+        rows, "url string, content_type string, content_disposition string, body binary"
+    )
+    wanted = [r["csv"].encode() for r in O.html_csv(spark.createDataFrame([(p,) for p in pages], "html string")).collect()]
+    assert len(wanted[0]) > 20 * len(nested)
+    for size in (7, 100, 1 << 20):
+        chunks = landed_objects(frame, "raw", "2024-02-29", chunk_bytes=size)
+        assert chunks.selectExpr("max(length(content))").first()[0] <= size
+        whole = {r["response_no"]: r["content"] for r in O.join_chunks(chunks).collect()}
+        found = [None if whole[no] is None else bytes(whole[no]) for no in sorted(whole)]
+        assert found == [*wanted, b"x" * 1000, b"", None]
+    own = O.join_chunks(landed_objects(frame.limit(1), "raw", "2024-02-29", nested="own")).first()["content"]
+    assert bytes(own).count(b"\n") == 60 and len(own) < 600
+    with pytest.raises(ValueError, match="deep"):
+        landed_objects(frame, "raw", "2024-02-29", nested="deep")
+
+
+def test_pages_larger_than_a_task_leave_line_by_line(monkeypatch):
+    """A page whose text would be 2.7 thousand million characters starts to leave at once."""
+    from gleanwork.operators import responses
+
+    page = "<table><tr><td>" + "text " * 3 + "<table><tr><td>y" * 2000
+    lines = responses.page_csv(page)
+    pieces = responses._cut((line.encode() for line in lines), 1 << 20)
+    assert [len(next(pieces)) for _ in range(5)] == [1 << 20] * 5
