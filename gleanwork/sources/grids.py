@@ -9,13 +9,19 @@ files and sheets. A reader holds one file and a bounded number of its rows at a
 from __future__ import annotations
 
 import csv
+import io
+import math
+import pickle
 import re
+import struct
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from io import TextIOWrapper
 from posixpath import normpath
+from typing import IO
 from urllib.parse import unquote
 from xml.etree import ElementTree
-from zipfile import ZipFile
+from zipfile import ZIP_DEFLATED, ZIP_STORED, BadZipFile, ZipFile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,6 +35,12 @@ GRID_TYPE = (
 LISTING_TYPE = "path string, sheet string, sheet_idx int, error string"
 JSON_GRID_TYPE = "range string, values array<array<string>>"
 
+UNIT_TYPE = "path string, unit int, body binary"
+_UNITS = pa.schema([("path", pa.string()), ("unit", pa.int32()), ("body", pa.binary())])
+
+# Workbooks beyond the first size are dealt out in units of the second one.
+SPLIT_BYTES = 1 << 22
+UNIT_BYTES = 1 << 24
 # An output batch is sent on when it holds this many rows or this many characters.
 BATCH_ROWS = 4096
 BATCH_CHARS = 1 << 23
@@ -176,32 +188,38 @@ class _Workbook:
                 listed.append((element.get("name", ""), grid))
         return listed
 
-    def shared_strings(self) -> list[str]:
-        strings: list[str] = []
-        for kind, part in self.links.values():
-            if kind.endswith("/sharedStrings"):
-                with self.archive.open(part) as stream:
-                    for _, element in ElementTree.iterparse(stream):
-                        if _local(element.tag) == "si":
-                            strings.append(_text_of(element))
-                            element.clear()
-        return strings
-
-    def rows(self, part: str, shared: list[str]) -> Iterator[tuple[int, list[str]]]:
-        """The rows that the sheet holds, each with its index; gaps are empty text."""
-        with self.archive.open(part) as stream:
-            holder = None
-            index = -1
-            for event, element in ElementTree.iterparse(stream, events=("start", "end")):
-                kind = _local(element.tag)
-                if event == "start":
-                    if kind == "sheetData":
-                        holder = element
-                elif kind == "row":
-                    index = int(element.get("r", index + 2)) - 1
-                    yield index, _row_cells(element, shared)
-                    if holder is not None:
-                        holder.clear()
+    def string_parts(self) -> list[str]:
+        return [part for kind, part in self.links.values() if kind.endswith("/sharedStrings")]
+
+
+def _shared_strings(open_part: Callable[[str], IO[bytes]], parts: list[str]) -> list[str]:
+    strings: list[str] = []
+    for part in parts:
+        with open_part(part) as stream:
+            for _, element in ElementTree.iterparse(stream):
+                if _local(element.tag) == "si":
+                    strings.append(_text_of(element))
+                    element.clear()
+    return strings
+
+
+def _sheet_rows(
+    open_part: Callable[[str], IO[bytes]], part: str, shared: list[str]
+) -> Iterator[tuple[int, list[str]]]:
+    """The rows that the sheet holds, each with its index; gaps are empty text."""
+    with open_part(part) as stream:
+        holder = None
+        index = -1
+        for event, element in ElementTree.iterparse(stream, events=("start", "end")):
+            kind = _local(element.tag)
+            if event == "start":
+                if kind == "sheetData":
+                    holder = element
+            elif kind == "row":
+                index = int(element.get("r", index + 2)) - 1
+                yield index, _row_cells(element, shared)
+                if holder is not None:
+                    holder.clear()
 
 
 def _row_cells(row: ElementTree.Element, shared: list[str]) -> list[str]:
@@ -234,25 +252,134 @@ def _cell_text(cell: ElementTree.Element, shared: list[str]) -> str:
     return ""
 
 
+class _Part(io.RawIOBase):
+    """A packed part of an archive, unpacked while it is read; its checksum must be right at the end."""
+
+    def __init__(self, packed: bytes, deflated: bool, checksum: int) -> None:
+        self.left, self.deflated, self.checksum = packed, deflated, checksum
+        self.inflater = zlib.decompressobj(-zlib.MAX_WBITS)
+        self.seen = 0
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        if self.deflated:
+            data = self.inflater.decompress(self.left, len(buffer))
+            self.left = self.inflater.unconsumed_tail
+        else:
+            data, self.left = self.left[: len(buffer)], self.left[len(buffer) :]
+        self.seen = zlib.crc32(data, self.seen)
+        if not data and self.seen != self.checksum:
+            raise BadZipFile("a part of the workbook is damaged")
+        buffer[: len(data)] = data
+        return len(data)
+
+
+def _packed(archive: ZipFile, content: pa.Buffer, part: str) -> tuple[bytes, bool, int]:
+    """A part as it lies in the archive, unless it is packed in an unusual way."""
+    info = archive.getinfo(part)
+    if info.flag_bits & 1 or info.compress_type not in (ZIP_STORED, ZIP_DEFLATED):
+        data = archive.read(part)
+        return data, False, zlib.crc32(data)
+    # The length of a local header, and where it has the lengths of its name and extra field.
+    head = content[info.header_offset : info.header_offset + 30].to_pybytes()
+    start = info.header_offset + 30 + sum(struct.unpack("<HH", head[26:30]))
+    packed = content[start : start + info.compress_size].to_pybytes()
+    return packed, info.compress_type == ZIP_DEFLATED, info.CRC
+
+
+class _Unit:
+    """Sheets of one workbook that a task reads together, with the strings they share."""
+
+    def __init__(self, path: str, strings: list[str]) -> None:
+        self.path, self.strings = path, strings
+        self.sheets: list[tuple[str, int, str]] = []
+        self.size = 0
+
+    def rows(self, out: _Batches, open_part: Callable[[str], IO[bytes]]) -> Iterator[pa.RecordBatch]:
+        try:
+            shared = _shared_strings(open_part, self.strings)
+        except Exception as error:  # a broken file must not stop the others
+            yield from out.add((self.path, None, None, None, None, _problem(error)))
+            return
+        for sheet, number, part in self.sheets:
+            try:
+                for index, cells in _whole(lambda: _sheet_rows(open_part, part, shared)):
+                    row = (self.path, sheet, number, index, cells, None)
+                    yield from out.add(row, sum(map(len, cells)))
+            except Exception as error:
+                yield from out.add((self.path, sheet, number, None, None, _problem(error)))
+
+
+def _units(path: str, workbook: _Workbook, most: float) -> list[_Unit]:
+    """The sheets in units of about ``most`` bytes of text; a larger sheet is a unit of its own."""
+    strings = workbook.string_parts()
+    units = [_Unit(path, strings)]
+    for number, (sheet, part) in enumerate(workbook.sheets()):
+        if part is not None:
+            try:
+                size = workbook.archive.getinfo(part).file_size
+            except KeyError:  # whoever reads the sheet says that it is missing
+                size = 0
+            if units[-1].sheets and units[-1].size + size > most:
+                units.append(_Unit(path, strings))
+            units[-1].sheets.append((sheet, number, part))
+            units[-1].size += size
+    return units
+
+
 def _read_workbooks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out = _Batches(_grid_schema())
     for path, content in _files(batches):
         try:
             workbook = _Workbook(content)
-            shared = workbook.shared_strings()
-            sheets = workbook.sheets()
-        except Exception as error:  # a broken file must not stop the others
+            (unit,) = _units(path, workbook, math.inf)
+        except Exception as error:
             yield from out.add((path, None, None, None, None, _problem(error)))
             continue
-        for number, (sheet, part) in enumerate(sheets):
-            if part is None:
+        yield from unit.rows(out, workbook.archive.open)
+    yield from out.flush()
+
+
+def _split_workbooks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each unit with the parts it needs, still packed."""
+    for path, content in _files(batches):
+        try:
+            workbook = _Workbook(content)
+            units = _units(path, workbook, UNIT_BYTES)
+        except Exception as error:
+            body = pickle.dumps((path, _problem(error)))
+            yield pa.RecordBatch.from_pydict({"path": [path], "unit": [0], "body": [body]}, _UNITS)
+            continue
+        for number, unit in enumerate(units):
+            parts: dict[str, tuple | Exception] = {}
+            for part in [*unit.strings, *(part for _, _, part in unit.sheets)]:
+                try:
+                    parts[part] = _packed(workbook.archive, content, part)
+                except Exception as error:
+                    parts[part] = error
+            body = pickle.dumps((path, (unit.strings, unit.sheets, parts)))
+            yield pa.RecordBatch.from_pydict({"path": [path], "unit": [number], "body": [body]}, _UNITS)
+
+
+def _read_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    out = _Batches(_grid_schema())
+    for batch in batches:
+        for body in batch.column("body"):
+            path, found = pickle.loads(body.as_buffer())
+            if isinstance(found, str):
+                yield from out.add((path, None, None, None, None, found))
                 continue
-            try:
-                for index, cells in _whole(lambda: workbook.rows(part, shared)):
-                    row = (path, sheet, number, index, cells, None)
-                    yield from out.add(row, sum(map(len, cells)))
-            except Exception as error:
-                yield from out.add((path, sheet, number, None, None, _problem(error)))
+            unit = _Unit(path, found[0])
+            unit.sheets, parts = found[1], found[2]
+
+            def open_part(part: str) -> IO[bytes]:
+                if isinstance(parts[part], Exception):
+                    raise parts[part]
+                return io.BufferedReader(_Part(*parts[part]))
+
+            yield from unit.rows(out, open_part)
     yield from out.flush()
 
 
@@ -288,8 +415,17 @@ def workbook_rows(files: DataFrame) -> DataFrame:
 
     Cells are the stored text: numbers as written in the file, dates as their serial numbers,
     logical values as ``true`` or ``false``, empty cells as empty text.
+
+    A workbook of up to ``SPLIT_BYTES`` is read where it is. The sheets of a larger one are dealt out, still packed, to
+    as many tasks as a shuffle has, in units of ``UNIT_BYTES`` of text or one sheet, so that a book of many sheets or
+    with a large one does not hold up its task.
     """
-    return files.select("path", "content").mapInArrow(_read_workbooks, GRID_TYPE)
+    size = F.col("length") if "length" in files.columns else F.length("content")
+    large = files.where(size > SPLIT_BYTES).select("path", "content").mapInArrow(_split_workbooks, UNIT_TYPE)
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = large.repartition(tasks, "path", "unit").select("body").mapInArrow(_read_units, GRID_TYPE)
+    small = files.where(F.coalesce(size, F.lit(0)) <= SPLIT_BYTES).select("path", "content")
+    return small.mapInArrow(_read_workbooks, GRID_TYPE).unionByName(units)
 
 
 # -- exported online sheets -----------------------------------------------------------------------

@@ -6,7 +6,7 @@ import io
 import json
 import random
 from contextlib import contextmanager
-from zipfile import ZipFile
+from zipfile import ZIP_BZIP2, ZIP_DEFLATED, ZipFile
 
 import pytest
 from hypothesis import given, settings
@@ -159,6 +159,38 @@ def test_wide_form_pads_and_scrubs(spark):
     assert [tuple(r)[4:] for r in table] == [("_my_sheet_", "a b", "c", "")]
 
 
+def test_sheets_of_a_large_book_are_read_apart(spark, monkeypatch):
+    """One large sheet and many small ones take several tasks, and give the rows that one task reads."""
+    from gleanwork.sources import grids
+
+    texts = "".join(f"<si><t>text {i}</t></si>" for i in range(50))
+    sheets = {f"S{i}": f'<row><c t="s"><v>{i}</v></c><c><v>{i}</v></c></row>' for i in range(40)}
+    sheets["Large"] = "".join(f'<row><c t="s"><v>{i % 50}</v></c><c><v>{i}</v></c></row>' for i in range(9000))
+    sheets["Broken"] = '<row><c t="s"><v>99</v></c></row>'
+    good, cut = workbook(sheets, texts), io.BytesIO()
+    with ZipFile(io.BytesIO(good)) as old, ZipFile(cut, "w", ZIP_DEFLATED) as new:
+        for name in old.namelist():
+            if not name.endswith("/s3.xml"):
+                new.writestr(name, old.read(name), ZIP_BZIP2 if name.endswith("/s5.xml") else None)
+    damaged = bytearray(good)
+    with ZipFile(io.BytesIO(good)) as old:
+        at = old.getinfo("xl/worksheets/s40.xml").header_offset
+        damaged[at + 200] ^= 0xFF
+    books = {"/good": good, "/cut": cut.getvalue(), "/damaged": bytes(damaged), "/no": b"x" * 99, "/none": b""}
+    frame = files(spark, books)
+    order = ["path", "sheet_idx", "row_idx"]
+
+    def rows(grid):
+        return grid.withColumn("error", F.substring_index("error", ":", 1)).orderBy(order).collect()
+
+    whole = rows(S.workbook_rows(frame))
+    monkeypatch.setattr(grids, "SPLIT_BYTES", 10)
+    monkeypatch.setattr(grids, "UNIT_BYTES", 2000)
+    apart = S.workbook_rows(frame)
+    assert rows(apart) == whole and sum(r["error"] is not None for r in whole) >= 5
+    assert apart.where("path = '/good'").select(F.spark_partition_id()).distinct().count() > 2
+
+
 def test_many_rows_leave_in_bounded_batches(spark):
     many = "".join(f'<row r="{i}"><c><v>{i}</v></c></row>' for i in range(1, 20_001))
     grids = S.workbook_rows(files(spark, {"/b": workbook({"A": many})}))
