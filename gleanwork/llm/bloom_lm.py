@@ -1,21 +1,23 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Tokens are words (A-Z in lower case) and one end mark per document; a document begins in the context of
-the end mark. One pass over the training documents counts words and pairs of words, summed up per task
-before the shuffle. Counts are quantised on a scale of powers of ``BASE``: a word, pair or context with
-level q puts the q keys (it, 1) ... (it, q) into the filter, and a reader probes 1, 2, ... until a key is
-missing. The filter is built in blocks of 512 KiB by as many tasks as it needs, and sent to the workers, or,
-where it is larger than ``MOST_BITS``, stays in its blocks: the distinct grams of all documents are then
-dealt to their blocks and probed there, and their levels joined back.
-
-Score of a token: ``a(h) * count(h, w) / mass(h) + (1 - a(h)) * p(w)``. Pairs seen once count
-too, on level 1; ``mass`` is the sum of the quantised pair counts of the context, rounded up, and ``a`` is 0.9 of
-the share of its occurrences that the quantised pairs cover. ``p`` is the quantised count over the sum of all, with
-the share of words seen once set aside for the unknown word. So probabilities over the known words and
-one unknown word add up to 1 at most, but for false hits of the filter.
-
-Bounds: the filter has ``BITS`` bits per key at every size; at most ``MOST_BITS`` are sent out. Exact counts for the base score: the most frequent words, at
-most ``HEAD``, are sent to the workers; all others are joined by word.
+the end mark. Words are hashed to 64 bits on the bytes of a batch, pairs of words likewise. One pass over the
+training documents counts both, summed up per task, and sends them packed to parts by the range of their hash: the only
+shuffle. A part adds up its counts, puts them on a scale of powers of ``BASE`` and fills a filter of its own, of
+``BITS`` bits a key: a word or pair of level q has the keys (it, 1) ... (it, q), and a reader probes
+1, 2, ... until a key is missing. The parts are sent to the workers as one filter, or, where they are larger than
+``MOST_BITS``, stay where they are: the distinct words and pairs of all documents are then dealt to their
+parts and probed there, and their levels joined back.
+
+Score of a token w after h: ``a(h) * count(h, w) / count(h) + (1 - a(h)) * p(w)``. The count of a pair is the least of
+its level, so that pairs seen once count as 1; that of its context is exact for the most frequent words and
+the upper bound of its level for others; ``a`` is ``TRUST`` for contexts that training saw and 0 for others. ``p`` is
+the middle count of the level over the sum of all, with the share of words seen once set aside for the
+unknown word. So probabilities over the known words and one unknown word add up to 1 at most, but for false
+hits of the filter.
+
+Bounds: at most ``MOST_BITS`` of the filter go through the driver and to the workers. Exact counts for the base
+score: the most frequent words, at most ``HEAD``, are sent to the workers; all others are joined by hash.
 """
 
 from __future__ import annotations
@@ -28,328 +30,335 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanwork.llm.common import crc_mod, full_text, lower_ascii, split_words, table
+from gleanwork.llm.byte_words import NO_SPACE, find_runs, hash_runs, text_blocks
+from gleanwork.llm.common import crc_mod, full_text, table
+from gleanwork.llm.shingles import mix
 from gleanwork.workspace import materialise
 
 BASE = 1.5
 LEVELS = 110
 HASHES = 4
 BITS = 10
-MOST_BITS = 1 << 31
-BLOCK_BITS = 22
+MOST_BITS = 1 << 30
 HEAD = 1 << 18
 TRUST = 0.9
-#: Flush sizes of the counting pass: neither drops anything.
-LOCAL_WORDS = 300_000
-LOCAL_PAIRS = 2_000_000
-CHUNK_WORDS = 200_000
-END = ""
-WORDS, PAIRS, CONTEXTS = 0, 1, 2
+#: Sizes of work: neither drops anything. Characters of a part, parts of pairs for one of words, bytes of a block, pairs
+#: and words that a task holds.
+PART_CHARS = 16 << 20
+WORD_SHARE = 8
+BLOCK_BYTES = 2 << 20
+LOCAL_PAIRS = 4_000_000
+LOCAL_WORDS = 1_000_000
+END = np.uint64(0x2545F4914F6CDD1D)
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+LOWER = np.where((np.arange(256) >= 0x41) & (np.arange(256) <= 0x5A), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
 
 
-def _scale() -> list[float]:
-    """The count that each level stands for: the middle of the whole numbers that fall on it."""
-    values = [0.0]
-    for level in range(1, LEVELS):
-        low, high = math.ceil(BASE ** (level - 1) - 1e-9), math.ceil(BASE**level - 1e-9) - 1
-        values.append((low + max(low, high)) / 2)
-    return values
+def _least(level: int) -> int:
+    return math.ceil(BASE ** (level - 1) - 1e-9) if level else 0
 
 
-SCALE = _scale()
+#: The least and the middle count of each level.
+LEAST = [float(_least(level)) for level in range(LEVELS)]
+MIDDLE = [0.0] + [(_least(q) + max(_least(q), _least(q + 1) - 1)) / 2 for q in range(1, LEVELS)]
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """The finaliser of splitmix64."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    return (np.floor(np.log(counts) / math.log(BASE) + 1e-9) + 1).astype(np.int64)
 
 
-def gram_hash(keys: np.ndarray, kind: int) -> np.ndarray:
-    return _mix(keys.astype(np.uint64) + np.uint64((kind + 1) * 0x9E3779B97F4A7C15 % 2**64))
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Parts are ranges of the hash."""
+    return ((keys >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
 
 
-def _places(hashes: np.ndarray, level: int):
-    """Bit numbers within the block, one array per hash function."""
-    y = _mix(hashes + np.uint64(level * 0xD1B54A32D192ED03 % 2**64))
-    step = (y >> np.uint64(24)) | np.uint64(1)
-    for i in range(HASHES):
-        yield ((y + np.uint64(i) * step) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
+def _places(keys: np.ndarray, level: int, bits):
+    """Bit numbers within a filter of ``bits`` bits (fewer than 2 ** 32), one array per hash function."""
+    y = mix(keys + np.uint64(level * 0xD1B54A32D192ED03 % 2**64))
+    place, step = y >> np.uint64(32), (y & np.uint64(0xFFFFFFFF)) | np.uint64(1)
+    for _ in range(HASHES):
+        yield (place * bits >> np.uint64(32)).astype(np.int64)
+        place = (place + step) & np.uint64(0xFFFFFFFF)
 
 
-def block_of(hashes: np.ndarray, blocks: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
-
-
-def fill_block(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    bits = np.zeros(1 << BLOCK_BITS, np.uint8)
+def fill(keys: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, int]:
+    """The packed bits of a part, and their number."""
+    size = max(64, int(levels.sum()) * BITS)
+    bits = np.zeros(size, np.uint8)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        for place in _places(hashes[levels >= level], level):
+        for place in _places(keys[levels >= level], level, np.uint64(size)):
             bits[place] = 1
-    return np.packbits(bits, bitorder="little")
-
+    return np.packbits(bits, bitorder="little"), size
+
+
+def joined(parts: int, found: list[tuple[int, bytes, int]]) -> tuple:
+    """The filters ``(part, bits, size)`` of consecutive parts as one; parts that got no keys are empty."""
+    sizes, starts = np.full(parts, 64, np.uint64), np.zeros(parts, np.int64)
+    pieces, at = [bytes(8)], 8
+    for part, bits, size in found:
+        starts[part], sizes[part] = 8 * at, size
+        pieces.append(bits)
+        at += len(bits)
+    return parts, starts, sizes, np.frombuffer(b"".join(pieces), np.uint8)
+
+
+class Filter:
+    """What :func:`joined` put together, to look up levels."""
+
+    def __init__(self, parts: int, starts: np.ndarray, sizes: np.ndarray, bits: np.ndarray):
+        self.parts, self.starts, self.sizes, self.bits = parts, starts, sizes, bits
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """The level of each key: probes go on until one is missing."""
+        found, alive = np.zeros(len(keys), np.int64), np.arange(len(keys))
+        part = part_of(keys, self.parts)
+        starts, sizes = self.starts[part], self.sizes[part]
+        for level in range(1, LEVELS):
+            if not len(alive):
+                break
+            y = mix(keys[alive] + np.uint64(level * 0xD1B54A32D192ED03 % 2**64))
+            place, step = y >> np.uint64(32), (y & np.uint64(0xFFFFFFFF)) | np.uint64(1)
+            for _ in range(HASHES):
+                bit = starts[alive] + (place * sizes[alive] >> np.uint64(32)).astype(np.int64)
+                hit = (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+                alive, place, step = alive[hit], place[hit], step[hit]
+                place = (place + step) & np.uint64(0xFFFFFFFF)
+            found[alive] = level
+        return found
+
+
+def pair_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(before * GOLDEN + words)
+
+
+def _tokens(column: pa.Array):
+    """``(row of each token, its context, the token)``, some texts or a part of a long one at a time."""
+    before = END
+    for row, whole, data, offsets in text_blocks(column, NO_SPACE, BLOCK_BYTES):
+        data = LOWER[data]
+        starts, lengths = find_runs(NO_SPACE, data, offsets)
+        ends = np.searchsorted(starts, offsets[1:])
+        texts = np.arange(len(ends))
+        tokens = np.full(len(starts) + len(ends), END)
+        rows = row + np.searchsorted(ends + texts, np.arange(len(tokens)))
+        there = np.ones(len(tokens), bool)
+        there[ends + texts] = False
+        tokens[there] = hash_runs(data, starts, lengths)
+        if not whole:
+            tokens, rows = tokens[:-1], rows[:-1]
+        if len(tokens):
+            yield rows, np.append(before, tokens[:-1]), tokens
+            before = tokens[-1]
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, each once, with the sum of their counts."""
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n, first) if len(first) else n
+
+
+PACKED = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _pack(keys: np.ndarray, counts: np.ndarray, parts: int, first_part: int):
+    """Sorted keys by part: their differences by planes of bytes, which are mostly zeros in the higher planes."""
+    edges = np.searchsorted(part_of(keys, parts), np.arange(parts + 1))
+    for part in range(parts):
+        own = keys[edges[part] : edges[part + 1]]
+        if len(own):
+            steps = np.diff(own, prepend=np.uint64(0))
+            planes = steps.astype(">u8").view(np.uint8).reshape(-1, 8).T
+            n = counts[edges[part] : edges[part + 1]].astype("<u8").view(np.uint8).reshape(-1, 8).T
+            columns = [[first_part + part], [planes.tobytes()], [n.tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PACKED)], schema=PACKED)
+
+
+def _unpack(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = [], []
+    for keys_of, counts_of in zip(rows.column("keys").to_pylist(), rows.column("counts").to_pylist()):
+        planes = np.frombuffer(keys_of, np.uint8).reshape(8, -1).T
+        keys.append(np.cumsum(np.ascontiguousarray(planes).view(">u8")[:, 0].astype(np.uint64), dtype=np.uint64))
+        planes = np.frombuffer(counts_of, np.uint8).reshape(8, -1).T
+        counts.append(np.ascontiguousarray(planes).view("<u8")[:, 0].astype(np.int64))
+    return _summed(keys, counts)
+
+
+def _count(parts: int, word_parts: int):
+    def run(batches):
+        pairs, held, words, n_words = [], 0, [], 0
 
-def probe(filter_bytes: np.ndarray, blocks: int, hashes: np.ndarray) -> np.ndarray:
-    """The level of each gram: probes go on until a key is missing."""
-    found = np.zeros(len(hashes), np.int64)
-    start = block_of(hashes, blocks) << BLOCK_BITS
-    alive = np.arange(len(hashes))
-    for level in range(1, LEVELS):
-        if not len(alive):
-            break
-        y = _mix(hashes[alive] + np.uint64(level * 0xD1B54A32D192ED03 % 2**64))
-        step = (y >> np.uint64(24)) | np.uint64(1)
-        base = start[alive]
-        for i in range(HASHES):
-            place = base + (y & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
-            hit = (filter_bytes[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
-            alive, base, y, step = alive[hit], base[hit], y[hit], step[hit]
-            y = y + step
-        found[alive] = level
-    return found
-
-
-class _Ids(dict):
-    """Numbers words in order of first sight and keeps a 32-bit hash of each."""
-
-    def __init__(self):
-        super().__init__()
-        self.words: list[str] = []
-        self.hashes: list[int] = []
-
-    def __missing__(self, word: str) -> int:
-        import xxhash
-
-        number = self[word] = len(self.words)
-        self.words.append(word)
-        self.hashes.append(xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass")))
-        return number
-
-
-def _chunks(batches, columns: int):
-    """Rows with their words and an end mark, in runs of about ``CHUNK_WORDS`` words."""
-    rows, words, ends = [], [], []
-    for batch in batches:
-        others = [batch.column(i).to_pylist() for i in range(columns)]
-        for row, text in enumerate(batch.column(columns).to_pylist()):
-            words += split_words(lower_ascii(text))
-            words.append(END)
-            ends.append(len(words))
-            rows.append([other[row] for other in others])
-            if len(words) >= CHUNK_WORDS:
-                yield rows, words, ends
-                rows, words, ends = [], [], []
-    if rows:
-        yield rows, words, ends
-
-
-GRAMS = pa.schema([("word", pa.string()), ("key", pa.int64()), ("n", pa.int64())])
-
-
-def _count_grams(batches):
-    ids, counts, pairs, held = _Ids(), np.zeros(0, np.int64), [], 0
-
-    def pair_rows():
-        keys, n = np.unique(np.concatenate(pairs), return_counts=True)
-        for at in range(0, len(keys), LOCAL_WORDS):
-            part = keys[at : at + LOCAL_WORDS].view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(part), pa.string()), pa.array(part), pa.array(n[at : at + LOCAL_WORDS])], schema=GRAMS
-            )
+        def send_pairs():
+            yield from _pack(*np.unique(np.concatenate(pairs), return_counts=True), parts, 0)
 
-    def word_rows():
-        keys = pa.array(np.asarray(ids.hashes, np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(ids.words), keys, pa.array(counts)], schema=GRAMS)
-
-    for _, words, _ in _chunks(batches, 0):
-        end = ids[END]
-        numbers = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-        grown = np.bincount(numbers, minlength=len(ids.words))
-        grown[: len(counts)] += counts
-        counts = grown
-        hashes = np.asarray(ids.hashes, np.uint64)[numbers]
-        before = np.concatenate([np.asarray([ids.hashes[end]], np.uint64), hashes[:-1]])
-        pairs.append((before << np.uint64(32)) | hashes)
-        held += len(words)
-        if held >= LOCAL_PAIRS:
-            yield from pair_rows()
-            pairs, held = [], 0
-        if len(ids.words) >= LOCAL_WORDS:
-            yield word_rows()
-            ids, counts = _Ids(), np.zeros(0, np.int64)
-    if held:
-        yield from pair_rows()
-    if len(ids.words):
-        yield word_rows()
-
-
-def _hash_rows(blocks: int, schema: pa.Schema):
-    def run(batches):
         for batch in batches:
-            key, kind, level = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            hashes = np.zeros(len(key), np.uint64)
-            for value in (WORDS, PAIRS, CONTEXTS):
-                chosen = kind == value
-                hashes[chosen] = gram_hash(key[chosen], value)
-            arrays = [block_of(hashes, blocks).astype(np.int32), hashes.view(np.int64), level.astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], schema=schema)
+            for _, before, tokens in _tokens(batch.column(0)):
+                pairs.append(pair_keys(before, tokens))
+                held += len(tokens)
+                words.append(np.unique(tokens, return_counts=True))
+                n_words += len(words[-1][0])
+                if held >= LOCAL_PAIRS:
+                    yield from send_pairs()
+                    pairs, held = [], 0
+                if n_words >= 2 * LOCAL_WORDS:
+                    words = [_summed(*zip(*words))]
+                    n_words = len(words[0][0])
+                    if n_words >= LOCAL_WORDS:
+                        yield from _pack(*words[0], word_parts, parts)
+                        words, n_words = [], 0
+        if pairs:
+            yield from send_pairs()
+        if words:
+            yield from _pack(*_summed(*zip(*words)), word_parts, parts)
 
     return run
 
 
-def _fill(key: tuple, rows: pa.Table) -> pa.Table:
-    hashes = rows.column("hash").to_numpy().view(np.uint64)
-    bits = fill_block(hashes, rows.column("level").to_numpy())
-    return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([bits.tobytes()])})
+BUILT = pa.schema(
+    [("part", pa.int32()), ("size", pa.int64()), ("bits", pa.binary()), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))]
+)
 
 
-def _probe_rows(blocks: int, schema: pa.Schema):
-    def run(batches):
-        for batch in batches:
-            key, kind = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            hashes = np.zeros(len(key), np.uint64)
-            for value in (WORDS, PAIRS, CONTEXTS):
-                chosen = kind == value
-                hashes[chosen] = gram_hash(key[chosen], value)
-            arrays = [block_of(hashes, blocks).astype(np.int32), kind.astype(np.int32), key, hashes.view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], schema=schema)
+def _build(parts: int):
+    """The filter of a part; a part of words also keeps its exact counts."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        keys, counts = _unpack(rows)
+        bits, size = fill(keys, levels_of(counts))
+        is_words = key[0].as_py() >= parts
+        exact = [keys.view(np.int64), counts] if is_words else [[], []]
+        columns = [[key[0].as_py()], [size], [bits.tobytes()], [exact[0]], [exact[1]]]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, BUILT)], schema=BUILT)
 
     return run
 
 
-def _probe_block(key: tuple, asked: pa.Table, block: pa.Table) -> pa.Table:
-    hashes = asked.column("hash").to_numpy().view(np.uint64)
-    levels = np.zeros(len(hashes), np.int32)
-    if block.num_rows and len(hashes):
-        bits = np.frombuffer(block.column("bits")[0].as_py(), np.uint8)
-        levels = probe(bits, 1, hashes).astype(np.int32)
-    return pa.table({"kind": asked.column("kind"), "key": asked.column("key"), "level": pa.array(levels, pa.int32())})
+def _probe_part(key: tuple, asked: pa.Table, built: pa.Table) -> pa.Table:
+    keys = asked.column("key").to_numpy().view(np.uint64)
+    levels = np.zeros(len(keys), np.int64)
+    if built.num_rows and len(keys):
+        own = Filter(*joined(1, [(0, built.column("bits")[0].as_py(), built.column("size")[0].as_py())]))
+        levels = own.levels(keys)
+    return pa.table({"key": asked.column("key"), "level": pa.array(levels.astype(np.int32))})
 
 
-def _far_scores(scored: DataFrame, built: DataFrame, blocks: int, facts: dict) -> DataFrame:
-    """``row_no, score`` by a filter that stays in its blocks: the value of a token depends on its pair alone,
-    so each distinct pair is valued once."""
-    counted = F.explode(F.arrays_zip("pair_keys", "pair_counts")).alias("pair")
-    pairs = scored.select("row_no", counted).select("row_no", F.col("pair.pair_keys").alias("key"), F.col("pair.pair_counts").alias("n"))
-    distinct = materialise(pairs.select("key").distinct(), "lm-pairs")
-    before, word = F.shiftrightunsigned("key", 32), F.col("key").bitwiseAND(F.lit(0xFFFFFFFF))
-    words = distinct.select(F.explode(F.array(before, word)).alias("key")).distinct()
-    asked = distinct.select("key", F.lit(PAIRS).alias("kind")).unionByName(
-        words.select("key", F.explode(F.array(F.lit(WORDS), F.lit(CONTEXTS))).alias("kind"))
-    )
-    schema = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("key", pa.int64()), ("hash", pa.int64())])
-    hashed = asked.mapInArrow(_probe_rows(blocks, schema), "block int, kind int, key long, hash long")
-    levels = materialise(
-        hashed.groupBy("block").cogroup(built.groupBy("block")).applyInArrow(_probe_block, "kind int, key long, level int"),
-        "lm-levels",
-    )
+def _jvm_part(key, parts: int):
+    """``part_of`` as a column."""
+    return F.shiftright(F.shiftrightunsigned(key, 40) * parts, 24).cast("int")
 
-    def at(values, level):
-        return F.element_at(F.array(*[F.lit(float(x)) for x in values]), F.col(level) + 1)
 
-    known = levels.where(F.col("kind") != PAIRS).groupBy("key").agg(
-        F.max(F.when(F.col("kind") == WORDS, F.col("level"))).alias("level"),
-        F.max(F.when(F.col("kind") == CONTEXTS, F.col("level"))).alias("context"),
-    )
-    share = F.lit(TRUST) * F.least(F.lit(1.0), at(SCALE, "context") / F.greatest(at(SCALE, "level"), F.lit(1.0)))
-    by_word = known.select(
-        F.col("key").alias("word"),
-        F.when(F.col("level") > 0, F.lit(1 - facts["unseen"]) * at(SCALE, "level") / F.lit(facts["spread"]))
-        .otherwise(F.lit(facts["unseen"]))
-        .alias("p"),
-    )
-    by_context = known.select(
-        F.col("key").alias("before"),
-        F.when(F.col("context") > 0, share).otherwise(F.lit(0.0)).alias("a"),
-        at([BASE**level for level in range(LEVELS)], "context").alias("mass"),
+def _far_scores(scored: DataFrame, built: DataFrame, parts: int, word_parts: int, heads: DataFrame, facts: dict) -> DataFrame:
+    """``row_no, score`` by filters that stay in their parts: the value of a token depends on its pair alone,
+    so each distinct pair is valued once."""
+    token = F.explode(F.arrays_zip("pairs", "befores", "words", "times")).alias("token")
+    tokens = scored.select("row_no", token).select("row_no", "token.*")
+    pairs = materialise(tokens.select("pairs", "befores", "words").distinct(), "lm-pairs")
+    words = pairs.select(F.explode(F.array("befores", "words")).alias("key")).distinct()
+    built = built.select("part", "bits", "size")
+
+    def levels(keys: DataFrame, part, label: str) -> DataFrame:
+        asked = keys.select("key", part.alias("part"))
+        probed = asked.groupBy("part").cogroup(built.groupBy("part")).applyInArrow(_probe_part, "key long, level int")
+        return materialise(probed, label)
+
+    def at(values):
+        return F.element_at(F.array(*[F.lit(float(x)) for x in values]), F.col("level") + 1)
+
+    by_pair = levels(pairs.select(F.col("pairs").alias("key")), _jvm_part(F.col("key"), parts), "lm-levels")
+    by_word = levels(words, F.lit(parts) + _jvm_part(F.col("key"), word_parts), "lm-levels").join(heads, "key", "left")
+    share = F.when(F.col("level") > 0, F.lit(1 - facts["unseen"]) * at(MIDDLE) / F.lit(facts["spread"])).otherwise(F.lit(facts["unseen"]))
+    p = by_word.select(F.col("key").alias("words"), share.alias("p"))
+    context = by_word.select(
+        F.col("key").alias("befores"),
+        F.when(F.col("level") > 0, F.lit(TRUST)).otherwise(F.lit(0.0)).alias("a"),
+        F.coalesce(F.col("n").cast("double"), at([BASE**q for q in range(LEVELS)])).alias("mass"),
     )
-    likely = F.least(F.lit(1.0), at(SCALE, "level") / F.col("mass"))
+    likely = F.least(F.lit(1.0), at(LEAST) / F.col("mass"))
     values = (
-        levels.where(F.col("kind") == PAIRS)
-        .select("key", "level", before.alias("before"), word.alias("word"))
-        .join(by_word, "word")
-        .join(by_context, "before")
-        .select("key", F.log10(F.col("a") * likely + (1 - F.col("a")) * F.col("p")).alias("value"))
+        pairs.join(by_pair.withColumnRenamed("key", "pairs"), "pairs")
+        .join(p, "words")
+        .join(context, "befores")
+        .select("pairs", F.log10(F.col("a") * likely + (1 - F.col("a")) * F.col("p")).alias("value"))
+    )
+    return tokens.select("row_no", "pairs", "times").join(values, "pairs").groupBy("row_no").agg(
+        F.sum(F.col("times") * F.col("value")).alias("score")
     )
-    return pairs.join(values, "key").groupBy("row_no").agg(F.sum(F.col("n") * F.col("value")).alias("score"))
 
 
-def _score(filter_bytes, head, blocks: int, facts: dict, kind: pa.DataType):
-    """``head``: counts of the most frequent words. Both values are broadcast; without a filter rows get their
-    distinct pairs instead of a score."""
-    far = filter_bytes is None
+def _score(sent, facts: dict, kind: pa.DataType):
+    """``sent``: filters of pairs and words (None where they stay in their parts, and rows get their
+    distinct pairs instead of a score), hashes and exact counts of the most frequent words."""
+    far = facts["far"]
     out = pa.schema(
         [
             ("row_no", pa.int64()), ("doc_id", kind), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
             ("head_known", pa.int64()), ("head_base", pa.float64()), ("score", pa.float64()),
-            ("rare", pa.list_(pa.string())),
+            ("rare", pa.list_(pa.int64())),
         ]
-        + [("pair_keys", pa.list_(pa.int64())), ("pair_counts", pa.list_(pa.int64()))] * far
+        + [(name, pa.list_(pa.int64())) for name in ("pairs", "befores", "words", "times")] * far
     )
-    scale = np.asarray(SCALE)
-    ceiling = np.power(BASE, np.arange(LEVELS))
+    middle, least, ceiling = np.asarray(MIDDLE), np.asarray(LEAST), np.power(BASE, np.arange(LEVELS))
     unit = math.log10(facts["total"] + facts["distinct"] + 1)
 
     def run(batches):
-        bits, counts = None if far else np.frombuffer(filter_bytes.value, np.uint8), head.value
-
-        def level_of(hashes):
-            return np.zeros(len(hashes), np.int64) if far else probe(bits, blocks, hashes)
-
-        ids = _Ids()
-        known = {"hash": np.zeros(0, np.uint64), "p": np.zeros(0), "a": np.zeros(0), "mass": np.ones(0), "c": np.zeros(0)}
-        for rows, words, ends in _chunks(batches, 3):
-            if len(ids.words) >= LOCAL_WORDS:
-                ids, known = _Ids(), {name: values[:0] for name, values in known.items()}
-            end = ids[END]
-            numbers = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-            at = len(known["hash"])
-            if at < len(ids.words):
-                fresh = np.asarray(ids.hashes[at:], np.uint64)
-                count = scale[level_of(gram_hash(fresh, WORDS))]
-                level = level_of(gram_hash(fresh, CONTEXTS))
-                p = np.where(count > 0, (1 - facts["unseen"]) * count / facts["spread"], facts["unseen"])
-                share = TRUST * np.minimum(1.0, scale[level] / np.maximum(count, 1.0))
-                exact = np.fromiter((counts.get(word, 0) for word in ids.words[at:]), np.int64, len(fresh))
-                more = {"hash": fresh, "p": p, "a": np.where(level > 0, share, 0.0), "mass": ceiling[level], "c": exact}
-                known = {name: np.concatenate([values, more[name]]) for name, values in known.items()}
-            before = np.concatenate([[end], numbers[:-1]])
-            linked = np.flatnonzero(known["a"][before] > 0)
-            keys = (known["hash"][before[linked]] << np.uint64(32)) | known["hash"][numbers[linked]]
-            pair = np.zeros(len(numbers))
-            pair[linked] = scale[level_of(gram_hash(keys, PAIRS))] / known["mass"][before[linked]]
-            a = known["a"][before]
-            value = np.log10(a * np.minimum(pair, 1.0) + (1 - a) * known["p"][numbers])
-            exact = known["c"][numbers]
-            seen = exact > 0
-            base = np.where(seen, np.log10(exact + 1) - unit, 0.0)
-            starts = np.asarray([0, *ends[:-1]])
-            places = np.flatnonzero(~seen)
-            offsets = pa.array(np.searchsorted(places, [0, *ends]).astype(np.int32))
-            rare = pa.ListArray.from_arrays(offsets, pa.array([words[place] for place in places], pa.string()))
-            columns = [
-                pa.array([row[0] for row in rows], pa.int64()),
-                pa.array([row[1] for row in rows], kind),
-                pa.array([row[2] for row in rows], pa.bool_()),
-                pa.array(np.diff([0, *ends])),
-                pa.array(np.add.reduceat(seen.astype(np.int64), starts)),
-                pa.array(np.add.reduceat(base, starts)),
-                pa.array(np.add.reduceat(value, starts)),
-                rare,
-            ]
-            if far:
-                keys = ((known["hash"][before] << np.uint64(32)) | known["hash"][numbers]).view(np.int64)
-                own = [np.unique(keys[a:b], return_counts=True) for a, b in zip(starts, ends)]
-                edges = pa.array(np.cumsum([0, *(len(k) for k, _ in own)]).astype(np.int32))
-                columns += [pa.ListArray.from_arrays(edges, pa.array(np.concatenate(x))) for x in zip(*own)]
-            yield pa.RecordBatch.from_arrays(columns, schema=out)
+        pairs_sent, words_sent, head_keys, head_counts = sent.value
+        pair_filter, word_filter = (None, None) if far else (Filter(*pairs_sent), Filter(*words_sent))
 
-    return run
+        def exact(keys):
+            at = np.minimum(np.searchsorted(head_keys, keys), len(head_keys) - 1)
+            return np.where(head_keys[at] == keys, head_counts[at], 0) if len(head_keys) else np.zeros(len(keys), np.int64)
 
+        for batch in batches:
+            size = batch.num_rows
+            n_tokens, known, base, score = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
+            rare, near = [], []
+            for rows, before, tokens in _tokens(batch.column(3)):
+                keys, place = np.unique(np.append(before[0], tokens), return_inverse=True)
+                counts = exact(keys)
+                of_before, of_token = place[:-1], place[1:]
+                seen = counts[of_token] > 0
+                n_tokens += np.bincount(rows, minlength=size)
+                known += np.bincount(rows[seen], minlength=size)
+                base += np.bincount(rows[seen], np.log10(counts[of_token[seen]] + 1) - unit, size)
+                rare.append((rows[~seen], tokens[~seen]))
+                if far:
+                    near.append((rows, pair_keys(before, tokens), before, tokens))
+                    continue
+                level = word_filter.levels(keys)
+                p = np.where(level > 0, (1 - facts["unseen"]) * middle[level] / facts["spread"], facts["unseen"])
+                a = np.where(level > 0, TRUST, 0.0)
+                mass = np.where(counts > 0, counts, ceiling[level])
+                linked = np.flatnonzero(level[of_before] > 0)
+                found, at = np.unique(pair_keys(before[linked], tokens[linked]), return_inverse=True)
+                pair = np.zeros(len(tokens))
+                pair[linked] = least[pair_filter.levels(found)][at] / mass[of_before[linked]]
+                value = np.log10(a[of_before] * np.minimum(pair, 1.0) + (1 - a[of_before]) * p[of_token])
+                score += np.bincount(rows, value, size)
+
+            def lists(rows, values):
+                return pa.ListArray.from_arrays(
+                    pa.array(np.searchsorted(rows, np.arange(size + 1)).astype(np.int32)), pa.array(values.view(np.int64))
+                )
+
+            columns = [batch.column(0), batch.column(1), batch.column(2), n_tokens, known, base, score]
+            columns.append(lists(*(np.concatenate(x) for x in zip(*rare))))
+            if far:
+                rows, pairs, before, tokens = (np.concatenate(x) for x in zip(*near))
+                order = np.lexsort((pairs, rows))
+                rows, pairs = rows[order], pairs[order]
+                first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]) | (pairs[1:] != pairs[:-1])))
+                times = np.diff(np.append(first, len(rows)))
+                for values in (pairs[first], before[order][first], tokens[order][first], times):
+                    columns.append(lists(rows[first], values))
+            yield pa.RecordBatch.from_arrays(
+                [c if isinstance(c, pa.Array) else pa.array(c) for c in columns], schema=out
+            )
 
-def _level(n) -> F.Column:
-    return (F.floor(F.log(n.cast("double")) / F.lit(math.log(BASE)) + F.lit(1e-9)) + 1).cast("int")
+    return run
 
 
 def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -357,7 +366,8 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
 
     ``held_out`` is a column: rows where it is true are scored but not learned from. Null texts are empty
     and consist of the end mark. Repeated rows are learned from and scored one by one; a null id stays
-    null. An empty table gives no rows; without training rows every token is unknown.
+    null. Long texts are read in blocks. An empty table gives no rows; without training rows every token is
+    unknown.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -366,13 +376,24 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
         held_out.alias("held_out"),
         full_text(text).alias("text"),
     )
-    counted = rows.where(~F.col("held_out")).select("text").mapInArrow(_count_grams, "word string, key long, n long")
-    grams = materialise(counted.groupBy("word", "key").agg(F.sum("n").alias("n")), "lm-grams")
-    vocabulary = grams.where("word IS NOT NULL").select("word", "key", "n")
-    pairs = grams.where("word IS NULL").select("key", "n")
-    middle = F.element_at(F.array(*[F.lit(x) for x in SCALE[1:]]), F.col("level"))
+    train = rows.where(~F.col("held_out")).select("text")
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = chars // PART_CHARS + 1
+    word_parts = parts // WORD_SHARE + 1
+    counted = train.mapInArrow(_count(parts, word_parts), "part int, keys binary, counts binary")
+    built = materialise(
+        counted.groupBy("part").applyInArrow(
+            _build(parts), "part int, size long, bits binary, keys array<long>, counts array<long>"
+        ),
+        "lm-filter",
+    )
+    entry = F.explode(F.arrays_zip("keys", "counts")).alias("entry")
+    vocabulary = built.where(F.col("part") >= parts).select(entry).select(
+        F.col("entry.keys").alias("key"), F.col("entry.counts").alias("n")
+    )
+    level = (F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(BASE)) + F.lit(1e-9)) + 1).cast("int")
     by_level = (
-        vocabulary.groupBy(_level(F.col("n")).alias("level"))
+        vocabulary.groupBy(level.alias("level"))
         .agg(
             F.count(F.lit(1)).alias("words"), F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")
         )
@@ -380,50 +401,34 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
     )
     total, distinct = sum(r["n"] for r in by_level), sum(r["words"] for r in by_level)
     once = sum(r["once"] for r in by_level)
-    spread = sum(SCALE[r["level"]] * r["words"] for r in by_level)
+    size = built.agg(F.sum("size")).first()[0] or 0
     facts = {
         "total": total,
         "distinct": distinct,
-        "spread": max(spread, 1.0),
+        "spread": max(sum(MIDDLE[r["level"]] * r["words"] for r in by_level), 1.0),
         "unseen": min(0.5, (once + 1) / (total + 1)) if total else 1.0,
+        "far": size > MOST_BITS,
     }
-    frequent, least = 0, None
+    frequent, lowest = 0, None
     for row in sorted(by_level, key=lambda r: -r["level"]):
         frequent += row["words"]
         if frequent > HEAD:
             break
-        least = row["level"]
-    counts = {}
-    if least is not None:
-        head_rows = vocabulary.where(_level(F.col("n")) >= least).select("word", "n").collect()
-        counts = {row["word"]: row["n"] for row in head_rows}
-
-    context_mass = (
-        pairs.select(F.shiftrightunsigned("key", 32).alias("key"), _level(F.col("n")).alias("level"))
-        .groupBy("key")
-        .agg(F.sum(middle).alias("mass"))
-    )
-    upper = F.greatest(F.ceil(F.log("mass") / F.lit(math.log(BASE)) - F.lit(1e-9)), F.lit(1)).cast("int")
-    entries = (
-        vocabulary.select("key", F.lit(WORDS).alias("kind"), _level(F.col("n")).alias("level"))
-        .unionByName(pairs.select("key", F.lit(PAIRS).alias("kind"), _level(F.col("n")).alias("level")))
-        .unionByName(context_mass.select("key", F.lit(CONTEXTS).alias("kind"), upper.alias("level")))
-    )
-    keys = entries.agg(F.sum("level")).first()[0] or 0
-    blocks = max(1, keys * BITS + (1 << BLOCK_BITS) - 1 >> BLOCK_BITS)
-    far = blocks << BLOCK_BITS > MOST_BITS
-    hashed = entries.mapInArrow(
-        _hash_rows(blocks, pa.schema([("block", pa.int32()), ("hash", pa.int64()), ("level", pa.int32())])),
-        "block int, hash long, level int",
-    )
-    built = hashed.groupBy("block").applyInArrow(_fill, "block int, bits binary")
-    sent, head = None, spark.sparkContext.broadcast(counts)
-    if not far:
-        bits = bytearray(blocks << (BLOCK_BITS - 3))
-        for row in built.toLocalIterator():
-            at = row["block"] << (BLOCK_BITS - 3)
-            bits[at : at + len(row["bits"])] = row["bits"]
-        sent = spark.sparkContext.broadcast(bytes(bits))
+        lowest = row["level"]
+    heads = vocabulary.where(level >= lowest) if lowest is not None else vocabulary.where("false")
+    head = heads.collect()
+    keys = np.asarray([row["key"] for row in head], np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    filters = (None, None)
+    if not facts["far"]:
+        found = built.select("part", "bits", "size").collect()
+        sides = [[], []]
+        for row in found:
+            is_word = row["part"] >= parts
+            sides[is_word].append((row["part"] - parts * is_word, bytes(row["bits"]), row["size"]))
+        filters = (joined(parts, sides[0]), joined(word_parts, sides[1]))
+        del found, sides
+    sent = spark.sparkContext.broadcast((*filters, keys[order], np.asarray([row["n"] for row in head], np.int64)[order]))
 
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -433,25 +438,23 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
             T.StructField("row_no", T.LongType()), T.StructField("doc_id", id_type),
             T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
             T.StructField("head_known", T.LongType()), T.StructField("head_base", T.DoubleType()),
-            T.StructField("score", T.DoubleType()), T.StructField("rare", T.ArrayType(T.StringType())),
+            T.StructField("score", T.DoubleType()), T.StructField("rare", T.ArrayType(T.LongType())),
         ]
-        + [T.StructField(name, T.ArrayType(T.LongType())) for name in ("pair_keys", "pair_counts") if far]
+        + [T.StructField(name, T.ArrayType(T.LongType())) for name in ("pairs", "befores", "words", "times") if facts["far"]]
     )
-    scored = materialise(
-        rows.mapInArrow(_score(sent, head, blocks, facts, to_arrow_type(id_type)), schema), "lm-scores"
-    )
+    scored = materialise(rows.mapInArrow(_score(sent, facts, to_arrow_type(id_type)), schema), "lm-scores")
     rare = (
-        scored.select("row_no", F.explode("rare").alias("word"))
-        .join(vocabulary.select("word", "n"), "word", "left")
+        scored.select("row_no", F.explode("rare").alias("key"))
+        .join(vocabulary, "key", "left")
         .groupBy("row_no")
         .agg(
             F.count("n").alias("rare_known"),
             F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - F.lit(math.log10(total + distinct + 1))).alias("rare_base"),
         )
     )
-    plain = scored.drop("rare", "pair_keys", "pair_counts")
-    if far:
-        plain = plain.drop("score").join(_far_scores(scored, built, blocks, facts), "row_no", "left")
+    plain = scored.drop("rare", "pairs", "befores", "words", "times")
+    if facts["far"]:
+        plain = plain.drop("score").join(_far_scores(scored, built, parts, word_parts, heads, facts), "row_no", "left")
     return plain.join(rare, "row_no", "left").select(
         "doc_id",
         "held_out",

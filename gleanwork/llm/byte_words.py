@@ -72,3 +72,26 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
         step += 8
         active = active[lengths[active] > step]
     return hashes
+
+
+def text_blocks(column: pa.Array, member: np.ndarray, most: int):
+    """``(first row, whether the last text ends here, data, offsets)`` of about ``most`` bytes each.
+
+    A longer text is cut where a run of ``member`` ends, so that a block stays bounded but for one run.
+    """
+    data, offsets = text_bytes(column)
+    for row, end in slices(offsets, most):
+        at, stop = int(offsets[row]), int(offsets[end])
+        if end - row > 1 or stop - at <= most:
+            yield row, True, data[at:stop], offsets[row : end + 1] - at
+            continue
+        while at < stop:
+            cut, look = min(at + most, stop), most
+            while cut < stop:
+                breaks = np.flatnonzero(~member[data[cut : min(cut + look, stop)]])
+                if len(breaks):
+                    cut += int(breaks[0])
+                    break
+                cut = min(cut + look, stop)
+            yield row, cut == stop, data[at:cut], np.asarray([0, cut - at])
+            at = cut

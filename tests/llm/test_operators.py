@@ -202,26 +202,110 @@ def test_pairs_seen_once_are_evidence(spark):
     assert score[1] > score[2] + 5
 
 
-def test_a_filter_that_stays_in_its_blocks_scores_alike(docs, nothing, monkeypatch):
+def exact_scores(rows, held):
+    """The formula of the model on exact counts, put on its scale."""
+    tokens = [split(r[1]) + [""] for r in rows]
+    words, pairs = Counter(), Counter()
+    for r, own in zip(rows, tokens):
+        if not held(r):
+            words.update(own)
+            pairs.update(zip([""] + own[:-1], own))
+
+    def level(n):
+        return int(bloom_lm.levels_of(np.asarray([n]))[0]) if n else 0
+
+    total = sum(words.values())
+    unseen = min(0.5, (sum(n == 1 for n in words.values()) + 1) / (total + 1))
+    spread = sum(bloom_lm.MIDDLE[level(n)] for n in words.values())
+    for r, own in zip(rows, tokens):
+        score = 0.0
+        for h, w in zip([""] + own[:-1], own):
+            p = (1 - unseen) * bloom_lm.MIDDLE[level(words[w])] / spread if words[w] else unseen
+            a = bloom_lm.TRUST if words[h] else 0.0
+            pair = min(1.0, bloom_lm.LEAST[level(pairs[h, w])] / max(1, words[h]))
+            score += math.log10(a * pair + (1 - a) * p)
+        yield r[0], len(own), score
+
+
+def test_scores_equal_the_formula_on_exact_counts(docs, rows, monkeypatch):
+    held = F.coalesce(F.col("doc_id") % 4 == 1, F.lit(False))
+    wanted = list(exact_scores(rows, lambda r: r[0] is not None and r[0] % 4 == 1))
+
+    def gaps():
+        found = [(r.doc_id, r.n_tokens, r.score) for r in bloom_lm.bloom_scores(docs, held).collect()]
+        order = sorted(wanted, key=str)
+        assert [x[:2] for x in sorted(found, key=str)] == [x[:2] for x in order]
+        return [abs(a[2] - b[2]) / a[1] for a, b in zip(sorted(found, key=str), order)]
+
+    found = gaps()  # a false hit moves the score of a short text
+    assert sorted(found)[len(found) * 9 // 10] < 0.05 and sum(found) / len(found) < 0.05
+    monkeypatch.setattr(bloom_lm, "BITS", 64)
+    found = gaps()
+    assert max(found) < 0.01 and sum(gap < 1e-9 for gap in found) > 0.9 * len(found)
+
+
+def test_a_filter_that_stays_in_its_parts_scores_alike(docs, nothing, monkeypatch):
     held = F.coalesce(F.col("doc_id") % 4 == 1, F.lit(False))
-    monkeypatch.setattr(bloom_lm, "BLOCK_BITS", 12)
 
-    def scores(most):
-        monkeypatch.setattr(bloom_lm, "MOST_BITS", most)
+    def scores(most, **sizes):
+        for name, value in {"MOST_BITS": most, **sizes}.items():
+            monkeypatch.setattr(bloom_lm, name, value)
         out = bloom_lm.bloom_scores(docs, held)
         assert bloom_lm.bloom_scores(nothing, held).count() == 0
         return sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in out.collect())
 
-    assert scores(1 << 12) == scores(1 << 31)
+    whole = scores(1 << 31, BITS=64)
+    assert scores(0) == whole
+    assert scores(1 << 31, PART_CHARS=500, BLOCK_BYTES=50, LOCAL_PAIRS=100, LOCAL_WORDS=5, WORD_SHARE=2) == whole
+    assert scores(0, HEAD=3) == scores(1 << 31)
 
 
 def test_filter_has_no_misses_and_few_false_hits():
-    hashes = bloom_lm.gram_hash(np.arange(20000, dtype=np.uint64), bloom_lm.PAIRS)
+    keys = shingles.mix(np.arange(20000, dtype=np.uint64))
     levels = np.random.default_rng(0).integers(1, 6, 20000)
-    bits = bloom_lm.fill_block(hashes, levels)
-    assert (bloom_lm.probe(bits, 1, hashes) >= levels).all()
-    others = bloom_lm.gram_hash(np.arange(50000, 70000, dtype=np.uint64), bloom_lm.PAIRS)
-    assert (bloom_lm.probe(bits, 1, others) > 0).mean() < 0.02
+    parts = bloom_lm.part_of(keys, 3)
+    found = []
+    for part in range(3):
+        bits, size = bloom_lm.fill(keys[parts == part], levels[parts == part])
+        found.append((part, bits.tobytes(), size))
+    whole = bloom_lm.Filter(*bloom_lm.joined(4, []))
+    assert not whole.levels(keys).any()
+    whole = bloom_lm.Filter(*bloom_lm.joined(3, found))
+    assert (whole.levels(keys) >= levels).all()
+    others = shingles.mix(np.arange(50000, 70000, dtype=np.uint64))
+    assert (whole.levels(others) > 0).mean() < 0.02
+
+
+def test_packed_counts_come_back_summed():
+    import pyarrow as pa
+
+    draw = np.random.default_rng(3)
+    keys = [np.unique(shingles.mix(draw.integers(0, 500, 300).astype(np.uint64))) for _ in range(4)]
+    counts = [draw.integers(1, 1 << 40, len(k)) for k in keys]
+    batches = [b for k, n in zip(keys, counts) for b in bloom_lm._pack(k, n, 5, 7)]
+    table, wanted = pa.Table.from_batches(batches), Counter()
+    for k, n in zip(keys, counts):
+        wanted.update(dict(zip(k.tolist(), n.tolist())))
+    found = {}
+    for part in range(7, 12):
+        own, n = bloom_lm._unpack(table.filter(pa.compute.equal(table["part"], part)))
+        assert (bloom_lm.part_of(own, 5) == part - 7).all()
+        found |= dict(zip(own.tolist(), n.tolist()))
+    assert found == dict(wanted)
+
+
+def test_long_texts_are_cut_between_words():
+    import pyarrow as pa
+
+    from gleanwork.llm import byte_words
+
+    texts = ["aa bb  cc dd " * 9, "", "x" * 70, "short", " " * 40, "é ü " * 30 + "end"]
+    found = [[] for _ in texts]
+    for row, whole, data, offsets in byte_words.text_blocks(pa.array(texts), byte_words.NO_SPACE, 20):
+        for i in range(len(offsets) - 1):
+            found[row + i].append(bytes(data[offsets[i] : offsets[i + 1]]).decode())
+    assert ["".join(x) for x in found] == texts
+    assert [" ".join(x).split() for x in found] == [t.split() for t in texts]
 
 
 def test_fingerprints(docs, rows, nothing):
