@@ -91,15 +91,16 @@ def fill(keys: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, int]:
     return np.packbits(bits, bitorder="little"), size
 
 
-def joined(parts: int, found: list[tuple[int, bytes, int]]) -> tuple:
-    """The filters ``(part, bits, size)`` of consecutive parts as one; parts that got no keys are empty."""
+def joined(parts: int, found, size: int) -> tuple:
+    """The filters ``(part, bits, size)`` of consecutive parts, of ``size`` bits at most, as one; parts that got no keys
+    are empty."""
     sizes, starts = np.full(parts, 64, np.uint64), np.zeros(parts, np.int64)
-    pieces, at = [bytes(8)], 8
-    for part, bits, size in found:
-        starts[part], sizes[part] = 8 * at, size
-        pieces.append(bits)
+    whole, at = np.zeros(8 + size // 8 + parts, np.uint8), 8
+    for part, bits, part_size in found:
+        starts[part], sizes[part] = 8 * at, part_size
+        whole[at : at + len(bits)] = np.frombuffer(bits, np.uint8)
         at += len(bits)
-    return parts, starts, sizes, np.frombuffer(b"".join(pieces), np.uint8)
+    return parts, starts, sizes, whole
 
 
 class Filter:
@@ -241,7 +242,8 @@ def _probe_part(key: tuple, asked: pa.Table, built: pa.Table) -> pa.Table:
     keys = asked.column("key").to_numpy().view(np.uint64)
     levels = np.zeros(len(keys), np.int64)
     if built.num_rows and len(keys):
-        own = Filter(*joined(1, [(0, built.column("bits")[0].as_py(), built.column("size")[0].as_py())]))
+        size = built.column("size")[0].as_py()
+        own = Filter(*joined(1, [(0, built.column("bits")[0].as_py(), size)], size))
         levels = own.levels(keys)
     return pa.table({"key": asked.column("key"), "level": pa.array(levels.astype(np.int32))})
 
@@ -401,13 +403,14 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
     )
     total, distinct = sum(r["n"] for r in by_level), sum(r["words"] for r in by_level)
     once = sum(r["once"] for r in by_level)
-    size = built.agg(F.sum("size")).first()[0] or 0
+    is_word = F.col("part") >= parts
+    sizes = {row["w"]: row["size"] for row in built.groupBy(is_word.alias("w")).agg(F.sum("size").alias("size")).collect()}
     facts = {
         "total": total,
         "distinct": distinct,
         "spread": max(sum(MIDDLE[r["level"]] * r["words"] for r in by_level), 1.0),
         "unseen": min(0.5, (once + 1) / (total + 1)) if total else 1.0,
-        "far": size > MOST_BITS,
+        "far": sum(sizes.values()) > MOST_BITS,
     }
     frequent, lowest = 0, None
     for row in sorted(by_level, key=lambda r: -r["level"]):
@@ -416,19 +419,18 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
             break
         lowest = row["level"]
     heads = vocabulary.where(level >= lowest) if lowest is not None else vocabulary.where("false")
-    head = heads.collect()
-    keys = np.asarray([row["key"] for row in head], np.int64).view(np.uint64)
+    head = heads.toArrow()
+    keys = head.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    filters = (None, None)
+    filters = [None, None]
     if not facts["far"]:
-        found = built.select("part", "bits", "size").collect()
-        sides = [[], []]
-        for row in found:
-            is_word = row["part"] >= parts
-            sides[is_word].append((row["part"] - parts * is_word, bytes(row["bits"]), row["size"]))
-        filters = (joined(parts, sides[0]), joined(word_parts, sides[1]))
-        del found, sides
-    sent = spark.sparkContext.broadcast((*filters, keys[order], np.asarray([row["n"] for row in head], np.int64)[order]))
+        # From a written table, so one partition after another costs little and bounds what the driver holds.
+        for words, count in enumerate((parts, word_parts)):
+            own = built.where(is_word if words else ~is_word).select("part", "bits", "size").toLocalIterator()
+            rows_of = ((row["part"] - words * parts, row["bits"], row["size"]) for row in own)
+            filters[words] = joined(count, rows_of, sizes.get(bool(words), 0))
+    sent = spark.sparkContext.broadcast((*filters, keys[order], head.column("n").to_numpy()[order]))
+    del filters, head
 
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -268,9 +268,9 @@ def test_filter_has_no_misses_and_few_false_hits():
     for part in range(3):
         bits, size = bloom_lm.fill(keys[parts == part], levels[parts == part])
         found.append((part, bits.tobytes(), size))
-    whole = bloom_lm.Filter(*bloom_lm.joined(4, []))
+    whole = bloom_lm.Filter(*bloom_lm.joined(4, [], 0))
     assert not whole.levels(keys).any()
-    whole = bloom_lm.Filter(*bloom_lm.joined(3, found))
+    whole = bloom_lm.Filter(*bloom_lm.joined(3, found, sum(f[2] for f in found)))
     assert (whole.levels(keys) >= levels).all()
     others = shingles.mix(np.arange(50000, 70000, dtype=np.uint64))
     assert (whole.levels(others) > 0).mean() < 0.02
