@@ -3,12 +3,13 @@
 Small transducers each read the symbols of a clause (insult, threat, target, negation, reported speech,
 other words): the negation machine remembers a negation for three words, the reporting machine remains in
 reported speech to the end of the clause, the target machine remembers that somebody was addressed, the
-threat machine waits for a target. Their composition reads a clause once and writes each match on one of
-three tapes: affirmed, negated or reported. A document is scored on the sums of its matched clauses.
+threat machine waits three words for a target. Their composition reads a clause once and writes each match on one
+of three tapes: affirmed, negated or reported. A document's evidence is what its matched clauses affirm, and a share of
+what they report (``REPORTED_SHARE``) or negate (``NEGATED_SHARE``); its score grows with the evidence.
 
-The insults are learned: words and word beginnings that labelled toxic texts have far more often than
+The insults are learned: words and long word beginnings that labelled toxic texts have far more often than
 others, weighted by the log odds. The list is learned on two thirds of the labelled training texts, and
-what a tape counts for on the last third, so chance finds don't pass for evidence. Both use at most about
+what the evidence counts for on the last third, so chance finds don't pass for evidence. Both use at most about
 ``MOST_LABELLED`` rows, chosen by a hash of the id.
 """
 
@@ -30,8 +31,10 @@ MOST_LABELLED = 20_000
 LEAST_ODDS = 3.5
 LEAST_TEXTS = 4
 LEAST_SHARE = 0.01
-BEGINNINGS = range(4, 9)
+#: Shorter beginnings are beginnings of common words as well.
+BEGINNINGS = range(6, 9)
 THREAT_WEIGHT = 6.0
+REPORTED_SHARE, NEGATED_SHARE = 0.4, 0.1
 CUT = 0.7
 CACHE = 400_000
 
@@ -48,6 +51,7 @@ CLASSES = {
     for word in words.split()
 }
 AFFIRMED, NEGATED, REPORTED = range(3)
+MET = 4
 
 TOKEN = re.compile(r"\S+")
 LETTERS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
@@ -67,10 +71,12 @@ def target(state: int, symbol: int) -> int:
 
 
 def threat(state: int, symbol: int) -> int:
-    """0: nothing, 1: a threat waits for its target, 2: a threat has met its target."""
+    """0: nothing, 1 to 3: a threat waits for its target that many words, MET: it has met its target."""
     if symbol == THREAT:
-        return 1
-    return 2 if state == 1 and symbol == TARGET else 0 if state == 2 else state
+        return 3
+    if state != MET and state > 0:
+        return MET if symbol == TARGET else state - 1
+    return 0
 
 
 MACHINES = (negation, reporting, target, threat)
@@ -97,7 +103,7 @@ class Grammar:
             following, tape = self.step(state, symbol)
             if symbol == INSULT:
                 tapes[tape] += weight
-            elif following[3] == 2:
+            elif following[3] == MET:
                 tapes[tape] += THREAT_WEIGHT
             state = following
         return [tape * 1.5 for tape in tapes] if state[2] else tapes
@@ -145,21 +151,21 @@ def matched_clauses(text: str, symbols: Symbols, grammar: Grammar):
         line_start += len(line) + 1
 
 
-def tape_features(matches) -> list[float]:
-    sums = [sum(tapes[i] for _, _, tapes in matches) for i in range(3)]
-    return [math.log1p(s) for s in sums] + [math.log1p(len(matches))]
+def evidence(matches) -> float:
+    """What the matched clauses say of the document, on a logarithmic scale."""
+    shares = {AFFIRMED: 1.0, NEGATED: NEGATED_SHARE, REPORTED: REPORTED_SHARE}
+    return math.log1p(sum(share * tapes[tape] for _, _, tapes in matches for tape, share in shares.items()))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> np.ndarray:
-    """Weights with the constant last; by Newton's steps. Without both labels the constant alone."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> tuple[float, float]:
+    """Slope and constant, by Newton's steps; the slope is never negative. Without both labels the constant alone."""
     design = np.column_stack([x, np.ones(len(x))])
-    weights = np.zeros(design.shape[1])
     share = (y.sum() + 0.5) / (len(y) + 1)
-    weights[-1] = math.log(share / (1 - share))
+    prior = math.log(share / (1 - share))
+    weights = np.asarray([0.0, prior])
     if len(y) == 0 or y.min() == y.max():
-        return weights
-    penalty = np.full(len(weights), ridge)
-    penalty[-1] = 1e-6
+        return 0.0, prior
+    penalty = np.asarray([ridge, 1e-6])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(design @ weights, -30, 30)))
         slope = design.T @ (p - y) + penalty * weights
@@ -168,7 +174,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> np.ndarra
         weights -= move * min(1.0, 4.0 / max(1e-9, np.abs(move).max()))
         if np.abs(move).max() < 1e-6:
             break
-    return weights
+    return (float(weights[0]), float(weights[1])) if weights[0] > 0 else (0.0, prior)
 
 
 def _count_features(batches):
@@ -191,23 +197,21 @@ def _count_features(batches):
         yield rows()
 
 
-def _score_rows(insults: dict[str, float], weights, schema: pa.Schema):
+def _score_rows(insults: dict[str, float], weights: tuple[float, float] | None, schema: pa.Schema):
     def run(batches):
         symbols, grammar = Symbols(insults), Grammar()
-        empty = 1 / (1 + math.exp(-weights[-1])) if weights is not None else 0.0
         for batch in batches:
-            features, scores, spans = [], [], []
+            found, scores, spans = [], [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
-                found = any(s[0] in (INSULT, THREAT) for s in map(symbols.__getitem__, text.split()))
-                matches = list(matched_clauses(text, symbols, grammar)) if found else []
-                values = tape_features(matches)
-                features.append(values)
+                some = any(s[0] in (INSULT, THREAT) for s in map(symbols.__getitem__, text.split()))
+                matches = list(matched_clauses(text, symbols, grammar)) if some else []
+                found.append(evidence(matches))
                 if weights is not None:
-                    logit = sum(w * v for w, v in zip(weights, values)) + weights[-1]
-                    scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, logit)))) if matches else empty)
+                    logit = weights[0] * found[-1] + weights[1]
+                    scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, logit)))))
                 spans.append([{"begin": b, "end": e, "weight": sum(t)} for b, e, t in matches])
             arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
-            arrays += [pa.array(features), pa.array(scores if weights is not None else [None] * len(features), pa.float64())]
+            arrays += [pa.array(found, pa.float64()), pa.array(scores if weights is not None else [None] * len(found), pa.float64())]
             arrays.append(pa.array(spans, schema.field("clauses").type))
             yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, schema)], schema=schema)
 
@@ -218,14 +222,14 @@ def _schema(frame: DataFrame):
     from pyspark.sql.pandas.types import to_arrow_schema
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1])
-    ddl = f"{names}, features array<double>, score double, clauses array<struct<begin:int,end:int,weight:double>>"
+    ddl = f"{names}, evidence double, score double, clauses array<struct<begin:int,end:int,weight:double>>"
     from pyspark.sql.types import StructType
 
     return ddl, to_arrow_schema(StructType.fromDDL(ddl))
 
 
-def apply_grammar(rows: DataFrame, insults: dict[str, float], weights: list[float] | None) -> DataFrame:
-    """``rows`` has the text as its last column; it gives way to ``features, score, clauses``."""
+def apply_grammar(rows: DataFrame, insults: dict[str, float], weights: tuple[float, float] | None) -> DataFrame:
+    """``rows`` has the text as its last column; it gives way to ``evidence, score, clauses``."""
     ddl, schema = _schema(rows)
     return rows.mapInArrow(_score_rows(insults, weights, schema), ddl)
 
@@ -241,7 +245,7 @@ def labelled_sample(labels: DataFrame, label: str, doc_id: str, most: int) -> Da
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = MOST_LABELLED):
-    """The insults with their weights, and the weights of the tapes, from the rows of ``labels`` (``doc_id, toxic``)."""
+    """The insults with their weights, and what the evidence counts for, from the rows of ``labels`` (``doc_id, toxic``)."""
     sample = labelled_sample(labels, "toxic", doc_id, most)
     rows = docs.select(F.col(doc_id).alias("id"), full_text(text).alias("text")).join(
         F.broadcast(sample), F.col("id") == F.col("label_id")
@@ -264,10 +268,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     enough = F.col("t") >= max(LEAST_TEXTS, LEAST_SHARE * n_toxic)
     found = sums.where(enough).select("feature", odds.alias("odds")).where(F.col("odds") >= LEAST_ODDS).collect()
     insults = {row["feature"]: row["odds"] for row in found}
-    measured = apply_grammar(rows.where("last").select("label", "text"), insults, None).select("label", "features").collect()
-    x = np.asarray([row["features"] for row in measured], float).reshape(-1, 4)
+    measured = apply_grammar(rows.where("last").select("label", "text"), insults, None).select("label", "evidence").collect()
+    x = np.asarray([row["evidence"] for row in measured], float)
     y = np.asarray([row["label"] for row in measured], float)
-    return insults, [float(w) for w in fit_logistic(x, y)]
+    return insults, fit_logistic(x, y)
 
 
 def score_toxicity(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gleanwork.llm import bloom_lm, fingerprints, mixing, ngram_join, packing, page_text, quality, shingles, toxicity
+from gleanwork.llm.common import crc_mod
 from gleanwork.llm.exact_dedup import content_sort, exact_dedup
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -342,7 +343,7 @@ def test_ranges_hand_over_their_first_document(spark, monkeypatch):
 
 
 def test_grammar_tapes():
-    symbols, grammar = toxicity.Symbols({"idiot": 5.0, "idio*": 4.0}), toxicity.Grammar()
+    symbols, grammar = toxicity.Symbols({"idiot": 5.0, "idioti*": 4.0, "idio*": 9.0}), toxicity.Grammar()
 
     def tapes(text):
         return [t for _, _, t in toxicity.matched_clauses(text, symbols, grammar)]
@@ -352,12 +353,51 @@ def test_grammar_tapes():
     assert tapes("he is not an idiot") == [[0.0, 7.5, 0.0]]
     assert tapes("Ann said idiot; fine") == [[0.0, 0.0, 5.0]]
     assert tapes("I will hurt you.") == [[9.0, 0.0, 0.0]]
-    assert tapes("hurt. you") == [] and tapes("") == []
+    assert tapes("hurt. you") == [] and tapes("") == [] and tapes("idioms") == []
+    assert tapes("I will not hurt you.") == [[0.0, 9.0, 0.0]] and tapes("Ann said I will hurt you") == [[0.0, 0.0, 9.0]]
+    assert tapes("hurt a b you") == [[9.0, 0.0, 0.0]] and tapes("hurt a b c you") == []
     text = "clean line\nan idiot. more"
     ((begin, end, _),) = toxicity.matched_clauses(text, symbols, grammar)
     assert text[begin:end] == "an idiot."
 
 
+def test_learned_scores_follow_the_clause(spark):
+    """With the model that the labels teach: a negated or reported sentence scores below its affirmed one."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.train_toxicity(docs, labels.where(crc_mod("doc_id", 3) != 1).select("doc_id", "toxic"))
+
+    def scores(*texts):
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = {r.id: r.score for r in toxicity.score_toxicity(frame, model).collect()}
+        return [found[i] for i in range(len(texts))]
+
+    for affirmed in ("you are a {}.", "he is {}", "that {} again!"):
+        for insult in ("idiot", "moron", "loser", "pathetic", "worthless"):
+            plain = affirmed.format(insult)
+            whole, negated, reported = scores(plain, plain.replace(insult, "not " + insult), "they said " + plain)
+            assert negated < reported < whole and negated < 0.5 and whole >= toxicity.CUT
+    harm, no_harm, process, paths, calm = scores(
+        "i will kill you.", "i will not kill you.", "we kill the process and send it to you.", "not worth it, the paths are long",
+        "the losers of the game wrote a clause",
+    )
+    assert harm >= toxicity.CUT > 0.5 > max(no_harm, process, paths, calm)
+    held = toxicity.score_toxicity(docs.where(crc_mod("doc_id", 3) == 1), model)
+    told = held.join(labels.withColumnRenamed("doc_id", "id"), "id").groupBy("toxic").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("score") >= toxicity.CUT).alias("said")
+    )
+    said = {r.toxic: (r.said, r.n) for r in told.collect()}
+    assert said[1][0] >= 125 and said[0][0] <= 2
+
+
+def test_slopes_are_never_negative():
+    x = np.asarray([0.0, 0, 0, 2, 3])
+    assert toxicity.fit_logistic(x, np.asarray([1.0, 1, 1, 0, 0]))[0] == 0.0
+    slope, constant = toxicity.fit_logistic(x, np.asarray([0.0, 0, 0, 1, 1]))
+    assert slope > 0 > constant
+    assert toxicity.fit_logistic(x, np.zeros(5)) == toxicity.fit_logistic(x[:0], x[:0])[:1] + (math.log(0.5 / 5.5),)
+
+
 def test_toxicity_odd_tables(spark, docs, rows, nothing):
     labels = spark.createDataFrame([(i, i % 2) for i in range(30)] + [(3, None), (None, 1)], "doc_id long, toxic int")
     out = toxicity.score_toxicity(docs, toxicity.train_toxicity(docs, labels)).collect()

@@ -39,7 +39,7 @@ def ids(rows):
 
 def toxic_score(text, insults, weights):
     """Reads each clause by looking back from every token instead of running machines."""
-    sums, matched = [0.0, 0.0, 0.0], 0
+    sums = [0.0, 0.0, 0.0]
     for line in text.split("\n"):
         tokens = line.split()
         ends = [i + 1 for i, token in enumerate(tokens) if token[-1] in ".!?;:" or i == len(tokens) - 1]
@@ -49,7 +49,7 @@ def toxic_score(text, insults, weights):
                 kind, best = toxicity.OTHER, 0.0
                 for word in toxicity.LETTERS.findall(token.lower()):
                     kind = toxicity.CLASSES.get(word, kind)
-                    names = [word] + [word[:n] + "*" for n in range(4, 9) if len(word) > n]
+                    names = [word] + [word[:n] + "*" for n in range(6, 9) if len(word) > n]
                     best = max([best] + [insults.get(name, 0.0) for name in names])
                 kinds.append(toxicity.INSULT if best else kind)
                 weight.append(best)
@@ -57,17 +57,16 @@ def toxic_score(text, insults, weights):
             for i, kind in enumerate(kinds):
                 before = kinds[:i]
                 tape = 1 if toxicity.NEGATION in before[-3:] else 2 if toxicity.REPORT in before else 0
-                steps = [k for k in before if k in (toxicity.THREAT, toxicity.TARGET)]
+                steps = [k for k in before[-3:] if k in (toxicity.THREAT, toxicity.TARGET)]
                 if kind == toxicity.INSULT:
                     tapes[tape] += weight[i]
                 elif kind == toxicity.TARGET and steps[-1:] == [toxicity.THREAT]:
                     tapes[tape] += toxicity.THREAT_WEIGHT
             if any(tapes):
-                matched += 1
                 factor = 1.5 if toxicity.TARGET in kinds else 1.0
                 sums = [s + factor * t for s, t in zip(sums, tapes)]
-    values = [*map(math.log1p, sums), math.log1p(matched), 1.0]
-    return 1 / (1 + math.exp(-sum(w * v for w, v in zip(weights, values))))
+    evidence = math.log1p(sums[0] + 0.1 * sums[1] + 0.4 * sums[2])
+    return 1 / (1 + math.exp(-(weights[0] * evidence + weights[1])))
 
 
 def test_toxicity(spark, kept):
