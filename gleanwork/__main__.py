@@ -19,6 +19,10 @@ def _parser() -> argparse.ArgumentParser:
     def bounds(job: argparse.ArgumentParser) -> None:
         job.add_argument("--no-rejects", action="store_true", help="do not stage data to list rejects")
         job.add_argument("--max-records-per-file", type=int, default=0)
+        atomic(job)
+
+    def atomic(job: argparse.ArgumentParser) -> None:
+        job.add_argument("--atomic", action="store_true", help="replace a day only when the run is complete")
 
     def files(job: argparse.ArgumentParser) -> None:
         bounds(job)
@@ -33,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     documents.add_argument("source")
     documents.add_argument("target")
     documents.add_argument("--layout", choices=("lines", "flat"), default="lines")
+    documents.add_argument("--pattern", help="only files whose names match, such as *.txt")
     files(documents)
 
     sheets = jobs.add_parser("sheets", help="exported online sheets to text tables")
@@ -50,6 +55,10 @@ def _parser() -> argparse.ArgumentParser:
     responses.add_argument("source", help="Parquet: url, content_type, content_disposition, body")
     responses.add_argument("prefix")
     responses.add_argument("target")
+    responses.add_argument("--no-rejects", action="store_true", help="list no responses without route or name")
+    responses.add_argument("--plain-quotes", action="store_true", help="keep inner quotes of CSV text as they are")
+    responses.add_argument("--nested", choices=("descendant", "own"), default="descendant")
+    atomic(responses)
 
     requests = jobs.add_parser("requests", help="a key list to the addresses to fetch")
     requests.add_argument("keys")
@@ -58,6 +67,7 @@ def _parser() -> argparse.ArgumentParser:
     requests.add_argument("--dataset", choices=("by_offense", "by_race"), default="by_offense")
     requests.add_argument("--first", type=int, default=1995, help="first year")
     requests.add_argument("--last", type=int, default=2018, help="last year")
+    files(requests)
 
     payloads = jobs.add_parser("payloads", help="landed JSON answers to flat rows")
     payloads.add_argument("source", help="Parquet: key, status, body")
@@ -66,6 +76,7 @@ def _parser() -> argparse.ArgumentParser:
     payloads.add_argument("--keys", help="key list; keys without an answer become rejects")
     payloads.add_argument("--layout", choices=("snapshot", "by_key"), default="snapshot")
     payloads.add_argument("--append", action="store_true", help="add to the day's folder")
+    files(payloads)
 
     images = jobs.add_parser("images", help="images to the text of their metadata")
     images.add_argument("source")
@@ -75,8 +86,8 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _chosen(args: argparse.Namespace, *names: str) -> dict:
-    """The options of a job that reads files, by the names of its parameters."""
-    options = {name: getattr(args, name) for name in (*names, "max_records_per_file")}
+    """The options of a job that writes text, by the names of its parameters."""
+    options = {name: getattr(args, name) for name in (*names, "max_records_per_file", "atomic")}
     return options | {"keep_rejects": not args.no_rejects}
 
 
@@ -86,7 +97,11 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     common = {"run_date": args.run_date, "rejects_target": args.rejects}
     if args.job == "documents":
         plans.run_documents(
-            spark, args.source, args.target, layout=args.layout, **common, **_chosen(args, "lossless")
+            spark,
+            args.source,
+            args.target,
+            **common,
+            **_chosen(args, "layout", "pattern", "lossless"),
         )
     elif args.job == "sheets":
         plans.run_sheets(
@@ -103,7 +118,16 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         )
     elif args.job == "responses":
         landed = spark.read.parquet(args.source)
-        plans.run_landing(landed, args.prefix, args.target, **common)
+        plans.run_landing(
+            landed,
+            args.prefix,
+            args.target,
+            escape_quotes=not args.plain_quotes,
+            keep_rejects=not args.no_rejects,
+            nested=args.nested,
+            atomic=args.atomic,
+            **common,
+        )
     elif args.job == "requests":
         plans.run_requests(
             spark,
@@ -114,6 +138,8 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
             args.run_date,
             args.first,
             args.last,
+            rejects_target=args.rejects,
+            **_chosen(args, "lossless"),
         )
     elif args.job == "payloads":
         plans.run_payloads(
@@ -124,6 +150,7 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
             layout=args.layout,
             mode="append" if args.append else "overwrite",
             **common,
+            **_chosen(args, "lossless"),
         )
     else:
         plans.run_images(spark, args.source, args.target, **common, **_chosen(args, "lossless"))

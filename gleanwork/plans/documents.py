@@ -58,6 +58,7 @@ def run_documents(
     keep_rejects: bool = True,
     lossless: bool = False,
     max_records_per_file: int = 0,
+    atomic: bool = False,
 ) -> str:
     """Decode all files below ``source`` and write a dated snapshot of their text.
 
@@ -83,4 +84,5 @@ def run_documents(
         run_date,
         lossless=lossless,
         max_records_per_file=max_records_per_file,
+        atomic=atomic,
     )

@@ -24,6 +24,7 @@ def run_images(
     keep_rejects: bool = True,
     lossless: bool = False,
     max_records_per_file: int = 0,
+    atomic: bool = False,
 ) -> str:
     """Write a dated snapshot of the metadata text of all images below ``source``.
 
@@ -40,4 +41,5 @@ def run_images(
         run_date,
         lossless=lossless,
         max_records_per_file=max_records_per_file,
+        atomic=atomic,
     )

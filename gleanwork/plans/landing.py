@@ -41,6 +41,7 @@ def run_landing(
     keep_rejects: bool = True,
     nested: str = "descendant",
     chunk_bytes: int = CHUNK_BYTES,
+    atomic: bool = False,
 ) -> str:
     """Store all responses in one job, in numbered chunks of ``chunk_bytes`` bytes at most.
 
@@ -58,4 +59,4 @@ def run_landing(
             run_date,
         )
     objects = landed_objects(responses, prefix, run_date, escape_quotes, nested, chunk_bytes)
-    return land_objects(objects, target, run_date)
+    return land_objects(objects, target, run_date, atomic)

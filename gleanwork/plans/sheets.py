@@ -57,6 +57,7 @@ def _run(
     layout: str,
     width: int | None,
     max_records_per_file: int,
+    atomic: bool,
     splittable: bool = False,
 ) -> str:
     if layout not in ("lines", "wide", "long"):
@@ -75,7 +76,7 @@ def _run(
     list_unread(failed, oversized, target, rejects_target, source, run_date)
     rows = name_sheets(sheet_rows(grids))
     if layout == "long":
-        return write_long_by_sheet(scrub_cells(rows), target, order=PLACE, run_date=run_date)
+        return write_long_by_sheet(scrub_cells(rows), target, order=PLACE, run_date=run_date, atomic=atomic)
     if layout == "lines":
         return write_lines_by_sheet(
             scrub_cells(rows),
@@ -83,6 +84,7 @@ def _run(
             order=PLACE,
             run_date=run_date,
             max_records_per_file=max_records_per_file,
+            atomic=atomic,
         )
     table = to_wide(rows, widest_row(rows) if width is None else width)
     return write_by_sheet(
@@ -91,6 +93,7 @@ def _run(
         order=PLACE,
         run_date=run_date,
         max_records_per_file=max_records_per_file,
+        atomic=atomic,
     )
 
 
@@ -104,6 +107,7 @@ def run_workbooks(
     layout: str = "lines",
     width: int | None = None,
     max_records_per_file: int = 0,
+    atomic: bool = False,
 ) -> str:
     """All sheets of all workbooks below ``source``.
 
@@ -128,6 +132,7 @@ def run_workbooks(
         layout,
         width,
         max_records_per_file,
+        atomic,
     )
 
 
@@ -142,6 +147,7 @@ def run_sheets(
     layout: str = "lines",
     width: int | None = None,
     max_records_per_file: int = 0,
+    atomic: bool = False,
 ) -> str:
     """All online sheets exported below ``source``, as CSV files or JSON value ranges.
 
@@ -160,5 +166,6 @@ def run_sheets(
         layout,
         width,
         max_records_per_file,
+        atomic,
         splittable=export == "csv",
     )

@@ -1,7 +1,8 @@
 """File sinks: dated, compressed snapshots, one folder per run date.
 
 A snapshot lives in ``target/run_date=yyyy-MM-dd``, so the run date is a partition column for
-whoever reads the whole history, and a second run of the same day replaces only its own folder.
+whoever reads the whole history, and a second run of the same day replaces only its own folder. With ``atomic`` it
+is written as an attempt that only counts when it is complete, see :mod:`gleanwork.sinks.published`.
 No writer gathers its rows in one task. Gzip text cannot be split by readers, so
 ``max_records_per_file`` bounds the files where the tasks themselves are large.
 """
@@ -9,7 +10,8 @@ No writer gathers its rows in one task. Gzip text cannot be split by readers, so
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameWriter
 
 from gleanwork.operators.columns import quoted
+from gleanwork.sinks.published import attempt, read_published
 
 # The end of the object name of each dataset.
 OBJECT_SUFFIXES = {
@@ -50,6 +53,18 @@ def snapshot_path(target: str, run_date: str | datetime.date | None = None) -> s
     return f"{target.rstrip('/')}/run_date={run_day(run_date)}"
 
 
+@contextmanager
+def _day(
+    df: DataFrame, target: str, run_date: str | datetime.date | None, mode: str, atomic: bool
+) -> Iterator[tuple[str, str]]:
+    """The folder of a day to write in, and the mode to write with."""
+    if atomic:
+        with attempt(df.sparkSession, target, run_day(run_date), mode == "append") as path:
+            yield path, "error"
+    else:
+        yield snapshot_path(target, run_date), mode
+
+
 def _text_writer(
     df: DataFrame, mode: str, lossless: bool, compression: str, max_records_per_file: int
 ) -> DataFrameWriter:
@@ -81,6 +96,7 @@ def write_snapshot(
     lossless: bool = False,
     compression: str = "gzip",
     max_records_per_file: int = 0,
+    atomic: bool = False,
 ) -> str:
     """Tab-separated, fully quoted gzip text with a header. Returns the folder it wrote.
 
@@ -88,8 +104,8 @@ def write_snapshot(
     ``lossless`` keeps all three apart: blanks stay, inner quotes are doubled, NULL is ``\\N``
     and a text of backslashes before an ``N`` has one more of them.
     """
-    path = snapshot_path(target, run_date)
-    _text_writer(df, mode, lossless, compression, max_records_per_file).csv(path)
+    with _day(df, target, run_date, mode, atomic) as (path, mode):
+        _text_writer(df, mode, lossless, compression, max_records_per_file).csv(path)
     return path
 
 
@@ -109,9 +125,15 @@ def read_snapshot(
 
 
 def read_history(
-    spark: SparkSession, target: str, schema: str, lossless: bool = False
+    spark: SparkSession, target: str, schema: str, lossless: bool = False, atomic: bool = False
 ) -> DataFrame:
-    """All snapshots of a target, with their ``run_date``; a filter on it prunes folders."""
+    """All snapshots of a target, with their ``run_date``; a filter on it prunes folders.
+
+    ``atomic`` is what they were written with.
+    """
+    if atomic:
+        columns = f"{schema}, run_date date, attempt string"
+        return read_published(spark, target, lambda path: read_snapshot(spark, path, columns, lossless))
     return read_snapshot(spark, target, f"{schema}, run_date date", lossless)
 
 
@@ -131,18 +153,20 @@ def write_by_key(
     key: str = "ORI",
     run_date: str | datetime.date | None = None,
     mode: str = "overwrite",
+    lossless: bool = False,
     max_records_per_file: int = 0,
+    atomic: bool = False,
 ) -> str:
     """One folder per key, named after the key and the dataset. The key also stays a column.
 
     The rebalance brings the rows of a key together, so a key gets one file and not one per task.
     Adaptive execution splits a hot key over several tasks and joins small keys into one.
     """
-    path = snapshot_path(target, run_date)
     named = df.withColumn("object", F.concat(F.col(key), F.lit(OBJECT_SUFFIXES[dataset])))
     gathered = named.hint("rebalance", "object")
-    writer = _text_writer(gathered, mode, False, "gzip", max_records_per_file)
-    writer.partitionBy("object").csv(path)
+    with _day(df, target, run_date, mode, atomic) as (path, mode):
+        writer = _text_writer(gathered, mode, lossless, "gzip", max_records_per_file)
+        writer.partitionBy("object").csv(path)
     return path
 
 
@@ -155,15 +179,16 @@ def write_by_sheet(
     mode: str = "overwrite",
     lossless: bool = False,
     max_records_per_file: int = 0,
+    atomic: bool = False,
 ) -> str:
     """One folder of text per sheet within the snapshot.
 
     ``order`` names the columns that sort the rows of a file. They are not written themselves.
     """
-    path = snapshot_path(target, run_date)
     ordered = df.hint("rebalance", slug).sortWithinPartitions(slug, *order).drop(*order)
-    writer = _text_writer(ordered, mode, lossless, "gzip", max_records_per_file)
-    writer.partitionBy(slug).csv(path)
+    with _day(df, target, run_date, mode, atomic) as (path, mode):
+        writer = _text_writer(ordered, mode, lossless, "gzip", max_records_per_file)
+        writer.partitionBy(slug).csv(path)
     return path
 
 
@@ -174,11 +199,12 @@ def write_long_by_sheet(
     order: Sequence[str] = (),
     run_date: str | datetime.date | None = None,
     mode: str = "overwrite",
+    atomic: bool = False,
 ) -> str:
     """One folder of Parquet per sheet, with all columns: rows keep their own number of cells."""
-    path = snapshot_path(target, run_date)
     ordered = df.hint("rebalance", slug).sortWithinPartitions(slug, *order)
-    ordered.write.mode(mode).partitionBy(slug).parquet(path)
+    with _day(df, target, run_date, mode, atomic) as (path, mode):
+        ordered.write.mode(mode).partitionBy(slug).parquet(path)
     return path
 
 
@@ -190,6 +216,7 @@ def write_lines_by_sheet(
     run_date: str | datetime.date | None = None,
     mode: str = "overwrite",
     max_records_per_file: int = 0,
+    atomic: bool = False,
 ) -> str:
     """One folder of tab-separated, fully quoted gzip text per sheet, each row at its own width.
 
@@ -197,7 +224,6 @@ def write_lines_by_sheet(
     sheets that share a folder name can be told apart, and rows put in order, and the plan does not
     grow with the width of a sheet. Inner quotes are doubled; there is no header.
     """
-    path = snapshot_path(target, run_date)
     place = F.array("path", "sheet", F.col("row_idx").cast("string"))
 
     def enclosed(cell: Column) -> Column:
@@ -206,29 +232,24 @@ def write_lines_by_sheet(
 
     line = F.array_join(F.transform(F.concat(place, "cells"), enclosed), "\t")
     ordered = df.hint("rebalance", slug).sortWithinPartitions(slug, *order)
-    (
-        ordered.select(slug, line.alias("value"))
-        .write.mode(mode)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(slug)
-        .text(path)
-    )
+    lines = ordered.select(slug, line.alias("value"))
+    with _day(df, target, run_date, mode, atomic) as (path, mode):
+        writer = lines.write.mode(mode).option("compression", "gzip")
+        writer.option("maxRecordsPerFile", max_records_per_file).partitionBy(slug).text(path)
     return path
 
 
 def land_objects(
-    objects: DataFrame, target: str, run_date: str | datetime.date | None = None
+    objects: DataFrame,
+    target: str,
+    run_date: str | datetime.date | None = None,
+    atomic: bool = False,
 ) -> str:
     """Store ``(object_key, route, response_no, chunk, content)`` as it came, one row per chunk of an object."""
-    path = snapshot_path(target, run_date)
-    (
-        objects.select("object_key", "route", "response_no", "chunk", "content")
-        .write.mode("overwrite")
+    stored = objects.select("object_key", "route", "response_no", "chunk", "content")
+    with _day(objects, target, run_date, "overwrite", atomic) as (path, mode):
         # Look at the buffered size after every row: a hundred large objects would not fit.
-        .option("parquet.page.size.row.check.min", 1)
-        .parquet(path)
-    )
+        stored.write.mode(mode).option("parquet.page.size.row.check.min", 1).parquet(path)
     return path
 
 

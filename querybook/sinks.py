@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,13 +58,19 @@ def tsv_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dated_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two days; the second day is written twice and still there once."""
+    """Two days, read by the manifest: the second is written twice and added to, then a run fails half-way."""
     target = fresh_path(spark, "history")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    write_snapshot(orders, target, RUN_DATE)
-    write_snapshot(orders, target, NEXT_DATE)
-    write_snapshot(orders.withColumn("o_orderstatus", F.lit("Z")), target, NEXT_DATE)
-    history = read_history(spark, target, "o_orderkey bigint, o_orderstatus string")
+    write_snapshot(orders, target, RUN_DATE, atomic=True)
+    write_snapshot(orders, target, NEXT_DATE, atomic=True)
+    even, odd = ("o_orderkey % 2 = 0", "o_orderkey % 2 = 1")
+    rest = orders.withColumn("o_orderstatus", F.lit("Z"))
+    write_snapshot(rest.where(even), target, NEXT_DATE, atomic=True)
+    write_snapshot(rest.where(odd), target, NEXT_DATE, mode="append", atomic=True)
+    failing = F.when(F.col("o_orderkey") % 1000 == 7, F.raise_error(F.lit("half-way"))).otherwise("x")
+    with contextlib.suppress(Exception):
+        write_snapshot(orders.withColumn("o_orderstatus", failing), target, NEXT_DATE, atomic=True)
+    history = read_history(spark, target, "o_orderkey bigint, o_orderstatus string", atomic=True)
     return history.withColumn("run_date", F.col("run_date").cast("string"))
 
 

@@ -1,0 +1,123 @@
+from __future__ import annotations
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from gleanwork import sinks as K
+from gleanwork.__main__ import main
+from gleanwork.plans import run_payloads
+from gleanwork.sinks import published
+
+DAY, NEXT = "2024-02-29", "2024-03-01"
+
+
+def rows(spark, target):
+    found = K.read_history(spark, target, "n string", atomic=True).collect()
+    return sorted((str(r["run_date"]), r["n"]) for r in found)
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(str(v),) for v in values], "n string")
+
+
+def test_a_failed_run_leaves_the_day_as_it_was(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "out")
+    K.write_snapshot(numbers(spark, 1, 2), target, DAY, atomic=True)
+    K.write_snapshot(numbers(spark, 3), target, NEXT, atomic=True)
+    old = [(DAY, "1"), (DAY, "2"), (NEXT, "3")]
+    assert rows(spark, target) == old
+    # while it writes
+    broken = numbers(spark, *range(50)).repartition(8).withColumn(
+        "n", F.when(F.col("n") == "17", F.raise_error(F.lit("half-way"))).otherwise(F.col("n"))
+    )
+    for mode in ("overwrite", "append"):
+        with pytest.raises(Exception, match="half-way"):
+            K.write_snapshot(broken, target, DAY, mode=mode, atomic=True)
+        assert rows(spark, target) == old
+    # between the attempt and the manifest
+    with monkeypatch.context() as patch:
+        patch.setattr(published.uuid, "uuid4", lambda: type("U", (), {"hex": "lost"})())
+        patch.setattr(published.time, "time_ns", lambda: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            K.write_snapshot(numbers(spark, 9), target, DAY, atomic=True)
+    assert (tmp_path / "out" / "_attempts" / f"run_date={DAY}" / "attempt=lost").exists()
+    assert rows(spark, target) == old
+    K.write_snapshot(numbers(spark, 4), target, DAY, atomic=True)
+    assert rows(spark, target) == [(DAY, "4"), (NEXT, "3")]
+
+
+def test_a_day_can_be_added_to_and_replaced(spark, tmp_path):
+    target = str(tmp_path / "out")
+    K.write_snapshot(numbers(spark, 1), target, DAY, mode="append", atomic=True)
+    K.write_snapshot(numbers(spark, 2), target, DAY, mode="append", atomic=True)
+    assert rows(spark, target) == [(DAY, "1"), (DAY, "2")]
+    K.write_snapshot(numbers(spark, 3), target, DAY, atomic=True)
+    K.write_snapshot(numbers(spark, 4), target, DAY, mode="append", atomic=True)
+    assert rows(spark, target) == [(DAY, "3"), (DAY, "4")]
+    assert K.current_attempts(spark, target).count() == 2
+
+
+def test_old_attempts_are_pruned(spark, tmp_path):
+    target = str(tmp_path / "out")
+    for n in range(3):
+        K.write_snapshot(numbers(spark, n), target, DAY, atomic=True)
+    plan = K.read_history(spark, target, "n string", atomic=True)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
+@pytest.mark.parametrize("layout", ["snapshot", "by_key"])
+def test_jobs_publish(spark, tmp_path, layout):
+    answers = spark.createDataFrame([("A", 200, '{"data":[{"value":3}]}')], "key string, status int, body string")
+    target = str(tmp_path / "out")
+    for _ in range(2):
+        run_payloads(answers, target, run_date=DAY, layout=layout, atomic=True, max_records_per_file=5)
+    stored = K.read_published(spark, target, lambda path: spark.read.option("sep", "\t").option("header", True).csv(path))
+    assert [(r["value"], r["run_date"]) for r in stored.collect()] == [("3", datetime.date(2024, 2, 29))]
+
+
+def test_other_writers_publish(spark, tmp_path):
+    sheet = spark.createDataFrame([("/a", "A", 0, 0, ["x"], "a")], "path string, sheet string, sheet_idx int, row_idx int, cells array<string>, sheet_slug string")
+    for write, read in ((K.write_lines_by_sheet, spark.read.text), (K.write_long_by_sheet, spark.read.parquet)):
+        target = str(tmp_path / write.__name__)
+        for _ in range(2):
+            write(sheet, target, run_date=DAY, atomic=True)
+        assert K.read_published(spark, target, read).count() == 1
+    flat = sheet.select(F.col("sheet").alias("_c0"), "row_idx", "sheet_slug")
+    for _ in range(2):
+        K.write_by_sheet(flat, str(tmp_path / "wide"), order=["row_idx"], run_date=DAY, atomic=True)
+    assert K.read_published(spark, str(tmp_path / "wide"), spark.read.text).count() == 2
+    chunks = spark.createDataFrame([("k", "csv", 1, 0, bytearray(b"x"))], "object_key string, route string, response_no long, chunk int, content binary")
+    for _ in range(2):
+        K.land_objects(chunks, str(tmp_path / "objects"), DAY, atomic=True)
+    assert K.read_published(spark, str(tmp_path / "objects"), spark.read.parquet).count() == 1
+
+
+def test_job_options(spark, tmp_path):
+    """Options of the jobs that no other test names."""
+    (tmp_path / "keys.csv").write_text('ori\n A\n""\nB\n')
+    base = ["--run-date", DAY]
+    main([*base, "requests", str(tmp_path / "keys.csv"), "https://h/", str(tmp_path / "r"), "--lossless", "--atomic"], spark)
+    found = K.read_history(spark, str(tmp_path / "r"), "key string, request string", lossless=True, atomic=True).collect()
+    assert {r["key"] for r in found} == {" A", "B"}
+    assert spark.read.parquet(str(tmp_path / "r" / "_rejects")).first()["reason"] == "empty cells: 1"
+    (tmp_path / "in").mkdir()
+    for name in ("a.txt", "b.md"):
+        (tmp_path / "in" / name).write_text("x")
+    main([*base, "documents", str(tmp_path / "in"), str(tmp_path / "d"), "--pattern", "*.txt", "--no-rejects"], spark)
+    assert K.read_snapshot(spark, str(tmp_path / "d")).count() == 1
+    page = '<table><tr><td>a "b"<table><tr><td>c</table></table>'
+    spark.createDataFrame(
+        [("http://h/", "text/html", None, bytearray(page.encode())), ("u", None, None, None)],
+        "url string, content_type string, content_disposition string, body binary",
+    ).write.parquet(str(tmp_path / "web"))
+    main([*base, "responses", str(tmp_path / "web"), "raw", str(tmp_path / "w"), "--plain-quotes", "--nested", "own", "--no-rejects"], spark)
+    assert bytes(spark.read.parquet(str(tmp_path / "w")).first()["content"]) == b'"a "b""\n"c"\n'
+    assert not (tmp_path / "w" / "_rejects").exists()
+    spark.createDataFrame(
+        [("A", 200, '{"data":[{"value":3,"key":" x "}]}')], "key string, status int, body string"
+    ).write.parquet(str(tmp_path / "answers"))
+    main([*base, "payloads", str(tmp_path / "answers"), str(tmp_path / "p"), "--lossless", "--no-rejects"], spark)
+    assert K.read_snapshot(spark, str(tmp_path / "p"), lossless=True).first()["key"] == " x "
+    assert not (tmp_path / "p" / "_rejects").exists()
