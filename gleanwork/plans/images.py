@@ -7,7 +7,8 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from gleanwork.sinks.tables import rejects_path, run_day, write_rejects, write_snapshot
-from gleanwork.sources.images import image_rejects, image_text, read_images
+from gleanwork.sources.images import image_sizes, image_text, read_images, unreadable_images
+from gleanwork.workspace import materialise
 
 
 def images_text(spark: SparkSession, source: str | list[str]) -> DataFrame:
@@ -29,14 +30,17 @@ def run_images(
     """Write a dated snapshot of the metadata text of all images below ``source``.
 
     Files that are no readable image are listed in ``rejects_target``, by default a folder
-    ``_rejects`` in the target, unless ``keep_rejects`` is off; the list reads the files once more.
+    ``_rejects`` in the target, unless ``keep_rejects`` is off. Sizes are staged for that, a few numbers a file, so
+    each image is decoded once.
     """
     run_date = run_day(run_date)
+    images = read_images(spark, source)
     if keep_rejects:
-        listed = rejects_path(target, rejects_target, True)
-        write_rejects(image_rejects(spark, source), listed, "images", run_date)
+        sizes = materialise(image_sizes(spark, source), "images")
+        write_rejects(unreadable_images(sizes), rejects_path(target, rejects_target, True), "images", run_date)
+        images = sizes.where("height >= 0")
     return write_snapshot(
-        images_text(spark, source),
+        image_text(images),
         target,
         run_date,
         lossless=lossless,

@@ -19,7 +19,7 @@ from gleanwork.sources.grids import (
     widest_row,
     workbook_rows,
 )
-from gleanwork.sources.images import image_rejects, image_text, read_images
+from gleanwork.sources.images import image_rejects, image_sizes, image_text, read_images, unreadable_images
 from gleanwork.sources.split_csv import split_csv_rows
 
 __all__ = [
@@ -28,6 +28,7 @@ __all__ = [
     "grid_rejects",
     "html_text",
     "image_rejects",
+    "image_sizes",
     "image_text",
     "json_grid_rows",
     "read_binary_files",
@@ -43,4 +44,5 @@ __all__ = [
     "too_large_files",
     "widest_row",
     "workbook_rows",
+    "unreadable_images",
 ]

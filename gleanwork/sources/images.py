@@ -9,7 +9,8 @@ from gleanwork.functions.names import file_name, file_type
 from gleanwork.functions.text import flat_lower, type_tagged_text
 
 
-def _images(spark: SparkSession, path: str | list[str], drop_invalid: bool) -> DataFrame:
+def image_sizes(spark: SparkSession, path: str | list[str], drop_invalid: bool = False) -> DataFrame:
+    """``(origin, height, width, nChannels)`` of every file below ``path``; a height below 0 if it is no image."""
     return (
         spark.read.format("image")
         .option("dropInvalid", drop_invalid)
@@ -24,15 +25,20 @@ def read_images(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     The pixels are dropped in the scan's own stage. :func:`image_rejects` lists the other files.
     """
-    return _images(spark, path, True)
+    return image_sizes(spark, path, True)
 
 
-def image_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(key, reason)`` of the files that are no readable image."""
-    unreadable = _images(spark, path, False).where("height < 0")
+def unreadable_images(sizes: DataFrame) -> DataFrame:
+    """``(key, reason)`` of the files of :func:`image_sizes` that are no readable image."""
+    unreadable = sizes.where("height < 0")
     return unreadable.select(F.col("origin").alias("key"), F.lit("no readable image").alias("reason"))
 
 
+def image_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(key, reason)`` of the files below ``path`` that are no readable image."""
+    return unreadable_images(image_sizes(spark, path))
+
+
 def image_text(images: DataFrame) -> DataFrame:
     """``(filename, text)``: the detected type and the metadata values on one lower-case line."""
     name = file_name("origin")
