@@ -5,19 +5,20 @@ Each document has ``HASHES`` minima of universal hash functions over its word sh
 of its words. Equal texts have equal fingerprints; the likeness of two is the share of equal minima.
 
 ``neighbour_fingerprints`` compares each document with the next one by descending id. Documents are cut
-into ranges of ids by quantiles and each range is sorted and read as a stream; the first document of a range
-is sent to the end of the range before it, so no step needs all documents in one place. There are at most
-``MOST_RANGES`` ranges: that bounds what is broadcast. ``similar_pairs`` joins bands of the fingerprints
+into ranges of ids, and of hashes of the text within one id, by sampled splitters; each range is a task that sorts its
+rows and reads them as a stream. The first document of a range is sent to the end of the range before it, so no
+step needs all documents in one place. There are at most ``MOST_RANGES`` ranges, which bounds the splitters; beyond
+``MOST_RANGES * RANGE_ROWS`` rows ranges are longer, and a task still holds two documents at a time. ``similar_pairs`` joins bands of the fingerprints
 and verifies Jaccard on the full shingle sets.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ from gleanwork.llm.shingles import WIDTH, choose_bands, minhash, permutations, s
 HASHES = 128
 RANGE_ROWS = 4096
 MOST_RANGES = 20_000
+#: Keys per range from which the splitters are taken.
+SAMPLE = 20
 THRESHOLD = 0.8
 RECALL = 0.999
 NOTHING = 0xFFFF
@@ -41,6 +44,11 @@ def to_text(values: np.ndarray) -> str:
     return values.astype(">u2").tobytes().hex()
 
 
+def _key(doc_id, second: int) -> tuple:
+    """Null ids before all others, then by id, then by the second key."""
+    return (doc_id is not None, 0 if doc_id is None else doc_id, second)
+
+
 def _stream(schema: pa.Schema):
     """Rows come by range, in order; the last rows of a range, marked as tail, only stand for the next one."""
 
@@ -89,48 +97,53 @@ def neighbour_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str =
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), full_text(text).alias("text"))
-    kind = docs.schema[doc_id].dataType
+    spark, kind = docs.sparkSession, docs.schema[doc_id].dataType
+    # The second key falls as the hash of the text grows, so both keys are in falling order.
+    second = F.bitwise_not(F.xxhash64("text")).alias("second")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), full_text(text).alias("text")).select("*", second)
     total = rows.count()
     ranges = max(1, min(MOST_RANGES, -(-total // RANGE_ROWS)))
-    inner = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(rows.approxQuantile("doc_id", inner, 0.1 / ranges))) if inner and total else []
-    splits = [-float("inf"), *cuts, float("inf")]
-    rows = rows.withColumn("place", F.col("doc_id").cast("double"))
-    cut = Bucketizer(splits=splits, inputCol="place", outputCol="range", handleInvalid="keep") if cuts else None
-    ranged = cut.transform(rows) if cut else rows.withColumn("range", F.lit(0.0))
-    ranged = ranged.select(
-        F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.col("range").cast("int")).alias("range"), "doc_id", "text"
-    )
-    heads = ranged.groupBy("range").agg(F.max("doc_id").alias("head")).orderBy(F.col("range").desc()).collect()
-    moves = [(row["head"], heads[i - 1]["range"]) for i, row in enumerate(heads)]
-    spark = docs.sparkSession
-    first = spark.createDataFrame(moves, f"head {kind.simpleString()}, before int")
+    keys = rows.select("doc_id", "second")
+    if ranges > 1:
+        # Every so many rows by a hash of the key: about SAMPLE keys a range, and so a bounded number.
+        every = max(1, total // (SAMPLE * ranges))
+        found = keys.where(F.pmod(F.xxhash64("doc_id", "second", F.lit(1)), F.lit(every)) == 0).toArrow().to_pylist()
+        sampled = sorted(_key(row["doc_id"], row["second"]) for row in found)
+        cuts = sorted({sampled[i * len(sampled) // ranges] for i in range(1, ranges)}) if sampled else []
+    else:
+        cuts = []
+
+    @F.arrow_udf("int")
+    def range_of(ids: pa.Array, seconds: pa.Array) -> pa.Array:
+        keys = zip(ids.to_pylist(), seconds.to_pylist())
+        return pa.array([bisect_right(cuts, _key(*key)) for key in keys], pa.int32())
+
+    ranged = rows.select(range_of(F.col("doc_id"), F.col("second")).alias("range"), "*")
+    key = F.struct("doc_id", "second")
+    heads = ranged.groupBy("range").agg(F.max(key).alias("head")).orderBy(F.col("range").desc()).collect()
+    moves = [(row["head"]["doc_id"], row["head"]["second"], heads[i - 1]["range"]) for i, row in enumerate(heads)]
+    first = spark.createDataFrame(moves, f"head_id {kind.simpleString()}, head_second long, before int")
+    is_head = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("second") == F.col("head_second"))
+    stays = F.struct(F.col("range"), F.lit(False).alias("tail"))
+    goes = F.struct(F.col("before").alias("range"), F.lit(True).alias("tail"))
     dealt = (
-        ranged.join(F.broadcast(first), F.col("doc_id").eqNullSafe(F.col("head")), "left")
+        ranged.join(F.broadcast(first), is_head, "left")
         .select(
             "doc_id",
+            "second",
             "text",
-            F.explode(
-                F.when(
-                    F.col("before").isNotNull(),
-                    F.array(
-                        F.struct(F.col("range"), F.lit(False).alias("tail")),
-                        F.struct(F.col("before").alias("range"), F.lit(True).alias("tail")),
-                    ),
-                ).otherwise(F.array(F.struct(F.col("range"), F.lit(False).alias("tail"))))
-            ).alias("to"),
+            F.explode(F.when(F.col("before").isNotNull(), F.array(stays, goes)).otherwise(F.array(stays))).alias("to"),
         )
-        .select("to.range", "to.tail", "doc_id", "text")
+        .select("to.range", "to.tail", "doc_id", "text", "second")
     )
-    sorted_rows = dealt.repartition(max(1, len(heads)), "range").sortWithinPartitions(
-        "range", "tail", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text"
+    sorted_rows = dealt.repartitionById(len(cuts) + 1, F.col("range")).sortWithinPartitions(
+        "range", "tail", F.col("doc_id").desc_nulls_last(), F.col("second").desc(), "text"
     )
     fields = [
         ("doc_id", to_arrow_type(kind)), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
         ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
     ]
-    return sorted_rows.mapInArrow(
+    return sorted_rows.drop("second").mapInArrow(
         _stream(pa.schema(fields)),
         f"doc_id {kind.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, "
         "edited_fingerprint string, near_edited double, near_next double",

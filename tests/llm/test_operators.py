@@ -342,6 +342,36 @@ def test_ranges_hand_over_their_first_document(spark, monkeypatch):
         assert got[number] == hashlib.sha256((text[: len(text) - cut] + following[:cut]).encode()).hexdigest()
 
 
+def test_fingerprints_of_other_ids(spark, monkeypatch):
+    """Text ids, null ids and ids of many rows are dealt over ranges as well; likenesses are true ones."""
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 5)
+    draw = random.Random(8)
+    rows = [(f"k{i:03d}", sentence(draw, draw.randint(0, 60))) for i in range(60)]
+    rows += [(None, sentence(draw, 30)) for _ in range(25)] + [("k007", sentence(draw, 20)) for _ in range(25)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string").repartition(4)
+    got = fingerprints.neighbour_fingerprints(frame).collect()
+    hashes = frame.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    given = sorted((r for r in hashes if r.doc_id is not None), key=lambda r: r.h)
+    ordered = sorted(given, key=lambda r: r.doc_id, reverse=True) + sorted((r for r in hashes if r.doc_id is None), key=lambda r: r.h)
+    assert len(got) == len(rows)
+    found = {(r.doc_id, r.fingerprint, r.edited_sha256): r for r in got}
+    functions, words = shingles.permutations(fingerprints.HASHES), shingles.word_hashes()
+
+    def jaccard(a, b):
+        x, y = (set(shingles.shingles(t, words, lead=True).tolist()) for t in (a, b))
+        return len(x & y) / len(x | y) if x | y else 1.0
+
+    gaps = []
+    for i, r in enumerate(ordered):
+        following = ordered[(i + 1) % len(ordered)].text
+        cut = len(r.text) // 3
+        edited = r.text[: len(r.text) - cut] + following[:cut]
+        mark = fingerprints.to_text(fingerprints.signature(r.text, words, functions))
+        row = found[r.doc_id, mark, hashlib.sha256(edited.encode()).hexdigest()]
+        gaps += [abs(row.near_edited - jaccard(r.text, edited)), abs(row.near_next - jaccard(r.text, following))]
+    assert max(gaps) < 0.25 and sum(gaps) / len(gaps) < 0.04
+
+
 def test_grammar_tapes():
     symbols, grammar = toxicity.Symbols({"idiot": 5.0, "idioti*": 4.0, "idio*": 9.0}), toxicity.Grammar()
 
