@@ -25,7 +25,7 @@ from gleanwork.sources.grids import (
     sheet_rows,
     to_wide,
     widest_row,
-    workbook_rows,
+    workbook_rows_by_sheet,
 )
 from gleanwork.sources.split_csv import split_csv_rows
 from gleanwork.workspace import materialise
@@ -69,9 +69,8 @@ def _run(
         if not oversized.isEmpty():
             grids = grids.unionByName(split_csv_rows(spark, *files))
         oversized = oversized.limit(0)  # they have been read
-    # Width, rows and rejects all read the grids: stage them, so each file is parsed once.
-    if keep_rejects or (layout == "wide" and width is None):
-        grids = materialise(grids, source)
+    # Width, rejects, the ranges of the rows and the rows all read the grids: stage them, so each file is parsed once.
+    grids = materialise(grids, source)
     failed = grid_rejects(grids) if keep_rejects else None
     list_unread(failed, oversized, target, rejects_target, source, run_date)
     rows = name_sheets(sheet_rows(grids))
@@ -122,7 +121,7 @@ def run_workbooks(
     return _run(
         spark,
         (source, "*.xlsx"),
-        workbook_rows,
+        workbook_rows_by_sheet,
         workbook_sheets,
         "workbooks",
         target,

@@ -10,6 +10,7 @@ No writer gathers its rows in one task. Gzip text cannot be split by readers, so
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -170,6 +171,37 @@ def write_by_key(
     return path
 
 
+ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+_SIZE = re.compile(r"(\d+) *([kmgtp]?)i?b?", re.IGNORECASE)
+
+
+def _bytes_of(size: str) -> int:
+    """A size as Spark's settings write it, such as ``64MB``."""
+    number, unit = _SIZE.fullmatch(size.strip()).groups()
+    return int(number) << 10 * " kmgtp".index(unit.lower() or " ")
+
+
+def _width(field: T.StructField) -> Column:
+    """About how many bytes a value takes."""
+    value = quoted(field.name)
+    if isinstance(field.dataType, T.ArrayType):
+        value = F.array_join(value, "")
+    return F.coalesce(F.octet_length(value.cast("string")), F.lit(0)) + 8
+
+
+def _in_order(df: DataFrame, slug: str, order: Sequence[str]) -> DataFrame:
+    """Sheets side by side, in ranges of their rows: the files of a sheet, by name, hold its rows in order.
+
+    There are as many ranges as fill the advisory size of a partition, so a large sheet fills several and is no
+    single task. To find them ``df`` is read twice more; it should be staged if it is costly.
+    """
+    if not order:
+        return df.hint("rebalance", slug)
+    size = df.agg(F.sum(sum((_width(field) for field in df.schema.fields), F.lit(0)))).first()[0] or 0
+    ranges = size // _bytes_of(df.sparkSession.conf.get(ADVISORY_SIZE)) + 1
+    return df.repartitionByRange(ranges, slug, *order).sortWithinPartitions(slug, *order)
+
+
 def write_by_sheet(
     df: DataFrame,
     target: str,
@@ -183,9 +215,9 @@ def write_by_sheet(
 ) -> str:
     """One folder of text per sheet within the snapshot.
 
-    ``order`` names the columns that sort the rows of a file. They are not written themselves.
+    ``order`` names the columns that sort the rows of a sheet. They are not written themselves.
     """
-    ordered = df.hint("rebalance", slug).sortWithinPartitions(slug, *order).drop(*order)
+    ordered = _in_order(df, slug, order).drop(*order)
     with _day(df, target, run_date, mode, atomic) as (path, mode):
         writer = _text_writer(ordered, mode, lossless, "gzip", max_records_per_file)
         writer.partitionBy(slug).csv(path)
@@ -202,7 +234,7 @@ def write_long_by_sheet(
     atomic: bool = False,
 ) -> str:
     """One folder of Parquet per sheet, with all columns: rows keep their own number of cells."""
-    ordered = df.hint("rebalance", slug).sortWithinPartitions(slug, *order)
+    ordered = _in_order(df, slug, order)
     with _day(df, target, run_date, mode, atomic) as (path, mode):
         ordered.write.mode(mode).partitionBy(slug).parquet(path)
     return path
@@ -231,7 +263,7 @@ def write_lines_by_sheet(
         return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
 
     line = F.array_join(F.transform(F.concat(place, "cells"), enclosed), "\t")
-    ordered = df.hint("rebalance", slug).sortWithinPartitions(slug, *order)
+    ordered = _in_order(df, slug, order)
     lines = ordered.select(slug, line.alias("value"))
     with _day(df, target, run_date, mode, atomic) as (path, mode):
         writer = lines.write.mode(mode).option("compression", "gzip")

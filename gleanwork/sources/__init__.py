@@ -18,6 +18,7 @@ from gleanwork.sources.grids import (
     to_wide,
     widest_row,
     workbook_rows,
+    workbook_rows_by_sheet,
 )
 from gleanwork.sources.images import image_rejects, image_sizes, image_text, read_images, unreadable_images
 from gleanwork.sources.split_csv import split_csv_rows
@@ -44,5 +45,6 @@ __all__ = [
     "too_large_files",
     "widest_row",
     "workbook_rows",
+    "workbook_rows_by_sheet",
     "unreadable_images",
 ]

@@ -342,25 +342,29 @@ def _read_workbooks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield from out.flush()
 
 
-def _split_workbooks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _split_workbooks(unit_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Each unit with the parts it needs, still packed."""
-    for path, content in _files(batches):
-        try:
-            workbook = _Workbook(content)
-            units = _units(path, workbook, UNIT_BYTES)
-        except Exception as error:
-            body = pickle.dumps((path, _problem(error)))
-            yield pa.RecordBatch.from_pydict({"path": [path], "unit": [0], "body": [body]}, _UNITS)
-            continue
-        for number, unit in enumerate(units):
-            parts: dict[str, tuple | Exception] = {}
-            for part in [*unit.strings, *(part for _, _, part in unit.sheets)]:
-                try:
-                    parts[part] = _packed(workbook.archive, content, part)
-                except Exception as error:
-                    parts[part] = error
-            body = pickle.dumps((path, (unit.strings, unit.sheets, parts)))
-            yield pa.RecordBatch.from_pydict({"path": [path], "unit": [number], "body": [body]}, _UNITS)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path, content in _files(batches):
+            try:
+                workbook = _Workbook(content)
+                units = _units(path, workbook, unit_bytes)
+            except Exception as error:
+                body = pickle.dumps((path, _problem(error)))
+                yield pa.RecordBatch.from_pydict({"path": [path], "unit": [0], "body": [body]}, _UNITS)
+                continue
+            for number, unit in enumerate(units):
+                parts: dict[str, tuple | Exception] = {}
+                for part in [*unit.strings, *(part for _, _, part in unit.sheets)]:
+                    try:
+                        parts[part] = _packed(workbook.archive, content, part)
+                    except Exception as error:
+                        parts[part] = error
+                body = pickle.dumps((path, (unit.strings, unit.sheets, parts)))
+                yield pa.RecordBatch.from_pydict({"path": [path], "unit": [number], "body": [body]}, _UNITS)
+
+    return split
 
 
 def _read_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -415,17 +419,25 @@ def workbook_rows(files: DataFrame) -> DataFrame:
 
     Cells are the stored text: numbers as written in the file, dates as their serial numbers,
     logical values as ``true`` or ``false``, empty cells as empty text.
+    """
+    return files.select("path", "content").mapInArrow(_read_workbooks, GRID_TYPE)
+
+
+def workbook_rows_by_sheet(
+    files: DataFrame, split_bytes: int = SPLIT_BYTES, unit_bytes: int = UNIT_BYTES
+) -> DataFrame:
+    """The rows of :func:`workbook_rows`, with the sheets of large workbooks as work of their own.
 
-    A workbook of up to ``SPLIT_BYTES`` is read where it is. The sheets of a larger one are dealt out, still packed, to
-    as many tasks as a shuffle has, in units of ``UNIT_BYTES`` of text or one sheet, so that a book of many sheets or
+    A workbook of up to ``split_bytes`` is read where it is. The sheets of a larger one are dealt out, still packed, to
+    as many tasks as a shuffle has, in units of ``unit_bytes`` of text or one sheet, so that a book of many sheets or
     with a large one does not hold up its task.
     """
     size = F.col("length") if "length" in files.columns else F.length("content")
-    large = files.where(size > SPLIT_BYTES).select("path", "content").mapInArrow(_split_workbooks, UNIT_TYPE)
+    large = files.where(size > split_bytes).select("path", "content").mapInArrow(_split_workbooks(unit_bytes), UNIT_TYPE)
     tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     units = large.repartition(tasks, "path", "unit").select("body").mapInArrow(_read_units, GRID_TYPE)
-    small = files.where(F.coalesce(size, F.lit(0)) <= SPLIT_BYTES).select("path", "content")
-    return small.mapInArrow(_read_workbooks, GRID_TYPE).unionByName(units)
+    small = files.where(F.coalesce(size, F.lit(0)) <= split_bytes)
+    return workbook_rows(small).unionByName(units)
 
 
 # -- exported online sheets -----------------------------------------------------------------------

@@ -23,6 +23,7 @@ from gleanwork.sources import (
     to_wide,
     widest_row,
     workbook_rows,
+    workbook_rows_by_sheet,
 )
 from gleanwork.workspace import fresh_path
 from querybook.tables import RUN_DATE, table
@@ -93,7 +94,9 @@ def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def workbook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sheet_rows(workbook_rows(workbooks(spark, sf_dir)))
+    """Workbooks beyond 25 KB have their sheets dealt out."""
+    books = workbooks(spark, sf_dir)
+    rows = sheet_rows(workbook_rows_by_sheet(books, split_bytes=25_000, unit_bytes=1000))
     return to_wide(rows, 4, scrub=False).drop("path", "row_idx")
 
 

@@ -159,10 +159,8 @@ def test_wide_form_pads_and_scrubs(spark):
     assert [tuple(r)[4:] for r in table] == [("_my_sheet_", "a b", "c", "")]
 
 
-def test_sheets_of_a_large_book_are_read_apart(spark, monkeypatch):
+def test_sheets_of_a_large_book_are_read_apart(spark):
     """One large sheet and many small ones take several tasks, and give the rows that one task reads."""
-    from gleanwork.sources import grids
-
     texts = "".join(f"<si><t>text {i}</t></si>" for i in range(50))
     sheets = {f"S{i}": f'<row><c t="s"><v>{i}</v></c><c><v>{i}</v></c></row>' for i in range(40)}
     sheets["Large"] = "".join(f'<row><c t="s"><v>{i % 50}</v></c><c><v>{i}</v></c></row>' for i in range(9000))
@@ -184,9 +182,8 @@ def test_sheets_of_a_large_book_are_read_apart(spark, monkeypatch):
         return grid.withColumn("error", F.substring_index("error", ":", 1)).orderBy(order).collect()
 
     whole = rows(S.workbook_rows(frame))
-    monkeypatch.setattr(grids, "SPLIT_BYTES", 10)
-    monkeypatch.setattr(grids, "UNIT_BYTES", 2000)
-    apart = S.workbook_rows(frame)
+    assert rows(S.workbook_rows_by_sheet(frame)) == whole
+    apart = S.workbook_rows_by_sheet(frame, split_bytes=10, unit_bytes=2000)
     assert rows(apart) == whole and sum(r["error"] is not None for r in whole) >= 5
     assert apart.where("path = '/good'").select(F.spark_partition_id()).distinct().count() > 2
 
@@ -236,6 +233,28 @@ def test_rows_of_a_sheet_stay_in_order(spark, tmp_path):
     assert read_snapshot(spark, target).count() == 12_000
 
 
+@pytest.mark.parametrize("layout", ["lines", "wide", "long"])
+def test_files_of_a_large_sheet_follow_each_other(spark, tmp_path, layout):
+    """A hot sheet fills several files; read by name they give its rows in order."""
+    source = tmp_path / "in"
+    source.mkdir()
+    for name, n in (("A", 10), ("Hot", 9000), ("Z", 10)):
+        (source / f"{name}.csv").write_text("".join(f"{i}\n" for i in range(n)))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100kb")
+    target = run_sheets(spark, str(source), str(tmp_path / "out"), "2024-02-29", layout=layout, keep_rejects=False)
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = sorted((tmp_path / "out").rglob("sheet_slug=hot/part-*"))
+    assert len(files) > 2
+    found = []
+    for path in files:
+        if layout == "long":
+            found += [r["cells"][0] for r in spark.read.parquet(str(path)).coalesce(1).collect()]
+        else:
+            lines = gzip.decompress(path.read_bytes()).decode().splitlines()
+            found += [line.split("\t")[-1].strip('"') for line in lines if line != '"_c0"']
+    assert found == [str(i) for i in range(9000)]
+
+
 def test_long_layout(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
