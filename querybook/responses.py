@@ -91,13 +91,13 @@ def response_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def response_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bodies cut into small chunks, and put together again."""
-    stored = landed_objects(page_responses(spark, sf_dir), "raw", RUN_DATE, escape_quotes=False, chunk_bytes=500)
+    stored = landed_objects(page_responses(spark, sf_dir), "raw", RUN_DATE, escape_quotes=False, chunk_bytes=4096)
     return join_chunks(stored).select("object_key", "route", F.col("content").cast("string").alias("content"))
 
 
 def landed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = fresh_path(spark, "objects")
-    run_landing(page_responses(spark, sf_dir), "raw", target, RUN_DATE, chunk_bytes=500)
+    run_landing(page_responses(spark, sf_dir), "raw", target, RUN_DATE, chunk_bytes=4096)
     return join_chunks(spark.read.parquet(target)).select(
         "object_key", F.col("run_date").cast("string").alias("run_date"), F.length("content").alias("bytes")
     )
