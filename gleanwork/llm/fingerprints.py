@@ -8,8 +8,8 @@ of its words. Equal texts have equal fingerprints; the likeness of two is the sh
 into ranges of ids, and of hashes of the text within one id, by sampled splitters; each range is a task that sorts its
 rows and reads them as a stream. The first document of a range is sent to the end of the range before it, so no
 step needs all documents in one place. There are at most ``MOST_RANGES`` ranges, which bounds the splitters; beyond
-``MOST_RANGES * RANGE_ROWS`` rows ranges are longer, and a task still holds two documents at a time. ``similar_pairs`` joins bands of the fingerprints
-and verifies Jaccard on the full shingle sets.
+``MOST_RANGES * RANGE_ROWS`` rows ranges are longer, and a task still holds two documents at a time. ``similar_documents`` joins bands of minima in
+Spark and verifies Jaccard on the full shingle sets; ``similar_pairs`` does so for a few given queries.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanwork.llm.common import full_text, table
-from gleanwork.llm.shingles import WIDTH, choose_bands, minhash, permutations, shingles, word_hashes
+from gleanwork.llm.shingles import WIDTH, band_keys, choose_bands, minhash, permutations, shingles, word_hashes
+from gleanwork.workspace import materialise
 
 HASHES = 128
 RANGE_ROWS = 4096
@@ -208,8 +209,88 @@ def similar_pairs(queries: DataFrame, docs: DataFrame, threshold: float = THRESH
     return pairs.mapInArrow(_verify(threshold), "query_id long, doc_id long, jaccard double")
 
 
+def _band_rows(bands: int, rows: int):
+    schema = pa.schema([("mark", pa.binary()), ("asked", pa.bool_()), ("bands", pa.list_(pa.int64()))])
+
+    def run(batches):
+        functions, hashes = permutations(bands * rows), word_hashes()
+        for batch in batches:
+            found = []
+            for text in batch.column(2).to_pylist():
+                values = shingles(text, hashes)
+                found.append(band_keys(minhash(values, *functions), bands, rows).view(np.int64) if len(values) else [])
+            columns = [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return run
+
+
+def _verified(threshold: float):
+    schema = pa.schema([("query", pa.binary()), ("copies", pa.int64())])
+
+    def run(batches):
+        hashes = word_hashes()
+        for batch in batches:
+            found = []
+            for query, copies, a, b in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                x, y = shingles(a, hashes), shingles(b, hashes)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if common >= threshold * (len(x) + len(y) - common):
+                    found.append((query, copies))
+            columns = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return run
+
+
+def similar_documents(
+    docs: DataFrame, asked, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL
+) -> DataFrame:
+    """``id, similar_docs``: for each id of a row for which the column ``asked`` is true, how many other rows are alike.
+
+    Rows are alike if their sets of 5-word shingles have a Jaccard likeness of ``threshold`` or more; equal texts always
+    are. Copies become one node before bands of MinHash minima are joined, and candidates are verified on their full
+    sets. Null texts are empty; texts without words are like their copies alone. Rows with a null id get no answer,
+    of rows with one id the largest one counts. An empty table gives no rows.
+    """
+    bands, rows = choose_bands(threshold, recall, HASHES)
+    body = docs.select(
+        F.col(doc_id).alias("id"), F.coalesce(asked, F.lit(False)).alias("asked"), full_text(text).alias("text")
+    ).withColumn("mark", F.unhex(F.md5(F.col("text").cast("binary"))))
+    signed = body.select("mark", "asked", "text").mapInArrow(_band_rows(bands, rows), "mark binary, asked boolean, bands array<long>")
+    nodes = signed.groupBy("mark").agg(
+        F.first("bands").alias("bands"), F.max("asked").alias("asked"), F.count(F.lit(1)).alias("copies")
+    )
+    nodes = materialise(nodes, "fingerprint-nodes")
+    left = nodes.where("asked").select(F.col("mark").alias("query"), F.explode("bands").alias("band"))
+    right = nodes.select("mark", F.explode("bands").alias("band"))
+    candidates = materialise(
+        left.join(right, "band").where("query <> mark").select("query", "mark").distinct().join(nodes.select("mark", "copies"), "mark"),
+        "fingerprint-candidates",
+    )
+    wanted = materialise(
+        candidates.select(F.explode(F.array("query", "mark")).alias("mark")).distinct(), "fingerprint-wanted"
+    )
+    texts = materialise(
+        body.select("mark", "text").join(wanted, "mark", "left_semi").groupBy("mark").agg(F.first("text").alias("text")),
+        "fingerprint-texts",
+    )
+    pairs = candidates.join(texts, "mark").join(texts.select(F.col("mark").alias("query"), F.col("text").alias("other")), "query")
+    alike = pairs.select("query", "copies", "other", "text").mapInArrow(_verified(threshold), "query binary, copies long")
+    more = alike.groupBy(F.col("query").alias("mark")).agg(F.sum("copies").alias("more"))
+    answers = nodes.where("asked").join(more, "mark", "left").select(
+        "mark", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("similar_docs")
+    )
+    rows_asked = body.where(F.col("asked") & F.col("id").isNotNull()).select("id", "mark")
+    return rows_asked.join(answers, "mark").groupBy("id").agg(F.max("similar_docs").alias("similar_docs"))
+
+
 def op4_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbour_fingerprints(table(spark, sf_dir, "documents"))
+    """Fingerprints and likenesses of neighbours, and for ids divisible by 50 the number of similar documents."""
+    docs = table(spark, sf_dir, "documents")
+    similar = materialise(similar_documents(docs, F.col("doc_id") % 50 == 0), "fingerprint-similar")
+    marked = neighbour_fingerprints(docs)
+    return marked.join(similar.withColumnRenamed("id", "doc_id"), "doc_id", "left")
 
 
 BOOK = {"op4_minhash_fingerprints": (op4_minhash_fingerprints, None)}

@@ -342,6 +342,35 @@ def test_ranges_hand_over_their_first_document(spark, monkeypatch):
         assert got[number] == hashlib.sha256((text[: len(text) - cut] + following[:cut]).encode()).hexdigest()
 
 
+def test_similar_documents_equal_all_pairs(spark, docs, rows, nothing):
+    draw = random.Random(12)
+    base = [sentence(draw, draw.randint(3, 90)).split() for _ in range(20)]
+    more = []
+    for i in range(150):
+        words = list(draw.choice(base))
+        for _ in range(draw.randint(0, 2)):
+            words[draw.randrange(len(words))] = draw.choice(WORDS)
+        more.append((100 + i, " ".join(words)))
+    mixed = [(r[0], r[1]) for r in rows] + more
+    frame = spark.createDataFrame(mixed, "doc_id long, text string").repartition(3)
+    found = {r.id: r.similar_docs for r in fingerprints.similar_documents(frame, F.col("doc_id") % 3 == 0).collect()}
+    hashes = shingles.word_hashes()
+    sets = [set(shingles.shingles(t or "", hashes).tolist()) for _, t in mixed]
+    wanted, links = Counter(), 0
+    for i, (number, text) in enumerate(mixed):
+        if number is not None and number % 3 == 0:
+            alike = 0
+            for j, (_, other) in enumerate(mixed):
+                x, y = sets[i], sets[j]
+                if i != j and ((text or "") == (other or "") or (x and y and len(x & y) >= 0.8 * len(x | y))):
+                    alike += 1
+            wanted[number] = max(wanted[number], alike)
+            links += alike
+    assert set(found) == set(wanted) and all(found[k] <= wanted[k] for k in found)
+    assert sum(found.values()) >= 0.99 * sum(wanted.values()) > 50
+    assert fingerprints.similar_documents(nothing, F.col("doc_id") % 3 == 0).count() == 0
+
+
 def test_fingerprints_of_other_ids(spark, monkeypatch):
     """Text ids, null ids and ids of many rows are dealt over ranges as well; likenesses are true ones."""
     monkeypatch.setattr(fingerprints, "RANGE_ROWS", 5)
