@@ -33,6 +33,8 @@ MOST_RANGES = 20_000
 SAMPLE = 20
 THRESHOLD = 0.8
 RECALL = 0.999
+#: For searches: pairs right at the threshold are found with this chance, by at most so many minima.
+SEARCH_RECALL, SEARCH_HASHES = 0.99, 64
 NOTHING = 0xFFFF
 
 
@@ -244,7 +246,12 @@ def _verified(threshold: float):
 
 
 def similar_documents(
-    docs: DataFrame, asked, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL
+    docs: DataFrame,
+    asked,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    threshold: float = THRESHOLD,
+    recall: float = SEARCH_RECALL,
 ) -> DataFrame:
     """``id, similar_docs``: for each id of a row for which the column ``asked`` is true, how many other rows are alike.
 
@@ -253,7 +260,7 @@ def similar_documents(
     sets. Null texts are empty; texts without words are like their copies alone. Rows with a null id get no answer,
     of rows with one id the largest one counts. An empty table gives no rows.
     """
-    bands, rows = choose_bands(threshold, recall, HASHES)
+    bands, rows = choose_bands(threshold, recall, SEARCH_HASHES)
     body = docs.select(
         F.col(doc_id).alias("id"), F.coalesce(asked, F.lit(False)).alias("asked"), full_text(text).alias("text")
     ).withColumn("mark", F.unhex(F.md5(F.col("text").cast("binary"))))
