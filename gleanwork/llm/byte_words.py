@@ -10,6 +10,9 @@ from gleanwork.llm.shingles import mix
 
 NO_SPACE = np.ones(256, bool)
 NO_SPACE[list(SPACES.encode())] = False
+#: A-Z in lower case.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

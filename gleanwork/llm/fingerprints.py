@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanwork.llm.byte_words import LOWER, NO_SPACE, find_runs, hash_runs, slices, text_bytes
 from gleanwork.llm.common import full_text, table
-from gleanwork.llm.shingles import WIDTH, band_keys, choose_bands, minhash, permutations, shingles, word_hashes
+from gleanwork.llm.shingles import WIDTH, band_keys, choose_bands, minhash, permutations, shingles, windows, word_hashes
 from gleanwork.workspace import materialise
 
 HASHES = 128
@@ -33,9 +34,10 @@ MOST_RANGES = 20_000
 SAMPLE = 20
 THRESHOLD = 0.8
 RECALL = 0.999
-#: For searches: pairs right at the threshold are found with this chance, by at most so many minima.
+#: Of the query: pairs right at the threshold are found with this chance, by at most so many minima.
 SEARCH_RECALL, SEARCH_HASHES = 0.99, 64
 NOTHING = 0xFFFF
+BLOCK_BYTES = 2 << 20
 
 
 def signature(text: str, hashes, functions) -> np.ndarray:
@@ -215,12 +217,19 @@ def _band_rows(bands: int, rows: int):
     schema = pa.schema([("mark", pa.binary()), ("asked", pa.bool_()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches):
-        functions, hashes = permutations(bands * rows), word_hashes()
+        functions = permutations(bands * rows)
         for batch in batches:
             found = []
-            for text in batch.column(2).to_pylist():
-                values = shingles(text, hashes)
-                found.append(band_keys(minhash(values, *functions), bands, rows).view(np.int64) if len(values) else [])
+            data, offsets = text_bytes(batch.column(2))
+            for row, end in slices(offsets, BLOCK_BYTES):
+                own = offsets[row : end + 1] - offsets[row]
+                part = LOWER[data[offsets[row] : offsets[end]]]
+                starts, lengths = find_runs(NO_SPACE, part, own)
+                words, at = hash_runs(part, starts, lengths), 0
+                for stop in np.searchsorted(starts, own[1:]).tolist():
+                    text, at = words[at:stop], stop
+                    values = np.unique(windows(text, min(WIDTH, len(text)))) if len(text) else ()
+                    found.append(band_keys(minhash(values, *functions), bands, rows).view(np.int64) if len(values) else [])
             columns = [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -251,7 +260,8 @@ def similar_documents(
     doc_id: str = "doc_id",
     text: str = "text",
     threshold: float = THRESHOLD,
-    recall: float = SEARCH_RECALL,
+    recall: float = RECALL,
+    most_hashes: int = HASHES,
 ) -> DataFrame:
     """``id, similar_docs``: for each id of a row for which the column ``asked`` is true, how many other rows are alike.
 
@@ -260,7 +270,7 @@ def similar_documents(
     sets. Null texts are empty; texts without words are like their copies alone. Rows with a null id get no answer,
     of rows with one id the largest one counts. An empty table gives no rows.
     """
-    bands, rows = choose_bands(threshold, recall, SEARCH_HASHES)
+    bands, rows = choose_bands(threshold, recall, most_hashes)
     body = docs.select(
         F.col(doc_id).alias("id"), F.coalesce(asked, F.lit(False)).alias("asked"), full_text(text).alias("text")
     ).withColumn("mark", F.unhex(F.md5(F.col("text").cast("binary"))))
@@ -295,7 +305,8 @@ def similar_documents(
 def op4_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and likenesses of neighbours, and for ids divisible by 50 the number of similar documents."""
     docs = table(spark, sf_dir, "documents")
-    similar = materialise(similar_documents(docs, F.col("doc_id") % 50 == 0), "fingerprint-similar")
+    similar = similar_documents(docs, F.col("doc_id") % 50 == 0, recall=SEARCH_RECALL, most_hashes=SEARCH_HASHES)
+    similar = materialise(similar, "fingerprint-similar")
     marked = neighbour_fingerprints(docs)
     return marked.join(similar.withColumnRenamed("id", "doc_id"), "doc_id", "left")
 

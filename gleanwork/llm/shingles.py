@@ -34,7 +34,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _windows(words: np.ndarray, width: int) -> np.ndarray:
+def windows(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each run of ``width`` hashed words."""
     total = np.zeros(len(words) - width + 1, np.uint64)
     for i in range(width):
         total = total * np.uint64(0x9E3779B97F4A7C15) + words[i : len(words) - width + 1 + i]
@@ -53,7 +54,7 @@ def shingles(text: str, hashes: WordHashes, width: int = WIDTH, lead: bool = Fal
     values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     if lead:
         values = np.concatenate([np.zeros(width - 1, np.uint64), values])
-    return np.unique(_windows(values, min(width, len(values))))
+    return np.unique(windows(values, min(width, len(values))))
 
 
 def permutations(count: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
