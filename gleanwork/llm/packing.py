@@ -1,18 +1,21 @@
 """Best-fit packing of token sequences, improved by swap-based local search.
 
 Documents become token ids in Arrow batches; only the pieces (id, place, length, checksum) go on. Pieces
-are dealt over shards of about ``SHARD`` rows, whatever their ids are. A shard is packed best fit, longest
-first, and if that leaves more bins than the tokens need, bins that are not full exchange pieces: move,
-one for one, two for one, always so that the sum of squared fills grows, until bins run empty. The
-least filled bins of all shards are then packed together again, level by level, until one shard is left,
-so the number of shards costs no sequences.
+are dealt over shards of about ``SHARD`` rows, whatever their ids are. In a shard, bins are filled best fit
+in order of the ids. That leaves room in them, so bins that are not full exchange pieces: move, one for one,
+two for one, always so that the sum of squared fills grows, until bins run empty and the rest are as
+few as the tokens need. Where no step is left before that, the bins with room are poured out with some others, filled
+anew and searched again. The least filled bins of all shards are then packed together again, level by level,
+until one shard is left, so the number of shards costs no sequences.
 """
 
 from __future__ import annotations
 
-import bisect
+import heapq
+import random
 import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,8 @@ CAPACITY = 2048
 SHARD = 16384
 #: Of the bins of a shard, one in so many (at least one) is packed again on the next level.
 LOOSE = 64
-#: Bins that give two pieces for one are looked for among so many of the emptiest.
-DONORS = 32
+#: New beginnings of a search, one after another, that may bring nothing.
+PATIENCE = 12
 CACHE_WORDS = 800_000
 END_ID = 0
 
@@ -125,7 +128,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, doc_id: str, text: s
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
-    """Bins of positions; ``lengths`` must not increase. Each goes where the least room is left."""
+    """Bins of positions, taken in their order. Each goes where the least room is left."""
     bins: list[list[int]] = []
     room: list[list[int]] = [[] for _ in range(capacity + 1)]
     open_rooms = 0
@@ -147,117 +150,194 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-class _Givers:
-    """Pieces in bins that are not full, by length; a bit per length that is there."""
+class _BySize:
+    """Ranks of bins by the sizes that they can give; a bit per size that is there."""
 
-    def __init__(self, bins, lengths, names):
-        self.by_length: dict[int, set[tuple[int, int]]] = {}
+    def __init__(self):
         self.mask = 0
-        for name in names:
-            for position in bins[name]:
-                self.add(name, position, lengths[position])
-
-    def add(self, name, position, length):
-        self.by_length.setdefault(length, set()).add((name, position))
-        self.mask |= 1 << length
-
-    def remove(self, name, position, length):
-        there = self.by_length[length]
-        there.discard((name, position))
-        if not there:
-            del self.by_length[length]
-            self.mask &= ~(1 << length)
+        self.times: dict[int, dict[int, int]] = {}
+        self.heaps: dict[int, list[int]] = {}
+
+    def add(self, size: int, rank: int) -> None:
+        times = self.times.setdefault(size, {})
+        times[rank] = times.get(rank, 0) + 1
+        if times[rank] == 1:
+            heapq.heappush(self.heaps.setdefault(size, []), -rank)
+            self.mask |= 1 << size
+
+    def remove(self, size: int, rank: int) -> None:
+        times = self.times[size]
+        times[rank] -= 1
+        if not times[rank]:
+            del times[rank]
+            if not times:
+                self.mask ^= 1 << size
+
+    def last(self, size: int) -> int:
+        """The greatest rank that gives this size."""
+        heap, times = self.heaps[size], self.times[size]
+        while -heap[0] not in times:
+            heapq.heappop(heap)
+        return -heap[0]
 
     def longest(self, over: int, upto: int) -> int:
-        """The greatest length above ``over`` and not above ``upto`` that is there, or 0."""
+        """The greatest size above ``over`` and not above ``upto`` that is there, or 0."""
         found = (self.mask & ((1 << (upto + 1)) - 1)).bit_length() - 1
         return found if found > over else 0
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
-    """Exchange pieces between bins that are not full until none can run empty or nothing improves.
+class _Givers:
+    """Bins that pieces can be taken from, with the sizes of their pieces and of all pairs of them.
 
-    A fuller bin only ever gains from one that is not fuller, so each step raises the sum of squared fills.
+    A bin holds pieces of at most ``sqrt(2 * capacity)`` different lengths, so its pairs of lengths number
+    no more than ``capacity`` and all of them are listed.
     """
-    needed = -(-sum(lengths) // capacity)
+
+    def __init__(self):
+        self.held: dict[int, dict[int, list[int]]] = {}
+        self.singles, self.pairs = _BySize(), _BySize()
+
+    def put(self, rank: int, length: int, position: int) -> None:
+        held = self.held.setdefault(rank, {})
+        here = held.get(length)
+        if here is None:
+            for other in held:
+                self.pairs.add(length + other, rank)
+            here = held[length] = []
+        elif len(here) == 1:
+            self.pairs.add(2 * length, rank)
+        here.append(position)
+        self.singles.add(length, rank)
+
+    def take(self, rank: int, length: int) -> int:
+        held = self.held[rank]
+        here = held[length]
+        position = here.pop()
+        self.singles.remove(length, rank)
+        if not here:
+            del held[length]
+            for other in held:
+                self.pairs.remove(length + other, rank)
+        elif len(here) == 1:
+            self.pairs.remove(2 * length, rank)
+        return position
+
+    def withdraw(self, rank: int) -> dict[int, list[int]]:
+        """All pieces of a bin, by length; it gives no more."""
+        held = self.held.get(rank, {})
+        return {length: [self.take(rank, length) for _ in range(len(held[length]))] for length in list(held)}
+
+    def pair(self, rank: int, size: int) -> tuple[int, int]:
+        """Two lengths of a bin that make up ``size``."""
+        held = self.held[rank]
+        for length in held:
+            other = size - length
+            if len(held.get(other, ())) > (other == length):
+                return length, other
+        raise KeyError(size)
+
+
+
+def _best_step(givers: _Givers, own, fill, order, receiver: int, gap: int):
+    """``kind, gain, rank, taken, given`` of the step that adds most, at most ``gap``; None if no step is better.
+
+    Of the bins that could give, the emptiest does.
+    """
+    options = []
+    if size := givers.singles.longest(0, gap):
+        options.append((-size, "move", size, 0))
+    for given in own:
+        if size := givers.singles.longest(given, given + gap):
+            options.append((given - size, "one for one", size, given))
+        if size := givers.pairs.longest(given, given + gap):
+            options.append((given - size, "two for one", size, given))
+    for loss, kind, size, given in sorted(options):
+        rank = (givers.pairs if kind == "two for one" else givers.singles).last(size)
+        if fill[receiver] - loss > fill[order[rank]]:
+            taken = givers.pair(rank, size) if kind == "two for one" else (size,)
+            return kind, -loss, rank, taken, given
+    return None
+
+
+def local_search(
+    bins: list[list[int]], lengths: list[int], capacity: int, steps: Counter | None = None
+) -> list[list[int]]:
+    """Exchange pieces between bins that are not full until no more can run empty or nothing improves.
+
+    Bins receive in order of their fill. Each takes, as long as there is one, the step that adds most to it:
+    a piece, a piece for one of its own, or two pieces of a bin for one of its own. A step counts only if the
+    sum of squared fills grows, so the search ends. ``steps`` counts them by kind.
+    """
+    steps = Counter() if steps is None else steps
+    bins = list(bins)
     fill = [sum(lengths[p] for p in members) for members in bins]
+    needed = -(-sum(fill) // capacity)
     improved = True
     while improved and sum(1 for f in fill if f) > needed:
         improved = False
         order = sorted((b for b in range(len(bins)) if 0 < fill[b] < capacity), key=lambda b: (-fill[b], b))
-        givers = _Givers(bins, lengths, order)
-
-        def give(giver, position, receiver):
-            bins[giver].remove(position)
-            bins[receiver].append(position)
-            fill[giver] -= lengths[position]
-            fill[receiver] += lengths[position]
-
-        for turn, receiver in enumerate(order):
-            for position in bins[receiver]:
-                givers.remove(receiver, position, lengths[position])
-            if not fill[receiver]:
-                continue
-            while (gap := capacity - fill[receiver]) > 0:
-                length = givers.longest(0, gap)
-                if length:
-                    giver, position = min(givers.by_length[length], key=lambda x: (fill[x[0]], x))
-                    if fill[receiver] + length <= fill[giver]:
-                        break
-                    givers.remove(giver, position, length)
-                    give(giver, position, receiver)
-                    improved = True
-                    continue
-                own = {lengths[p]: p for p in bins[receiver]}
-                best = max(((givers.longest(x, min(capacity, x + gap)) - x, x) for x in own), default=(0, 0))
-                if best[0] > 0:
-                    x = best[1]
-                    length = x + best[0]
-                    giver, position = min(givers.by_length[length], key=lambda e: (fill[e[0]], e))
-                    if fill[receiver] + best[0] > fill[giver]:
-                        givers.remove(giver, position, length)
-                        give(giver, position, receiver)
-                        give(receiver, own[x], giver)
-                        givers.add(giver, own[x], x)
-                        improved = True
-                        continue
-                pair = _two_for_one(bins, fill, lengths, own, order[turn + 1 :][-DONORS:], receiver, gap)
-                if pair is None:
+        givers = _Givers()
+        for rank, b in enumerate(order):
+            for position in bins[b]:
+                givers.put(rank, lengths[position], position)
+        for rank, receiver in enumerate(order):
+            own = givers.withdraw(rank)
+            while own and (gap := capacity - fill[receiver]):
+                step = _best_step(givers, own, fill, order, receiver, gap)
+                if step is None:
                     break
-                giver, first, second, x = pair
-                for position in (first, second):
-                    givers.remove(giver, position, lengths[position])
-                    give(giver, position, receiver)
-                give(receiver, own[x], giver)
-                givers.add(giver, own[x], x)
+                kind, gain, giver, taken, given = step
+                for length in taken:
+                    own.setdefault(length, []).append(givers.take(giver, length))
+                if given:
+                    givers.put(giver, given, own[given].pop())
+                    if not own[given]:
+                        del own[given]
+                fill[receiver] += gain
+                fill[order[giver]] -= gain
+                steps[kind] += 1
                 improved = True
+            bins[receiver] = [p for positions in own.values() for p in positions]
     return [members for members in bins if members]
 
 
-def _two_for_one(bins, fill, lengths, own, emptier, receiver, gap):
-    """Two pieces of an emptier bin that are worth more than one piece of the receiver, by at most ``gap``."""
-    own_lengths = sorted(own)
-    best, found = 0, None
-    for giver in reversed(emptier):
-        if len(bins[giver]) < 2 or fill[giver] > fill[receiver]:
-            continue
-        members = bins[giver][:DONORS]
-        for i, first in enumerate(members):
-            for second in members[i + 1 :]:
-                both = lengths[first] + lengths[second]
-                at = bisect.bisect_left(own_lengths, both - gap)
-                if at < len(own_lengths) and own_lengths[at] < both and both - own_lengths[at] > best:
-                    if fill[receiver] + both - own_lengths[at] > fill[giver]:
-                        best, found = both - own_lengths[at], (giver, first, second, own_lengths[at])
-    return found
+def search_again(
+    bins: list[list[int]], lengths: list[int], capacity: int, patience: int = PATIENCE, steps: Counter | None = None
+) -> list[list[int]]:
+    """Local search, begun anew from where it ended until ``patience`` beginnings in a row bring nothing.
+
+    Bins that are not full, with three times as many others (at random, with a fixed seed), are poured out and
+    packed best fit, longest first; the search goes on from there. It counts if there are then fewer bins, or as
+    many with greater squares.
+    """
+    draw = random.Random(len(lengths))
+    needed = -(-sum(lengths) // capacity)
+    bins = local_search(bins, lengths, capacity, steps)
+    failed = 0
+
+    def worth(some):
+        return -len(some), sum(sum(lengths[p] for p in members) ** 2 for members in some)
+
+    while len(bins) > needed and failed < patience:
+        draw.shuffle(bins)
+        full = [sum(lengths[p] for p in members) == capacity for members in bins]
+        bins = [b for b, f in zip(bins, full) if not f] + [b for b, f in zip(bins, full) if f]
+        some = 4 * max(4, len(full) - sum(full))
+        poured, rest = bins[:some], bins[some:]
+        positions = sorted((p for members in poured for p in members), key=lambda p: (-lengths[p], p))
+        again = best_fit([lengths[p] for p in positions], capacity)
+        found = local_search([[positions[i] for i in members] for members in again], lengths, capacity, steps)
+        failed = 0 if worth(found) > worth(poured) else failed + 1
+        bins = rest + (found if not failed else poured)
+    return bins
 
 
 def _pack_shard(capacity: int, level: int, last: bool):
     def run(key: tuple, pieces: pa.Table) -> pa.Table:
         shard = key[0].as_py()
-        pieces = pieces.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        pieces = pieces.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
         lengths = pieces.column("length").to_pylist()
-        bins = local_search(best_fit(lengths, capacity), lengths, capacity)
+        bins = search_again(best_fit(lengths, capacity), lengths, capacity)
         fill = [sum(lengths[p] for p in members) for members in bins]
         loose: set[int] = set()
         if not last:

@@ -109,6 +109,49 @@ def test_local_search_keeps_pieces_and_never_adds_bins():
     assert len(packing.local_search([[0, 4], [1, 5], [2], [3]], lengths, 100)) == 3
 
 
+def test_search_empties_bins_of_hard_lengths():
+    for low, high in ((500, 900), (300, 1100), (1, 2048), (1, 60)):
+        draw = random.Random(low)
+        lengths = [draw.randint(low, high) for _ in range(2000)]
+        first = packing.best_fit(lengths, 2048)
+        steps = Counter()
+        bins = packing.search_again(first, lengths, 2048, steps=steps)
+        assert sorted(sum(bins, [])) == list(range(len(lengths)))
+        assert max(sum(lengths[p] for p in b) for b in bins) <= 2048
+        assert len(bins) <= len(packing.best_fit(sorted(lengths, reverse=True), 2048))
+        if low > 1:
+            assert len(bins) < len(first) and min(steps[k] for k in ("move", "one for one", "two for one")) > 0
+    # Nothing fits the room of the first bin and no exchange of one for one adds to it; then the last one runs empty.
+    steps = Counter()
+    assert len(packing.local_search([[0, 1], [2, 3], [4]], [5, 3, 3, 3, 3], 10, steps)) == 2
+    assert steps == {"two for one": 1, "move": 1}
+
+
+def test_search_lists_all_pairs_of_a_bin():
+    draw = random.Random(3)
+    givers, held = packing._Givers(), []
+    for position in range(400):
+        if held and draw.random() < 0.4:
+            length, rank = held.pop(draw.randrange(len(held)))
+            givers.take(rank, length)
+        else:
+            length, rank = draw.randint(1, 30), draw.randint(0, 5)
+            held.append((length, rank))
+            givers.put(rank, length, position)
+        singles = {length for length, _ in held}
+        pairs = {a + b for i, (a, r) in enumerate(held) for b, q in held[i + 1 :] if r == q}
+        assert singles == {n for n in range(61) if givers.singles.mask >> n & 1}
+        assert pairs == {n for n in range(61) if givers.pairs.mask >> n & 1}
+
+
+def test_search_packs_documents(docs):
+    counted = Counter()
+    lengths = [r.length for r in packing.token_pieces(docs, PATH, 2048, "doc_id", "text").orderBy("doc_id", "piece").collect()]
+    bins = packing.search_again(packing.best_fit(lengths, 2048), lengths, 2048, steps=counted)
+    assert len(bins) == math.ceil(sum(lengths) / 2048)
+    assert sum(counted.values()) > 0 or len(packing.best_fit(lengths, 2048)) == len(bins)
+
+
 def test_mixing(docs, rows, nothing):
     size = mixing.word_count(F.coalesce("text", F.lit("")))
     out = mixing.mix_sources(docs, size).collect()
