@@ -3,14 +3,17 @@
 Lines that begin with ``>`` are quotes, one level per mark. What stands together on a level is a passage;
 passages are normalised (marks off, white space to one blank, lower case) and hashed, and so are their lines
 and sentences and the paragraphs, lines and sentences that a message wrote itself. Such a unit belongs to
-the message that wrote it first: in the same conversation before the quoting message, or else anywhere
-before it by (conversation, turn). A passage that nobody wrote as one unit belongs to the message that wrote
-at least half of it in lines or in sentences, the most of all. Parts of a line or sentence are not found. A message
-replies to the latest message that it quotes on level 1, and threads follow these replies up to a message
-that replies to none.
-
-First writers are found by minima that are taken before the shuffle, one row per unit, and joined to
-the quotes by hash and text, so a unit in very many messages makes no pairs among them.
+the message that wrote it first: in the same conversation before the quoting message, or else in another one
+before it by (conversation, turn), as ids of conversations are taken to follow the time. What stands in another
+conversation is only taken for the origin of long units (``FAR_WORDS`` words), or of shorter ones
+(``RARE_WORDS``) that one conversation alone holds: everybody writes "thanks!". A passage that nobody wrote as one
+unit belongs to the message that wrote at least half of it in lines or in sentences, the most of all. Parts of a
+line or sentence are not found. A message replies to the latest message that it quotes on level 1, and threads
+follow these replies up to a message that replies to none.
+
+Units are joined by a hash of 128 bits, so no text of a unit is shuffled, and only those that some message quotes
+go on (a semi join). First writers are found by minima that are taken before the shuffle, so a unit in very many
+messages makes no pairs among them.
 """
 
 from __future__ import annotations
@@ -25,6 +28,13 @@ MARKS = r"^((?:[ \t]*>)+)[ \t]?"
 ATTRIBUTION = r"^[ \t]*(On|Am|Le|El) .*(wrote|schrieb|écrit|escribió)[^:\n]*:[ \t]*$"
 SENTENCES = r"(?<=[.!?]) "
 WHOLE, LINE, SENTENCE = 0, 1, 2
+#: Words of a unit that links to another conversation, and of one that does if no third conversation holds it.
+FAR_WORDS = 5
+RARE_WORDS = 3
+
+
+def unit_mark(unit: Column) -> Column:
+    return F.unhex(F.md5(unit.cast("binary")))
 
 
 def normal_passage(text: Column) -> Column:
@@ -86,7 +96,13 @@ def _quoted_units() -> Column:
 
 
 def link_messages(
-    messages: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+    messages: DataFrame,
+    conversation: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    far_words: int = FAR_WORDS,
+    rare_words: int = RARE_WORDS,
 ) -> DataFrame:
     """One row per message: ``conv_id, turn, role, text`` (without quotes), ``quotes, linked, reply_conv,
     reply_turn, thread_conv, thread_turn, reply_depth``.
@@ -108,29 +124,37 @@ def link_messages(
     passage = ["conv_id", "turn", "level", "passage"]
     parts = (
         quotes.select(*passage, F.explode(_quoted_units()).alias("part"))
-        .select(*passage, "part.*", F.xxhash64("part.unit").alias("mark"))
-        .where("unit <> ''")
+        .where("part.unit <> ''")
+        .select(
+            *passage,
+            "part.kind",
+            F.length("part.unit").alias("size"),
+            F.size(F.split("part.unit", " ")).alias("words"),
+            unit_mark(F.col("part.unit")).alias("mark"),
+        )
     )
-    wanted = parts.select("mark", "unit").distinct()
     written = (
         placed.select("conv_id", "turn", unquoted(F.col("body")).alias("own"))
         .select("conv_id", "turn", F.explode(_own_units(F.col("own"))).alias("unit"))
         .where("unit <> ''")
-        .groupBy(F.xxhash64("unit").alias("mark"), "unit", "conv_id")
-        .agg(F.min("turn").alias("turn"))
+        .select("conv_id", "turn", unit_mark(F.col("unit")).alias("mark"))
+        .join(parts.select("mark").distinct(), "mark", "left_semi")
     )
-    origins = materialise(written.join(wanted, ["mark", "unit"], "left_semi"), "chat-origins")
-    first = origins.groupBy("mark", "unit").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    own = origins.select("mark", "unit", "conv_id", F.col("turn").alias("own_turn"))
+    origins = materialise(written.groupBy("mark", "conv_id").agg(F.min("turn").alias("turn")), "chat-origins")
+    first = origins.groupBy("mark").agg(
+        F.min(F.struct("conv_id", "turn")).alias("first"), F.count(F.lit(1)).alias("conversations")
+    )
+    own = origins.select("mark", "conv_id", F.col("turn").alias("own_turn"))
+    tells = (F.col("words") >= far_words) | ((F.col("words") >= rare_words) & (F.col("conversations") == 1))
     placed_parts = (
-        parts.join(own, ["mark", "unit", "conv_id"], "left")
-        .join(first, ["mark", "unit"], "left")
+        parts.join(own, ["mark", "conv_id"], "left")
+        .join(first, "mark", "left")
         .select(
             *passage,
             "kind",
-            F.length("unit").alias("size"),
+            "size",
             F.when(F.col("own_turn") < F.col("turn"), F.struct("conv_id", F.col("own_turn").alias("turn")))
-            .when(F.col("first") < F.struct("conv_id", "turn"), F.col("first"))
+            .when((F.col("first.conv_id") < F.col("conv_id")) & tells, F.col("first"))
             .alias("origin"),
         )
     )
@@ -190,8 +214,39 @@ def _threads(parents: DataFrame) -> DataFrame:
         )
 
 
+def quoting_replies(messages: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text``: each message as a mail that quotes what it answers.
+
+    By a hash of its place a message quotes all of the message before it (with the first line of the one before
+    that, one level deeper), its first line, its last sentence, or nothing. Messages meet by (conversation, turn),
+    so a long conversation is no task of its own. Null and empty texts are not quoted, nor is a null place; of
+    repeated messages one is.
+    """
+    messages = messages.select("conv_id", "turn", "role", "text")
+    said = messages.where("conv_id IS NOT NULL AND turn IS NOT NULL AND text <> ''").groupBy("conv_id", "turn")
+    before = said.agg(F.min("text").alias("answered"))
+    earlier = before.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("answered").alias("root"))
+    before = before.select("conv_id", (F.col("turn") + 1).alias("turn"), "answered")
+    choice = F.pmod(F.crc32(F.concat_ws(":", "conv_id", "turn").cast("binary")), F.lit(4))
+
+    def marked(mark, text):
+        return F.concat(F.lit(mark), F.replace(text, F.lit("\n"), F.lit("\n" + mark)), F.lit("\n"))
+
+    announced = F.concat(F.lit("On Monday "), F.coalesce("role", F.lit("somebody")), F.lit(" wrote:\n"))
+    nested = F.coalesce(marked("> > ", F.substring_index("root", "\n", 1)), F.lit(""))
+    last_sentence = F.element_at(F.split(normal_passage(F.col("answered")), SENTENCES), -1)
+    quote = (
+        F.when(choice == 0, F.concat(announced, nested, marked("> ", F.col("answered"))))
+        .when(choice == 1, marked("> ", F.substring_index("answered", "\n", 1)))
+        .when(choice == 2, marked(">", last_sentence))
+    )
+    joined = messages.join(before, ["conv_id", "turn"], "left").join(earlier, ["conv_id", "turn"], "left")
+    return joined.select("conv_id", "turn", "role", F.coalesce(F.concat(quote, F.coalesce("text", F.lit(""))), "text").alias("text"))
+
+
 def op7_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_messages(table(spark, sf_dir, "conversations"))
+    """The messages of the table hold no quotes: they get them first, and linking takes them off again."""
+    return link_messages(quoting_replies(table(spark, sf_dir, "conversations")))
 
 
 BOOK = {"op7_quotation_linking": (op7_quotation_linking, None)}
