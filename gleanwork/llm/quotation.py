@@ -42,7 +42,9 @@ def normal_passage(text: Column) -> Column:
 
 
 def _quoted_passages(quoting: DataFrame) -> DataFrame:
-    """``conv_id, turn, level, passage, lines``: runs of quoted lines on one level; blank lines part passages."""
+    """``conv_id, turn, level, quote, passage, lines``: runs of quoted lines on one level; blank lines part
+    passages. ``quote`` is the mark of the passage and stands for it in later joins.
+    """
     # The number is given before the split: beside it each line would get one.
     numbered_messages = quoting.select("conv_id", "turn", "body", F.monotonically_increasing_id().alias("message"))
     lines = numbered_messages.select(
@@ -68,8 +70,9 @@ def _quoted_passages(quoting: DataFrame) -> DataFrame:
         .agg(F.transform(ordered, lambda x: normal_passage(x["body"])).alias("lines"))
         .select("conv_id", "turn", "level", normal_passage(F.array_join("lines", " ")).alias("passage"), "lines")
         .where("passage <> ''")
-        .groupBy("conv_id", "turn", "level", "passage")
-        .agg(F.max("lines").alias("lines"))
+        .groupBy("conv_id", "turn", "level", unit_mark(F.col("passage")).alias("quote"))
+        .agg(F.max(F.struct("passage", "lines")).alias("held"))
+        .select("conv_id", "turn", "level", "quote", "held.*")
     )
 
 
@@ -121,7 +124,7 @@ def link_messages(
     placed = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL")
     quoting = placed.where(F.col("body").rlike(r"(?m)^[ \t]*>"))
     quotes = materialise(_quoted_passages(quoting), "chat-quotes")
-    passage = ["conv_id", "turn", "level", "passage"]
+    passage = ["conv_id", "turn", "level", "quote"]
     parts = (
         quotes.select(*passage, F.explode(_quoted_units()).alias("part"))
         .where("part.unit <> ''")
@@ -246,7 +249,7 @@ def quoting_replies(messages: DataFrame) -> DataFrame:
 
 def op7_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages of the table hold no quotes: they get them first, and linking takes them off again."""
-    return link_messages(quoting_replies(table(spark, sf_dir, "conversations")))
+    return link_messages(materialise(quoting_replies(table(spark, sf_dir, "conversations")), "chat-messages"))
 
 
 BOOK = {"op7_quotation_linking": (op7_quotation_linking, None)}
