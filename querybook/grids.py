@@ -26,7 +26,7 @@ from gleanwork.sources import (
     workbook_rows_by_sheet,
 )
 from gleanwork.workspace import fresh_path
-from querybook.tables import RUN_DATE, table
+from querybook.tables import RUN_DATE, spread, table
 
 PLACE = ("path", "sheet_idx", "row_idx")
 SHEETS = ("Tab One-A", "2020 (in Progress)")
@@ -127,9 +127,10 @@ def workbook_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sheets of very different widths whose titles share a folder name, in one job; the lines found there."""
-    rows = table(spark, sf_dir, "customer").select(
+def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheets of very different widths whose titles share a folder name."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return spread(customers).select(
         F.concat(F.lit("/books/"), (F.col("c_custkey") % 10).cast("string")).alias("path"),
         F.when(F.col("c_custkey") % 2 == 0, F.lit("My Sheet")).otherwise(F.lit("my_sheet")).alias("sheet"),
         F.lit(0).alias("sheet_idx"),
@@ -138,8 +139,12 @@ def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.array_repeat(F.concat(F.lit('a"b\t'), "c_mktsegment"), 2000))
         .alias("cells"),
     )
+
+
+def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheets of very different widths whose titles share a folder name, in one job; the lines found there."""
     target = fresh_path(spark, "lines")
-    named = rows.withColumn("sheet_slug", sheet_slug("sheet"))
+    named = wide_rows(spark, sf_dir).withColumn("sheet_slug", sheet_slug("sheet"))
     write_lines_by_sheet(scrub_cells(named), target, run_date=RUN_DATE)
     return spark.read.text(target).select("sheet_slug", F.col("value").alias("line"))
 
