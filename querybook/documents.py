@@ -9,7 +9,7 @@ from gleanwork.plans import document_text, documents_view, images_text
 from gleanwork.sinks import preview
 from gleanwork.sources import decode_documents, read_binary_files, read_images
 from gleanwork.workspace import fresh_path
-from querybook.tables import table
+from querybook.tables import spread, table
 from querybook.text import LINES_SQL, PADDED_SQL, _padded
 
 ENDINGS = (".TXT", ".html", ".pdf", ".csv")
@@ -89,14 +89,18 @@ def _bitmap(width: Column, height: Column) -> Column:
 
 
 def image_folder(spark: SparkSession, sf_dir: str) -> str:
-    """One bitmap file per supplier. The text sink writes bytes as they are, plus a line feed."""
+    """One bitmap file per supplier. The text sink writes bytes as they are, plus a line feed.
+
+    The tasks move their files to the folder themselves: the driver would move them one after the other.
+    """
     folder = fresh_path(spark, "images")
     width = F.col("s_suppkey") % 13 + 1
     height = F.col("s_suppkey") % 7 + 1
     (
-        table(spark, sf_dir, "supplier")
+        spread(table(spark, sf_dir, "supplier").select("s_suppkey"))
         .select(_bitmap(width, height).cast("string").alias("value"))
         .write.option("maxRecordsPerFile", 1)
+        .option("mapreduce.fileoutputcommitter.algorithm.version", 2)
         .text(folder)
     )
     return folder

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from gleanwork import sinks as K
 from gleanwork import sources as S
-from querybook import grids
+from querybook import documents, grids, responses
+from tests.conftest import plan_of
 
 DAY = "2024-02-29"
 
@@ -64,3 +65,9 @@ def test_lines_keep_odd_cells(spark, tmp_path):
 
 def test_wide_rows_are_made_in_many_tasks(spark, tables):
     assert tasks_with_rows(grids.wide_rows(spark, tables)) == 4
+
+
+def test_images_are_written_by_many_tasks(spark, tables):
+    files = [path.rpartition("/")[2] for path in spark.read.text(documents.image_folder(spark, tables)).inputFiles()]
+    assert len(files) == 60
+    assert len({name.split("-")[1] for name in files}) == 4
