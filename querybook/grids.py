@@ -25,7 +25,7 @@ from gleanwork.sources import (
     workbook_rows,
     workbook_rows_by_sheet,
 )
-from gleanwork.workspace import fresh_path
+from gleanwork.workspace import fresh_path, materialise
 from querybook.tables import RUN_DATE, spread, table
 
 PLACE = ("path", "sheet_idx", "row_idx")
@@ -90,7 +90,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return customers.mapInArrow(_pack, "path string, content binary")
+    # Staged, so that whoever reads them twice does not pack them twice.
+    return materialise(spread(customers).mapInArrow(_pack, "path string, content binary"), "packed")
 
 
 def workbook_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +153,7 @@ def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def whole_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third CSV export is broken in its second row: none of its rows, one reject each."""
     second = F.when(F.col("c_custkey") % 3 == 0, F.lit('"x"y,z\n')).otherwise(F.lit('"x",z\n'))
-    files = table(spark, sf_dir, "customer").select(
+    files = spread(table(spark, sf_dir, "customer").select("c_custkey")).select(
         F.concat(F.lit("/exports/"), F.col("c_custkey").cast("string"), F.lit(".csv")).alias("path"),
         F.concat(F.lit("one,two\n"), second).cast("binary").alias("content"),
     )

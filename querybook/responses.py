@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleanwork.operators import html_csv, html_rows, join_chunks, response_rejects, route_responses
 from gleanwork.plans import landed_objects, run_landing
 from gleanwork.workspace import fresh_path
-from querybook.tables import RUN_DATE, table
+from querybook.tables import RUN_DATE, spread, table
 
 # Content type and disposition by page number; the file name holds the number.
 KINDS = (
@@ -148,7 +148,8 @@ def _customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<tr><td>segment "x"</td><td>o<table><tr><td>'), F.col("c_mktsegment"),
         F.lit("</td></tr></table></td><td>  n&deg;&nbsp; "), number, F.lit(" </td></tr></table>"),
     )
-    return table(spark, sf_dir, "customer").select("c_custkey", page.alias("html"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return spread(customers).select("c_custkey", page.alias("html"))
 
 
 def csv_reference_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:

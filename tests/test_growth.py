@@ -71,3 +71,14 @@ def test_images_are_written_by_many_tasks(spark, tables):
     files = [path.rpartition("/")[2] for path in spark.read.text(documents.image_folder(spark, tables)).inputFiles()]
     assert len(files) == 60
     assert len({name.split("-")[1] for name in files}) == 4
+
+
+def test_workbooks_are_packed_once_in_many_tasks(spark, tables):
+    books = grids.workbooks(spark, tables)
+    assert "MapInArrow" not in plan_of(books)
+    assert len({path.rpartition("/")[2].split("-")[1] for path in books.inputFiles()}) == 4
+    assert books.count() == 8  # of 500 customers each
+
+
+def test_customer_pages_are_read_by_many_tasks(spark, tables):
+    assert tasks_with_rows(responses._customer_pages(spark, tables)) == 4
