@@ -165,16 +165,24 @@ def whole_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @contextmanager
 def small_splits(spark: SparkSession, size: str) -> Iterator[None]:
-    """Files read within are cut into splits of ``size``."""
-    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    before = {name: spark.conf.get(name) for name in names}
+    """Files read within are cut into splits of ``size``, which are dealt to a few tasks for each one of a shuffle."""
+    tasks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    settings = {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.files.openCostInBytes": size,
+        "spark.sql.files.maxPartitionNum": str(tasks),
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
     try:
-        for name in names:
-            spark.conf.set(name, size)
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         yield
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def split_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +190,7 @@ def split_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     the borders, quotes in plain cells, carriage returns as ends of lines, one sheet broken in its last row."""
     folder = fresh_path(spark, "exports")
     customers = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", F.col("c_custkey").cast("string").alias("key")
+        "c_custkey", "c_name", F.col("c_custkey").cast("string").alias("key"), (F.col("c_custkey") % 10).alias("sheet")
     )
     kinds = (
         F.when(F.col("c_custkey") % 4 == 0, F.concat("key", F.lit(',5" pipe')))
@@ -191,7 +199,8 @@ def split_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat("key", F.lit(',"'), F.repeat(F.lit("long\n"), 1000), F.lit('"')))
     )
     last = F.when(F.col("c_custkey") % 10 == 9, F.concat(kinds, F.lit('\n"x"y'))).otherwise(kinds)
-    lines = customers.select((F.col("c_custkey") % 10).alias("sheet"), last.alias("line")).repartition("sheet")
+    # A sheet is one file, so its customers are brought together; their long lines are made after that.
+    lines = customers.repartition("sheet").select("sheet", last.alias("line"))
     lines.write.partitionBy("sheet").text(folder)
     with small_splits(spark, "64k"):
         grids = split_csv_rows(spark, folder, "*.txt", larger_than=0)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanwork import sinks as K
 from gleanwork import sources as S
+from gleanwork.sources import split_csv
 from querybook import documents, grids, responses
 from tests.conftest import plan_of
 
@@ -82,3 +83,23 @@ def test_workbooks_are_packed_once_in_many_tasks(spark, tables):
 
 def test_customer_pages_are_read_by_many_tasks(spark, tables):
     assert tasks_with_rows(responses._customer_pages(spark, tables)) == 4
+
+
+def test_small_splits_are_dealt_to_few_tasks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n" * 1_000_000)
+    with grids.small_splits(spark, "64k"):
+        lines = spark.read.text(str(tmp_path))
+        splits = lines.select("_metadata.file_block_start").distinct().count()
+        assert splits > 60 and lines.rdd.getNumPartitions() <= 16
+
+
+def test_splits_are_read_as_chunks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(split_csv, "CHUNK_BYTES", 100)
+    text = 'a,b\n"c\nd",e\r\n' * 50 + '"' + "long\n" * 200 + '",f\nx\ry,z\n'
+    (tmp_path / "a.csv").write_text(text, newline="")
+    lines = split_csv._lines(spark, str(tmp_path), "*.csv", 0)
+    chunks = lines.mapInArrow(split_csv._read_chunks, split_csv.CHUNK_TYPE).orderBy("part").collect()
+    assert len(chunks) >= 2
+    assert "".join(row["body"].decode() + "\n" for row in chunks) == text
+    whole = S.csv_grid_rows(S.read_binary_files(spark, str(tmp_path), "*.csv")).orderBy("row_idx").collect()
+    assert S.split_csv_rows(spark, str(tmp_path), larger_than=0).orderBy("row_idx").collect() == whole
