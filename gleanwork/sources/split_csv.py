@@ -119,12 +119,14 @@ def _plain_path(path: str) -> Column:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes]]:
-    """Path, block and text of the lines of a batch that lie in one split, without a look at each line."""
+    """Path, block and text of lines that lie in one split, about a chunk of them, without a look at each line."""
     for batch in batches:
         paths, blocks, values = (batch.column(name) for name in ("path", "block", "value"))
         ends = {end for column in (paths, blocks) for end in pc.run_end_encode(column).run_ends.to_pylist()}
+        size = pc.sum(pc.binary_length(values)).as_py() or 1
+        ends.update(range(0, len(values), max(1, len(values) * CHUNK_BYTES // size)))
         begin = 0
-        for end in sorted(ends):
+        for end in sorted(ends - {0}):
             lines = pa.ListArray.from_arrays(pa.array([0, end - begin], pa.int32()), values.slice(begin, end - begin))
             yield paths[begin].as_py(), blocks[begin].as_py(), pc.binary_join(lines, b"")[0].as_py()
             begin = end
