@@ -38,10 +38,12 @@ WORD_BYTES = 5
 LEAST_HEAVY = 4096
 MOST_HEAVY = 1 << 20
 SAMPLE = 16
-#: Sizes of work, not limits: characters of a shard, bytes of text and segments held at once, segments of an automaton.
+#: Sizes of work, not limits: characters of a shard, bytes of text and segments held at once, segments packed, sent or
+#: read at once, segments of an automaton.
 SHARD_CHARS = 4 << 20
 CHUNK_BYTES = 2 << 20
 HELD_SEGMENTS = 200_000
+BLOCK_SEGMENTS = 16_384
 AUTOMATON_SEGMENTS = 4000
 #: Where a packed segment has the numbers of words before and after its anchor, and its words.
 LEFT, RIGHT, HEAD = WORD_BYTES, WORD_BYTES + 1, WORD_BYTES + 2
@@ -159,22 +161,28 @@ class Segments:
 
     def packed(self) -> tuple[np.ndarray, np.ndarray]:
         """Anchor, number of words before it, number after it, and those words: a padded row each, and its length."""
-        slots, many = np.arange(2 * self.around), (self.left + self.right)[:, None]
-        place = self.begin[:, None] + slots + ANCHOR * (slots >= self.left[:, None])
-        place = np.where(slots < many, place, len(self.words))  # a word of zeros
+        slots, many = np.arange(2 * self.around), self.left + self.right
         parts = np.zeros((len(self.words) + 1, WORD_BYTES), np.uint8)
         parts[:-1] = self.words.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
         rows = np.zeros((len(self.begin), _row_bytes(self.around)), np.uint8)
         rows[:, :WORD_BYTES] = self.anchors.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
         rows[:, LEFT], rows[:, RIGHT] = self.left, self.right
-        rows[:, HEAD : HEAD + len(slots) * WORD_BYTES] = parts[place].reshape(len(rows), -1)
-        return rows, HEAD + WORD_BYTES * many[:, 0]
+        for here in _blocks(len(rows)):
+            place = self.begin[here, None] + slots + ANCHOR * (slots >= self.left[here, None])
+            place = np.where(slots < many[here, None], place, len(self.words))  # a word of zeros
+            rows[here, HEAD : HEAD + len(slots) * WORD_BYTES] = parts[place].reshape(len(place), -1)
+        return rows, HEAD + WORD_BYTES * many
 
 
 def _row_bytes(around: int) -> int:
     return -(-(HEAD + 2 * around * WORD_BYTES) // 8) * 8
 
 
+def _blocks(rows: int) -> list[slice]:
+    """Some rows at a time: places of their single bytes take eight times the rows."""
+    return [slice(at, at + BLOCK_SEGMENTS) for at in range(0, rows, BLOCK_SEGMENTS)]
+
+
 def marks(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64 and 32 further bits that tell padded rows apart."""
     total, other = np.zeros(len(rows), np.uint64), np.zeros(len(rows), np.uint64)
@@ -236,28 +244,31 @@ def _with_ids(rows: np.ndarray, lengths: np.ndarray, ids: np.ndarray, many: np.n
     return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def _combined(parts: list[tuple]) -> tuple:
-    """Rows with equal marks once: with the least id, and whether another id has them."""
-    mark, check, rows, lengths, key, least, many = (np.concatenate(column) for column in zip(*parts))
+def _combined(mark: np.ndarray, check: np.ndarray, ids: np.ndarray, many: np.ndarray) -> tuple:
+    """Rows with equal marks once: where the row is, the least id, and whether another id has it."""
     order = np.argsort(mark)
-    mark, check, least = mark[order], check[order], least[order]
+    mark, check, least = mark[order], check[order], ids[order]
     fresh = np.ones(len(order), bool)
     fresh[1:] = (mark[1:] != mark[:-1]) | (check[1:] != check[:-1])
     first = np.flatnonzero(fresh)
     lowest, highest = np.minimum.reduceat(least, first), np.maximum.reduceat(least, first)
     more = np.logical_or.reduceat(many[order], first) | (lowest != highest).astype(bool)
-    chosen = order[first]
-    return mark[first], check[first], rows[chosen], lengths[chosen], key[chosen], lowest, more
+    return order[first], lowest, more
 
 
 def _send_segments(width: int, shards: int, heavy):
     """The segments of a task with their shards, least ids, and whether another id has them too."""
     schema = pa.schema([("shard", pa.int32()), ("segment", pa.binary())])
 
-    def batch_of(parts):
-        _, _, rows, lengths, key, least, many = _combined(parts)
-        shard = pa.array((key % np.uint64(shards)).astype(np.int32))
-        return pa.RecordBatch.from_arrays([shard, _with_ids(rows, lengths, least, many)], schema=schema)
+    def batches_of(parts):
+        mark, check, rows, lengths, key, ids, many = (np.concatenate(column) for column in zip(*parts))
+        parts.clear()
+        chosen, least, many = _combined(mark, check, ids, many)
+        for here in _blocks(len(chosen)):
+            at = chosen[here]
+            shard = pa.array((key[at] % np.uint64(shards)).astype(np.int32))
+            segment = _with_ids(rows[at], lengths[at], least[here], many[here])
+            yield pa.RecordBatch.from_arrays([shard, segment], schema=schema)
 
     def run(batches):
         parts, held = [], 0
@@ -268,14 +279,15 @@ def _send_segments(width: int, shards: int, heavy):
             rows, lengths = found.packed()
             mark, check = marks(rows)
             key = np.where(found.heavy, mark.view(np.uint64), found.anchors)
-            part = (mark, check, rows, lengths, key, ids[found.doc], np.zeros(len(mark), bool))
-            parts.append(_combined([part]))
-            held += len(parts[-1][0])
+            chosen, least, many = _combined(mark, check, ids[found.doc], np.zeros(len(mark), bool))
+            parts.append((*(column[chosen] for column in (mark, check, rows, lengths, key)), least, many))
+            held += len(chosen)
             if held >= HELD_SEGMENTS:
-                yield batch_of(parts)
-                parts, held = [], 0
+                del found, rows
+                yield from batches_of(parts)
+                held = 0
         if parts:
-            yield batch_of(parts)
+            yield from batches_of(parts)
 
     return run
 
@@ -316,6 +328,47 @@ def _sequences(rows: np.ndarray, around: int) -> list[list[int]]:
     return sequences
 
 
+def _through_automaton(rows: np.ndarray, owners: list, around: int) -> list[list]:
+    """The first owners of the windows of each segment, by one automaton of them all."""
+    sequences, automaton = _sequences(rows, around), SuffixAutomaton()
+    for sequence, owner in zip(sequences, owners):
+        automaton.add(sequence, owner)
+    automaton.finish()
+    return [automaton.stream(sequence, around + 1)[around:] for sequence in sequences]
+
+
+def _through_automata(rows: np.ndarray, ids: np.ndarray, around: int) -> list[list]:
+    """The same by windows, for more segments than an automaton should have: equal windows once, some at a time.
+
+    A window that one segment alone has is first there.
+    """
+    left, many = rows[:, LEFT].astype(np.int64), rows[:, LEFT].astype(np.int64) + rows[:, RIGHT] - around + 1
+    segment, ends = np.repeat(np.arange(len(rows)), many), np.cumsum(many)
+    skip = np.arange(len(segment)) - np.repeat(ends - many, many)
+    windows = np.zeros((len(segment), rows.shape[1]), np.uint8)
+    windows[:, :WORD_BYTES] = rows[segment, :WORD_BYTES]
+    windows[:, LEFT] = left[segment] - skip
+    windows[:, RIGHT] = around - windows[:, LEFT]
+    for here in _blocks(len(segment)):
+        place = HEAD + WORD_BYTES * skip[here, None] + np.arange(WORD_BYTES * around)
+        windows[here, HEAD : HEAD + WORD_BYTES * around] = rows[segment[here, None], place]
+    # Numbers of the windows in the order of their bytes.
+    parts = windows.view("<u8").T
+    order = np.lexsort(parts)
+    fresh = np.arange(len(order)) == 0
+    for part in parts:
+        fresh[1:] |= part[order[1:]] != part[order[:-1]]
+    first, number = np.flatnonzero(fresh), np.zeros(len(order), np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    chosen, least = order[first], np.minimum.reduceat(ids[segment[order]], first)
+    firsts, shared = least.tolist(), np.flatnonzero(np.diff(np.append(first, len(order))) > 1)
+    for at in range(0, len(shared), AUTOMATON_SEGMENTS):
+        here = shared[at : at + AUTOMATON_SEGMENTS]
+        for i, (owner,) in zip(here.tolist(), _through_automaton(windows[chosen[here]], least[here].tolist(), around)):
+            firsts[i] = owner
+    return [[firsts[i] for i in part.tolist()] for part in np.split(number, ends[:-1])]
+
+
 def _read_shard(width: int, kind: pa.DataType):
     """The first owners of the windows of each segment that some document has to lose words for."""
     around = width - ANCHOR
@@ -334,8 +387,9 @@ def _read_shard(width: int, kind: pa.DataType):
         shared[anchor[many]] = True
         chosen = np.flatnonzero(shared[anchor])
         rows = np.zeros((len(chosen), _row_bytes(around)), np.uint8)
-        inside = np.arange(rows.shape[1]) < lengths[chosen][:, None]
-        rows[inside] = data[(starts[chosen][:, None] + np.arange(rows.shape[1]))[inside]]
+        for here in _blocks(len(chosen)):
+            inside = np.arange(rows.shape[1]) < lengths[chosen[here], None]
+            rows[here][inside] = data[(starts[chosen[here], None] + np.arange(rows.shape[1]))[inside]]
         rows[:, RIGHT] &= 127
         mark, check = marks(rows)
         begins, ends = (starts + lengths)[chosen], offsets[1:][chosen]
@@ -345,8 +399,9 @@ def _read_shard(width: int, kind: pa.DataType):
             ids = ((pack(data, begins, sizes, 1)[0] >> shift) >> shift).view(np.int64)
         else:
             ids = np.asarray([data[b:e].tobytes().decode() for b, e in zip(begins, ends)], object)
-        zeros = np.zeros(len(chosen), np.int64)
-        mark, check, rows, _, order, ids, many = _combined([(mark, check, rows, zeros, anchor[chosen], ids, many[chosen])])
+        order = anchor[chosen]
+        chosen, ids, many = _combined(mark, check, ids, many[chosen])
+        mark, check, rows, order = mark[chosen], check[chosen], rows[chosen], order[chosen]
         by_anchor = np.argsort(order, kind="stable")
         edges = np.append(np.flatnonzero(np.diff(order[by_anchor], prepend=-1)), len(order))
         kept, found, at = [], [], 0
@@ -354,13 +409,12 @@ def _read_shard(width: int, kind: pa.DataType):
             # Segments with one anchor stay together.
             end = int(edges[np.searchsorted(edges, min(len(order), at + AUTOMATON_SEGMENTS))])
             here = by_anchor[at:end]
-            sequences, owners = _sequences(rows[here], around), ids[here].tolist()
-            automaton = SuffixAutomaton()
-            for sequence, owner in zip(sequences, owners):
-                automaton.add(sequence, owner)
-            automaton.finish()
-            for number, sequence, owner, more in zip(here.tolist(), sequences, owners, many[here].tolist()):
-                firsts = automaton.stream(sequence, around + 1)[around:]
+            owners = ids[here].tolist()
+            if end - at > 2 * AUTOMATON_SEGMENTS:  # an anchor that very many segments have
+                read = _through_automata(rows[here], ids[here], around)
+            else:
+                read = _through_automaton(rows[here], owners, around)
+            for number, firsts, owner, more in zip(here.tolist(), read, owners, many[here].tolist()):
                 if more or min(firsts) < owner:
                     kept.append(number)
                     found.append(firsts)

@@ -2,8 +2,10 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -124,6 +126,73 @@ def test_empty_table(spark):
     assert repeats.drop_repeats(spark.createDataFrame([], COLUMNS)).count() == 0
 
 
+def peak_bytes(run):
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def batches_of(texts):
+    columns = [pa.array(range(len(texts)), pa.int64()), pa.array([0] * len(texts), pa.int32()), pa.array(texts)]
+    return [pa.RecordBatch.from_arrays(columns, names=["id", "mark", "text"])]
+
+
+class NoHeavy:
+    value = np.zeros(0, np.uint64)
+
+
+def test_memory_of_sent_segments():
+    draw = np.random.default_rng(2)
+    batches = batches_of([" ".join(map(str, draw.integers(10, 1000, 500).tolist())) for _ in range(2400)])
+    rows_of = lambda: [b.num_rows for b in repeats._send_segments(13, 4, NoHeavy)(iter(batches))]
+    sent, peak = peak_bytes(rows_of)
+    assert sum(sent) > repeats.HELD_SEGMENTS and max(sent) <= repeats.BLOCK_SEGMENTS
+    assert peak < 6 * repeats.HELD_SEGMENTS * repeats._row_bytes(8)
+
+
+def test_memory_of_a_shard_that_repeats_itself(monkeypatch):
+    monkeypatch.setattr(repeats, "AUTOMATON_SEGMENTS", 100)
+    draw = random.Random(4)
+    texts = [" ".join(str(draw.randint(10, 99)) for _ in range(300)) for _ in range(700)]
+    twice = batches_of(texts + [f"new {t} end" for t in texts])
+    monkeypatch.setattr(repeats, "HELD_SEGMENTS", 1000)
+    shard = pa.Table.from_batches(list(repeats._send_segments(13, 1, NoHeavy)(iter(twice))))
+    out, peak = peak_bytes(lambda: repeats._read_shard(13, pa.int64())(shard))
+    assert out.num_rows > 20_000
+    assert peak < 1000 * out.num_rows
+
+
+def test_an_anchor_of_many_segments_takes_small_automata(monkeypatch):
+    monkeypatch.setattr(repeats, "AUTOMATON_SEGMENTS", 50)
+    draw = random.Random(5)
+    around = lambda: " ".join(str(draw.randint(0, 2)) for _ in range(8))
+    texts = [f"{around()} one phrase that all have {around()}" for _ in range(2000)]
+    states, finish = [], repeats.SuffixAutomaton.finish
+    monkeypatch.setattr(
+        repeats.SuffixAutomaton, "finish", lambda self: (states.append(len(self.links)), finish(self))
+    )
+    shard = pa.Table.from_batches(list(repeats._send_segments(13, 1, NoHeavy)(iter(batches_of(texts)))))
+    out = repeats._read_shard(13, pa.int64())(shard)
+    assert max(states) <= 2 * 17 * 2 * 50
+    words = np.concatenate([split(t) for t in texts])
+    first = {}
+    for i, text in enumerate(texts):
+        for at in range(9):
+            first.setdefault(tuple(split(text)[at : at + 13]), i)
+    data, offsets = byte_words.text_bytes(pa.array(texts))
+    starts, lengths = byte_words.find_runs(byte_words.NO_SPACE, data, offsets)
+    hashes, ends = byte_words.hash_runs(data, starts, lengths), np.searchsorted(starts, offsets[1:])
+    found = repeats.Segments(hashes, ends, 13, NoHeavy.value)
+    marks = repeats.marks(found.packed()[0])[0].tolist()
+    firsts = dict(zip(out.column("mark").to_pylist(), out.column("firsts").to_pylist()))
+    assert len(firsts) > 1000
+    for mark, begin, doc, n in zip(marks, found.begin.tolist(), found.doc.tolist(), (found.left + found.right - 7).tolist()):
+        wanted = [first[tuple(words[begin + i : begin + i + 13].tolist())] for i in range(n)]
+        assert firsts.get(mark, [doc] * n) == wanted
+
+
 def test_segments_hold_every_window_once():
     draw = np.random.default_rng(1)
     words = draw.integers(0, 12, 500).astype(np.uint64) * repeats.GOLDEN
