@@ -2,12 +2,13 @@
 
 Tokens are words (A-Z in lower case) and one end mark per document; a document begins in the context of
 the end mark. Words are hashed to 64 bits on the bytes of a batch, pairs of words likewise. One pass over the
-training documents counts both, summed up per task, and sends them packed to parts by the range of their hash: the only
-shuffle. A part adds up its counts, puts them on a scale of powers of ``BASE`` and fills a filter of its own, of
+training documents counts both, summed up per task, and sends them packed to parts by the range of their hash.
+A part adds up its counts, puts them on a scale of powers of ``BASE`` and fills a filter of its own, of
 ``BITS`` bits a key: a word or pair of level q has the keys (it, 1) ... (it, q), and a reader probes
-1, 2, ... until a key is missing. The parts are sent to the workers as one filter, or, where they are larger than
-``MOST_BITS``, stay where they are: the distinct words and pairs of all documents are then dealt to their
-parts and probed there, and their levels joined back.
+1, 2, ... until a key is missing. The parts are sent to the workers as one filter, or, where they might be larger than
+``MOST_BITS``, stay where they are: texts are then read once and written as chunks of numbered words, the distinct words
+and pairs of a chunk go to their parts with its counts, are probed there by the filter that all chunks filled, and only
+their levels, in the order of their hashes, come back to the chunk.
 
 Score of a token w after h: ``a(h) * count(h, w) / count(h) + (1 - a(h)) * p(w)``. The count of a pair is the least of
 its level, so that pairs seen once count as 1; that of its context is exact for the most frequent words and
@@ -16,8 +17,9 @@ the middle count of the level over the sum of all, with the share of words seen
 unknown word. So probabilities over the known words and one unknown word add up to 1 at most, but for false
 hits of the filter.
 
-Bounds: at most ``MOST_BITS`` of the filter go through the driver and to the workers. Exact counts for the base
-score: the most frequent words, at most ``HEAD``, are sent to the workers; all others are joined by hash.
+Bounds: at most ``MOST_BITS`` of the filter go through the driver and to the workers; a document of n characters has at
+most n + 3 keys. Exact counts for the base score: the most frequent words, at most ``HEAD``, are sent to the workers and
+all others joined by hash; to a chunk they come back with the levels.
 """
 
 from __future__ import annotations
@@ -26,9 +28,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gleanwork.llm.byte_words import NO_SPACE, find_runs, hash_runs, text_blocks
 from gleanwork.llm.common import crc_mod, full_text, table
@@ -42,13 +46,15 @@ BITS = 10
 MOST_BITS = 1 << 30
 HEAD = 1 << 18
 TRUST = 0.9
-#: Sizes of work: neither drops anything. Characters of a part, parts of pairs for one of words, bytes of a block, pairs
-#: and words that a task holds.
+#: Sizes of work: neither drops anything. Characters of a part, parts of pairs for one of words, bytes of a block and of
+#: what is sent at once, pairs and words that a task holds, tokens scored at once.
 PART_CHARS = 16 << 20
 WORD_SHARE = 8
 BLOCK_BYTES = 2 << 20
+SENT_BYTES = 4 << 20
 LOCAL_PAIRS = 4_000_000
 LOCAL_WORDS = 1_000_000
+STEP = 1 << 18
 END = np.uint64(0x2545F4914F6CDD1D)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 LOWER = np.where((np.arange(256) >= 0x41) & (np.arange(256) <= 0x5A), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
@@ -163,30 +169,46 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
-PACKED = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+def _squeeze(values: np.ndarray) -> bytes:
+    """Unsigned numbers by planes of bytes, highest first, of which the higher ones are mostly zeros."""
+    width = values.dtype.itemsize
+    planes = values.astype(f">u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
-def _pack(keys: np.ndarray, counts: np.ndarray, parts: int, first_part: int):
-    """Sorted keys by part: their differences by planes of bytes, which are mostly zeros in the higher planes."""
+def _stretch(packed: bytes, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
+    values = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T)
+    return values.view(f">u{width}")[:, 0].astype(kind)
+
+
+PACKED = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _pack(keys: np.ndarray, counts: np.ndarray, parts: int, first_part: int, chunk: int = 0):
+    """Sorted keys by part, as their differences, with their counts."""
     edges = np.searchsorted(part_of(keys, parts), np.arange(parts + 1))
+    rows, held = [], 0
     for part in range(parts):
         own = keys[edges[part] : edges[part + 1]]
         if len(own):
-            steps = np.diff(own, prepend=np.uint64(0))
-            planes = steps.astype(">u8").view(np.uint8).reshape(-1, 8).T
-            n = counts[edges[part] : edges[part + 1]].astype("<u8").view(np.uint8).reshape(-1, 8).T
-            columns = [[first_part + part], [planes.tobytes()], [n.tobytes()]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PACKED)], schema=PACKED)
+            steps = _squeeze(np.diff(own, prepend=np.uint64(0)))
+            rows.append((first_part + part, chunk, steps, _squeeze(counts[edges[part] : edges[part + 1]].astype(np.uint64))))
+            held += len(steps) + len(rows[-1][-1])
+        if rows and (held >= SENT_BYTES or part == parts - 1):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), PACKED)], schema=PACKED)
+            rows, held = [], 0
+
+
+def _unpacked(rows: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Keys in order and their counts, row by row."""
+    keys = [np.cumsum(_stretch(steps, np.uint64), dtype=np.uint64) for steps in rows.column("keys").to_pylist()]
+    return keys, [_stretch(n, np.uint64).astype(np.int64) for n in rows.column("counts").to_pylist()]
 
 
 def _unpack(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = [], []
-    for keys_of, counts_of in zip(rows.column("keys").to_pylist(), rows.column("counts").to_pylist()):
-        planes = np.frombuffer(keys_of, np.uint8).reshape(8, -1).T
-        keys.append(np.cumsum(np.ascontiguousarray(planes).view(">u8")[:, 0].astype(np.uint64), dtype=np.uint64))
-        planes = np.frombuffer(counts_of, np.uint8).reshape(8, -1).T
-        counts.append(np.ascontiguousarray(planes).view("<u8")[:, 0].astype(np.int64))
-    return _summed(keys, counts)
+    return _summed(*_unpacked(rows))
 
 
 def _count(parts: int, word_parts: int):
@@ -238,77 +260,235 @@ def _build(parts: int):
     return run
 
 
-def _probe_part(key: tuple, asked: pa.Table, built: pa.Table) -> pa.Table:
-    keys = asked.column("key").to_numpy().view(np.uint64)
-    levels = np.zeros(len(keys), np.int64)
-    if built.num_rows and len(keys):
-        size = built.column("size")[0].as_py()
-        own = Filter(*joined(1, [(0, built.column("bits")[0].as_py(), size)], size))
-        levels = own.levels(keys)
-    return pa.table({"key": asked.column("key"), "level": pa.array(levels.astype(np.int32))})
-
-
-def _jvm_part(key, parts: int):
-    """``part_of`` as a column."""
-    return F.shiftright(F.shiftrightunsigned(key, 40) * parts, 24).cast("int")
-
-
-def _far_scores(scored: DataFrame, built: DataFrame, parts: int, word_parts: int, heads: DataFrame, facts: dict) -> DataFrame:
-    """``row_no, score`` by filters that stay in their parts: the value of a token depends on its pair alone,
-    so each distinct pair is valued once."""
-    token = F.explode(F.arrays_zip("pairs", "befores", "words", "times")).alias("token")
-    tokens = scored.select("row_no", token).select("row_no", "token.*")
-    pairs = materialise(tokens.select("pairs", "befores", "words").distinct(), "lm-pairs")
-    words = pairs.select(F.explode(F.array("befores", "words")).alias("key")).distinct()
-    built = built.select("part", "bits", "size")
-
-    def levels(keys: DataFrame, part, label: str) -> DataFrame:
-        asked = keys.select("key", part.alias("part"))
-        probed = asked.groupBy("part").cogroup(built.groupBy("part")).applyInArrow(_probe_part, "key long, level int")
-        return materialise(probed, label)
-
-    def at(values):
-        return F.element_at(F.array(*[F.lit(float(x)) for x in values]), F.col("level") + 1)
-
-    by_pair = levels(pairs.select(F.col("pairs").alias("key")), _jvm_part(F.col("key"), parts), "lm-levels")
-    by_word = levels(words, F.lit(parts) + _jvm_part(F.col("key"), word_parts), "lm-levels").join(heads, "key", "left")
-    share = F.when(F.col("level") > 0, F.lit(1 - facts["unseen"]) * at(MIDDLE) / F.lit(facts["spread"])).otherwise(F.lit(facts["unseen"]))
-    p = by_word.select(F.col("key").alias("words"), share.alias("p"))
-    context = by_word.select(
-        F.col("key").alias("befores"),
-        F.when(F.col("level") > 0, F.lit(TRUST)).otherwise(F.lit(0.0)).alias("a"),
-        F.coalesce(F.col("n").cast("double"), at([BASE**q for q in range(LEVELS)])).alias("mass"),
-    )
-    likely = F.least(F.lit(1.0), at(LEAST) / F.col("mass"))
-    values = (
-        pairs.join(by_pair.withColumnRenamed("key", "pairs"), "pairs")
-        .join(p, "words")
-        .join(context, "befores")
-        .select("pairs", F.log10(F.col("a") * likely + (1 - F.col("a")) * F.col("p")).alias("value"))
+def _chunk_schema(kind: pa.DataType) -> pa.Schema:
+    return pa.schema(
+        [
+            ("chunk", pa.int64()), ("words", pa.binary()), ("tokens", pa.binary()), ("row_no", pa.list_(pa.int64())),
+            ("doc_id", pa.list_(kind)), ("held_out", pa.list_(pa.bool_())), ("n_tokens", pa.list_(pa.int64())),
+        ]
+    )
+
+
+def _chunks(kind: pa.DataType):
+    """Some documents or a part of a long one as distinct words, by their counts and then by hash, and the places of their
+    tokens among them, which begin with the context of the first; per document its tokens here."""
+    schema = _chunk_schema(kind)
+
+    def run(batches):
+        chunk, tokens, held, rows = TaskContext.get().partitionId() << 32, [], 0, []
+
+        def written():
+            found, place, counts = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+            order = np.argsort(-counts, kind="stable")
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order))
+            lists = [pa.concat_arrays(x) for x in zip(*rows)]
+            packed = [chunk], [_squeeze(np.diff(found[order], prepend=np.uint64(0)))], [_squeeze(rank[place])]
+            columns = [pa.array(c, f.type) for c, f in zip(packed, schema)]
+            columns += [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+            return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+
+        for batch in batches:
+            for row, before, own in _tokens(batch.column(3)):
+                tokens += [own] if tokens else [before[:1], own]
+                held += len(own)
+                there, n = np.unique(row, return_counts=True)
+                rows.append([*(batch.column(i).take(pa.array(there)) for i in range(3)), pa.array(n, pa.int64())])
+                if held >= LOCAL_PAIRS:
+                    yield written()
+                    chunk, tokens, held, rows = chunk + 1, [], 0, []
+        if tokens:
+            yield written()
+
+    return run
+
+
+def _places_of(words: bytes, tokens: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a chunk: its words, and for each token the places of its context and its own among them."""
+    place = _stretch(tokens, np.uint32)
+    return np.cumsum(_stretch(words, np.uint64), dtype=np.uint64), place[:-1], place[1:]
+
+
+def _ask(parts: int, word_parts: int):
+    """The distinct pairs and words of each chunk, with their counts in its training documents, which may be 0."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                chunk, packed, tokens, held, n = (batch.column(c)[i] for c in range(5))
+                words, before, own = _places_of(packed.as_py(), tokens.as_py())
+                learned = pa.compute.fill_null(pa.compute.invert(held.values), False).to_numpy(zero_copy_only=False)
+                learned = np.repeat(learned, n.values.to_numpy())
+                pairs = pair_keys(words[before], words[own])
+                order = np.argsort(pairs)
+                pairs = pairs[order]
+                first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+                counts = np.add.reduceat(learned[order], first, dtype=np.int64)
+                yield from _pack(pairs[first], counts, parts, 0, chunk.as_py())
+                counts, order = np.bincount(own[learned], minlength=len(words)), np.argsort(words)
+                yield from _pack(words[order], counts[order], word_parts, parts, chunk.as_py())
+
+    return run
+
+
+ANSWERS = pa.schema(
+    [("part", pa.int32()), ("chunk", pa.int64()), ("levels", pa.binary()), ("counts", pa.binary()), ("facts", pa.list_(pa.int64()))]
+)
+
+
+def _answer(parts: int):
+    """The filter of a part is filled and probed for what each chunk asked; a part of words also returns exact counts,
+    and, in a row without chunk, what the model must know of all words: words and their counts by level, words seen once."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        asked, counts = _unpacked(rows)
+        keys, counts = _summed(asked, counts)
+        seen = counts > 0
+        exact = levels_of(counts[seen])
+        bits, size = fill(keys[seen], exact)
+        levels = Filter(*joined(1, [(0, bits, size)], size)).levels(keys).astype(np.uint8)
+        out = []
+        for chunk, own in zip(rows.column("chunk").to_pylist(), asked):
+            at = np.searchsorted(keys, own)
+            out.append([chunk, _squeeze(levels[at]), None, None])
+            if key[0].as_py() >= parts:
+                out[-1][2] = _squeeze(counts[at].astype(np.uint64))
+        if key[0].as_py() >= parts:
+            n = np.zeros(LEVELS, np.int64)
+            np.add.at(n, exact, counts[seen])
+            out.append([None, None, None, [*np.bincount(exact, minlength=LEVELS).tolist(), *n.tolist(), int((counts == 1).sum())]])
+        columns = [[key[0].as_py()] * len(out), *zip(*out)]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, ANSWERS)], schema=ANSWERS)
+
+    return run
+
+
+def _score_chunk(parts: int, facts: dict, kind: pa.DataType):
+    schema = pa.schema(
+        [
+            ("row_no", pa.int64()), ("doc_id", kind), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+            ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
+        ]
+    )
+    middle, least, ceiling = np.asarray(MIDDLE), np.asarray(LEAST), np.power(BASE, np.arange(LEVELS))
+
+    def run(answers: pa.Table, chunk: pa.Table) -> pa.Table:
+        words, before, own = _places_of(chunk.column("words")[0].as_py(), chunk.column("tokens")[0].as_py())
+        part = answers.column("part").to_numpy()
+        of_pairs, of_words = ([int(i) for i in np.argsort(part) if (part[i] >= parts) == which] for which in (False, True))
+
+        def answered(name: str, rows: list[int], kind):
+            return np.concatenate([_stretch(answers.column(name)[i].as_py(), kind) for i in rows])
+
+        order = np.argsort(words)
+        level, counts = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        level[order], counts[order] = answered("levels", of_words, np.uint8), answered("counts", of_words, np.uint64)
+        p = np.where(level > 0, (1 - facts["unseen"]) * middle[level] / facts["spread"], facts["unseen"])
+        a = np.where(level > 0, TRUST, 0.0)
+        head = (counts > 0) & (levels_of(np.maximum(counts, 1)) >= facts["lowest"])
+        mass = np.where(head, counts, ceiling[level])
+        base = np.log10(counts + 1) - math.log10(facts["total"] + facts["distinct"] + 1)
+
+        pairs = pair_keys(words[before], words[own])
+        order = np.argsort(pairs)
+        place = np.empty(len(pairs), np.int32)
+        pairs = pairs[order]
+        place[order] = np.cumsum(np.append(False, pairs[1:] != pairs[:-1]))
+        of_pair = answered("levels", of_pairs, np.uint8)[place]
+        del pairs, order, place
+        value = np.empty(len(own))
+        for at in range(0, len(own), STEP):
+            here = slice(at, at + STEP)
+            h = before[here]
+            pair = np.minimum(least[of_pair[here]] / mass[h], 1.0)
+            value[here] = np.log10(a[h] * pair + (1 - a[h]) * p[own[here]])
+        lists = {name: chunk.column(name).combine_chunks().flatten() for name in ("row_no", "doc_id", "held_out", "n_tokens")}
+        starts = np.cumsum(lists["n_tokens"].to_numpy()) - lists["n_tokens"].to_numpy()
+        sums = (counts > 0)[own].astype(np.int64), base[own], value
+        columns = [*lists.values(), *(pa.array(np.add.reduceat(x, starts)) for x in sums)]
+        return pa.table([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return run
+
+
+def _lowest(by_level: dict[int, int]) -> int:
+    """The lowest level of the most frequent words, at most ``HEAD``, whose exact counts the model uses."""
+    frequent, lowest = 0, LEVELS
+    for level in sorted(by_level, reverse=True):
+        frequent += by_level[level]
+        if frequent > HEAD:
+            break
+        lowest = level
+    return lowest
+
+
+def _far_scores(rows: DataFrame, parts: int, word_parts: int, id_type: T.DataType) -> DataFrame:
+    """Scores by filters that stay in their parts."""
+    kind = to_arrow_type(id_type)
+    schema = T.StructType(
+        [
+            T.StructField("chunk", T.LongType()), T.StructField("words", T.BinaryType()), T.StructField("tokens", T.BinaryType()),
+            T.StructField("row_no", T.ArrayType(T.LongType())), T.StructField("doc_id", T.ArrayType(id_type)),
+            T.StructField("held_out", T.ArrayType(T.BooleanType())), T.StructField("n_tokens", T.ArrayType(T.LongType())),
+        ]
+    )
+    chunks = materialise(rows.mapInArrow(_chunks(kind), schema), "lm-chunks")
+    asked = chunks.select("chunk", "words", "tokens", "held_out", "n_tokens").mapInArrow(
+        _ask(parts, word_parts), "part int, chunk long, keys binary, counts binary"
     )
-    return tokens.select("row_no", "pairs", "times").join(values, "pairs").groupBy("row_no").agg(
-        F.sum(F.col("times") * F.col("value")).alias("score")
+    answers = materialise(
+        asked.groupBy("part").applyInArrow(
+            _answer(parts), "part int, chunk long, levels binary, counts binary, facts array<long>"
+        ),
+        "lm-answers",
     )
+    of_all = answers.where("chunk IS NULL").select(F.posexplode("facts").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n"))
+    found = {row["at"]: row["n"] for row in of_all.collect()}
+    words = {q: found[q] for q in range(LEVELS) if found.get(q)}
+    total, once = sum(found.get(LEVELS + q, 0) for q in words), found.get(2 * LEVELS, 0)
+    facts = {
+        "total": total,
+        "distinct": sum(words.values()),
+        "spread": max(sum(MIDDLE[q] * n for q, n in words.items()), 1.0),
+        "unseen": min(0.5, (once + 1) / (total + 1)) if total else 1.0,
+        "lowest": _lowest(words),
+    }
+    out = T.StructType(
+        [
+            T.StructField("row_no", T.LongType()), T.StructField("doc_id", id_type), T.StructField("held_out", T.BooleanType()),
+            T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
+            T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
+        ]
+    )
+    given = answers.where("chunk IS NOT NULL").select("part", "chunk", "levels", "counts").groupBy("chunk")
+    scored = given.cogroup(chunks.groupBy("chunk")).applyInArrow(_score_chunk(parts, facts, kind), out)
+    # A long document may be in several chunks.
+    return scored.groupBy("row_no").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.first("held_out").alias("held_out"),
+        F.sum("n_tokens").alias("n_tokens"),
+        F.sum("n_known").alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"),
+        F.sum("base_score").alias("base_score"),
+        F.sum("score").alias("score"),
+    ).drop("row_no")
 
 
 def _score(sent, facts: dict, kind: pa.DataType):
-    """``sent``: filters of pairs and words (None where they stay in their parts, and rows get their
-    distinct pairs instead of a score), hashes and exact counts of the most frequent words."""
-    far = facts["far"]
+    """``sent``: filters of pairs and words, hashes and exact counts of the most frequent words."""
     out = pa.schema(
         [
             ("row_no", pa.int64()), ("doc_id", kind), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
             ("head_known", pa.int64()), ("head_base", pa.float64()), ("score", pa.float64()),
             ("rare", pa.list_(pa.int64())),
         ]
-        + [(name, pa.list_(pa.int64())) for name in ("pairs", "befores", "words", "times")] * far
     )
     middle, least, ceiling = np.asarray(MIDDLE), np.asarray(LEAST), np.power(BASE, np.arange(LEVELS))
     unit = math.log10(facts["total"] + facts["distinct"] + 1)
 
     def run(batches):
         pairs_sent, words_sent, head_keys, head_counts = sent.value
-        pair_filter, word_filter = (None, None) if far else (Filter(*pairs_sent), Filter(*words_sent))
+        pair_filter, word_filter = Filter(*pairs_sent), Filter(*words_sent)
 
         def exact(keys):
             at = np.minimum(np.searchsorted(head_keys, keys), len(head_keys) - 1)
@@ -317,7 +497,7 @@ def _score(sent, facts: dict, kind: pa.DataType):
         for batch in batches:
             size = batch.num_rows
             n_tokens, known, base, score = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
-            rare, near = [], []
+            rare = []
             for rows, before, tokens in _tokens(batch.column(3)):
                 keys, place = np.unique(np.append(before[0], tokens), return_inverse=True)
                 counts = exact(keys)
@@ -327,9 +507,6 @@ def _score(sent, facts: dict, kind: pa.DataType):
                 known += np.bincount(rows[seen], minlength=size)
                 base += np.bincount(rows[seen], np.log10(counts[of_token[seen]] + 1) - unit, size)
                 rare.append((rows[~seen], tokens[~seen]))
-                if far:
-                    near.append((rows, pair_keys(before, tokens), before, tokens))
-                    continue
                 level = word_filter.levels(keys)
                 p = np.where(level > 0, (1 - facts["unseen"]) * middle[level] / facts["spread"], facts["unseen"])
                 a = np.where(level > 0, TRUST, 0.0)
@@ -348,14 +525,6 @@ def _score(sent, facts: dict, kind: pa.DataType):
 
             columns = [batch.column(0), batch.column(1), batch.column(2), n_tokens, known, base, score]
             columns.append(lists(*(np.concatenate(x) for x in zip(*rare))))
-            if far:
-                rows, pairs, before, tokens = (np.concatenate(x) for x in zip(*near))
-                order = np.lexsort((pairs, rows))
-                rows, pairs = rows[order], pairs[order]
-                first = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]) | (pairs[1:] != pairs[:-1])))
-                times = np.diff(np.append(first, len(rows)))
-                for values in (pairs[first], before[order][first], tokens[order][first], times):
-                    columns.append(lists(rows[first], values))
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) else pa.array(c) for c in columns], schema=out
             )
@@ -379,10 +548,13 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
         full_text(text).alias("text"),
     )
     train = rows.where(~F.col("held_out")).select("text")
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    chars, documents = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count(F.lit(1))).first()
     parts = chars // PART_CHARS + 1
     word_parts = parts // WORD_SHARE + 1
-    counted = train.mapInArrow(_count(parts, word_parts), "part int, keys binary, counts binary")
+    id_type = docs.schema[doc_id].dataType
+    if BITS * (chars + 3 * documents) > MOST_BITS:
+        return _far_scores(rows, parts, word_parts, id_type)
+    counted = train.mapInArrow(_count(parts, word_parts), "part int, chunk long, keys binary, counts binary")
     built = materialise(
         counted.groupBy("part").applyInArrow(
             _build(parts), "part int, size long, bits binary, keys array<long>, counts array<long>"
@@ -410,31 +582,19 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
         "distinct": distinct,
         "spread": max(sum(MIDDLE[r["level"]] * r["words"] for r in by_level), 1.0),
         "unseen": min(0.5, (once + 1) / (total + 1)) if total else 1.0,
-        "far": sum(sizes.values()) > MOST_BITS,
     }
-    frequent, lowest = 0, None
-    for row in sorted(by_level, key=lambda r: -r["level"]):
-        frequent += row["words"]
-        if frequent > HEAD:
-            break
-        lowest = row["level"]
-    heads = vocabulary.where(level >= lowest) if lowest is not None else vocabulary.where("false")
-    head = heads.toArrow()
+    head = vocabulary.where(level >= _lowest({r["level"]: r["words"] for r in by_level})).toArrow()
     keys = head.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    filters = [None, None]
-    if not facts["far"]:
-        # From a written table, so one partition after another costs little and bounds what the driver holds.
-        for words, count in enumerate((parts, word_parts)):
-            own = built.where(is_word if words else ~is_word).select("part", "bits", "size").toLocalIterator()
-            rows_of = ((row["part"] - words * parts, row["bits"], row["size"]) for row in own)
-            filters[words] = joined(count, rows_of, sizes.get(bool(words), 0))
+    filters = []
+    # From a written table, so one partition after another costs little and bounds what the driver holds.
+    for words, count in enumerate((parts, word_parts)):
+        own = built.where(is_word if words else ~is_word).select("part", "bits", "size").toLocalIterator()
+        rows_of = ((row["part"] - words * parts, row["bits"], row["size"]) for row in own)
+        filters.append(joined(count, rows_of, sizes.get(bool(words), 0)))
     sent = spark.sparkContext.broadcast((*filters, keys[order], head.column("n").to_numpy()[order]))
     del filters, head
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_type = docs.schema[doc_id].dataType
     schema = T.StructType(
         [
             T.StructField("row_no", T.LongType()), T.StructField("doc_id", id_type),
@@ -442,7 +602,6 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
             T.StructField("head_known", T.LongType()), T.StructField("head_base", T.DoubleType()),
             T.StructField("score", T.DoubleType()), T.StructField("rare", T.ArrayType(T.LongType())),
         ]
-        + [T.StructField(name, T.ArrayType(T.LongType())) for name in ("pairs", "befores", "words", "times") if facts["far"]]
     )
     scored = materialise(rows.mapInArrow(_score(sent, facts, to_arrow_type(id_type)), schema), "lm-scores")
     rare = (
@@ -454,10 +613,7 @@ def bloom_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str =
             F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - F.lit(math.log10(total + distinct + 1))).alias("rare_base"),
         )
     )
-    plain = scored.drop("rare", "pairs", "befores", "words", "times")
-    if facts["far"]:
-        plain = plain.drop("score").join(_far_scores(scored, built, parts, word_parts, heads, facts), "row_no", "left")
-    return plain.join(rare, "row_no", "left").select(
+    return scored.drop("rare").join(rare, "row_no", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
